@@ -351,5 +351,150 @@ _Q["weekly_sales_incremental"] = _Q["weekly_sales_inventory"]
 _Q["weekly_missing_sunday"] = with_views("weekly_u", body="SELECT * FROM weekly_u")
 
 
+
+# --- customers -----------------------------------------------------------------
+
+_Q["customer_scd2"] = with_views("snapshot", body="SELECT * FROM snap2")
+_Q["customer_scd2_strict"] = with_views("snapshot_strict", body="SELECT * FROM ssnap2")
+_Q["customer_dim_current"] = with_views("customer_dim", body="SELECT * FROM customer_dim")
+
+# --- copies and CSV ingest ----------------------------------------------------
+
+_Q["dim_snapshot_copy"] = with_views("item", "warehouse", "date_dim", body="""
+SELECT 'item_dim' AS table_name, count(*) AS n_rows, min(i_item_sk) AS min_key, max(i_item_sk) AS max_key FROM item
+UNION ALL
+SELECT 'warehouse_dim', count(*), min(w_warehouse_sk), max(w_warehouse_sk) FROM warehouse
+UNION ALL
+SELECT 'date_dim', count(*), min(d_date_sk), max(d_date_sk) FROM date_dim""")
+
+# Good lines of the CSV drop: kinds 0-3 are broken, kind 5 has an empty quantity.
+_Q["csv_ingest_skip_bad"] = with_views("inventory", body="""
+SELECT inv_data_sk, inv_item_sk,
+       CASE WHEN kind = 5 THEN NULL ELSE inv_quantity_on_hand END AS inv_quantity_on_hand,
+       inv_warehouse_sk
+FROM (SELECT *, (inv_item_sk * 7 + inv_data_sk) % 20 AS kind FROM inventory)
+WHERE kind NOT IN (0, 1, 2, 3)""")
+_Q["csv_full_refresh"] = _Q["csv_ingest_skip_bad"]
+
+# --- data quality ----------------------------------------------------------------
+
+_Q["dq_not_null"] = with_views("customer_dim", "daily", body="""
+SELECT 'customer_dim.c_customer_sk' AS check_name, count(*) AS n_failing, count(*) = 0 AS passed
+  FROM customer_dim WHERE c_customer_sk IS NULL
+UNION ALL
+SELECT 'sales_lines.warehouse_sk', count(*), count(*) = 0 FROM daily_lines WHERE warehouse_sk IS NULL""")
+
+_Q["dq_unique"] = with_views("weekly", body="""
+SELECT 'weekly_sales_inventory(warehouse_sk,item_sk,sold_wk_sk)' AS check_name, count(*) AS n_failing,
+       count(*) = 0 AS passed
+  FROM (SELECT warehouse_sk, item_sk, sold_wk_sk FROM weekly GROUP BY 1, 2, 3 HAVING count(*) > 1)
+UNION ALL
+SELECT 'inventory(inv_item_sk,inv_warehouse_sk,inv_wk_num,inv_yr_num)', count(*), count(*) = 0
+  FROM (SELECT inv_item_sk, inv_warehouse_sk, inv_wk_num, inv_yr_num FROM weekly_inv
+        GROUP BY 1, 2, 3, 4 HAVING count(*) > 1)""")
+
+_Q["dq_relationship"] = with_views("weekly", "item", "cust0", body="""
+SELECT 'weekly_sales_inventory.item_sk->item_dim.i_item_sk' AS check_name, count(*) AS n_failing,
+       count(*) = 0 AS passed
+  FROM weekly fact LEFT JOIN item dim ON dim.i_item_sk = fact.item_sk WHERE dim.i_item_sk IS NULL
+UNION ALL
+SELECT 'orders.o_custkey->customer_load0.c_customer_sk', count(*), count(*) = 0
+  FROM orders o LEFT JOIN cust0 c ON c.c_customer_sk = o.o_custkey WHERE c.c_customer_sk IS NULL""")
+
+_Q["dq_accepted_values"] = with_views("weekly", "warehouse", body="""
+SELECT 'weekly_sales_inventory.warehouse_sk' AS check_name, count(*) AS n_failing, count(*) = 0 AS passed
+  FROM weekly WHERE warehouse_sk NOT IN (1, 2, 3, 4, 5, 6)
+UNION ALL
+SELECT 'warehouse_dim.w_warehouse_sk', count(*), count(*) = 0
+  FROM warehouse WHERE w_warehouse_sk NOT IN (1, 2, 3, 4, 5, 6)""")
+
+_Q["dq_orphan_key"] = with_views("cust1", "cust2", "customer_demographics", "customer_address", body="""
+SELECT 'customer.c_current_cdemo_sk->customer_demographics.cd_demo_sk' AS check_name, count(*) AS n_failing,
+       count(*) = 0 AS passed
+  FROM cust1 c LEFT JOIN customer_demographics cd ON c.c_current_cdemo_sk = cd.cd_demo_sk
+ WHERE c.c_current_cdemo_sk IS NOT NULL AND cd.cd_demo_sk IS NULL
+UNION ALL
+SELECT 'customer.c_current_addr_sk->customer_address.ca_address_sk', count(*), count(*) = 0
+  FROM cust2 c LEFT JOIN customer_address ca ON c.c_current_addr_sk = ca.ca_address_sk
+ WHERE c.c_current_addr_sk IS NOT NULL AND ca.ca_address_sk IS NULL""")
+
+# --- exploration --------------------------------------------------------------------
+
+
+def _bounds() -> str:
+    parts = []
+    for src, key in (("catalog_sales", "cs_sold_date_sk"), ("web_sales", "ws_sold_date_sk"),
+                     ("inventory", "inv_data_sk")):
+        for b in ("min", "max"):
+            parts.append(f"SELECT '{src}' AS source, '{b}' AS bound, cal_dt FROM date_dim "
+                         f"WHERE d_date_sk = (SELECT {b}({key}) FROM {src})")
+    return "\nUNION ALL\n".join(parts)
+
+
+_Q["explore_date_bounds"] = with_views("date_dim", "inventory", body=_bounds())
+
+_Q["explore_daily_arrivals"] = with_views("date_dim", "catalog_sales", "web_sales", body="""
+(SELECT 'catalog_sales' AS channel, d.cal_dt, cs.cs_sold_date_sk AS sold_date_sk, count(*) AS n_rows
+   FROM catalog_sales cs JOIN date_dim d ON cs.cs_sold_date_sk = d.d_date_sk
+  GROUP BY 1, 2, 3 ORDER BY 2 DESC LIMIT 10)
+UNION ALL
+(SELECT 'web_sales', d.cal_dt, ws.ws_sold_date_sk, count(*)
+   FROM web_sales ws JOIN date_dim d ON ws.ws_sold_date_sk = d.d_date_sk
+  GROUP BY 1, 2, 3 ORDER BY 2 DESC LIMIT 10)""")
+
+
+def _fk_probe() -> str:
+    parts = []
+    for p, fact in (("cs_", "catalog_sales"), ("ws_", "web_sales")):
+        for key, dim, dkey in ((f"{p}sold_date_sk", "date_dim", "d_date_sk"),
+                               (f"{p}item_sk", "item", "i_item_sk"),
+                               (f"{p}warehouse_sk", "warehouse", "w_warehouse_sk")):
+            name = f"{key}->{dkey}"
+            join = f"FROM {fact} f JOIN {dim} dim ON dim.{dkey} = f.{key}"
+            parts.append(f"SELECT '{name}' AS probe, 'count' AS kind, count(*) AS value, "
+                         f"CAST(NULL AS BIGINT) AS order_number, CAST(NULL AS BIGINT) AS line_number {join}")
+            parts.append(f"(SELECT '{name}', 'sample', f.{key}, f.{p}order_number, f.{p}line_number {join} "
+                         f"ORDER BY 3, 4, 5 LIMIT 5)")
+    return "\nUNION ALL\n".join(parts)
+
+
+_Q["explore_fk_probe"] = with_views("date_dim", "catalog_sales", "web_sales", "item", "warehouse", body=_fk_probe())
+
+_Q["explore_inventory_counts"] = with_views("inventory", body="""
+SELECT inv_data_sk, inv_item_sk, count(*) AS n_rows FROM inventory GROUP BY 1, 2 ORDER BY 2, 1""")
+
+_Q["explore_item_days"] = with_views("date_dim", "inventory", "catalog_sales", "web_sales", "item", body="""
+SELECT DISTINCT 'inventory' AS source, d.cal_dt, d.wk_num
+  FROM date_dim d JOIN inventory inv ON d.d_date_sk = inv.inv_data_sk AND inv.inv_item_sk = 1
+UNION ALL
+SELECT DISTINCT 'web_sales', d.cal_dt, d.wk_num
+  FROM web_sales ws JOIN date_dim d ON d.d_date_sk = ws.ws_sold_date_sk
+  JOIN item i ON i.i_item_sk = ws.ws_item_sk AND ws.ws_item_sk = 1
+UNION ALL
+SELECT DISTINCT 'catalog_sales', d.cal_dt, d.wk_num
+  FROM catalog_sales cs JOIN date_dim d ON d.d_date_sk = cs.cs_sold_date_sk
+  JOIN item i ON i.i_item_sk = cs.cs_item_sk AND cs.cs_item_sk = 1""")
+
+_Q["explore_distinct_items"] = with_views("item", body="""
+SELECT DISTINCT i_item_sk, i_product_name FROM item ORDER BY 1""")
+
+_Q["explore_distinct_customers"] = with_views("cust2", body="""
+SELECT DISTINCT c_customer_sk, c_first_name, c_last_name FROM cust2 ORDER BY 1""")
+
+_Q["explore_cardinality"] = with_views("item", "cust2", body="""
+SELECT 'item.i_item_sk' AS metric, count(DISTINCT i_item_sk) AS n_distinct FROM item
+UNION ALL
+SELECT 'customer.c_customer_sk', count(DISTINCT c_customer_sk) FROM cust2""")
+
+_Q["customer_null_key_count"] = with_views("cust2", body="""
+SELECT count(*) AS n_null FROM cust2 WHERE c_first_sales_date_sk IS NULL""")
+
+_Q["explore_calendar_head"] = with_views("date_dim", body="""
+SELECT cal_dt, d_date_sk FROM date_dim ORDER BY 1 LIMIT 100""")
+
+_Q["explore_calendar_day"] = with_views("date_dim", body="""
+SELECT * FROM date_dim WHERE cal_dt = '1998-08-12'""")
+
+
 def queries() -> dict[str, str]:
     return dict(_Q)

@@ -14,8 +14,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.operators import sales, weekly
+from stockledger import schemas
+from stockledger.operators import customers, explore, quality, sales, weekly
+from stockledger.plans import jobs
+from stockledger.session import shared_dir
+from stockledger.sources import csv_ingest
 from stockledger.sources import fixtures as fx
+from stockledger.sources.storage import VersionedTable, copy_table, empty_frame
 from stockledger.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +91,355 @@ def q_weekly_sales_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_weekly_missing_sunday(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly fact over a ``%U`` calendar: weeks without a Sunday row lose their sales."""
     return weekly_of(Tables(spark, sf_dir), "calendar_u")
+
+
+# --- incremental runs over stored tables -----------------------------------
+
+# A Wednesday inside the ship-date span of every scale factor (1998-08-12).
+CUT_DAY = 10450
+
+
+def _arrived_by_cut(df: DataFrame, p: str, half_of_cut_day: bool) -> DataFrame:
+    """Sales as they had arrived when the first run happened."""
+    d, o = F.col(f"{p}sold_date_sk"), F.col(f"{p}order_number")
+    cond = d < F.lit(CUT_DAY)
+    if half_of_cut_day:
+        cond = cond | ((d == F.lit(CUT_DAY)) & (o % 2 == 0))
+    return df.where(cond)
+
+
+@register("daily_sales_incremental")
+def q_daily_sales_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First run with the sales up to half of the cut day, a second with all of
+    them, then an identical rerun: the stored table equals a one-shot load."""
+    t = Tables(spark, sf_dir)
+    cal = fx.date_dim(t)
+    cs, ws = fx.catalog_sales(t), fx.web_sales(t)
+    table = jobs.daily_table(spark, shared_dir(spark, "daily_sales"))
+    jobs.run_daily_sales(_arrived_by_cut(cs, "cs_", True), _arrived_by_cut(ws, "ws_", True), cal, table)
+    jobs.run_daily_sales(cs, ws, cal, table)
+    jobs.run_daily_sales(cs, ws, cal, table)
+    return table.read()
+
+
+@register("weekly_sales_incremental")
+def q_weekly_sales_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily and weekly jobs run in schedule order, first with sales up to a
+    mid-week cut, then with all sales, then the weekly job again."""
+    t = Tables(spark, sf_dir)
+    cal = fx.date_dim(t)
+    cs, ws, inv = fx.catalog_sales(t), fx.web_sales(t), fx.inventory(t)
+    daily_t = jobs.daily_table(spark, shared_dir(spark, "daily_sales"))
+    weekly_t = jobs.weekly_table(spark, shared_dir(spark, "weekly_sales_inventory"))
+    jobs.run_daily_sales(_arrived_by_cut(cs, "cs_", False), _arrived_by_cut(ws, "ws_", False), cal, daily_t)
+    jobs.run_weekly_sales_inventory(daily_t, inv, cal, weekly_t)
+    jobs.run_daily_sales(cs, ws, cal, daily_t)
+    jobs.run_weekly_sales_inventory(daily_t, inv, cal, weekly_t)
+    jobs.run_weekly_sales_inventory(daily_t, inv, cal, weekly_t)
+    return weekly_t.read()
+
+
+# --- customers ----------------------------------------------------------------
+
+
+def stored_history(spark: SparkSession, t: Tables, strict: bool = False):
+    """The three customer loads applied in order, each stored as a new version."""
+    snap = jobs.customer_snapshot_table(spark, shared_dir(spark, "customer_snapshot"))
+    for k, day in enumerate(fx.CUSTOMER_LOAD_DATES):
+        jobs.run_customer_snapshot(fx.customer_load(t, k), snap, day, strict=strict)
+    return snap
+
+
+def lazy_history(t: Tables, strict: bool = False) -> DataFrame:
+    """The same history as one plan (no intermediate writes), for checks."""
+    snap = empty_frame(t.spark, schemas.CUSTOMER_SNAPSHOT)
+    for k, day in enumerate(fx.CUSTOMER_LOAD_DATES):
+        snap = customers.scd2_merge(snap, fx.customer_load(t, k), day, strict=strict)
+    return snap
+
+
+def lazy_customer_dim(t: Tables) -> DataFrame:
+    return customers.customer_dimension(
+        lazy_history(t),
+        fx.customer_address(t),
+        fx.customer_demographics(t),
+        fx.household_demographics(t),
+        fx.income_band(t),
+    )
+
+
+@register("customer_scd2")
+def q_customer_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_history(spark, Tables(spark, sf_dir)).read()
+
+
+@register("customer_scd2_strict")
+def q_customer_scd2_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_history(spark, Tables(spark, sf_dir), strict=True).read()
+
+
+@register("customer_dim_current")
+def q_customer_dim_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    snap = stored_history(spark, t)
+    dim = VersionedTable(spark, shared_dir(spark, "customer_dim"), customer_dim_schema(spark, t))
+    jobs.run_customer_dimension(
+        snap,
+        fx.customer_address(t),
+        fx.customer_demographics(t),
+        fx.household_demographics(t),
+        fx.income_band(t),
+        dim,
+    )
+    return dim.read()
+
+
+def customer_dim_schema(spark: SparkSession, t: Tables):
+    return lazy_customer_dim(t).schema
+
+
+# --- dimension copies and CSV ingest -------------------------------------------
+
+
+@register("dim_snapshot_copy")
+def q_dim_snapshot_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``CREATE TABLE item_dim / warehouse_dim / date_dim CLONE ...`` then profile the copies."""
+    t = Tables(spark, sf_dir)
+    root = shared_dir(spark, "analytics")
+    copies = [
+        ("item_dim", fx.item(t), "i_item_sk"),
+        ("warehouse_dim", fx.warehouse(t), "w_warehouse_sk"),
+        ("date_dim", fx.date_dim(t), "d_date_sk"),
+    ]
+    out = None
+    for name, src, key in copies:
+        copy = copy_table(spark, src, f"{root}/{name}")
+        prof = copy.agg(
+            F.count(F.lit(1)).alias("n_rows"), F.min(key).alias("min_key"), F.max(key).alias("max_key")
+        ).select(F.lit(name).alias("table_name"), "n_rows", "min_key", "max_key")
+        out = prof if out is None else out.unionByName(prof)
+    return out
+
+
+def _write_drop(spark: SparkSession, lines: DataFrame, purpose: str) -> str:
+    path = shared_dir(spark, purpose)
+    lines.write.mode("errorifexists").text(path)
+    return path
+
+
+@register("csv_ingest_skip_bad")
+def q_csv_ingest_skip_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inventory written as a CSV drop with broken lines, loaded back: the good rows."""
+    t = Tables(spark, sf_dir)
+    path = _write_drop(spark, fx.inventory_csv_lines(fx.inventory(t)), "inventory_csv")
+    return csv_ingest.read_csv_drop(spark, path).good
+
+
+@register("csv_full_refresh")
+def q_csv_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two successive drops into one table: after the second refresh the table
+    holds exactly the second drop's good rows."""
+    t = Tables(spark, sf_dir)
+    inv = fx.inventory(t)
+    first = _write_drop(spark, fx.inventory_csv_lines(inv.where(F.col("inv_warehouse_sk") <= 3)), "inventory_csv")
+    second = _write_drop(spark, fx.inventory_csv_lines(inv), "inventory_csv")
+    target = VersionedTable(spark, shared_dir(spark, "raw_inventory"), schemas.INVENTORY)
+    csv_ingest.full_refresh(spark, first, target)
+    csv_ingest.full_refresh(spark, second, target)
+    return target.read()
+
+
+# --- data quality ------------------------------------------------------------
+
+
+@register("dq_not_null")
+def q_dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return quality.verdicts(
+        ("customer_dim.c_customer_sk", quality.not_null(lazy_customer_dim(t), "c_customer_sk")),
+        ("sales_lines.warehouse_sk", quality.not_null(lines_of(t), "warehouse_sk")),
+    )
+
+
+@register("dq_unique")
+def q_dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    inv = weekly.inventory_with_week(fx.inventory(t), fx.date_dim(t))
+    return quality.verdicts(
+        ("weekly_sales_inventory(warehouse_sk,item_sk,sold_wk_sk)",
+         quality.unique(weekly_of(t), ["warehouse_sk", "item_sk", "sold_wk_sk"])),
+        ("inventory(inv_item_sk,inv_warehouse_sk,inv_wk_num,inv_yr_num)",
+         quality.unique(inv, ["inv_item_sk", "inv_warehouse_sk", "inv_wk_num", "inv_yr_num"])),
+    )
+
+
+@register("dq_relationship")
+def q_dq_relationship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return quality.verdicts(
+        ("weekly_sales_inventory.item_sk->item_dim.i_item_sk",
+         quality.relationship(weekly_of(t), "item_sk", fx.item(t), "i_item_sk")),
+        ("orders.o_custkey->customer_load0.c_customer_sk",
+         quality.relationship(t.orders, "o_custkey", fx.customer_load(t, 0), "c_customer_sk")),
+    )
+
+
+# The warehouse keys the weekly fact accepts.
+ACCEPTED_WAREHOUSES = (1, 2, 3, 4, 5, 6)
+
+
+@register("dq_accepted_values")
+def q_dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return quality.verdicts(
+        ("weekly_sales_inventory.warehouse_sk",
+         quality.accepted_values(weekly_of(t), "warehouse_sk", ACCEPTED_WAREHOUSES)),
+        ("warehouse_dim.w_warehouse_sk",
+         quality.accepted_values(fx.warehouse(t), "w_warehouse_sk", ACCEPTED_WAREHOUSES)),
+    )
+
+
+@register("dq_orphan_key")
+def q_dq_orphan_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return quality.verdicts(
+        ("customer.c_current_cdemo_sk->customer_demographics.cd_demo_sk",
+         quality.orphan_key(fx.customer_load(t, 1), "c_current_cdemo_sk", fx.customer_demographics(t), "cd_demo_sk")),
+        ("customer.c_current_addr_sk->customer_address.ca_address_sk",
+         quality.orphan_key(fx.customer_load(t, 2), "c_current_addr_sk", fx.customer_address(t), "ca_address_sk")),
+    )
+
+
+# --- exploration ---------------------------------------------------------------
+
+
+@register("explore_date_bounds")
+def q_explore_date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    cal = fx.date_dim(t)
+    facts = [
+        ("catalog_sales", fx.catalog_sales(t), "cs_sold_date_sk"),
+        ("web_sales", fx.web_sales(t), "ws_sold_date_sk"),
+        ("inventory", fx.inventory(t), "inv_data_sk"),
+    ]
+    out = None
+    for name, fact, key in facts:
+        for bound in ("min", "max"):
+            row = explore.date_of_key_bound(fact, key, cal, bound).select(
+                F.lit(name).alias("source"), F.lit(bound).alias("bound"), "cal_dt"
+            )
+            out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("explore_daily_arrivals")
+def q_explore_daily_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    cal = fx.date_dim(t)
+    out = None
+    for name, fact, key in (("catalog_sales", fx.catalog_sales(t), "cs_sold_date_sk"),
+                            ("web_sales", fx.web_sales(t), "ws_sold_date_sk")):
+        part = explore.daily_arrivals(fact, key, cal, 10).select(
+            F.lit(name).alias("channel"), "cal_dt", F.col(key).alias("sold_date_sk"), "n_rows"
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _probes(t: Tables):
+    cal, item, wh = fx.date_dim(t), fx.item(t), fx.warehouse(t)
+    for p, fact in (("cs_", fx.catalog_sales(t)), ("ws_", fx.web_sales(t))):
+        yield f"{p}sold_date_sk->d_date_sk", p, fact, f"{p}sold_date_sk", cal, "d_date_sk"
+        yield f"{p}item_sk->i_item_sk", p, fact, f"{p}item_sk", item, "i_item_sk"
+        yield f"{p}warehouse_sk->w_warehouse_sk", p, fact, f"{p}warehouse_sk", wh, "w_warehouse_sk"
+
+
+@register("explore_fk_probe")
+def q_explore_fk_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per fact -> dimension key pair: matched row count, and the first five
+    matches in (key, order, line) order."""
+    t = Tables(spark, sf_dir)
+    out = None
+    for name, p, fact, key, dim, dim_key in _probes(t):
+        cnt = explore.key_probe_count(fact, key, dim, dim_key).select(
+            F.lit(name).alias("probe"),
+            F.lit("count").alias("kind"),
+            F.col("n_matched").alias("value"),
+            F.lit(None).cast("bigint").alias("order_number"),
+            F.lit(None).cast("bigint").alias("line_number"),
+        )
+        order = [key, f"{p}order_number", f"{p}line_number"]
+        prev = explore.key_probe_preview(fact, key, dim, dim_key, order, 5).select(
+            F.lit(name).alias("probe"),
+            F.lit("sample").alias("kind"),
+            F.col(key).alias("value"),
+            F.col(f"{p}order_number").alias("order_number"),
+            F.col(f"{p}line_number").alias("line_number"),
+        )
+        part = cnt.unionByName(prev)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("explore_inventory_counts")
+def q_explore_inventory_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return explore.rows_per_key(fx.inventory(t), ["inv_data_sk", "inv_item_sk"])
+
+
+# The item the cadence probe looks at.
+PROBE_ITEM = 1
+
+
+@register("explore_item_days")
+def q_explore_item_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    cal, item = fx.date_dim(t), fx.item(t)
+    parts = [
+        ("inventory", explore.days_with_item(fx.inventory(t), "inv_data_sk", "inv_item_sk", PROBE_ITEM, cal)),
+        ("web_sales", explore.days_with_item(fx.web_sales(t), "ws_sold_date_sk", "ws_item_sk", PROBE_ITEM, cal, item)),
+        ("catalog_sales",
+         explore.days_with_item(fx.catalog_sales(t), "cs_sold_date_sk", "cs_item_sk", PROBE_ITEM, cal, item)),
+    ]
+    out = None
+    for name, df in parts:
+        part = df.select(F.lit(name).alias("source"), "cal_dt", "wk_num")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("explore_distinct_items")
+def q_explore_distinct_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explore.distinct_rows(fx.item(Tables(spark, sf_dir)), ["i_item_sk", "i_product_name"])
+
+
+@register("explore_distinct_customers")
+def q_explore_distinct_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return explore.distinct_rows(fx.customer_load(t, 2), ["c_customer_sk", "c_first_name", "c_last_name"])
+
+
+@register("explore_cardinality")
+def q_explore_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    items = explore.distinct_count(fx.item(t), "i_item_sk", "n_distinct").select(
+        F.lit("item.i_item_sk").alias("metric"), "n_distinct")
+    custs = explore.distinct_count(fx.customer_load(t, 2), "c_customer_sk", "n_distinct").select(
+        F.lit("customer.c_customer_sk").alias("metric"), "n_distinct")
+    return items.unionByName(custs)
+
+
+@register("customer_null_key_count")
+def q_customer_null_key_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return explore.null_count(fx.customer_load(t, 2), "c_first_sales_date_sk")
+
+
+@register("explore_calendar_head")
+def q_explore_calendar_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explore.calendar_head(fx.date_dim(Tables(spark, sf_dir)), 100)
+
+
+@register("explore_calendar_day")
+def q_explore_calendar_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explore.calendar_day(fx.date_dim(Tables(spark, sf_dir)), "1998-08-12")

@@ -214,3 +214,38 @@ def warehouse(t: Tables) -> DataFrame:
         F.col("s_suppkey").cast("bigint").alias("w_warehouse_sk"),
         F.col("s_name").alias("w_warehouse_name"),
     )
+
+
+# The inventory CSV drop's line kinds, chosen per row by
+# ``(inv_item_sk * 7 + inv_data_sk) % 20``: 0 too short, 1 too long,
+# 2 non-numeric key, 3 empty NOT NULL key, 4 all fields quoted (valid),
+# 5 empty quantity (valid, NULL); any other value is a plain valid line.
+INVENTORY_CSV_HEADER = "inv_data_sk,inv_item_sk,inv_quantity_on_hand,inv_warehouse_sk"
+
+
+def inventory_line_kind(inv: DataFrame):
+    return (F.col("inv_item_sk") * 7 + F.col("inv_data_sk")) % 20
+
+
+def inventory_csv_lines(inv: DataFrame) -> DataFrame:
+    """The inventory as CSV text lines (column ``value``), with broken lines and a header."""
+    kind = inventory_line_kind(inv)
+    d = F.col("inv_data_sk").cast("string")
+    i = F.col("inv_item_sk").cast("string")
+    q = F.coalesce(F.col("inv_quantity_on_hand").cast("string"), F.lit(""))
+    w = F.col("inv_warehouse_sk").cast("string")
+
+    def quoted(c):
+        return F.concat(F.lit('"'), c, F.lit('"'))
+
+    line = (
+        F.when(kind == 0, F.concat_ws(",", d, i, q))
+        .when(kind == 1, F.concat_ws(",", d, i, q, w, F.lit("99")))
+        .when(kind == 2, F.concat_ws(",", F.concat(F.lit("x"), d), i, q, w))
+        .when(kind == 3, F.concat_ws(",", d, F.lit(""), q, w))
+        .when(kind == 4, F.concat_ws(",", quoted(d), quoted(i), quoted(q), quoted(w)))
+        .when(kind == 5, F.concat_ws(",", d, i, F.lit(""), w))
+        .otherwise(F.concat_ws(",", d, i, q, w))
+    )
+    header = inv.sparkSession.range(1).select(F.lit(INVENTORY_CSV_HEADER).alias("value"))
+    return header.unionByName(inv.select(line.alias("value")))
