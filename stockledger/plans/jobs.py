@@ -67,15 +67,16 @@ def run_weekly_sales_inventory(
     source's ``HAVING`` is then applied unchanged.
     """
     wm = target.last_slice()
-    days = daily.read()
     inv = inventory
-    if wm is not None:
+    if wm is None:
+        days = daily.read()
+    else:
         target.delete_slice(wm)
         live = weekly.live_weeks(date_dim, wm)
         lower = live.agg(F.min("_first")).first()[0]
         if lower is None:
             return RunInfo(wm, "no week can qualify")
-        days = days.where(F.col("sold_date_sk") >= F.lit(lower)).join(
+        days = daily.read(min_slice=lower).join(
             F.broadcast(live.select(F.col("wk_num").alias("_wk"), F.col("yr_num").alias("_yr"))),
             (F.col("sold_wk_num") == F.col("_wk")) & (F.col("sold_yr_num") == F.col("_yr")),
             "left_semi",

@@ -37,6 +37,10 @@ def get_session(
     if master:
         builder = builder.master(master)
     conf = dict(_DEFAULTS)
+    if master and master.startswith("local"):
+        # One machine: list partition folders on the driver instead of
+        # launching a listing job per read (the cluster default stays).
+        conf["spark.sql.sources.parallelPartitionDiscovery.threshold"] = "100000"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -18,6 +18,7 @@ stores and local disks alike.
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,8 +100,30 @@ class VersionedTable:
         return self.write(empty_frame(self.spark, self.schema))
 
 
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]):
+    """Temporarily override SQL settings for the actions run inside the block."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 class SlicedTable:
-    """A table partitioned by one slice key, rewritten slice by slice."""
+    """A table partitioned by one integer slice key, rewritten slice by slice.
+
+    The slice folders are the table's index: the newest slice (the watermark)
+    and the slices a run needs are found from one directory listing, so no
+    data file is opened to plan an incremental run, and a pruned read lists
+    only the slices it reads.
+    """
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType, slice_col: str):
         self.spark, self.root, self.schema, self.slice_col = spark, root.rstrip("/"), schema, slice_col
@@ -108,17 +131,32 @@ class SlicedTable:
     def exists(self) -> bool:
         return path_exists(self.spark, self.root)
 
-    def read(self) -> DataFrame:
+    def slices(self) -> list[int]:
+        prefix = f"{self.slice_col}="
+        return sorted(
+            int(name[len(prefix):])
+            for name in list_dirs(self.spark, self.root)
+            if name.startswith(prefix) and name[len(prefix):].lstrip("-").isdigit()
+        )
+
+    def read(self, min_slice: int | None = None) -> DataFrame:
+        """The table, or only its slices ``>= min_slice`` (partition pruning by path)."""
         if not self.exists():
             return empty_frame(self.spark, self.schema)
-        df = self.spark.read.schema(self.schema).parquet(self.root)
+        reader = self.spark.read.schema(self.schema)
+        if min_slice is None:
+            df = reader.parquet(self.root)
+        else:
+            paths = [self.slice_path(v) for v in self.slices() if v >= min_slice]
+            if not paths:
+                return empty_frame(self.spark, self.schema)
+            df = reader.option("basePath", self.root).parquet(*paths)
         return df.select(*self.schema.fieldNames())
 
     def last_slice(self) -> int | None:
-        """``SELECT MAX(slice)``: the watermark, computed eagerly before any write."""
-        if not self.exists():
-            return None
-        return self.read().agg(F.max(self.slice_col)).first()[0]
+        """``SELECT MAX(slice)``: the watermark, read eagerly before any write."""
+        s = self.slices()
+        return s[-1] if s else None
 
     def slice_path(self, value) -> str:
         return f"{self.root}/{self.slice_col}={value}"
@@ -131,16 +169,20 @@ class SlicedTable:
     def write_slices(self, batch: DataFrame) -> None:
         """``INSERT`` a batch: its slices replace any existing ones of the same key.
 
-        ``rebalance`` on the slice key lets AQE write each slice from few tasks
-        (few files) while splitting an oversized slice over several tasks.
+        ``rebalance`` on the slice key puts each slice in one shuffle partition
+        (one file per slice) and lets AQE split an oversized slice over several
+        writers. Partition coalescing is switched off for this write so that
+        the slices are written by parallel tasks instead of being merged into
+        a few tasks that each write thousands of files.
         """
         out = conform(batch, self.schema).hint("rebalance", self.slice_col)
-        (
-            out.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.slice_col)
-            .parquet(self.root)
-        )
+        with session_conf(self.spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+            (
+                out.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(self.slice_col)
+                .parquet(self.root)
+            )
 
 
 def copy_table(spark: SparkSession, src: DataFrame, dst: str) -> DataFrame:
