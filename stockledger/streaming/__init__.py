@@ -1,0 +1,4 @@
+"""Intentionally empty: the mart has no streams, event-time watermarks, windows
+or state. Its incrementality is batch-by-batch (a stored watermark per table,
+see :mod:`stockledger.plans.jobs`), and late data older than the watermark is
+not picked up, by design."""
