@@ -42,6 +42,7 @@ HEADLINE = (
     "explore_date_bounds",
     "explore_daily_arrivals",
     "explore_fk_probe",
+    "explore_sales_preview",
     "explore_inventory_counts",
     "explore_item_days",
     "explore_distinct_items",

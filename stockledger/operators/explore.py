@@ -48,6 +48,12 @@ def key_probe_preview(
     return j.orderBy(*order).limit(n)
 
 
+def preview(df: DataFrame, order: Sequence[str], n: int = 100) -> DataFrame:
+    """``SELECT * FROM t LIMIT n`` made repeatable by a total order (top-n per
+    partition, then a merge of n rows per partition)."""
+    return df.orderBy(*order).limit(n)
+
+
 def rows_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``SELECT k1, k2, count(*) ... GROUP BY 1, 2 ORDER BY 2, 1``."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).orderBy(*reversed(list(keys)))

@@ -24,11 +24,11 @@ class RunInfo:
 
 
 def daily_table(spark: SparkSession, root: str) -> SlicedTable:
-    return SlicedTable(spark, root, schemas.DAILY_AGGREGATED_SALES, "sold_date_sk")
+    return SlicedTable(spark, root, schemas.DAILY_AGGREGATED_SALES, "sold_date_sk", ("item_sk", "warehouse_sk"))
 
 
 def weekly_table(spark: SparkSession, root: str) -> SlicedTable:
-    return SlicedTable(spark, root, schemas.WEEKLY_SALES_INVENTORY, "sold_wk_sk")
+    return SlicedTable(spark, root, schemas.WEEKLY_SALES_INVENTORY, "sold_wk_sk", ("item_sk", "warehouse_sk"))
 
 
 def run_daily_sales(

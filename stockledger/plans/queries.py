@@ -381,6 +381,20 @@ def q_explore_fk_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@register("explore_sales_preview")
+def q_explore_sales_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First 100 rows of each channel (``SELECT * ... LIMIT 100``) in order-line order."""
+    t = Tables(spark, sf_dir)
+    out = None
+    for name, p, fact in (("catalog_sales", "cs_", fx.catalog_sales(t)), ("web_sales", "ws_", fx.web_sales(t))):
+        part = explore.preview(fact, [f"{p}order_number", f"{p}line_number"], 100).select(
+            F.lit(name).alias("channel"),
+            *[F.col(c).alias(c[len(p):]) for c in fact.columns],
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @register("explore_inventory_counts")
 def q_explore_inventory_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)

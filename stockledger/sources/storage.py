@@ -125,8 +125,16 @@ class SlicedTable:
     only the slices it reads.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, slice_col: str):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: T.StructType,
+        slice_col: str,
+        cluster_by: tuple[str, ...] = (),
+    ):
         self.spark, self.root, self.schema, self.slice_col = spark, root.rstrip("/"), schema, slice_col
+        self.cluster_by = cluster_by
 
     def exists(self) -> bool:
         return path_exists(self.spark, self.root)
@@ -173,9 +181,12 @@ class SlicedTable:
         (one file per slice) and lets AQE split an oversized slice over several
         writers. Partition coalescing is switched off for this write so that
         the slices are written by parallel tasks instead of being merged into
-        a few tasks that each write thousands of files.
+        a few tasks that each write thousands of files. Rows are sorted by
+        ``cluster_by`` inside each slice (the writer sorts by slice anyway), so
+        Parquet min/max statistics let filters on those columns skip row groups.
         """
         out = conform(batch, self.schema).hint("rebalance", self.slice_col)
+        out = out.sortWithinPartitions(self.slice_col, *self.cluster_by)
         with session_conf(self.spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
             (
                 out.write.mode("overwrite")
