@@ -72,6 +72,17 @@ def calendar_spanning(df: DataFrame, date_col: str | Column, week_rule: str = "s
     return calendar_between(bounds, week_rule)
 
 
+def assert_calendar_size(date_dim: DataFrame, max_days: int = MAX_CALENDAR_DAYS) -> None:
+    """Guard run by a job before it broadcasts a date table it was given.
+
+    A date dimension has one row per day, which is what makes broadcasting it
+    safe; a table with more rows than ``max_days`` is refused. The count stops
+    after ``max_days + 1`` rows."""
+    n = date_dim.limit(max_days + 1).count()
+    if n > max_days:
+        raise ValueError(f"date dimension has more than {max_days} rows; not a calendar")
+
+
 def sundays(date_dim: DataFrame) -> DataFrame:
     """``(d_date_sk, wk_num, yr_num)`` of the Sundays: the week's key day."""
     return date_dim.where(F.col("day_of_wk_num") == 0).select("d_date_sk", "wk_num", "yr_num")

@@ -18,8 +18,10 @@ again with a later date); NULL and 0 are equal in the coalesced columns;
 customers missing from a load stay open. ``strict=True`` compares null-safely,
 matches and closes open versions only, and ignores exact duplicate source rows.
 
-Both joins hash-partition on the customer key (the anti-join on all 18 keys);
-AQE's skew-join splitting handles a customer with very many versions.
+The insert merge is an anti-join on the 18 match keys against the *distinct*
+match keys of the history; the close merge is a left join on the customer
+key, where AQE's skew-join splitting handles a customer with very many
+versions.
 """
 
 from __future__ import annotations
@@ -64,13 +66,36 @@ def _run_ts(run_date: str):
     return F.lit(run_date).cast("date").cast("timestamp_ntz")
 
 
-def _same_version(t, s, strict: bool):
-    """Merge-match predicate between stored columns ``t(c)`` and source ``s(c)``."""
+def _tk(c: str) -> str:
+    return _SRC + "t_" + c
+
+
+def _match_keys(hist: DataFrame, strict: bool) -> DataFrame:
+    """Distinct match keys of the stored versions that can match a source row.
+
+    Only existence matters to the insert merge, so identical stored versions
+    are collapsed first (map-side, before the shuffle), and in literal mode
+    versions with a NULL in a plain-``=`` column are dropped because they can
+    never match. This keeps the anti-join balanced even when the history holds
+    many identical re-inserted versions of one customer.
+    """
+    if strict:
+        keys = hist.where(F.col("end_date").isNull()).select(*[F.col(c).alias(_tk(c)) for c in CUSTOMER_COLUMNS])
+    else:
+        keys = hist.where(all_of(F.col(c).isNotNull() for c in PLAIN_COLUMNS)).select(
+            *[F.col(c).alias(_tk(c)) for c in PLAIN_COLUMNS],
+            *[zero_if_null(c).alias(_tk(c)) for c in COALESCED_COLUMNS],
+        )
+    return keys.distinct()
+
+
+def _match_condition(strict: bool):
+    """Merge-match predicate between a source row and the stored match keys."""
     if strict:
-        return all_of(t(c).eqNullSafe(s(c)) for c in CUSTOMER_COLUMNS)
+        return all_of(F.col(_tk(c)).eqNullSafe(F.col(c)) for c in CUSTOMER_COLUMNS)
     return all_of(
-        [t(c) == s(c) for c in PLAIN_COLUMNS]
-        + [zero_if_null(t(c)) == zero_if_null(s(c)) for c in COALESCED_COLUMNS]
+        [F.col(_tk(c)) == F.col(c) for c in PLAIN_COLUMNS]
+        + [F.col(_tk(c)) == zero_if_null(c) for c in COALESCED_COLUMNS]
     )
 
 
@@ -93,12 +118,8 @@ def scd2_merge(snapshot: DataFrame, source: DataFrame, run_date: str, strict: bo
     hist = snapshot.select(*CUSTOMER_COLUMNS, "start_date", "end_date")
 
     # 1. insert versions that do not exist yet
-    candidates = hist.where(F.col("end_date").isNull()) if strict else hist
-    cand = candidates.select(*[F.col(c).alias(_SRC + "t_" + c) for c in CUSTOMER_COLUMNS])
     new_rows = src.join(
-        cand,
-        _same_version(lambda c: F.col(_SRC + "t_" + c), lambda c: F.col(c), strict),
-        "left_anti",
+        _match_keys(hist, strict), _match_condition(strict), "left_anti"
     ).select(*CUSTOMER_COLUMNS, run_ts.alias("start_date"), F.lit(None).cast("timestamp_ntz").alias("end_date"))
 
     # 2. close changed versions

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stockledger import schemas
 from stockledger.operators import customers, sales, weekly
+from stockledger.operators.calendar import assert_calendar_size
 from stockledger.sources.storage import SlicedTable, VersionedTable
 
 
@@ -44,6 +45,7 @@ def run_daily_sales(
     3. re-aggregate every sale on or after the watermark and write its days.
     Sales older than the watermark that arrive late are not picked up.
     """
+    assert_calendar_size(date_dim)
     wm = target.last_slice()
     target.delete_slice(wm)
     batch = sales.daily_sales(sales.sales_union(catalog_sales, web_sales, wm), date_dim)
@@ -66,6 +68,7 @@ def run_weekly_sales_inventory(
     a broadcast semi-join on the week, both exact for any calendar. The
     source's ``HAVING`` is then applied unchanged.
     """
+    assert_calendar_size(date_dim)
     wm = target.last_slice()
     inv = inventory
     if wm is None:

@@ -139,3 +139,10 @@ def test_weekly_having_on_first_sale_day(spark):
     # since = SUN + 2: only the group whose first sale is on/after it passes
     rows = weekly.weekly_sales_inventory(daily, inv, cal, since_wk_sk=SUN + 2).collect()
     assert [(r.item_sk, r.sold_wk_sk) for r in rows] == [(11, SUN)]
+
+
+def test_calendar_size_guard(spark):
+    cal = cal_days(spark, "2024-01-07", "2024-01-13")
+    calendar.assert_calendar_size(cal)
+    with pytest.raises(ValueError):
+        calendar.assert_calendar_size(cal, max_days=3)
