@@ -284,18 +284,14 @@ def q_dq_relationship(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# The warehouse keys the weekly fact accepts.
-ACCEPTED_WAREHOUSES = (1, 2, 3, 4, 5, 6)
-
-
 @register("dq_accepted_values")
 def q_dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     return quality.verdicts(
         ("weekly_sales_inventory.warehouse_sk",
-         quality.accepted_values(weekly_of(t), "warehouse_sk", ACCEPTED_WAREHOUSES)),
+         quality.accepted_values(weekly_of(t), "warehouse_sk", quality.ACCEPTED_WAREHOUSES)),
         ("warehouse_dim.w_warehouse_sk",
-         quality.accepted_values(fx.warehouse(t), "w_warehouse_sk", ACCEPTED_WAREHOUSES)),
+         quality.accepted_values(fx.warehouse(t), "w_warehouse_sk", quality.ACCEPTED_WAREHOUSES)),
     )
 
 
