@@ -5,7 +5,6 @@ from stockledger.functions.scalar import (
     any_of,
     days_since_epoch,
     iff,
-    money_sum,
     nvl,
     ratio6,
     week_start_sk,
@@ -17,7 +16,6 @@ __all__ = [
     "any_of",
     "days_since_epoch",
     "iff",
-    "money_sum",
     "nvl",
     "ratio6",
     "week_start_sk",

@@ -38,15 +38,9 @@ def any_of(conds: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a | b, conds)
 
 
-def money_sum(c: Column | str) -> Column:
-    """Sum of an amount column, exact in decimal, returned as double."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.sum(c.cast(MONEY)).cast("double")
-
-
 def ratio6(num: Column, den: Column) -> Column:
-    """``num / den`` as ``decimal(38,6)`` (rounded half up), NULL when den = 0 is
-    never reached because callers filter non-positive denominators first."""
+    """``num / den`` as ``decimal(38,6)``, rounded half up. Callers filter out
+    zero denominators first (ANSI mode raises on division by zero)."""
     return (num.cast("decimal(38,0)") / den.cast("decimal(38,0)")).cast("decimal(38,6)")
 
 

@@ -17,7 +17,6 @@ stores and local disks alike.
 
 from __future__ import annotations
 
-import os
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -200,7 +199,3 @@ def copy_table(spark: SparkSession, src: DataFrame, dst: str) -> DataFrame:
     """``CREATE OR REPLACE TABLE dst CLONE src`` as a full copy; returns the copy."""
     src.write.mode("overwrite").parquet(dst)
     return spark.read.schema(src.schema).parquet(dst)
-
-
-def join_path(*parts: str) -> str:
-    return os.path.join(*parts)

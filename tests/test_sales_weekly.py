@@ -146,3 +146,10 @@ def test_calendar_size_guard(spark):
     calendar.assert_calendar_size(cal)
     with pytest.raises(ValueError):
         calendar.assert_calendar_size(cal, max_days=3)
+
+
+def test_calendar_schema(spark):
+    from stockledger import schemas
+
+    cal = cal_days(spark, "2024-01-07", "2024-01-13")
+    assert [(f.name, f.dataType) for f in cal.schema] == [(f.name, f.dataType) for f in schemas.DATE_DIM]
