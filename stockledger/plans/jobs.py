@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from stockledger import schemas
 from stockledger.operators import customers, sales, weekly
 from stockledger.operators.calendar import assert_calendar_size
+from stockledger.plans.sizing import broadcast_if_small
 from stockledger.sources.storage import SlicedTable, VersionedTable
 
 
@@ -120,6 +121,16 @@ def run_customer_dimension(
     income_band: DataFrame,
     target: VersionedTable,
 ) -> int:
-    """``CREATE OR REPLACE TABLE customer_dim AS SELECT ...`` as a new version."""
-    dim = customers.customer_dimension(snapshot.read(), address, demographics, household, income_band)
+    """``CREATE OR REPLACE TABLE customer_dim AS SELECT ...`` as a new version.
+
+    The three demographic tables are broadcast when a size check proves them
+    small; the address table grows with the customers and is sort-merge joined.
+    """
+    dim = customers.customer_dimension(
+        snapshot.read(),
+        address,
+        broadcast_if_small(demographics),
+        broadcast_if_small(household),
+        broadcast_if_small(income_band),
+    )
     return target.write(dim)

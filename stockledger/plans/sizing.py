@@ -1,0 +1,21 @@
+"""Broadcast decisions behind an explicit size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows up to which a dimension is broadcast: the demographic tables of the
+# retail schema are fixed-size (the largest, customer demographics, has about
+# 1.9 million rows); anything larger is joined by sort-merge.
+BROADCAST_MAX_ROWS = 5_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    The count stops after ``max_rows + 1`` rows, so checking a large table
+    costs little. Beyond the bound the join is left to Spark (sort-merge, or
+    a broadcast chosen by AQE from runtime sizes)."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -7,6 +7,7 @@ import re
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from stockledger import schemas
 from stockledger.operators import calendar, sales, weekly
@@ -83,3 +84,16 @@ def test_weekly_incremental_reads_only_live_slices(spark, stored):
     assert len(pruned.inputFiles()) == len([s for s in daily_t.slices() if s >= SUN + 21])
     assert {x.sold_date_sk for x in pruned.select("sold_date_sk").distinct().collect()} == set(
         range(SUN + 21, SUN + 30))
+
+
+def test_broadcast_if_small(spark):
+    from stockledger.plans.sizing import broadcast_if_small
+
+    small = spark.range(10)
+    big = spark.range(100)
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        fact = spark.range(1000).withColumnRenamed("id", "k")
+        j1 = fact.join(broadcast_if_small(small, 50), fact["k"] == F.col("id"))
+        j2 = fact.join(broadcast_if_small(big, 50), fact["k"] == F.col("id"))
+        assert "BroadcastHashJoin" in plan_of(j1)
+        assert "SortMergeJoin" in plan_of(j2)
