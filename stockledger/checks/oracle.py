@@ -462,12 +462,18 @@ _Q["explore_fk_probe"] = with_views("date_dim", "catalog_sales", "web_sales", "i
 
 _COLS = ("warehouse_sk", "item_sk", "sold_date_sk", "quantity", "sales_price", "net_profit", "order_number",
          "line_number")
-_Q["explore_sales_preview"] = with_views("catalog_sales", "web_sales", body=f"""
-(SELECT 'catalog_sales' AS channel, {", ".join(f"cs_{c} AS {c}" for c in _COLS)}
-   FROM catalog_sales ORDER BY cs_order_number, cs_line_number LIMIT 100)
-UNION ALL
-(SELECT 'web_sales', {", ".join(f"ws_{c}" for c in _COLS)}
-   FROM web_sales ORDER BY ws_order_number, ws_line_number LIMIT 100)""")
+_PREVIEW_ORDER = ("order_number", "line_number", "warehouse_sk", "item_sk", "sold_date_sk", "quantity",
+                  "sales_price", "net_profit")
+
+
+def _preview(name: str, p: str) -> str:
+    cols = ", ".join(f"{p}{c} AS {c}" for c in _COLS)
+    order = ", ".join(f"{p}{c} NULLS FIRST" for c in _PREVIEW_ORDER)
+    return f"(SELECT '{name}' AS channel, {cols} FROM {name} ORDER BY {order} LIMIT 100)"
+
+
+_Q["explore_sales_preview"] = with_views(
+    "catalog_sales", "web_sales", body=_preview("catalog_sales", "cs_") + "\nUNION ALL\n" + _preview("web_sales", "ws_"))
 
 _Q["explore_inventory_counts"] = with_views("inventory", body="""
 SELECT inv_data_sk, inv_item_sk, count(*) AS n_rows FROM inventory GROUP BY 1, 2 ORDER BY 2, 1""")

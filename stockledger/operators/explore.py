@@ -66,9 +66,11 @@ def key_probe_preview(
 
 
 def preview(df: DataFrame, order: Sequence[str], n: int = 100) -> DataFrame:
-    """``SELECT * FROM t LIMIT n`` made repeatable by a total order (top-n per
-    partition, then a merge of n rows per partition)."""
-    return df.orderBy(*order).limit(n)
+    """``SELECT * FROM t LIMIT n`` made repeatable: ordered by ``order`` and then
+    by every other column (NULLs first), so ties cannot pick different rows.
+    Plans as top-n per partition, then a merge of n rows per partition."""
+    cols = list(dict.fromkeys([*order, *df.columns]))
+    return df.orderBy(*[F.col(c).asc_nulls_first() for c in cols]).limit(n)
 
 
 def rows_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
