@@ -105,8 +105,11 @@ def run_customer_snapshot(
     """Apply one customer load to the history and store it as a new version.
 
     A source with two rows for one customer makes the change merge ambiguous;
-    the run is refused, as the source warehouse would refuse it.
+    the run is refused, as the source warehouse would refuse it. Strict mode
+    first drops exact duplicate rows, so only conflicting rows are refused.
     """
+    if strict:
+        source = source.dropDuplicates()
     if check_unique:
         customers.assert_unique_key(source)
     nxt = customers.scd2_merge(snapshot.read(), source, run_date, strict=strict)

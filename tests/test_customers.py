@@ -89,3 +89,11 @@ def test_stored_history_versions(spark):
     assert jobs.run_customer_snapshot(cust(spark, [(1, "B", 5)]), snap, "2024-01-02") == 2
     assert snap.read().count() == 2
     assert snap.read(1).count() == 1  # old versions stay readable
+
+
+def test_strict_ignores_exact_duplicates(spark):
+    snap = jobs.customer_snapshot_table(spark, shared_dir(spark, "test_snapshot"))
+    jobs.run_customer_snapshot(cust(spark, [(1, "A", 5), (1, "A", 5)]), snap, "2024-01-01", strict=True)
+    assert snap.read().count() == 1
+    with pytest.raises(ValueError):
+        jobs.run_customer_snapshot(cust(spark, [(1, "A", 5), (1, "A", 5)]), snap, "2024-01-02")
