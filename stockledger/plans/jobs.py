@@ -16,6 +16,7 @@ from stockledger import schemas
 from stockledger.operators import customers, sales, weekly
 from stockledger.operators.calendar import assert_calendar_size
 from stockledger.plans.sizing import broadcast_if_small
+from stockledger.sources.history import OpenClosedHistory
 from stockledger.sources.storage import SlicedTable, VersionedTable
 
 
@@ -116,6 +117,20 @@ def run_customer_snapshot(
     return snapshot.write(nxt)
 
 
+def run_customer_history_strict(
+    source: DataFrame,
+    history: OpenClosedHistory,
+    run_date: str,
+    check_unique: bool = True,
+) -> int:
+    """Strict SCD2 run over the open/closed layout: only open versions are
+    read, merged and rewritten; closed versions are appended once."""
+    source = source.dropDuplicates()
+    if check_unique:
+        customers.assert_unique_key(source)
+    return history.apply(lambda open_rows: customers.scd2_merge(open_rows, source, run_date, strict=True))
+
+
 def run_customer_dimension(
     snapshot: VersionedTable,
     address: DataFrame,

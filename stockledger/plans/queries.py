@@ -20,6 +20,7 @@ from stockledger.plans import jobs
 from stockledger.session import shared_dir
 from stockledger.sources import csv_ingest
 from stockledger.sources import fixtures as fx
+from stockledger.sources.history import OpenClosedHistory
 from stockledger.sources.storage import VersionedTable, copy_table, empty_frame
 from stockledger.sources.tables import Tables
 
@@ -168,7 +169,12 @@ def q_customer_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("customer_scd2_strict")
 def q_customer_scd2_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored_history(spark, Tables(spark, sf_dir), strict=True).read()
+    """Strict history kept as open versions plus append-only closed versions."""
+    t = Tables(spark, sf_dir)
+    history = OpenClosedHistory(spark, shared_dir(spark, "customer_history"))
+    for k, day in enumerate(fx.CUSTOMER_LOAD_DATES):
+        jobs.run_customer_history_strict(fx.customer_load(t, k), history, day)
+    return history.read()
 
 
 @register("customer_dim_current")
