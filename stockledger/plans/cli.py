@@ -30,6 +30,7 @@ from stockledger.session import get_session
 from stockledger.sources import csv_ingest
 from stockledger.operators.customers import customer_dimension
 from stockledger.operators.quality import ACCEPTED_WAREHOUSES
+from stockledger.sources.history import OpenClosedHistory
 from stockledger.sources.storage import SlicedTable, VersionedTable, copy_table, empty_frame
 
 
@@ -49,11 +50,13 @@ def _parser() -> argparse.ArgumentParser:
     c = sub.add_parser("customers", help="apply one customer load to the history")
     for a in ("--customer", "--snapshot", "--run-date"):
         c.add_argument(a, required=True)
-    c.add_argument("--strict", action="store_true")
+    c.add_argument("--strict", action="store_true",
+                   help="null-safe, open-versions-only merge; history kept as open + append-only closed versions")
 
     cd = sub.add_parser("customer-dim", help="rebuild the current-customer dimension")
     for a in ("--snapshot", "--address", "--demographics", "--household", "--income-band", "--target"):
         cd.add_argument(a, required=True)
+    cd.add_argument("--strict", action="store_true", help="the snapshot was built with customers --strict")
 
     i = sub.add_parser("ingest", help="full refresh of the inventory from a CSV drop")
     i.add_argument("--csv", required=True)
@@ -84,10 +87,17 @@ def main(argv: Sequence[str] | None = None) -> dict:
                                             read(args.date_dim), jobs.weekly_table(spark, args.target))
         out.update(watermark=r.watermark, note=r.note)
     elif args.cmd == "customers":
-        snap = jobs.customer_snapshot_table(spark, args.snapshot)
-        out["version"] = jobs.run_customer_snapshot(read(args.customer), snap, args.run_date, strict=args.strict)
+        if args.strict:
+            history = OpenClosedHistory(spark, args.snapshot)
+            out["version"] = jobs.run_customer_history_strict(read(args.customer), history, args.run_date)
+        else:
+            snap = jobs.customer_snapshot_table(spark, args.snapshot)
+            out["version"] = jobs.run_customer_snapshot(read(args.customer), snap, args.run_date)
     elif args.cmd == "customer-dim":
-        snap = jobs.customer_snapshot_table(spark, args.snapshot)
+        if args.strict:
+            snap = OpenClosedHistory(spark, args.snapshot)
+        else:
+            snap = jobs.customer_snapshot_table(spark, args.snapshot)
         address, demo, house, band = (read(args.address), read(args.demographics), read(args.household),
                                       read(args.income_band))
         schema = customer_dimension(empty_frame(spark, schemas.CUSTOMER_SNAPSHOT), address, demo, house, band).schema

@@ -132,7 +132,7 @@ def run_customer_history_strict(
 
 
 def run_customer_dimension(
-    snapshot: VersionedTable,
+    snapshot: VersionedTable | OpenClosedHistory,
     address: DataFrame,
     demographics: DataFrame,
     household: DataFrame,
@@ -143,9 +143,11 @@ def run_customer_dimension(
 
     The three demographic tables are broadcast when a size check proves them
     small; the address table grows with the customers and is sort-merge joined.
+    With the open/closed layout only the open versions are read.
     """
+    current = snapshot.open_versions() if isinstance(snapshot, OpenClosedHistory) else snapshot.read()
     dim = customers.customer_dimension(
-        snapshot.read(),
+        current,
         address,
         broadcast_if_small(demographics),
         broadcast_if_small(household),

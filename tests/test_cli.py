@@ -30,8 +30,15 @@ def test_cli_jobs(spark, sf_dir):
                      "--run-date", "2024-01-01"])["version"] == 1
     cli.main(["customer-dim", "--snapshot", f"{root}/snap", "--address", p["addr"], "--demographics", p["cd"],
               "--household", p["hd"], "--income-band", p["ib"], "--target", f"{root}/dim"])
+    assert cli.main(["customers", "--strict", "--customer", p["cust"], "--snapshot", f"{root}/hist",
+                     "--run-date", "2024-01-01"])["version"] == 1
+    cli.main(["customer-dim", "--strict", "--snapshot", f"{root}/hist", "--address", p["addr"],
+              "--demographics", p["cd"], "--household", p["hd"], "--income-band", p["ib"],
+              "--target", f"{root}/dim_strict"])
     cli.main(["copy", "--source", p["item"], "--target", f"{root}/item_dim"])
     checks = cli.main(["checks", "--weekly", f"{root}/weekly", "--item-dim", f"{root}/item_dim",
                        "--customer-dim", f"{root}/dim/v=000001", "--customer", p["cust"],
                        "--customer-demographics", p["cd"]])["checks"]
     assert len(checks) == 5 and all(c["passed"] for c in checks), checks
+    a = spark.read.parquet(f"{root}/dim/v=000001").count()
+    assert a == spark.read.parquet(f"{root}/dim_strict/v=000001").count() > 0
