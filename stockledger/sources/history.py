@@ -12,9 +12,9 @@ Layout under ``root``:
 * ``open/v=N``       every open version after run N, plus the rows run N closed;
 * ``closed/closed_in=N`` the rows closed by run N (copied from ``open/v=N``).
 
-The copy is idempotent (it rewrites slice N with the same rows) and is
-repeated at the start of every run, so a crash between the two writes heals
-on the next run.
+The copy is idempotent (it rewrites slice N with the same rows) and leaves a
+marker when done; a run that finds the current version unmarked redoes the
+copy first, so a crash between the two writes heals on the next run.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockledger import schemas
-from stockledger.sources.storage import SlicedTable, VersionedTable, empty_frame
+from stockledger.sources.storage import SlicedTable, VersionedTable, empty_frame, path_exists, touch
 
 CLOSED_IN = "closed_in"
 
@@ -36,9 +36,14 @@ class OpenClosedHistory:
         closed_schema = T.StructType(schema.fields + [T.StructField(CLOSED_IN, T.IntegerType(), True)])
         self.closed = SlicedTable(spark, f"{root}/closed", closed_schema, CLOSED_IN, ("c_customer_sk",))
 
+    def _marker(self, version: int) -> str:
+        return f"{self.closed.root}/_flushed/{version}"
+
     def _flush(self, version: int) -> None:
+        """Copy the rows run ``version`` closed into their slice, then mark it done."""
         rows = self.open.read(version).where(F.col("end_date").isNotNull())
         self.closed.write_slices(rows.withColumn(CLOSED_IN, F.lit(version)))
+        touch(self.spark, self._marker(version))
 
     def open_versions(self) -> DataFrame:
         v = self.open.current_version()
@@ -49,8 +54,8 @@ class OpenClosedHistory:
     def apply(self, merged_from_open) -> int:
         """Run one step: ``merged_from_open(open_versions) -> next versions``."""
         v = self.open.current_version()
-        if v is not None:
-            self._flush(v)
+        if v is not None and not path_exists(self.spark, self._marker(v)):
+            self._flush(v)  # the previous run died between its two writes
         n = self.open.write(merged_from_open(self.open_versions()))
         self._flush(n)
         return n

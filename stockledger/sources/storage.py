@@ -40,6 +40,12 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file (overwriting one that exists)."""
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
