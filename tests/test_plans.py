@@ -97,3 +97,22 @@ def test_broadcast_if_small(spark):
         j2 = fact.join(broadcast_if_small(big, 50), fact["k"] == F.col("id"))
         assert "BroadcastHashJoin" in plan_of(j1)
         assert "SortMergeJoin" in plan_of(j2)
+
+
+def test_hot_key_is_combined_before_the_shuffle(spark):
+    """One warehouse/item/day holds a third of the rows: partial aggregation
+    reduces it to one row per task before the Exchange."""
+    hot = [(1, 1, SUN, 1, Decimal("1.00"), Decimal("0.1000"))] * 1000
+    rest = [(1 + i % 6, 2 + i % 97, SUN + i % 20, 1, Decimal("1.00"), Decimal("0.1000")) for i in range(2000)]
+    cs = spark.createDataFrame(hot + rest, CH.format(p="cs_")).repartition(8)
+    ws = spark.createDataFrame([], CH.format(p="ws_"))
+    bounds = spark.createDataFrame([(dt.date(2024, 1, 7), dt.date(2024, 2, 3))], "lo date, hi date")
+    d = sales.daily_sales(sales.sales_union(cs, ws), calendar.calendar_between(bounds))
+    with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        plan = plan_of(d)
+    lines = plan.splitlines()
+    ex = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+    assert "partial_sum" in next(line for line in lines[ex + 1:] if "HashAggregate" in line)
+    (row,) = d.where((F.col("warehouse_sk") == 1) & (F.col("item_sk") == 1)).collect()
+    assert row.daily_qty == 1000 and row.daily_sales_amt == 1000.0
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
