@@ -156,7 +156,7 @@ def customer_dimension(
 ) -> DataFrame:
     """Current versions enriched by four left joins.
 
-    The chain is a snowflake: the income band key comes from the household
+    The joins form a chain: the income band key comes from the household
     table joined just before. The join strategy is left to Spark: the
     demographic tables are small and fixed-size (broadcast by the size
     threshold), the address table grows with the customers (sort-merge).
