@@ -40,5 +40,11 @@ def test_cli_jobs(spark, sf_dir):
                        "--customer-dim", f"{root}/dim/v=000001", "--customer", p["cust"],
                        "--customer-demographics", p["cd"]])["checks"]
     assert len(checks) == 5 and all(c["passed"] for c in checks), checks
+    drop = f"{root}/inventory_csv"
+    fx.inventory_csv_lines(inputs["inv"]).write.text(drop)
+    assert cli.main(["ingest", "--csv", drop, "--target", f"{root}/raw_inv", "--rejects", f"{root}/rejects"])["version"] == 1
+    good = spark.read.parquet(f"{root}/raw_inv/v=000001").count()
+    bad = spark.read.parquet(f"{root}/rejects/v=000001").count()
+    assert good + bad == inputs["inv"].count() + 1 and bad > 1  # + the header line
     a = spark.read.parquet(f"{root}/dim/v=000001").count()
     assert a == spark.read.parquet(f"{root}/dim_strict/v=000001").count() > 0
