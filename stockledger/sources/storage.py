@@ -107,7 +107,10 @@ class VersionedTable:
 
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]):
-    """Temporarily override SQL settings for the actions run inside the block."""
+    """Temporarily override SQL settings for the actions run inside the block.
+
+    Settings are session-wide while the block runs, so queries started on the
+    same session from other threads at that time see them too."""
     old = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
