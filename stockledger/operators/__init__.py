@@ -1,0 +1 @@
+"""Operators: DataFrame -> DataFrame functions (calendar, sales, weekly, customers, quality, explore)."""

@@ -1,0 +1 @@
+"""Plans: the scheduled jobs, the registered queries, the CLI and size-checked broadcasts."""

@@ -1,0 +1 @@
+"""Sources and sinks: table access, CSV ingest, stored table layouts, customer history, test fixtures."""
