@@ -69,12 +69,17 @@ def main() -> None:
     reg = registry()
     names = [n for n in HEADLINE if n in reg] + sorted(set(reg) - set(HEADLINE))
     times: dict[str, float] = {}
+    failed: dict[str, str] = {}
     # Warm-up (untimed): JVM start, JIT compilation and class loading are not
     # query time. One run of the flagship exercises the same operators.
     reg["weekly_sales_inventory"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     for name in names:
         t0 = time.perf_counter()
-        reg[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        try:
+            reg[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        except Exception as e:  # report the failure, keep benchmarking the rest
+            failed[name] = repr(e)[:300]
+            continue
         times[name] = round(time.perf_counter() - t0, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(
@@ -85,6 +90,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": times,
                 "sf": float(m.group(1)) if m else sf_dir,
+                **({"failed": failed} if failed else {}),
             }
         )
     )
