@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections import defaultdict
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from stockledger import schemas
-from stockledger.operators import calendar, customers, sales
+from stockledger.operators import calendar, customers, sales, weekly
 from stockledger.plans import jobs
 from stockledger.session import shared_dir
 
@@ -127,3 +127,69 @@ def test_scd2_matches_brute_force(spark, loads, strict):
 
     got = sorted((key(r.asDict()) for r in table.read().collect()), key=repr)
     assert got == sorted((key(r) for r in hist), key=repr)
+
+
+# --- weekly fact ----------------------------------------------------------------
+
+DAILY = ("warehouse_sk bigint, item_sk bigint, sold_date_sk bigint, sold_wk_num bigint, sold_yr_num bigint, "
+         "daily_qty bigint, daily_sales_amt double, daily_net_profit double")
+Q6 = Decimal("0.000001")
+
+
+def brute_weekly(daily, inv, since):
+    days = {SUN + i: _week(SUN + i) for i in range(-7, 28)}
+    sundays = defaultdict(list)
+    for sk, wy in days.items():
+        if (EPOCH + dt.timedelta(days=sk)).weekday() == 6:
+            sundays[wy].append(sk)
+    weeks = {}
+    for wh, item, day, wk, yr, qty, amt, prof in daily:
+        if wk is None:
+            continue
+        g = weeks.setdefault((wh, item, wk, yr), [day, 0, Decimal(0), Decimal(0)])
+        g[0] = min(g[0], day)
+        g[1] += qty
+        g[2] += Decimal(repr(amt)).quantize(Decimal("0.0001"))
+        g[3] += Decimal(repr(prof)).quantize(Decimal("0.0001"))
+    inv_w = [(d, i, q, w, *days[d]) for d, i, q, w in inv if d in days]
+    out = {}
+    for (wh, item, wk, yr), (first, q, a, p) in weeks.items():
+        if first < (since or 0):
+            continue
+        for sunday in sundays.get((wk, yr), []):
+            matches = [x for x in inv_w if x[4] == wk and x[5] == yr and x[1] == item and x[3] == wh] or [None]
+            for m in matches:
+                o = out.setdefault((wh, item, wk, yr), [sunday, 0, Decimal(0), Decimal(0), 0])
+                o[0] = min(o[0], sunday)
+                o[1] += q
+                o[2] += a
+                o[3] += p
+                o[4] += (m[2] or 0) if m else 0
+    rows = set()
+    for (wh, item, wk, yr), (sk, q, a, p, iq) in out.items():
+        if q <= 0:
+            continue
+        avg = (Decimal(q) / 7).quantize(Q6, ROUND_HALF_UP)
+        wks = (Decimal(iq) / Decimal(q)).quantize(Q6, ROUND_HALF_UP)
+        rows.add((wh, item, sk, wk, yr, q, float(a), float(p), avg, iq, wks, bool(avg > 0 and avg > iq)))
+    return rows
+
+
+daily_row = st.builds(
+    lambda wh, item, off, qty, amt, prof: (wh, item, SUN + off, *_week(SUN + off), qty, amt, prof),
+    st.sampled_from([None, 1, 2]), st.sampled_from([1, 2]), st.integers(0, 20),
+    st.sampled_from([0, 1, 4, 9]), st.sampled_from([0.0, 12.5, 3.25]), st.sampled_from([0.0, 1.1, -0.75]),
+)
+inv_row = st.tuples(st.integers(SUN - 3, SUN + 24), st.sampled_from([1, 2]),
+                    st.sampled_from([None, 0, 7, 30]), st.sampled_from([1, 2]))
+
+
+@FAST
+@given(daily=st.lists(daily_row, max_size=14, unique_by=lambda r: (r[0], r[1], r[2])),
+       inv=st.lists(inv_row, max_size=10), since=st.sampled_from([None, SUN + 7]))
+def test_weekly_matches_brute_force(spark, daily, inv, since):
+    d = spark.createDataFrame(daily, DAILY)
+    i = spark.createDataFrame(inv, schemas.INVENTORY)
+    bounds = spark.createDataFrame([(dt.date(2023, 12, 31), dt.date(2024, 2, 3))], "lo date, hi date")
+    got = {tuple(r) for r in weekly.weekly_sales_inventory(d, i, calendar.calendar_between(bounds), since).collect()}
+    assert got == brute_weekly(daily, inv, since)
