@@ -1,7 +1,7 @@
 """Command-line entry for the scheduled jobs, so any scheduler can run them.
 
-    python -m stockledger.plans.cli daily --catalog-sales P --web-sales P --date-dim P --target P
-    python -m stockledger.plans.cli weekly --daily P --inventory P --date-dim P --target P
+    python -m stockledger.plans.cli daily --catalog-sales P --web-sales P --date-dim P --target P [--explain]
+    python -m stockledger.plans.cli weekly --daily P --inventory P --date-dim P --target P [--explain]
     python -m stockledger.plans.cli customers --customer P --snapshot P --run-date 2024-01-03 [--strict]
     python -m stockledger.plans.cli customer-dim --snapshot P --address P --demographics P \
         --household P --income-band P --target P
@@ -42,10 +42,12 @@ def _parser() -> argparse.ArgumentParser:
     d = sub.add_parser("daily", help="incremental daily sales aggregate")
     for a in ("--catalog-sales", "--web-sales", "--date-dim", "--target"):
         d.add_argument(a, required=True)
+    d.add_argument("--explain", action="store_true", help="print the batch's physical plan, write nothing")
 
     w = sub.add_parser("weekly", help="incremental weekly sales x inventory fact")
     for a in ("--daily", "--inventory", "--date-dim", "--target"):
         w.add_argument(a, required=True)
+    w.add_argument("--explain", action="store_true", help="print the batch's physical plan, write nothing")
 
     c = sub.add_parser("customers", help="apply one customer load to the history")
     for a in ("--customer", "--snapshot", "--run-date"):
@@ -79,13 +81,25 @@ def main(argv: Sequence[str] | None = None) -> dict:
     read = spark.read.parquet
     out: dict = {"command": args.cmd}
     if args.cmd == "daily":
-        r = jobs.run_daily_sales(read(args.catalog_sales), read(args.web_sales), read(args.date_dim),
-                                 jobs.daily_table(spark, args.target))
-        out["watermark"] = r.watermark
+        inputs = (read(args.catalog_sales), read(args.web_sales), read(args.date_dim),
+                  jobs.daily_table(spark, args.target))
+        if args.explain:
+            wm, batch = jobs.plan_daily_sales(*inputs)
+            batch.explain("formatted")
+            out["watermark"] = wm
+        else:
+            out["watermark"] = jobs.run_daily_sales(*inputs).watermark
     elif args.cmd == "weekly":
-        r = jobs.run_weekly_sales_inventory(jobs.daily_table(spark, args.daily), read(args.inventory),
-                                            read(args.date_dim), jobs.weekly_table(spark, args.target))
-        out.update(watermark=r.watermark, note=r.note)
+        inputs = (jobs.daily_table(spark, args.daily), read(args.inventory), read(args.date_dim),
+                  jobs.weekly_table(spark, args.target))
+        if args.explain:
+            wm, batch = jobs.plan_weekly_sales_inventory(*inputs)
+            if batch is not None:
+                batch.explain("formatted")
+            out["watermark"] = wm
+        else:
+            r = jobs.run_weekly_sales_inventory(*inputs)
+            out.update(watermark=r.watermark, note=r.note)
     elif args.cmd == "customers":
         if args.strict:
             history = OpenClosedHistory(spark, args.snapshot)

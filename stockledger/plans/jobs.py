@@ -34,6 +34,18 @@ def weekly_table(spark: SparkSession, root: str) -> SlicedTable:
     return SlicedTable(spark, root, schemas.WEEKLY_SALES_INVENTORY, "sold_wk_sk", ("item_sk", "warehouse_sk"))
 
 
+def plan_daily_sales(
+    catalog_sales: DataFrame,
+    web_sales: DataFrame,
+    date_dim: DataFrame,
+    target: SlicedTable,
+) -> tuple[int | None, DataFrame]:
+    """The watermark and the lazy batch of a daily run (nothing is written)."""
+    assert_calendar_size(date_dim)
+    wm = target.last_slice()
+    return wm, sales.daily_sales(sales.sales_union(catalog_sales, web_sales, wm), date_dim)
+
+
 def run_daily_sales(
     catalog_sales: DataFrame,
     web_sales: DataFrame,
@@ -45,23 +57,24 @@ def run_daily_sales(
     1. watermark = last stored sold day (NULL on an empty table = full load);
     2. drop that possibly partial day;
     3. re-aggregate every sale on or after the watermark and write its days.
-    Sales older than the watermark that arrive late are not picked up.
+    Sales older than the watermark that arrive late are not picked up. The
+    batch reads only the raw sales, never the target, so the slice can be
+    dropped before the batch runs.
     """
-    assert_calendar_size(date_dim)
-    wm = target.last_slice()
+    wm, batch = plan_daily_sales(catalog_sales, web_sales, date_dim, target)
     target.delete_slice(wm)
-    batch = sales.daily_sales(sales.sales_union(catalog_sales, web_sales, wm), date_dim)
     target.write_slices(batch)
     return RunInfo(wm)
 
 
-def run_weekly_sales_inventory(
+def plan_weekly_sales_inventory(
     daily: SlicedTable,
     inventory: DataFrame,
     date_dim: DataFrame,
     target: SlicedTable,
-) -> RunInfo:
-    """Incremental weekly fact.
+) -> tuple[int | None, DataFrame | None]:
+    """The watermark and the lazy batch of a weekly run (``None`` when no week
+    can qualify); nothing is written.
 
     The source re-aggregates the whole daily history each run and keeps weeks
     whose first sale is on or after the watermark. Here the daily table is
@@ -72,22 +85,32 @@ def run_weekly_sales_inventory(
     """
     assert_calendar_size(date_dim)
     wm = target.last_slice()
-    inv = inventory
     if wm is None:
-        days = daily.read()
-    else:
-        target.delete_slice(wm)
-        live = weekly.live_weeks(date_dim, wm)
-        lower = live.agg(F.min("_first")).first()[0]
-        if lower is None:
-            return RunInfo(wm, "no week can qualify")
-        days = daily.read(min_slice=lower).join(
-            F.broadcast(live.select(F.col("wk_num").alias("_wk"), F.col("yr_num").alias("_yr"))),
-            (F.col("sold_wk_num") == F.col("_wk")) & (F.col("sold_yr_num") == F.col("_yr")),
-            "left_semi",
-        )
-        inv = inv.where(F.col("inv_data_sk") >= F.lit(lower))
-    batch = weekly.weekly_sales_inventory(days, inv, date_dim, wm)
+        return None, weekly.weekly_sales_inventory(daily.read(), inventory, date_dim)
+    live = weekly.live_weeks(date_dim, wm)
+    lower = live.agg(F.min("_first")).first()[0]
+    if lower is None:
+        return wm, None
+    days = daily.read(min_slice=lower).join(
+        F.broadcast(live.select(F.col("wk_num").alias("_wk"), F.col("yr_num").alias("_yr"))),
+        (F.col("sold_wk_num") == F.col("_wk")) & (F.col("sold_yr_num") == F.col("_yr")),
+        "left_semi",
+    )
+    inv = inventory.where(F.col("inv_data_sk") >= F.lit(lower))
+    return wm, weekly.weekly_sales_inventory(days, inv, date_dim, wm)
+
+
+def run_weekly_sales_inventory(
+    daily: SlicedTable,
+    inventory: DataFrame,
+    date_dim: DataFrame,
+    target: SlicedTable,
+) -> RunInfo:
+    """Incremental weekly fact: drop the last week slice, write the recomputed weeks."""
+    wm, batch = plan_weekly_sales_inventory(daily, inventory, date_dim, target)
+    if batch is None:
+        return RunInfo(wm, "no week can qualify; table left unchanged")
+    target.delete_slice(wm)
     target.write_slices(batch)
     return RunInfo(wm)
 

@@ -26,6 +26,9 @@ def test_cli_jobs(spark, sf_dir):
                      "--target", f"{root}/daily"])["watermark"] is not None
     cli.main(["weekly", "--daily", f"{root}/daily", "--inventory", p["inv"], "--date-dim", p["cal"],
               "--target", f"{root}/weekly"])
+    explained = cli.main(["weekly", "--explain", "--daily", f"{root}/daily", "--inventory", p["inv"],
+                          "--date-dim", p["cal"], "--target", f"{root}/weekly"])
+    assert explained["watermark"] is not None  # planned against the stored table, nothing written
     assert cli.main(["customers", "--customer", p["cust"], "--snapshot", f"{root}/snap",
                      "--run-date", "2024-01-01"])["version"] == 1
     cli.main(["customer-dim", "--snapshot", f"{root}/snap", "--address", p["addr"], "--demographics", p["cd"],
