@@ -79,18 +79,21 @@ def rows_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def days_with_item(fact: DataFrame, day_key: str, item_key: str, item, date_dim: DataFrame,
-                   item_dim: DataFrame | None = None, item_dim_key: str = "i_item_sk") -> DataFrame:
+                   item_dim: DataFrame | None = None, item_dim_key: str = "i_item_sk",
+                   ordered: bool = True) -> DataFrame:
     """Distinct ``(cal_dt, wk_num)`` on which one item appears in a fact table.
 
     The constant item predicate is applied to the fact before the joins (and
-    reaches the Parquet scan as a pushed filter)."""
+    reaches the Parquet scan as a pushed filter). ``ordered=False`` skips the
+    final sort for callers that combine several results and sort once."""
     f = fact.where(F.col(item_key) == F.lit(item)).select(day_key, item_key)
     cal = F.broadcast(date_dim.select("d_date_sk", "cal_dt", "wk_num"))
     j = f.join(cal, f[day_key] == cal["d_date_sk"], "inner")
     if item_dim is not None:
         i = item_dim.select(F.col(item_dim_key).alias("_item"))
         j = j.join(i, j[item_key] == i["_item"], "inner")
-    return j.select("cal_dt", "wk_num").distinct().orderBy("cal_dt", "wk_num")
+    days = j.select("cal_dt", "wk_num").distinct()
+    return days.orderBy("cal_dt", "wk_num") if ordered else days
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:

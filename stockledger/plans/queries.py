@@ -420,16 +420,18 @@ def q_explore_item_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     cal, item = fx.date_dim(t), fx.item(t)
     parts = [
-        ("inventory", explore.days_with_item(fx.inventory(t), "inv_data_sk", "inv_item_sk", PROBE_ITEM, cal)),
-        ("web_sales", explore.days_with_item(fx.web_sales(t), "ws_sold_date_sk", "ws_item_sk", PROBE_ITEM, cal, item)),
-        ("catalog_sales",
-         explore.days_with_item(fx.catalog_sales(t), "cs_sold_date_sk", "cs_item_sk", PROBE_ITEM, cal, item)),
+        ("inventory", explore.days_with_item(fx.inventory(t), "inv_data_sk", "inv_item_sk", PROBE_ITEM, cal,
+                                             ordered=False)),
+        ("web_sales", explore.days_with_item(fx.web_sales(t), "ws_sold_date_sk", "ws_item_sk", PROBE_ITEM, cal,
+                                             item, ordered=False)),
+        ("catalog_sales", explore.days_with_item(fx.catalog_sales(t), "cs_sold_date_sk", "cs_item_sk", PROBE_ITEM,
+                                                 cal, item, ordered=False)),
     ]
     out = None
     for name, df in parts:
         part = df.select(F.lit(name).alias("source"), "cal_dt", "wk_num")
         out = part if out is None else out.unionByName(part)
-    return out
+    return out.orderBy("source", "cal_dt", "wk_num")
 
 
 @register("explore_distinct_items")
