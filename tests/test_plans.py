@@ -116,3 +116,24 @@ def test_hot_key_is_combined_before_the_shuffle(spark):
     (row,) = d.where((F.col("warehouse_sk") == 1) & (F.col("item_sk") == 1)).collect()
     assert row.daily_qty == 1000 and row.daily_sales_amt == 1000.0
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_customer_dimension_broadcasts_only_checked_tables(spark, sf_dir):
+    from stockledger.operators import customers
+    from stockledger.plans.sizing import broadcast_if_small
+    from stockledger.sources import fixtures as fx
+    from stockledger.sources.storage import empty_frame
+    from stockledger.sources.tables import Tables
+
+    t = Tables(spark, sf_dir)
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        dim = customers.customer_dimension(
+            empty_frame(spark, schemas.CUSTOMER_SNAPSHOT),
+            fx.customer_address(t),
+            broadcast_if_small(fx.customer_demographics(t)),
+            broadcast_if_small(fx.household_demographics(t)),
+            broadcast_if_small(fx.income_band(t)),
+        )
+        plan = plan_of(dim)
+    assert plan.count("BroadcastHashJoin") == 3, plan
+    assert plan.count("SortMergeJoin") == 1, plan  # the address table grows with the customers
