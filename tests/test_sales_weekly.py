@@ -153,3 +153,24 @@ def test_calendar_schema(spark):
 
     cal = cal_days(spark, "2024-01-07", "2024-01-13")
     assert [(f.name, f.dataType) for f in cal.schema] == [(f.name, f.dataType) for f in schemas.DATE_DIM]
+
+
+def test_repeated_calendar_day_doubles_the_days_sums(spark):
+    """The second daily aggregate is kept: a calendar with a repeated day key
+    multiplies that day's sums, as the source query does."""
+    cal = cal_days(spark, "2024-01-07", "2024-01-13")
+    dup = cal.unionByName(cal.where(F.col("d_date_sk") == SUN))
+    cs = channel(spark, "cs_", [(1, 10, SUN, 2, Decimal("5.00"), Decimal("1.0000"))])
+    ws = channel(spark, "ws_", [])
+    (r,) = sales.daily_sales(sales.sales_union(cs, ws), dup).collect()
+    assert r.daily_qty == 4 and r.daily_sales_amt == 20.0
+
+
+def test_week_with_two_sundays_doubles_and_keeps_the_first(spark):
+    cal = cal_days(spark, "2024-01-07", "2024-01-20")
+    # relabel the second Sunday as week 1 too: week 1 now has two Sunday rows
+    two = cal.withColumn("wk_num", F.when(F.col("d_date_sk") == SUN + 7, F.lit(1)).otherwise(F.col("wk_num")))
+    daily = spark.createDataFrame([(1, 10, SUN + 1, 1, 2024, 5, 50.0, 1.0)], DAILY)
+    inv = spark.createDataFrame([], INV)
+    (r,) = weekly.weekly_sales_inventory(daily, inv, two).collect()
+    assert r.sum_qty_wk == 10 and r.sold_wk_sk == SUN
