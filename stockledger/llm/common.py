@@ -163,10 +163,9 @@ class Words:
         """(hash, row) of each ``k``-word shingle; a row of fewer words, but not none, has one shingle of all."""
         h, n = self.hash, len(self.start)
         sums = np.zeros(n, np.uint64)
-        factor = np.uint64(1)
+        factor = np.cumprod(np.full(k, 0x2545F4914F6CDD1D, np.uint64), dtype=np.uint64)
         for i in range(min(k, n)):
-            sums[: n - i] += h[i:] * factor
-            factor = factor * np.uint64(0x2545F4914F6CDD1D)
+            sums[: n - i] += h[i:] * factor[i]
         counts = np.diff(self.first)
         valid = np.zeros(n, bool)
         if n >= k:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality, sharding, toxicity
+from . import decontaminate, html, langid, ngram_join, packing, passages, quality, rules, sharding, toxicity
 from .common import Shared, fold, read
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -19,10 +19,22 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(stored, model, "doc_id").select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted", "neighbours", "cosines")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", Shared(spark, "ngram"))
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.deduplicate(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", Shared(spark, "passages"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(read(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"), "html")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels")
     rows = Shared(spark, "quality").save(quality.with_features(docs, "doc_id", "text"), "features")
@@ -38,18 +50,49 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def tokeniser_path() -> str:
+    """The public vocabulary file on this machine; every executor has it at the same place."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(packing.tokenise(docs, "doc_id", "text", tokeniser_path()), "doc_id", Shared(spark, "packing"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark").select("item_id", "text")
+    found, hits = decontaminate.find(docs, "doc_id", "text", items, "item_id", "text", Shared(spark, "decontaminate"))
+    return decontaminate.report(found, "doc_id", hits).drop("doc")
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.apply_rules(read(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id", "text", "source", Shared(spark, "rules"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_ngram_join": op2_ngram_join,
+        "op3_substring_dedup": op3_substring_dedup,
         "op4_sharding": op4_sharding,
+        "op5_html_text": op5_html_text,
         "op6_quality": op6_quality,
         "op7_language_id": op7_language_id,
+        "op8_packing": op8_packing,
+        "op9_decontamination": op9_decontamination,
+        "op10_quality_rules": op10_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     table = ",".join(map(str, sharding.fill_table(SHARDS)))
     return {
+        "op2_ngram_join": ngram_join.oracle(),
+        "op9_decontamination": decontaminate.oracle(),
+        "op10_quality_rules": rules.oracle(),
         "op4_sharding": f"""
             WITH t AS (SELECT unnest(range({sharding.DEFAULT_TABLE_SIZE})) AS slot, unnest([{table}]) AS owner),
             d AS (SELECT doc_id, CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15)) AS BIGINT) % {sharding.DEFAULT_TABLE_SIZE} AS slot FROM documents)
