@@ -163,7 +163,10 @@ def fit(df: DataFrame, text: str, lang: str, key: str, learn: Column, sample_row
     """
     freq, n_docs = document_frequencies(df, text)
     idf = np.log((1 + n_docs) / (1 + freq)) + 1
-    rows = df.where(learn & F.col(lang).isNotNull()).select(F.col(text).alias("t"), F.col(lang).cast("string").alias("l"), sample_key(key).alias("k")).orderBy("k", "l").limit(sample_rows)
+    known = df.where(learn & F.col(lang).isNotNull())
+    # the ids are chosen without their texts, so the ordering moves small rows only
+    chosen = known.select(F.col(key).alias("__chosen")).orderBy(sample_key(key), key).limit(sample_rows).distinct()
+    rows = known.join(F.broadcast(chosen), F.col(key) == F.col("__chosen")).select(F.col(text).alias("t"), F.col(lang).cast("string").alias("l"))
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
