@@ -1,10 +1,11 @@
 """Oracle SQL (DuckDB dialect) for every registered query.
 
 Each string is self-contained: it rebuilds the retail fixture views from the
-driver tables (``lineitem``, ``customer``, ``orders`` ...) as CTEs and then
-runs the mart's query written the way the source writes it (CTE chains,
-``GROUP BY`` ordinals, ``NOT EXISTS``/left-join merges). It is an independent
-implementation of the same semantics, not generated from the Spark code.
+driver tables (``lineitem``, ``customer``, ``orders`` ...) as CTEs and states
+the result's meaning over them, in another form than the jobs compute it:
+fan-outs are factors on sums taken once, memberships are ``IN`` and
+``EXCEPT``, and an incremental key unrolls its runs as "stored rows without
+the watermark slice, then the batch", so a full recompute would fail it.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ def _calendar(name: str, rule: str) -> str:
     if rule == "sunday":
         wk = "CAST((dayofyear(cal_dt - CAST(dayofweek(cal_dt) AS INTEGER)) - 1) // 7 + 1 AS INTEGER)"
         yr = "CAST(year(cal_dt - CAST(dayofweek(cal_dt) AS INTEGER)) AS INTEGER)"
+    elif rule == "iso_calendar":
+        wk, yr = "CAST(weekofyear(cal_dt) AS INTEGER)", "CAST(year(cal_dt) AS INTEGER)"
     else:
         wk = "CAST((dayofyear(cal_dt) + 6 - dayofweek(cal_dt)) // 7 AS INTEGER)"
         yr = "CAST(year(cal_dt) AS INTEGER)"
@@ -133,6 +136,7 @@ _FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
     "cal_days": ((), _CAL_DAYS),
     "date_dim": (("cal_days",), _calendar("date_dim", "sunday")),
     "date_dim_u": (("cal_days",), _calendar("date_dim_u", "calendar_u")),
+    "date_dim_iso": (("cal_days",), _calendar("date_dim_iso", "iso_calendar")),
     "catalog_sales": ((), f"catalog_sales AS (\n  {_channel('cs_', 'l_linenumber <= 4')})"),
     "web_sales": ((), f"web_sales AS (\n  {_channel('ws_', 'l_linenumber > 4')})"),
     "inventory": (("catalog_sales", "web_sales"), """inv_keys AS (
@@ -145,14 +149,20 @@ inv_snaps AS (
   SELECT DISTINCT item, wh, sunday + off AS day
   FROM (SELECT item, wh, sunday,
                unnest(CASE WHEN item % 10 = 0 THEN [2, 4, 9] ELSE [2, 9] END) AS off
-          FROM inv_keys WHERE (item + wh) % 3 <> 0)),
+          FROM inv_keys)),
 inventory AS (
-  SELECT CAST(day AS INTEGER) AS inv_data_sk,
-         CAST(item AS INTEGER) AS inv_item_sk,
-         CAST(CASE WHEN (item + day) % 50 = 0 THEN NULL ELSE (item * 31 + wh * 17 + day) % 60 END AS INTEGER)
+  SELECT CAST(day AS BIGINT) AS inv_data_sk,
+         CAST(item AS BIGINT) AS inv_item_sk,
+         CAST(CASE WHEN (item + day) % 50 = 0 THEN NULL ELSE (item * 31 + wh * 17 + day) % 60 END AS BIGINT)
            AS inv_quantity_on_hand,
-         CAST(wh AS INTEGER) AS inv_warehouse_sk
+         CAST(wh AS BIGINT) AS inv_warehouse_sk
   FROM inv_snaps)"""),
+    "stock": (("inventory",), """stock AS (
+  SELECT * FROM inventory WHERE (inv_item_sk + inv_warehouse_sk) % 23 <> 0)"""),
+    "csv_good": (("inventory",), """csv_good AS (
+  SELECT inv_data_sk, inv_item_sk, inv_warehouse_sk,
+         CASE WHEN (inv_item_sk * 7 + inv_data_sk) % 20 <> 5 THEN inv_quantity_on_hand END AS inv_quantity_on_hand
+  FROM inventory WHERE (inv_item_sk * 7 + inv_data_sk) % 20 >= 4)"""),
     "cust0": ((), _customer_load(0)),
     "cust1": ((), _customer_load(1)),
     "cust2": ((), _customer_load(2)),
@@ -204,85 +214,71 @@ inventory AS (
 }
 
 
-def _daily_ctes(cal: str, name: str, since: str = "NULL") -> str:
-    """The daily job's CTE chain (union, aggregate, calendar join, regroup)."""
-    return f"""{name}_lines AS (
-  SELECT cs_warehouse_sk AS warehouse_sk, cs_item_sk AS item_sk, cs_sold_date_sk AS sold_date_sk,
-         cs_quantity AS quantity, cs_sales_price * cs_quantity AS sales_amt, cs_net_profit AS net_profit
-    FROM catalog_sales
-   WHERE cs_sold_date_sk >= coalesce({since}, 0) AND cs_quantity IS NOT NULL
-     AND cs_sales_price * cs_quantity IS NOT NULL
-  UNION ALL
-  SELECT ws_warehouse_sk, ws_item_sk, ws_sold_date_sk, ws_quantity, ws_sales_price * ws_quantity, ws_net_profit
-    FROM web_sales
-   WHERE ws_sold_date_sk >= coalesce({since}, 0) AND ws_quantity IS NOT NULL
-     AND ws_sales_price * ws_quantity IS NOT NULL),
-{name}_day AS (
-  SELECT warehouse_sk, item_sk, sold_date_sk,
-         sum(quantity) AS daily_qty,
-         sum(CAST(sales_amt AS DECIMAL(38,4))) AS daily_sales_amt,
-         sum(CAST(net_profit AS DECIMAL(38,4))) AS daily_net_profit
-  FROM {name}_lines GROUP BY 1, 2, 3),
-{name}_wk AS (
-  SELECT *, d.wk_num AS sold_wk_num, d.yr_num AS sold_yr_num
-  FROM {name}_day LEFT JOIN {cal} d ON sold_date_sk = d.d_date_sk),
-{name} AS (
-  SELECT warehouse_sk, item_sk, sold_date_sk,
-         CAST(max(sold_wk_num) AS BIGINT) AS sold_wk_num,
-         CAST(max(sold_yr_num) AS BIGINT) AS sold_yr_num,
-         CAST(sum(daily_qty) AS BIGINT) AS daily_qty,
-         CAST(sum(daily_sales_amt) AS DOUBLE) AS daily_sales_amt,
-         CAST(sum(daily_net_profit) AS DOUBLE) AS daily_net_profit
-  FROM {name}_wk GROUP BY 1, 2, 3)"""
-
-
-def _weekly_ctes(cal: str, daily: str, name: str) -> str:
-    return f"""{name}_agg AS (
-  SELECT warehouse_sk, item_sk, min(sold_date_sk) AS sold_wk_sk, sold_wk_num, sold_yr_num,
-         sum(daily_qty) AS sum_qty_wk,
-         sum(CAST(daily_sales_amt AS DECIMAL(38,4))) AS sum_amt_wk,
-         sum(CAST(daily_net_profit AS DECIMAL(38,4))) AS sum_profit_wk
-  FROM {daily}
-  GROUP BY 1, 2, 4, 5
-  HAVING min(sold_date_sk) >= coalesce(NULL, 0)),
-{name}_first AS (
-  SELECT w.warehouse_sk, w.item_sk, d.d_date_sk AS sold_wk_sk, w.sold_wk_num, w.sold_yr_num,
-         w.sum_qty_wk, w.sum_amt_wk, w.sum_profit_wk
-  FROM {name}_agg w
-  JOIN {cal} d ON w.sold_wk_num = d.wk_num AND w.sold_yr_num = d.yr_num AND d.day_of_wk_num = 0),
-{name}_inv AS (
-  SELECT inventory.*, d.wk_num AS inv_wk_num, d.yr_num AS inv_yr_num
-  FROM inventory JOIN {cal} d ON inventory.inv_data_sk = d.d_date_sk),
+# Every usable sales line of both channels, one relation: who, what, when, how much.
+_LINES = """lines AS (
+  SELECT u.wh, u.item, u.day, u.qty, CAST(u.price * u.qty AS DECIMAL(38,4)) AS amt, CAST(u.profit AS DECIMAL(38,4)) AS profit, u.ord
+  FROM (SELECT cs_warehouse_sk, cs_item_sk, cs_sold_date_sk, cs_quantity, cs_sales_price, cs_net_profit, cs_order_number FROM catalog_sales
+        UNION ALL FROM web_sales SELECT ws_warehouse_sk, ws_item_sk, ws_sold_date_sk, ws_quantity, ws_sales_price, ws_net_profit, ws_order_number
+       ) u(wh, item, day, qty, price, profit, ord)
+  WHERE u.day >= 0 AND u.qty IS NOT NULL AND u.price IS NOT NULL)"""
+
+
+def _daily(name: str, cal: str, where: str = "TRUE") -> str:
+    """Day sums of the lines; a day that the calendar holds more than once counts as often."""
+    return f"""{name} AS (
+  SELECT l.wh AS warehouse_sk, l.item AS item_sk, l.day AS sold_date_sk,
+         CAST(any_value(c.wk) AS BIGINT) AS sold_wk_num, CAST(any_value(c.yr) AS BIGINT) AS sold_yr_num,
+         CAST(coalesce(any_value(c.times), 1) * sum(l.qty) AS BIGINT) AS daily_qty,
+         CAST(coalesce(any_value(c.times), 1) * sum(l.amt) AS DOUBLE) AS daily_sales_amt,
+         CAST(coalesce(any_value(c.times), 1) * sum(l.profit) AS DOUBLE) AS daily_net_profit
+  FROM lines l LEFT JOIN (SELECT d_date_sk AS day, max(wk_num) AS wk, max(yr_num) AS yr, count(*) AS times FROM {cal} GROUP BY d_date_sk) c USING (day)
+  WHERE {where}
+  GROUP BY ALL)"""
+
+
+def _weekly(name: str, cal: str, daily: str, stock: str = "stock", since: str = "0") -> str:
+    """Week sums from the days, stock summed on its own; the number of Sundays and of
+    stock rows of a week multiply the sums. Weeks that begin before ``since`` stay out."""
+    return f"""{name}_sales AS (
+  SELECT warehouse_sk AS wh, item_sk AS item, sold_wk_num AS wk, sold_yr_num AS yr, sum(daily_qty) AS qty,
+         sum(CAST(daily_sales_amt AS DECIMAL(38,4))) AS amt, sum(CAST(daily_net_profit AS DECIMAL(38,4))) AS profit
+  FROM {daily} GROUP BY ALL HAVING min(sold_date_sk) >= {since}),
+{name}_sunday AS (
+  SELECT wk_num AS wk, yr_num AS yr, min(d_date_sk) AS first, count(*) AS times
+  FROM {cal} WHERE day_of_wk_num = 0 GROUP BY ALL),
+{name}_stock AS (
+  SELECT s.inv_warehouse_sk AS wh, s.inv_item_sk AS item, c.wk_num AS wk, c.yr_num AS yr,
+         sum(coalesce(s.inv_quantity_on_hand, 0)) AS on_hand, count(*) AS times
+  FROM {stock} s, {cal} c WHERE c.d_date_sk = s.inv_data_sk GROUP BY ALL),
+{name}_joined AS (
+  SELECT w.wh, w.item, w.wk, w.yr, d.first,
+         CAST(w.qty * d.times * coalesce(s.times, 1) AS DECIMAL(38,0)) AS qty,
+         w.amt * d.times * coalesce(s.times, 1) AS amt, w.profit * d.times * coalesce(s.times, 1) AS profit,
+         CAST(coalesce(s.on_hand, 0) * d.times AS DECIMAL(38,0)) AS on_hand
+  FROM {name}_sales w JOIN {name}_sunday d USING (wk, yr) LEFT JOIN {name}_stock s USING (wh, item, wk, yr)),
 {name} AS (
-  SELECT CAST(warehouse_sk AS BIGINT) AS warehouse_sk,
-         CAST(item_sk AS BIGINT) AS item_sk,
-         CAST(min(sold_wk_sk) AS BIGINT) AS sold_wk_sk,
-         CAST(sold_wk_num AS BIGINT) AS sold_wk_num,
-         CAST(sold_yr_num AS BIGINT) AS sold_yr_num,
-         CAST(sum(sum_qty_wk) AS BIGINT) AS sum_qty_wk,
-         CAST(sum(sum_amt_wk) AS DOUBLE) AS sum_amt_wk,
-         CAST(sum(sum_profit_wk) AS DOUBLE) AS sum_profit_wk,
-         CAST(CAST(sum(sum_qty_wk) AS DECIMAL(38,0)) / 7 AS DECIMAL(38,6)) AS avg_qty_dy,
-         CAST(sum(coalesce(inv_quantity_on_hand, 0)) AS BIGINT) AS inv_qty_wk,
-         CAST(CAST(sum(coalesce(inv_quantity_on_hand, 0)) AS DECIMAL(38,0))
-              / CAST(sum(sum_qty_wk) AS DECIMAL(38,0)) AS DECIMAL(38,6)) AS wks_sply,
-         CASE WHEN CAST(CAST(sum(sum_qty_wk) AS DECIMAL(38,0)) / 7 AS DECIMAL(38,6)) > 0
-               AND CAST(CAST(sum(sum_qty_wk) AS DECIMAL(38,0)) / 7 AS DECIMAL(38,6))
-                   > sum(coalesce(inv_quantity_on_hand, 0))
-              THEN TRUE ELSE FALSE END AS low_stock_flg_wk
-  FROM {name}_first
-  LEFT JOIN {name}_inv inv
-    ON inv_wk_num = sold_wk_num AND inv_yr_num = sold_yr_num
-   AND item_sk = inv_item_sk AND inv_warehouse_sk = warehouse_sk
-  GROUP BY warehouse_sk, item_sk, sold_wk_num, sold_yr_num
-  HAVING sum(sum_qty_wk) > 0)"""
+  SELECT wh AS warehouse_sk, item AS item_sk, CAST(first AS BIGINT) AS sold_wk_sk, wk AS sold_wk_num, yr AS sold_yr_num,
+         CAST(qty AS BIGINT) AS sum_qty_wk, CAST(amt AS DOUBLE) AS sum_amt_wk, CAST(profit AS DOUBLE) AS sum_profit_wk,
+         CAST(qty / 7 AS DECIMAL(38,6)) AS avg_qty_dy, CAST(on_hand AS BIGINT) AS inv_qty_wk,
+         CAST(on_hand / qty AS DECIMAL(38,6)) AS wks_sply, CAST(qty / 7 AS DECIMAL(38,6)) > on_hand AS low_stock_flg_wk
+  FROM {name}_joined WHERE qty > 0)"""
 
 
+_SOURCES = ("catalog_sales", "web_sales")
+_CUT, _ISO_CUT = 10450, 11139  # the cut days of the incremental keys
 _DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
-    "daily": (("date_dim", "catalog_sales", "web_sales"), _daily_ctes("date_dim", "daily")),
-    "daily_u": (("date_dim_u", "catalog_sales", "web_sales"), _daily_ctes("date_dim_u", "daily_u")),
-    "weekly": (("daily", "inventory"), _weekly_ctes("date_dim", "daily", "weekly")),
-    "weekly_u": (("daily_u", "inventory"), _weekly_ctes("date_dim_u", "daily_u", "weekly_u")),
+    "lines": (_SOURCES, _LINES),
+    "daily": (("date_dim", "lines"), _daily("daily", "date_dim")),
+    "daily_u": (("date_dim_u", "lines"), _daily("daily_u", "date_dim_u")),
+    "weekly": (("daily", "stock"), _weekly("weekly", "date_dim", "daily")),
+    "weekly_u": (("daily_u", "stock"), _weekly("weekly_u", "date_dim_u", "daily_u")),
+    "weekly_csv": (("daily", "csv_good"), _weekly("weekly_csv", "date_dim", "daily", "csv_good")),
+    "daily_late": (("date_dim", "lines"), _daily("daily_late", "date_dim", f"(l.day < {_CUT} OR (l.day = {_CUT} AND l.ord % 2 = 0)) AND l.ord % 7 <> 0")),
+    "daily_cut": (("date_dim", "lines"), _daily("daily_cut", "date_dim", f"l.day <= {_CUT}")),
+    "daily_iso": (("date_dim_iso", "lines"), _daily("daily_iso", "date_dim_iso")),
+    "daily_iso_early": (("date_dim_iso", "lines"), _daily("daily_iso_early", "date_dim_iso", f"l.day < {_ISO_CUT}")),
+    "weekly_iso_1": (("daily_iso_early", "stock"), _weekly("weekly_iso_1", "date_dim_iso", "daily_iso_early")),
+    "weekly_iso_2": (("weekly_iso_1", "daily_iso"), _weekly("weekly_iso_2", "date_dim_iso", "daily_iso", since="(SELECT max(sold_wk_sk) FROM weekly_iso_1)")),
     "customer_dim": (
         ("snapshot", "customer_address", "customer_demographics", "household_demographics", "income_band"),
         "customer_dim AS (\n  SELECT " + ",\n         ".join(CUSTOMER_DIM_COLUMNS) + """
@@ -320,17 +316,9 @@ def with_views(*names: str, body: str) -> str:
 
 _Q: dict[str, str] = {}
 
-_Q["sales_union"] = with_views("catalog_sales", "web_sales", body="""
-SELECT warehouse_sk, item_sk, sold_date_sk, quantity,
-       CAST(sales_amt AS DECIMAL(38,2)) AS sales_amt, CAST(net_profit AS DECIMAL(38,4)) AS net_profit
-FROM (
-  SELECT cs_warehouse_sk AS warehouse_sk, cs_item_sk AS item_sk, cs_sold_date_sk AS sold_date_sk,
-         cs_quantity AS quantity, cs_sales_price * cs_quantity AS sales_amt, cs_net_profit AS net_profit
-    FROM catalog_sales
-  UNION ALL
-  SELECT ws_warehouse_sk, ws_item_sk, ws_sold_date_sk, ws_quantity, ws_sales_price * ws_quantity, ws_net_profit
-    FROM web_sales) u
-WHERE sold_date_sk >= coalesce(NULL, 0) AND quantity IS NOT NULL AND sales_amt IS NOT NULL""")
+_Q["sales_union"] = with_views("lines", body="""
+SELECT wh AS warehouse_sk, item AS item_sk, day AS sold_date_sk, qty AS quantity, CAST(amt AS DECIMAL(38,2)) AS sales_amt, profit AS net_profit
+FROM lines""")
 
 _Q["daily_sales"] = with_views("daily", body="SELECT * FROM daily")
 _Q["daily_sales_incremental"] = _Q["daily_sales"]
@@ -341,6 +329,14 @@ FROM inventory JOIN date_dim d ON inventory.inv_data_sk = d.d_date_sk""")
 
 _Q["weekly_sales_inventory"] = with_views("weekly", body="SELECT * FROM weekly")
 _Q["weekly_sales_incremental"] = _Q["weekly_sales_inventory"]
+_Q["weekly_incremental_iso_calendar"] = with_views("weekly_iso_2", body="""
+SELECT * FROM weekly_iso_1 WHERE sold_wk_sk <> (SELECT max(sold_wk_sk) FROM weekly_iso_1) UNION ALL SELECT * FROM weekly_iso_2""")
+_Q["daily_late_rows"] = with_views("daily_late", "daily", body="""
+SELECT * FROM daily_late WHERE sold_date_sk < (SELECT max(sold_date_sk) FROM daily_late)
+UNION ALL SELECT * FROM daily WHERE sold_date_sk >= (SELECT max(sold_date_sk) FROM daily_late)""")
+_Q["daily_vanished_slice"] = with_views("daily_cut", body="""
+SELECT * FROM daily_cut WHERE sold_date_sk <> (SELECT max(sold_date_sk) FROM daily_cut)""")
+_Q["ingest_to_weekly"] = with_views("weekly_csv", body="FROM weekly_csv")
 _Q["weekly_missing_sunday"] = with_views("weekly_u", body="SELECT * FROM weekly_u")
 
 
@@ -360,56 +356,58 @@ SELECT 'warehouse_dim', count(*), min(w_warehouse_sk), max(w_warehouse_sk) FROM
 UNION ALL
 SELECT 'date_dim', count(*), min(d_date_sk), max(d_date_sk) FROM date_dim""")
 
-# Good lines of the CSV drop: kinds 0-3 are broken, kind 5 has an empty quantity.
-_Q["csv_ingest_skip_bad"] = with_views("inventory", body="""
-SELECT inv_data_sk, inv_item_sk,
-       CASE WHEN kind = 5 THEN NULL ELSE inv_quantity_on_hand END AS inv_quantity_on_hand,
-       inv_warehouse_sk
-FROM (SELECT *, (inv_item_sk * 7 + inv_data_sk) % 20 AS kind FROM inventory)
-WHERE kind NOT IN (0, 1, 2, 3)""")
+_Q["csv_ingest_skip_bad"] = with_views("csv_good", body="FROM csv_good")
 _Q["csv_full_refresh"] = _Q["csv_ingest_skip_bad"]
+_Q["csv_rejected_lines"] = with_views("inventory", body="""
+SELECT 'inv_data_sk,inv_item_sk,inv_quantity_on_hand,inv_warehouse_sk' AS line
+UNION ALL
+SELECT CASE kind WHEN 0 THEN d || ',' || i || ',' || q
+                 WHEN 1 THEN d || ',' || i || ',' || q || ',' || w || ',99'
+                 WHEN 2 THEN 'x' || d || ',' || i || ',' || q || ',' || w
+                 ELSE d || ',,' || q || ',' || w END
+FROM (SELECT (inv_item_sk * 7 + inv_data_sk) % 20 AS kind, CAST(inv_data_sk AS VARCHAR) AS d, CAST(inv_item_sk AS VARCHAR) AS i,
+             coalesce(CAST(inv_quantity_on_hand AS VARCHAR), '') AS q, CAST(inv_warehouse_sk AS VARCHAR) AS w FROM inventory)
+WHERE kind < 4""")
+_Q["csv_truncate_reload"] = with_views("csv_good", body="""
+SELECT 'loaded' AS step, count(*) AS n_rows, CAST(sum(inv_quantity_on_hand) AS BIGINT) AS on_hand FROM csv_good
+UNION ALL SELECT 'truncated', 0, NULL
+UNION ALL SELECT 'reloaded', count(*), CAST(sum(inv_quantity_on_hand) AS BIGINT) FROM csv_good WHERE inv_warehouse_sk <= 3""")
 
 # --- data quality ----------------------------------------------------------------
 
-_Q["dq_not_null"] = with_views("customer_dim", "daily", body="""
-SELECT 'customer_dim.c_customer_sk' AS check_name, count(*) AS n_failing, count(*) = 0 AS passed
-  FROM customer_dim WHERE c_customer_sk IS NULL
-UNION ALL
-SELECT 'sales_lines.warehouse_sk', count(*), count(*) = 0 FROM daily_lines WHERE warehouse_sk IS NULL""")
 
-_Q["dq_unique"] = with_views("weekly", body="""
-SELECT 'weekly_sales_inventory(warehouse_sk,item_sk,sold_wk_sk)' AS check_name, count(*) AS n_failing,
-       count(*) = 0 AS passed
-  FROM (SELECT warehouse_sk, item_sk, sold_wk_sk FROM weekly GROUP BY 1, 2, 3 HAVING count(*) > 1)
-UNION ALL
-SELECT 'inventory(inv_item_sk,inv_warehouse_sk,inv_wk_num,inv_yr_num)', count(*), count(*) = 0
-  FROM (SELECT inv_item_sk, inv_warehouse_sk, inv_wk_num, inv_yr_num FROM weekly_inv
-        GROUP BY 1, 2, 3, 4 HAVING count(*) > 1)""")
-
-_Q["dq_relationship"] = with_views("weekly", "item", "cust0", body="""
-SELECT 'weekly_sales_inventory.item_sk->item_dim.i_item_sk' AS check_name, count(*) AS n_failing,
-       count(*) = 0 AS passed
-  FROM weekly fact LEFT JOIN item dim ON dim.i_item_sk = fact.item_sk WHERE dim.i_item_sk IS NULL
-UNION ALL
-SELECT 'orders.o_custkey->customer_load0.c_customer_sk', count(*), count(*) = 0
-  FROM orders o LEFT JOIN cust0 c ON c.c_customer_sk = o.o_custkey WHERE c.c_customer_sk IS NULL""")
+def _verdicts(*checks: tuple[str, str]) -> str:
+    """One row a check: ``(name, expression that counts what fails)``."""
+    rows = ", ".join(f"('{name}', ({count}))" for name, count in checks)
+    return f"SELECT v.check_name, CAST(v.n AS BIGINT) AS n_failing, v.n = 0 AS passed FROM (VALUES {rows}) v(check_name, n)"
 
-_Q["dq_accepted_values"] = with_views("weekly", "warehouse", body="""
-SELECT 'weekly_sales_inventory.warehouse_sk' AS check_name, count(*) AS n_failing, count(*) = 0 AS passed
-  FROM weekly WHERE warehouse_sk NOT IN (1, 2, 3, 4, 5, 6)
-UNION ALL
-SELECT 'warehouse_dim.w_warehouse_sk', count(*), count(*) = 0
-  FROM warehouse WHERE w_warehouse_sk NOT IN (1, 2, 3, 4, 5, 6)""")
-
-_Q["dq_orphan_key"] = with_views("cust1", "cust2", "customer_demographics", "customer_address", body="""
-SELECT 'customer.c_current_cdemo_sk->customer_demographics.cd_demo_sk' AS check_name, count(*) AS n_failing,
-       count(*) = 0 AS passed
-  FROM cust1 c LEFT JOIN customer_demographics cd ON c.c_current_cdemo_sk = cd.cd_demo_sk
- WHERE c.c_current_cdemo_sk IS NOT NULL AND cd.cd_demo_sk IS NULL
-UNION ALL
-SELECT 'customer.c_current_addr_sk->customer_address.ca_address_sk', count(*), count(*) = 0
-  FROM cust2 c LEFT JOIN customer_address ca ON c.c_current_addr_sk = ca.ca_address_sk
- WHERE c.c_current_addr_sk IS NOT NULL AND ca.ca_address_sk IS NULL""")
+
+_Q["dq_not_null"] = with_views("customer_dim", "lines", body=_verdicts(
+    ("customer_dim.c_customer_sk", "SELECT count(*) - count(c_customer_sk) FROM customer_dim"),
+    ("sales_lines.warehouse_sk", "SELECT count(*) - count(wh) FROM lines")))
+
+_Q["dq_unique"] = with_views("weekly", "inventory", "date_dim", body=_verdicts(
+    ("weekly_sales_inventory(warehouse_sk,item_sk,sold_wk_sk)",
+     "SELECT count(DISTINCT k) FROM (SELECT (warehouse_sk, item_sk, sold_wk_sk) AS k, row_number() OVER (PARTITION BY warehouse_sk, item_sk, sold_wk_sk) AS nth FROM weekly) WHERE nth = 2"),
+    ("inventory(inv_item_sk,inv_warehouse_sk,inv_wk_num,inv_yr_num)",
+     "SELECT count(*) FROM (SELECT row_number() OVER (PARTITION BY i.inv_item_sk, i.inv_warehouse_sk, c.wk_num, c.yr_num) AS nth "
+     "FROM inventory i, date_dim c WHERE c.d_date_sk = i.inv_data_sk) WHERE nth = 2")))
+
+_Q["dq_relationship"] = with_views("weekly", "item", "cust0", body=_verdicts(
+    ("weekly_sales_inventory.item_sk->item_dim.i_item_sk",
+     "SELECT count(*) FROM weekly w WHERE NOT EXISTS (FROM item i WHERE i.i_item_sk = w.item_sk)"),
+    ("orders.o_custkey->customer_load0.c_customer_sk",
+     "SELECT coalesce(sum(n), 0) FROM (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY k) WHERE k IN (SELECT o_custkey FROM orders EXCEPT SELECT c_customer_sk FROM cust0)")))
+
+_Q["dq_accepted_values"] = with_views("weekly", "warehouse", body=_verdicts(
+    ("weekly_sales_inventory.warehouse_sk", "SELECT count(*) FROM weekly WHERE warehouse_sk < 1 OR warehouse_sk > 6"),
+    ("warehouse_dim.w_warehouse_sk", "SELECT count(*) FROM warehouse WHERE w_warehouse_sk < 1 OR w_warehouse_sk > 6")))
+
+_Q["dq_orphan_key"] = with_views("cust2", "customer_demographics", "customer_address", body=_verdicts(
+    ("customer.c_current_cdemo_sk->customer_demographics.cd_demo_sk",
+     "SELECT count(*) FROM cust2 WHERE c_current_cdemo_sk IN (SELECT c_current_cdemo_sk FROM cust2 EXCEPT SELECT cd_demo_sk FROM customer_demographics)"),
+    ("customer.c_current_addr_sk->customer_address.ca_address_sk",
+     "SELECT count(*) FROM cust2 WHERE c_current_addr_sk IN (SELECT c_current_addr_sk FROM cust2 EXCEPT SELECT ca_address_sk FROM customer_address)")))
 
 # --- exploration --------------------------------------------------------------------
 
@@ -436,22 +434,46 @@ UNION ALL
   GROUP BY 1, 2, 3 ORDER BY 2 DESC LIMIT 10)""")
 
 
+_DIM_COLUMNS = {
+    "date_dim": "d_date_sk cal_dt wk_num yr_num day_of_wk_num",
+    "item": "i_item_sk i_product_name i_brand i_category i_current_price",
+    "warehouse": "w_warehouse_sk w_warehouse_name",
+    "cust2": " ".join(CUSTOMER_COLUMNS),
+    "customer_demographics": "cd_demo_sk cd_gender cd_marital_status cd_education_status cd_purchase_estimate cd_credit_rating cd_dep_count cd_dep_employed_count cd_dep_college_count",
+    "household_demographics": "hd_demo_sk hd_income_band_sk hd_buy_potential hd_dep_count hd_vehicle_count",
+    "customer_address": "ca_address_sk ca_street_name ca_suite_number ca_state ca_location_type ca_country ca_address_id ca_county ca_street_number ca_zip ca_city ca_gmt_offset",
+}
+_BILLED = """billed AS (
+  SELECT cs.*, o.o_custkey AS cs_bill_customer_sk, CAST(c.c_nationkey AS BIGINT) AS cs_bill_cdemo_sk,
+         CAST(c.c_nationkey AS BIGINT) AS cs_bill_hdemo_sk, o.o_custkey AS cs_bill_addr_sk
+  FROM catalog_sales cs LEFT JOIN orders o ON o.o_orderkey = cs.cs_order_number LEFT JOIN customer c ON c.c_custkey = o.o_custkey)"""
+_ALL["billed"] = (("catalog_sales",), _BILLED)
+
+
 def _fk_probe() -> str:
+    probes = [(p, fact, key, dim, dk) for p, fact in (("cs_", "billed"), ("ws_", "web_sales"))
+              for key, dim, dk in ((f"{p}sold_date_sk", "date_dim", "d_date_sk"), (f"{p}item_sk", "item", "i_item_sk"),
+                                   (f"{p}warehouse_sk", "warehouse", "w_warehouse_sk"))]
+    probes += [("cs_", "billed", "cs_bill_customer_sk", "cust2", "c_customer_sk"),
+               ("cs_", "billed", "cs_bill_cdemo_sk", "customer_demographics", "cd_demo_sk"),
+               ("cs_", "billed", "cs_bill_hdemo_sk", "household_demographics", "hd_demo_sk"),
+               ("cs_", "billed", "cs_bill_addr_sk", "customer_address", "ca_address_sk")]
     parts = []
-    for p, fact in (("cs_", "catalog_sales"), ("ws_", "web_sales")):
-        for key, dim, dkey in ((f"{p}sold_date_sk", "date_dim", "d_date_sk"),
-                               (f"{p}item_sk", "item", "i_item_sk"),
-                               (f"{p}warehouse_sk", "warehouse", "w_warehouse_sk")):
-            name = f"{key}->{dkey}"
-            join = f"FROM {fact} f JOIN {dim} dim ON dim.{dkey} = f.{key}"
-            parts.append(f"SELECT '{name}' AS probe, 'count' AS kind, count(*) AS value, "
-                         f"CAST(NULL AS BIGINT) AS order_number, CAST(NULL AS BIGINT) AS line_number {join}")
-            parts.append(f"(SELECT '{name}', 'sample', f.{key}, f.{p}order_number, f.{p}line_number {join} "
-                         f"ORDER BY 3, 4, 5 LIMIT 5)")
+    for p, fact, key, dim, dk in probes:
+        text = " || '|' || ".join(f"coalesce(CAST(d.{c} AS VARCHAR), '')" for c in _DIM_COLUMNS[dim].split())
+        parts.append(f"""SELECT '{key}->{dk}' AS probe, x.kind, x.value, x.order_number, x.line_number, x.dim_row FROM (
+  SELECT 'count' AS kind, (SELECT count(*) FROM {fact} WHERE {key} IN (SELECT {dk} FROM {dim})) AS value,
+         CAST(NULL AS BIGINT) AS order_number, CAST(NULL AS BIGINT) AS line_number, CAST(NULL AS VARCHAR) AS dim_row
+  UNION ALL
+  SELECT 'sample', k, o, n, t FROM (
+    SELECT f.{key} AS k, f.{p}order_number AS o, f.{p}line_number AS n, {text} AS t,
+           row_number() OVER (ORDER BY f.{key}, f.{p}order_number, f.{p}line_number) AS nth
+    FROM {fact} f, {dim} d WHERE d.{dk} = f.{key}) WHERE nth <= 5) x""")
     return "\nUNION ALL\n".join(parts)
 
 
-_Q["explore_fk_probe"] = with_views("date_dim", "catalog_sales", "web_sales", "item", "warehouse", body=_fk_probe())
+_Q["explore_fk_probe"] = with_views("date_dim", "billed", "web_sales", "item", "warehouse", "cust2", "customer_demographics",
+                                    "household_demographics", "customer_address", body=_fk_probe())
 
 _COLS = ("warehouse_sk", "item_sk", "sold_date_sk", "quantity", "sales_price", "net_profit", "order_number",
          "line_number")
@@ -472,16 +494,11 @@ _Q["explore_inventory_counts"] = with_views("inventory", body="""
 SELECT inv_data_sk, inv_item_sk, count(*) AS n_rows FROM inventory GROUP BY 1, 2 ORDER BY 2, 1""")
 
 _Q["explore_item_days"] = with_views("date_dim", "inventory", "catalog_sales", "web_sales", "item", body="""
-SELECT DISTINCT 'inventory' AS source, d.cal_dt, d.wk_num
-  FROM date_dim d JOIN inventory inv ON d.d_date_sk = inv.inv_data_sk AND inv.inv_item_sk = 1
-UNION ALL
-SELECT DISTINCT 'web_sales', d.cal_dt, d.wk_num
-  FROM web_sales ws JOIN date_dim d ON d.d_date_sk = ws.ws_sold_date_sk
-  JOIN item i ON i.i_item_sk = ws.ws_item_sk AND ws.ws_item_sk = 1
-UNION ALL
-SELECT DISTINCT 'catalog_sales', d.cal_dt, d.wk_num
-  FROM catalog_sales cs JOIN date_dim d ON d.d_date_sk = cs.cs_sold_date_sk
-  JOIN item i ON i.i_item_sk = cs.cs_item_sk AND cs.cs_item_sk = 1""")
+SELECT s.source, c.cal_dt, c.wk_num
+FROM (SELECT 'inventory' AS source, inv_data_sk AS day FROM inventory WHERE inv_item_sk = 1
+      UNION SELECT 'catalog_sales', cs_sold_date_sk FROM catalog_sales WHERE cs_item_sk = 1 AND cs_item_sk IN (SELECT i_item_sk FROM item)
+      UNION SELECT 'web_sales', ws_sold_date_sk FROM web_sales WHERE ws_item_sk = 1 AND ws_item_sk IN (SELECT i_item_sk FROM item)) s
+JOIN date_dim c ON c.d_date_sk = s.day""")
 
 _Q["explore_distinct_items"] = with_views("item", body="""
 SELECT DISTINCT i_item_sk, i_product_name FROM item ORDER BY 1""")

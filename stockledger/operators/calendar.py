@@ -10,9 +10,11 @@ stated, so two rules are offered:
 * ``"calendar_u"`` - ``strftime('%U')`` numbering inside the calendar year;
   days before the first Sunday are week 0, so weeks that straddle New Year
   are split and some ``(wk_num, yr_num)`` have no Sunday.
+* ``"iso_calendar"`` - ISO week numbers beside the calendar year; a number can
+  recur in one year (1 January and 31 December), so a week may have two Sundays.
 
-A calendar has one row per day, so its size is bounded by its span; the span
-is asserted at run time, which is what makes broadcasting it safe.
+A calendar has one row per day. Nothing caps its span and no join forces its
+broadcast: Spark chooses from its size in bytes.
 """
 
 from __future__ import annotations
@@ -20,10 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# 200 years of days: the largest calendar any job broadcasts.
-MAX_CALENDAR_DAYS = 200 * 366
-
-WEEK_RULES = ("sunday", "calendar_u")
+WEEK_RULES = ("sunday", "calendar_u", "iso_calendar")
 
 
 def date_attributes(days: DataFrame, week_rule: str = "sunday", day_col: str = "cal_dt") -> DataFrame:
@@ -36,6 +35,9 @@ def date_attributes(days: DataFrame, week_rule: str = "sunday", day_col: str = "
         sunday = F.date_sub(d, dow)
         yr = F.year(sunday)
         wk = F.floor((F.dayofyear(sunday) - 1) / 7) + 1
+    elif week_rule == "iso_calendar":
+        yr = F.year(d)
+        wk = F.weekofyear(d)
     else:
         yr = F.year(d)
         wk = F.floor((F.dayofyear(d) + 6 - dow) / 7)
@@ -59,7 +61,6 @@ def calendar_between(bounds: DataFrame, week_rule: str = "sunday", lo: str = "lo
     start = F.date_sub(lo_d, F.dayofweek(lo_d) - 1)
     days = (
         bounds.select(start.alias("_start"), hi_d.alias("_end"))
-        .where(F.assert_true(F.datediff("_end", "_start") <= MAX_CALENDAR_DAYS, "calendar span too large").isNull())
         .select(F.explode(F.sequence(F.col("_start"), F.col("_end"))).alias("cal_dt"))
     )
     return date_attributes(days, week_rule)
@@ -72,17 +73,6 @@ def calendar_spanning(df: DataFrame, date_col: str | Column, week_rule: str = "s
     return calendar_between(bounds, week_rule)
 
 
-def assert_calendar_size(date_dim: DataFrame, max_days: int = MAX_CALENDAR_DAYS) -> None:
-    """Guard run by a job before it broadcasts a date table it was given.
-
-    A date dimension has one row per day, which is what makes broadcasting it
-    safe; a table with more rows than ``max_days`` is refused. The count stops
-    after ``max_days + 1`` rows."""
-    n = date_dim.limit(max_days + 1).count()
-    if n > max_days:
-        raise ValueError(f"date dimension has more than {max_days} rows; not a calendar")
-
-
 def sundays(date_dim: DataFrame) -> DataFrame:
     """``(d_date_sk, wk_num, yr_num)`` of the Sundays: the week's key day."""
     return date_dim.where(F.col("day_of_wk_num") == 0).select("d_date_sk", "wk_num", "yr_num")

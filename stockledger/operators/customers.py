@@ -157,10 +157,7 @@ def customer_dimension(
     """Current versions enriched by four left joins.
 
     The joins form a chain: the income band key comes from the household
-    table joined just before. Join strategies come from the inputs: the job
-    passes the fixed-size demographic tables broadcast behind a size check,
-    and the address table, which grows with the customers, is sort-merge
-    joined (or broadcast by AQE when it turns out small).
+    table joined just before. Spark chooses each join from its inputs' sizes.
     """
     cur = current_versions(snapshot)
     j = (

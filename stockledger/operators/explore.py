@@ -23,7 +23,7 @@ def date_of_key_bound(fact: DataFrame, key: str, date_dim: DataFrame, bound: str
 
 def daily_arrivals(fact: DataFrame, key: str, date_dim: DataFrame, n: int = 10) -> DataFrame:
     """Rows per day for the latest ``n`` days with rows (inner join with the calendar)."""
-    cal = F.broadcast(date_dim.select("d_date_sk", "cal_dt"))
+    cal = date_dim.select("d_date_sk", "cal_dt")
     j = fact.select(key).join(cal, fact[key] == cal["d_date_sk"], "inner")
     return (
         j.groupBy("cal_dt", key)
@@ -52,17 +52,23 @@ def key_probe_count(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str
 def key_probe_preview(
     fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str, order: Sequence[str], n: int = 5
 ) -> DataFrame:
-    """``SELECT fact.key, dim.* FROM fact JOIN dim ... LIMIT n`` with a total order, so
-    the preview is repeatable.
+    """``SELECT fact.*, dim.* FROM fact JOIN dim ... LIMIT n``, the first ``n`` by the key,
+    then ``order``, then every other column, so that the preview is repeatable.
 
-    The fact is first semi-joined with the distinct dimension keys and cut to
-    its first ``n`` rows (top-n per partition); only those rows are joined
-    with the dimension. The first ``n`` joined rows always come from them, so
-    the result equals the full join's first ``n`` rows."""
-    keys = dim.select(F.col(dim_key).alias("_k")).distinct()
-    f = fact.select(*dict.fromkeys([fact_key, *order]))
-    first = f.join(keys, f[fact_key] == keys["_k"], "left_semi").orderBy(*order).limit(n)
-    return first.join(dim, first[fact_key] == dim[dim_key], "inner").orderBy(*order).limit(n)
+    Each matched key has a row at least, so the ``n`` least matched keys hold
+    the first ``n`` joined rows; they come from the distinct keys of both
+    sides (partial distinct before the shuffle). The fact is filtered by these
+    keys and cut to its first ``n`` rows (top-n per partition), which then meet
+    their dimension rows. What is broadcast has at most ``n`` rows, and no fact row is shuffled."""
+    keys = fact.select(F.col(fact_key).alias("_k")).distinct().join(dim.select(F.col(dim_key).alias("_k")).distinct(), "_k")
+    least = keys.orderBy("_k").limit(n)
+
+    def first(df: DataFrame) -> DataFrame:
+        columns = dict.fromkeys([fact_key, *order, *df.columns])
+        return df.orderBy(*[F.col(c).asc_nulls_first() for c in columns]).limit(n)
+
+    f = first(fact.join(F.broadcast(least), fact[fact_key] == least["_k"], "left_semi"))
+    return first(dim.join(F.broadcast(f), dim[dim_key] == f[fact_key]))
 
 
 def preview(df: DataFrame, order: Sequence[str], n: int = 100) -> DataFrame:
@@ -87,7 +93,7 @@ def days_with_item(fact: DataFrame, day_key: str, item_key: str, item, date_dim:
     reaches the Parquet scan as a pushed filter). ``ordered=False`` skips the
     final sort for callers that combine several results and sort once."""
     f = fact.where(F.col(item_key) == F.lit(item)).select(day_key, item_key)
-    cal = F.broadcast(date_dim.select("d_date_sk", "cal_dt", "wk_num"))
+    cal = date_dim.select("d_date_sk", "cal_dt", "wk_num")
     j = f.join(cal, f[day_key] == cal["d_date_sk"], "inner")
     if item_dim is not None:
         i = item_dim.select(F.col(item_dim_key).alias("_item"))

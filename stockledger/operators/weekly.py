@@ -1,8 +1,7 @@
 """Weekly sales x inventory fact with stock cover and low-stock flag.
 
 Plan shape: daily rows -> partial/final aggregate by ``(warehouse, item, week,
-year)`` (one Exchange) -> broadcast join to the week's Sunday (bounded
-calendar) -> sort-merge left join with the inventory rows (row by row, as the
+year)`` (one Exchange) -> join to the week's Sunday (broadcast by size) -> sort-merge left join with the inventory rows (row by row, as the
 source does: several snapshots in one week multiply the sales sums; kept
 literally, and the ``dq_unique`` check on the inventory key reports it) ->
 final aggregate at the same grain, which reuses the join's partitioning ->
@@ -44,12 +43,10 @@ def with_sunday_key(weeks: DataFrame, date_dim: DataFrame) -> DataFrame:
     Inner join on ``(wk_num, yr_num)`` with the Sunday rows: a week without a
     Sunday row is dropped, a week with two Sundays is doubled (as the source).
     """
-    sun = F.broadcast(
-        sundays(date_dim).select(
-            F.col("d_date_sk").alias("_sunday_sk"),
-            F.col("wk_num").alias("_wk"),
-            F.col("yr_num").alias("_yr"),
-        )
+    sun = sundays(date_dim).select(
+        F.col("d_date_sk").alias("_sunday_sk"),
+        F.col("wk_num").alias("_wk"),
+        F.col("yr_num").alias("_yr"),
     )
     joined = weeks.join(sun, (weeks["sold_wk_num"] == sun["_wk"]) & (weeks["sold_yr_num"] == sun["_yr"]), "inner")
     return joined.select(
@@ -67,12 +64,10 @@ def with_sunday_key(weeks: DataFrame, date_dim: DataFrame) -> DataFrame:
 def inventory_with_week(inventory: DataFrame, date_dim: DataFrame) -> DataFrame:
     """``inventory.*`` plus the week and year of the snapshot day (inner join:
     snapshots on days outside the calendar are dropped)."""
-    cal = F.broadcast(
-        date_dim.select(
-            F.col("d_date_sk").alias("_inv_day"),
-            F.col("wk_num").alias("inv_wk_num"),
-            F.col("yr_num").alias("inv_yr_num"),
-        )
+    cal = date_dim.select(
+        F.col("d_date_sk").alias("_inv_day"),
+        F.col("wk_num").alias("inv_wk_num"),
+        F.col("yr_num").alias("inv_yr_num"),
     )
     joined = inventory.join(cal, inventory["inv_data_sk"] == cal["_inv_day"], "inner")
     return joined.select(inventory["*"], "inv_wk_num", "inv_yr_num")

@@ -10,9 +10,9 @@
     python -m stockledger.plans.cli checks --weekly P --item-dim P --customer-dim P \
         --customer P --customer-demographics P
 
-Inputs are Parquet paths (the CSV drop excepted). Stored outputs use the
-layouts of :mod:`stockledger.sources.storage`; ``checks`` prints one verdict
-row per test. Each command prints a one-line JSON summary.
+Inputs are roots of stored tables (read through their newest commit) or plain
+Parquet paths, the CSV drop excepted. Stored outputs use the layouts of
+:mod:`stockledger.sources.storage`; ``checks`` prints one verdict row per test. Each command prints a one-line JSON summary.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from __future__ import annotations
 import argparse
 import json
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import types as T
 
@@ -31,7 +32,7 @@ from stockledger.sources import csv_ingest
 from stockledger.operators.customers import customer_dimension
 from stockledger.operators.quality import ACCEPTED_WAREHOUSES
 from stockledger.sources.history import OpenClosedHistory
-from stockledger.sources.storage import SlicedTable, VersionedTable, copy_table, empty_frame
+from stockledger.sources.storage import VersionedTable, copy_table, empty_frame, open_table
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -78,7 +79,7 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: Sequence[str] | None = None) -> dict:
     args = _parser().parse_args(argv)
     spark = get_session(args.master, app_name=f"stockledger-{args.cmd}")
-    read = spark.read.parquet
+    read = partial(open_table, spark)
     out: dict = {"command": args.cmd}
     if args.cmd == "daily":
         inputs = (read(args.catalog_sales), read(args.web_sales), read(args.date_dim),
@@ -128,7 +129,7 @@ def main(argv: Sequence[str] | None = None) -> dict:
     elif args.cmd == "copy":
         copy_table(spark, read(args.source), args.target)
     elif args.cmd == "checks":
-        weekly = SlicedTable(spark, args.weekly, schemas.WEEKLY_SALES_INVENTORY, "sold_wk_sk").read()
+        weekly = read(args.weekly)
         v = quality.verdicts(
             ("not_null customer_dim.c_customer_sk", quality.not_null(read(args.customer_dim), "c_customer_sk")),
             ("unique weekly(warehouse_sk,item_sk,sold_wk_sk)",

@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from stockledger import schemas
 from stockledger.operators import customers, sales, weekly
-from stockledger.operators.calendar import assert_calendar_size
-from stockledger.plans.sizing import broadcast_if_small
 from stockledger.sources.history import OpenClosedHistory
 from stockledger.sources.storage import SlicedTable, VersionedTable
 
@@ -41,7 +39,6 @@ def plan_daily_sales(
     target: SlicedTable,
 ) -> tuple[int | None, DataFrame]:
     """The watermark and the lazy batch of a daily run (nothing is written)."""
-    assert_calendar_size(date_dim)
     wm = target.last_slice()
     return wm, sales.daily_sales(sales.sales_union(catalog_sales, web_sales, wm), date_dim)
 
@@ -55,15 +52,12 @@ def run_daily_sales(
     """Incremental daily aggregate.
 
     1. watermark = last stored sold day (NULL on an empty table = full load);
-    2. drop that possibly partial day;
-    3. re-aggregate every sale on or after the watermark and write its days.
-    Sales older than the watermark that arrive late are not picked up. The
-    batch reads only the raw sales, never the target, so the slice can be
-    dropped before the batch runs.
+    2. re-aggregate every sale on or after the watermark;
+    3. in one commit, drop the possibly partial watermark day and add the batch.
+    Sales older than the watermark that arrive late are not picked up.
     """
     wm, batch = plan_daily_sales(catalog_sales, web_sales, date_dim, target)
-    target.delete_slice(wm)
-    target.write_slices(batch)
+    target.replace_slice(wm, batch)
     return RunInfo(wm)
 
 
@@ -79,11 +73,9 @@ def plan_weekly_sales_inventory(
     The source re-aggregates the whole daily history each run and keeps weeks
     whose first sale is on or after the watermark. Here the daily table is
     pruned first to the weeks that can still qualify (their last calendar day
-    is on or after the watermark): a partition filter on ``sold_date_sk`` plus
-    a broadcast semi-join on the week, both exact for any calendar. The
-    source's ``HAVING`` is then applied unchanged.
+    is on or after the watermark): a folder and row-group filter on ``sold_date_sk`` plus
+    a semi-join on the week, both exact for any calendar. The source's ``HAVING`` is then applied unchanged.
     """
-    assert_calendar_size(date_dim)
     wm = target.last_slice()
     if wm is None:
         return None, weekly.weekly_sales_inventory(daily.read(), inventory, date_dim)
@@ -92,7 +84,7 @@ def plan_weekly_sales_inventory(
     if lower is None:
         return wm, None
     days = daily.read(min_slice=lower).join(
-        F.broadcast(live.select(F.col("wk_num").alias("_wk"), F.col("yr_num").alias("_yr"))),
+        live.select(F.col("wk_num").alias("_wk"), F.col("yr_num").alias("_yr")),
         (F.col("sold_wk_num") == F.col("_wk")) & (F.col("sold_yr_num") == F.col("_yr")),
         "left_semi",
     )
@@ -106,13 +98,15 @@ def run_weekly_sales_inventory(
     date_dim: DataFrame,
     target: SlicedTable,
 ) -> RunInfo:
-    """Incremental weekly fact: drop the last week slice, write the recomputed weeks."""
+    """Incremental weekly fact: in one commit, drop the last week slice and add the recomputed weeks.
+
+    The batch may add rows to an older slice (a week number that recurs in a
+    calendar year); that slice's stored rows stay. Without a qualifying week
+    the last slice is dropped all the same.
+    """
     wm, batch = plan_weekly_sales_inventory(daily, inventory, date_dim, target)
-    if batch is None:
-        return RunInfo(wm, "no week can qualify; table left unchanged")
-    target.delete_slice(wm)
-    target.write_slices(batch)
-    return RunInfo(wm)
+    target.replace_slice(wm, batch)
+    return RunInfo(wm, "" if batch is not None else "no week can qualify; the last slice was dropped")
 
 
 def customer_snapshot_table(spark: SparkSession, root: str) -> VersionedTable:
@@ -136,8 +130,9 @@ def run_customer_snapshot(
         source = source.dropDuplicates()
     if check_unique:
         customers.assert_unique_key(source)
-    nxt = customers.scd2_merge(snapshot.read(), source, run_date, strict=strict)
-    return snapshot.write(nxt)
+    base = snapshot.current_version()
+    nxt = customers.scd2_merge(snapshot.read(base) if base else snapshot.read(), source, run_date, strict=strict)
+    return snapshot.write(nxt, base=base or 0)
 
 
 def run_customer_history_strict(
@@ -164,16 +159,9 @@ def run_customer_dimension(
 ) -> int:
     """``CREATE OR REPLACE TABLE customer_dim AS SELECT ...`` as a new version.
 
-    The three demographic tables are broadcast when a size check proves them
-    small; the address table grows with the customers and is sort-merge joined.
-    With the open/closed layout only the open versions are read.
+    Spark chooses the joins from the tables' sizes in bytes: the demographic
+    tables are broadcast while small, the address table grows with the
+    customers and is sort-merge joined. With the open/closed layout only the open versions are read.
     """
     current = snapshot.open_versions() if isinstance(snapshot, OpenClosedHistory) else snapshot.read()
-    dim = customers.customer_dimension(
-        current,
-        address,
-        broadcast_if_small(demographics),
-        broadcast_if_small(household),
-        broadcast_if_small(income_band),
-    )
-    return target.write(dim)
+    return target.write(customers.customer_dimension(current, address, demographics, household, income_band))

@@ -21,7 +21,7 @@ from stockledger.session import shared_dir
 from stockledger.sources import csv_ingest
 from stockledger.sources import fixtures as fx
 from stockledger.sources.history import OpenClosedHistory
-from stockledger.sources.storage import VersionedTable, copy_table, empty_frame
+from stockledger.sources.storage import VersionedTable, copy_table, empty_frame, open_table
 from stockledger.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,7 +53,7 @@ def daily_of(t: Tables, week_rule: str = "sunday") -> DataFrame:
 
 def weekly_of(t: Tables, week_rule: str = "sunday") -> DataFrame:
     cal = fx.date_dim(t, week_rule)
-    return weekly.weekly_sales_inventory(sales.daily_sales(lines_of(t), cal), fx.inventory(t), cal)
+    return weekly.weekly_sales_inventory(sales.daily_sales(lines_of(t), cal), fx.inventory_with_gaps(t), cal)
 
 
 # --- sales and weekly fact --------------------------------------------------
@@ -83,15 +83,22 @@ def q_inventory_with_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly.inventory_with_week(fx.inventory(t), fx.date_dim(t))
 
 
+def weekly_from_stored(spark: SparkSession, t: Tables, week_rule: str = "sunday") -> DataFrame:
+    """The weekly fact over a stored calendar and inventory, as the mart holds them: their derivation runs once."""
+    cal = stored(spark, fx.date_dim(t, week_rule), "date_dim")
+    inv = stored(spark, fx.inventory_with_gaps(t), "inventory")
+    return weekly.weekly_sales_inventory(sales.daily_sales(lines_of(t), cal), inv, cal)
+
+
 @register("weekly_sales_inventory")
 def q_weekly_sales_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weekly_of(Tables(spark, sf_dir))
+    return weekly_from_stored(spark, Tables(spark, sf_dir))
 
 
 @register("weekly_missing_sunday")
 def q_weekly_missing_sunday(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly fact over a ``%U`` calendar: weeks without a Sunday row lose their sales."""
-    return weekly_of(Tables(spark, sf_dir), "calendar_u")
+    return weekly_from_stored(spark, Tables(spark, sf_dir), "calendar_u")
 
 
 # --- incremental runs over stored tables -----------------------------------
@@ -137,7 +144,7 @@ def q_weekly_sales_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     cal = stored(spark, fx.date_dim(t), "date_dim")
     cs, ws = fx.catalog_sales(t), fx.web_sales(t)
-    inv = stored(spark, fx.inventory(t), "inventory")
+    inv = stored(spark, fx.inventory_with_gaps(t), "inventory")
     daily_t = jobs.daily_table(spark, shared_dir(spark, "daily_sales"))
     weekly_t = jobs.weekly_table(spark, shared_dir(spark, "weekly_sales_inventory"))
     jobs.run_daily_sales(_arrived_by_cut(cs, "cs_", False), _arrived_by_cut(ws, "ws_", False), cal, daily_t)
@@ -148,6 +155,58 @@ def q_weekly_sales_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly_t.read()
 
 
+# A summer day (2000-07-01 .. the span's middle year whose first and last days share ISO week 52).
+ISO_CUT_DAY = 11139
+
+
+@register("weekly_incremental_iso_calendar")
+def q_weekly_incremental_iso_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over ISO week numbers beside calendar years: the second run's
+    December week has the number and first Sunday of January's, so it adds rows to a slice stored long before."""
+    t = Tables(spark, sf_dir)
+    cal = stored(spark, fx.date_dim(t, "iso_calendar"), "date_dim")
+    inv = stored(spark, fx.inventory_with_gaps(t), "inventory")
+    cs, ws = fx.catalog_sales(t), fx.web_sales(t)
+    daily_t = jobs.daily_table(spark, shared_dir(spark, "daily_sales"))
+    weekly_t = jobs.weekly_table(spark, shared_dir(spark, "weekly_sales_inventory"))
+    early = [x.where(F.col(f"{p}sold_date_sk") < F.lit(ISO_CUT_DAY)) for x, p in ((cs, "cs_"), (ws, "ws_"))]
+    jobs.run_daily_sales(*early, cal, daily_t)
+    jobs.run_weekly_sales_inventory(daily_t, inv, cal, weekly_t)
+    jobs.run_daily_sales(cs, ws, cal, daily_t)
+    jobs.run_weekly_sales_inventory(daily_t, inv, cal, weekly_t)
+    return weekly_t.read()
+
+
+@register("daily_late_rows")
+def q_daily_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that arrive behind the watermark stay out: the first run misses every
+    seventh order, the second sees all, and only days from the watermark on are made again."""
+    t = Tables(spark, sf_dir)
+    cal = stored(spark, fx.date_dim(t), "date_dim")
+    cs, ws = fx.catalog_sales(t), fx.web_sales(t)
+    table = jobs.daily_table(spark, shared_dir(spark, "daily_sales"))
+    first = [_arrived_by_cut(x, p, True).where(F.col(f"{p}order_number") % 7 != 0) for x, p in ((cs, "cs_"), (ws, "ws_"))]
+    jobs.run_daily_sales(*first, cal, table)
+    jobs.run_daily_sales(cs, ws, cal, table)
+    return table.read()
+
+
+@register("daily_vanished_slice")
+def q_daily_vanished_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second run's source has lost the last stored day and every eleventh
+    older order: the day goes, the stored older days stay as they were."""
+    t = Tables(spark, sf_dir)
+    cal = stored(spark, fx.date_dim(t), "date_dim")
+    cs, ws = fx.catalog_sales(t), fx.web_sales(t)
+    table = jobs.daily_table(spark, shared_dir(spark, "daily_sales"))
+    first = [x.where(F.col(f"{p}sold_date_sk") <= F.lit(CUT_DAY)) for x, p in ((cs, "cs_"), (ws, "ws_"))]
+    jobs.run_daily_sales(*first, cal, table)
+    wm = F.lit(table.last_slice())
+    second = [x.where((F.col(f"{p}sold_date_sk") < wm) & (F.col(f"{p}order_number") % 11 != 0)) for x, p in ((cs, "cs_"), (ws, "ws_"))]
+    jobs.run_daily_sales(*second, cal, table)
+    return table.read()
+
+
 # --- customers ----------------------------------------------------------------
 
 
@@ -263,27 +322,97 @@ def q_csv_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+@register("csv_rejected_lines")
+def q_csv_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that the load sets aside, as they stood in the drop."""
+    t = Tables(spark, sf_dir)
+    path = _write_drop(spark, fx.inventory_csv_lines(fx.inventory(t)), "inventory_csv")
+    fields = [F.coalesce(F.col(f.name), F.lit("")) for f in schemas.INVENTORY.fields]
+    line = F.coalesce(F.col(csv_ingest.CORRUPT), F.concat_ws(",", *fields))
+    return csv_ingest.read_csv_drop(spark, path).rejected.select(line.alias("line"))
+
+
+@register("csv_truncate_reload")
+def q_csv_truncate_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and stock of the stored table after a load, after TRUNCATE, and after a smaller load."""
+    t = Tables(spark, sf_dir)
+    inv = fx.inventory(t)
+    target = VersionedTable(spark, shared_dir(spark, "raw_inventory"), schemas.INVENTORY)
+
+    def now(step: str) -> DataFrame:
+        return target.read().agg(F.count(F.lit(1)).alias("n_rows"), F.sum("inv_quantity_on_hand").alias("on_hand")).select(F.lit(step).alias("step"), "n_rows", "on_hand")
+
+    csv_ingest.full_refresh(spark, _write_drop(spark, fx.inventory_csv_lines(inv), "inventory_csv"), target)
+    out = now("loaded")
+    target.truncate()
+    out = out.unionByName(now("truncated"))
+    csv_ingest.full_refresh(spark, _write_drop(spark, fx.inventory_csv_lines(inv.where(F.col("inv_warehouse_sk") <= 3)), "inventory_csv"), target)
+    return out.unionByName(now("reloaded"))
+
+
+@register("ingest_to_weekly")
+def q_ingest_to_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two refreshes of the stored inventory, then the weekly fact from its root: each job feeds the next."""
+    t = Tables(spark, sf_dir)
+    inv = fx.inventory(t)
+    root = shared_dir(spark, "raw_inventory")
+    target = VersionedTable(spark, root, schemas.INVENTORY)
+    for part in (inv.where(F.col("inv_warehouse_sk") <= 3), inv):
+        csv_ingest.full_refresh(spark, _write_drop(spark, fx.inventory_csv_lines(part), "inventory_csv"), target)
+    cal = stored(spark, fx.date_dim(t), "date_dim")
+    daily_t = jobs.daily_table(spark, shared_dir(spark, "daily_sales"))
+    weekly_root = shared_dir(spark, "weekly_sales_inventory")
+    jobs.run_daily_sales(fx.catalog_sales(t), fx.web_sales(t), cal, daily_t)
+    jobs.run_weekly_sales_inventory(daily_t, open_table(spark, root), cal, jobs.weekly_table(spark, weekly_root))
+    return open_table(spark, weekly_root)
+
+
 # --- data quality ------------------------------------------------------------
 
+_MART: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def mart(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """Stored tables that the checks read. Checks look at what the jobs have
+    stored; a session builds each table once per input and keeps its folder."""
+    t = Tables(spark, sf_dir)
+    built = _MART.setdefault((spark.sparkContext.applicationId, sf_dir), {})
+
+    def build(name: str) -> DataFrame:
+        if name == "weekly":
+            return weekly_from_stored(spark, t)
+        if name == "inventory_with_week":
+            return weekly.inventory_with_week(fx.inventory(t), fx.date_dim(t))
+        return customer_dim_of(spark, t)
+
+    for name in names:
+        if name not in built:
+            root = shared_dir(spark, f"mart-{name}")
+            df = build(name)
+            VersionedTable(spark, root, df.schema).write(df)
+            built[name] = root
+    return {name: open_table(spark, built[name]) for name in names}
+
+
+
 
 @register("dq_not_null")
 def q_dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     return quality.verdicts(
-        ("customer_dim.c_customer_sk", quality.not_null(customer_dim_of(spark, t), "c_customer_sk")),
+        ("customer_dim.c_customer_sk", quality.not_null(mart(spark, sf_dir, "customer_dim")["customer_dim"], "c_customer_sk")),
         ("sales_lines.warehouse_sk", quality.not_null(lines_of(t), "warehouse_sk")),
     )
 
 
 @register("dq_unique")
 def q_dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Tables(spark, sf_dir)
-    inv = weekly.inventory_with_week(fx.inventory(t), fx.date_dim(t))
+    held = mart(spark, sf_dir, "weekly", "inventory_with_week")
     return quality.verdicts(
         ("weekly_sales_inventory(warehouse_sk,item_sk,sold_wk_sk)",
-         quality.unique(weekly_of(t), ["warehouse_sk", "item_sk", "sold_wk_sk"])),
+         quality.unique(held["weekly"], ["warehouse_sk", "item_sk", "sold_wk_sk"])),
         ("inventory(inv_item_sk,inv_warehouse_sk,inv_wk_num,inv_yr_num)",
-         quality.unique(inv, ["inv_item_sk", "inv_warehouse_sk", "inv_wk_num", "inv_yr_num"])),
+         quality.unique(held["inventory_with_week"], ["inv_item_sk", "inv_warehouse_sk", "inv_wk_num", "inv_yr_num"])),
     )
 
 
@@ -292,7 +421,7 @@ def q_dq_relationship(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     return quality.verdicts(
         ("weekly_sales_inventory.item_sk->item_dim.i_item_sk",
-         quality.relationship(weekly_of(t), "item_sk", fx.item(t), "i_item_sk")),
+         quality.relationship(mart(spark, sf_dir, "weekly")["weekly"], "item_sk", fx.item(t), "i_item_sk")),
         ("orders.o_custkey->customer_load0.c_customer_sk",
          quality.relationship(t.orders, "o_custkey", fx.customer_load(t, 0), "c_customer_sk")),
     )
@@ -303,7 +432,7 @@ def q_dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     return quality.verdicts(
         ("weekly_sales_inventory.warehouse_sk",
-         quality.accepted_values(weekly_of(t), "warehouse_sk", quality.ACCEPTED_WAREHOUSES)),
+         quality.accepted_values(mart(spark, sf_dir, "weekly")["weekly"], "warehouse_sk", quality.ACCEPTED_WAREHOUSES)),
         ("warehouse_dim.w_warehouse_sk",
          quality.accepted_values(fx.warehouse(t), "w_warehouse_sk", quality.ACCEPTED_WAREHOUSES)),
     )
@@ -314,7 +443,7 @@ def q_dq_orphan_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     return quality.verdicts(
         ("customer.c_current_cdemo_sk->customer_demographics.cd_demo_sk",
-         quality.orphan_key(fx.customer_load(t, 1), "c_current_cdemo_sk", fx.customer_demographics(t), "cd_demo_sk")),
+         quality.orphan_key(fx.customer_load(t, 2), "c_current_cdemo_sk", fx.customer_demographics(t), "cd_demo_sk")),
         ("customer.c_current_addr_sk->customer_address.ca_address_sk",
          quality.orphan_key(fx.customer_load(t, 2), "c_current_addr_sk", fx.customer_address(t), "ca_address_sk")),
     )
@@ -356,35 +485,47 @@ def q_explore_daily_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def _probes(t: Tables):
+def _probes(spark: SparkSession, t: Tables):
+    """(name, prefix, fact, fact key, dimension, dimension key); the facts are stored once for all probes."""
     cal, item, wh = fx.date_dim(t), fx.item(t), fx.warehouse(t)
-    for p, fact in (("cs_", fx.catalog_sales(t)), ("ws_", fx.web_sales(t))):
+    facts = {"cs_": stored(spark, fx.catalog_sales_billed(t), "catalog_sales"), "ws_": stored(spark, fx.web_sales(t), "web_sales")}
+    for p, fact in facts.items():
         yield f"{p}sold_date_sk->d_date_sk", p, fact, f"{p}sold_date_sk", cal, "d_date_sk"
         yield f"{p}item_sk->i_item_sk", p, fact, f"{p}item_sk", item, "i_item_sk"
         yield f"{p}warehouse_sk->w_warehouse_sk", p, fact, f"{p}warehouse_sk", wh, "w_warehouse_sk"
+    billed = [
+        ("cs_bill_customer_sk", fx.customer_load(t, 2), "c_customer_sk"),
+        ("cs_bill_cdemo_sk", fx.customer_demographics(t), "cd_demo_sk"),
+        ("cs_bill_hdemo_sk", fx.household_demographics(t), "hd_demo_sk"),
+        ("cs_bill_addr_sk", fx.customer_address(t), "ca_address_sk"),
+    ]
+    for key, dim, dim_key in billed:
+        yield f"{key}->{dim_key}", "cs_", facts["cs_"], key, dim, dim_key
 
 
 @register("explore_fk_probe")
 def q_explore_fk_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per fact -> dimension key pair: matched row count, and the first five
-    matches in (key, order, line) order."""
+    matches in (key, order, line) order with their dimension row (``dim.*`` as text)."""
     t = Tables(spark, sf_dir)
     out = None
-    for name, p, fact, key, dim, dim_key in _probes(t):
+    for name, p, fact, key, dim, dim_key in _probes(spark, t):
         cnt = explore.key_probe_count(fact, key, dim, dim_key).select(
             F.lit(name).alias("probe"),
             F.lit("count").alias("kind"),
             F.col("n_matched").alias("value"),
             F.lit(None).cast("bigint").alias("order_number"),
             F.lit(None).cast("bigint").alias("line_number"),
+            F.lit(None).cast("string").alias("dim_row"),
         )
-        order = [key, f"{p}order_number", f"{p}line_number"]
+        order = [f"{p}order_number", f"{p}line_number"]
         prev = explore.key_probe_preview(fact, key, dim, dim_key, order, 5).select(
             F.lit(name).alias("probe"),
             F.lit("sample").alias("kind"),
             F.col(key).alias("value"),
             F.col(f"{p}order_number").alias("order_number"),
             F.col(f"{p}line_number").alias("line_number"),
+            F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in dim.columns]).alias("dim_row"),
         )
         part = cnt.unionByName(prev)
         out = part if out is None else out.unionByName(part)

@@ -24,10 +24,10 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 # Raw inventory as declared for the CSV drop (three columns are NOT NULL in the
 # source DDL; file readers force nullability, so the ingest filters instead).
 INVENTORY = _struct(
-    ("inv_data_sk", I),
-    ("inv_item_sk", I),
-    ("inv_quantity_on_hand", I),
-    ("inv_warehouse_sk", I),
+    ("inv_data_sk", L),
+    ("inv_item_sk", L),
+    ("inv_quantity_on_hand", L),
+    ("inv_warehouse_sk", L),
 )
 INVENTORY_NOT_NULL = ("inv_data_sk", "inv_item_sk", "inv_warehouse_sk")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -69,12 +70,17 @@ def shared_dir(spark: SparkSession, purpose: str = "work") -> str:
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; that is
     where intermediate tables go so that any executor can read them and they
-    survive executor loss. Only when the setting is absent (local tests) is a
-    private temporary folder created and registered as the checkpoint dir.
+    survive executor loss. Only on a local master without the setting (tests)
+    is a private temporary folder created and registered as the checkpoint
+    dir; on a cluster the missing setting is an error, as executors could not
+    read each other's local folders.
     Each call returns a new sub-folder, so runs never clean up after each other.
     """
     base = _checkpoint_dir(spark)
     if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {master}")
         base = tempfile.mkdtemp(prefix="stockledger-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
         base = _checkpoint_dir(spark) or base

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,14 @@ from stockledger.sources.storage import VersionedTable
 CORRUPT = "_corrupt_record"
 
 
+def converted(value: Column, kind: T.DataType) -> Column:
+    """Text as ``kind``, NULL if it is none. Whole-number columns take any number,
+    rounded half away from zero, as a load into NUMBER(38,0) does."""
+    if isinstance(kind, (T.LongType, T.IntegerType)):
+        return value.try_cast("decimal(38,6)").try_cast("decimal(38,0)").try_cast(kind)
+    return value.try_cast(kind)
+
+
 @dataclass
 class CsvLoad:
     good: DataFrame
@@ -64,14 +72,14 @@ def read_csv_drop(
     checks = [F.col(CORRUPT).isNull()]
     for f in schema.fields:
         value = field(f.name)
-        converts = value.isNull() | value.try_cast(f.dataType).isNotNull()
+        converts = value.isNull() | converted(value, f.dataType).isNotNull()
         if f.name in not_null:
             converts = value.isNotNull() & converts
         checks.append(converts)
     ok = all_of(checks)
     marked = raw.withColumn("_ok", F.coalesce(ok, F.lit(False)))
     good = marked.where(F.col("_ok")).select(
-        *[field(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+        *[converted(field(f.name), f.dataType).alias(f.name) for f in schema.fields]
     )
     rejected = marked.where(~F.col("_ok")).drop("_ok")
     return CsvLoad(good, rejected)

@@ -11,8 +11,9 @@ mart's edge cases are exercised at every scale:
   web sales (together they are all of ``lineitem``).
 * ``inventory`` is derived from the sales keys, one snapshot per item and
   warehouse on the Tuesday of a week with sales and of the following week,
-  with an extra Thursday snapshot for one item in ten (the fan-out case) and
-  no inventory at all for item/warehouse pairs with ``(item + wh) % 3 = 0``.
+  with an extra Thursday snapshot for one item in ten (the fan-out case). For
+  the weekly fact, which must also meet sales without inventory,
+  ``inventory_with_gaps`` leaves out the pairs with ``(item + wh) % 23 = 0``.
 * three customer loads (``load`` 0, 1, 2) model arrivals, changes, value ->
   NULL, A -> B -> A and customers missing from a load.
 * customer address / demographics / household / income band stand-ins come
@@ -65,6 +66,16 @@ def web_sales(t: Tables) -> DataFrame:
     return _sales_channel(t.lineitem.where(F.col("l_linenumber") > 4), "ws_")
 
 
+def catalog_sales_billed(t: Tables) -> DataFrame:
+    """``catalog_sales`` with the bill-to keys that the order and its customer carry."""
+    o = t.orders.select(F.col("o_orderkey").cast("bigint").alias("_o"), F.col("o_custkey").cast("bigint").alias("cs_bill_customer_sk"))
+    c = t.customer.select(F.col("c_custkey").alias("_c"), F.col("c_nationkey").cast("bigint").alias("_n"))
+    cs = catalog_sales(t)
+    j = cs.join(o, cs["cs_order_number"] == o["_o"], "left").join(c, F.col("cs_bill_customer_sk") == c["_c"], "left")
+    return j.select(cs["*"], "cs_bill_customer_sk", F.col("_n").alias("cs_bill_cdemo_sk"), F.col("_n").alias("cs_bill_hdemo_sk"),
+                    F.col("cs_bill_customer_sk").alias("cs_bill_addr_sk"))
+
+
 def inventory(t: Tables) -> DataFrame:
     """Weekly inventory snapshots derived from the keys of both channels."""
 
@@ -76,7 +87,6 @@ def inventory(t: Tables) -> DataFrame:
         ).where(F.col("wh").isNotNull() & F.col("sunday").isNotNull())
 
     k = keys(catalog_sales(t), "cs_").unionByName(keys(web_sales(t), "ws_"))
-    k = k.where((F.col("item") + F.col("wh")) % 3 != 0)
     offsets = F.when(
         F.col("item") % 10 == 0, F.array(F.lit(2), F.lit(4), F.lit(9))
     ).otherwise(F.array(F.lit(2), F.lit(9)))
@@ -87,13 +97,18 @@ def inventory(t: Tables) -> DataFrame:
     )
     qty = (F.col("item") * 31 + F.col("wh") * 17 + F.col("day")) % 60
     return snaps.select(
-        F.col("day").cast("int").alias("inv_data_sk"),
-        F.col("item").cast("int").alias("inv_item_sk"),
-        _null_when((F.col("item") + F.col("day")) % 50 == 0, qty).cast("int").alias("inv_quantity_on_hand"),
-        F.col("wh").cast("int").alias("inv_warehouse_sk"),
+        F.col("day").cast("bigint").alias("inv_data_sk"),
+        F.col("item").cast("bigint").alias("inv_item_sk"),
+        _null_when((F.col("item") + F.col("day")) % 50 == 0, qty).cast("bigint").alias("inv_quantity_on_hand"),
+        F.col("wh").cast("bigint").alias("inv_warehouse_sk"),
     )
 
 
+def inventory_with_gaps(t: Tables) -> DataFrame:
+    """The inventory without some item/warehouse pairs: their weeks have sales but no stock row."""
+    return inventory(t).where((F.col("inv_item_sk") + F.col("inv_warehouse_sk")) % 23 != 0)
+
+
 def customer_load(t: Tables, load: int) -> DataFrame:
     """Raw CUSTOMER as delivered by load 0, 1 or 2."""
     c = t.customer

@@ -1,15 +1,16 @@
 """Stored tables on a shared file system, without a transactional table format.
 
-Two layouts cover the mart's write patterns:
-
-* :class:`VersionedTable` - every write is a new immutable version folder
-  ``<root>/v=000042``; readers take the highest committed version (one with
-  ``_SUCCESS``). Gives an atomic switch for full refreshes (TRUNCATE + load),
-  create-or-replace, and for the customer history, whose next version is
-  computed from the current one (a path cannot be overwritten while it is read).
-* :class:`SlicedTable` - partitioned by a slice key (sold day or sold week);
-  an incremental run drops the last slice and writes the new ones with
-  dynamic partition overwrite, so only the touched slices are rewritten.
+Every write puts its files into a folder of its own (``data/<id>``) and then
+publishes them with one small commit file, ``_commits/<n>``, whose JSON names
+the folders that make up the table. A reader takes the newest commit, so it
+sees the table before a write or after it, never in between, and a job that
+dies leaves nothing but an unnamed folder. A writer states the commit it
+started from; commit ``n + 1`` can be created only once, so of two writers that
+started from the same one the second fails instead of dropping the first's rows.
+
+* :class:`VersionedTable` - each write replaces the whole table.
+* :class:`SlicedTable` - keyed by an integer slice (sold day or sold week) and
+  stored in coarser folders; a write drops one slice and appends a batch.
 
 Paths go through the Hadoop ``FileSystem`` API, so they work on HDFS, object
 stores and local disks alike.
@@ -17,13 +18,21 @@ stores and local disks alike.
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+class ConcurrentWrite(RuntimeError):
+    """Another writer has published since this one read the table."""
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -40,17 +49,35 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    """Create an empty marker file (overwriting one that exists)."""
+def list_names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
-    fs.create(p, True).close()
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
-def list_dirs(spark: SparkSession, path: str) -> list[str]:
+def _read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a file that must not exist yet."""
+    fs, p = _fs(spark, path)
+    try:
+        stream = fs.create(p, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception):
+            raise ConcurrentWrite(path) from e
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -62,77 +89,150 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Temporarily override SQL settings (for looking at plans; jobs do not use it)."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+class CommitLog:
+    """The published states of a table, numbered from 1.
+
+    ``retain``: commits kept readable; older ones are removed together with
+    the folders that only they name (a query still reading such an old state
+    would fail, so keep more than a query's runtime spans). None keeps all.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, retain: int | None = None):
+        if retain is not None and retain < 1:
+            raise ValueError("retain must be at least 1")
+        self.spark, self.root, self.retain = spark, root.rstrip("/"), retain
+
+    def _path(self, n: int) -> str:
+        return f"{self.root}/_commits/{n:08d}"
+
+    def numbers(self) -> list[int]:
+        return sorted(int(x) for x in list_names(self.spark, f"{self.root}/_commits") if x.isdigit())
+
+    def state(self, n: int) -> dict:
+        return json.loads(_read_text(self.spark, self._path(n)))
+
+    def latest(self) -> tuple[int, dict]:
+        """(number, state) of the newest commit; (0, {}) before the first."""
+        for n in reversed(self.numbers()):
+            text = _read_text(self.spark, self._path(n))
+            if text:  # empty while its writer is about to fill it
+                return n, json.loads(text)
+        return 0, {}
+
+    def new_folder(self) -> str:
+        """A folder for a write's files, relative to the table's root."""
+        return f"data/{uuid.uuid4().hex[:16]}"
+
+    def publish(self, base: int, state: dict) -> int:
+        """Make ``state`` the table's content if ``base`` is still the newest commit."""
+        numbers = self.numbers()
+        if numbers and numbers[-1] > base:
+            raise ConcurrentWrite(f"{self.root}: commit {numbers[-1]} was published after {base}")
+        _create_text(self.spark, self._path(base + 1), json.dumps(state))
+        if self.retain is not None:
+            self._expire(base + 1)
+        return base + 1
+
+    def _expire(self, newest: int) -> None:
+        old = [n for n in self.numbers() if n <= newest - self.retain]
+        if not old:
+            return
+        named = {f for n in self.numbers() if n not in old for f in folders(self.state(n))}
+        gone = {f for n in old for f in folders(self.state(n))} - named
+        for n in old:
+            delete_path(self.spark, self._path(n))
+        for f in sorted(gone):
+            delete_path(self.spark, f"{self.root}/{f}")
+
+
+def folders(state: dict) -> list[str]:
+    """The data folders that a state names."""
+    return [part["folder"] for part in state.get("parts", [])]
+
+
+def _read_parts(spark: SparkSession, root: str, state: dict, parts: list[dict] | None = None) -> DataFrame:
+    schema = T.StructType.fromJson(state["schema"])
+    paths = [f"{root}/{p['folder']}" for p in (state["parts"] if parts is None else parts)]
+    return spark.read.schema(schema).parquet(*paths) if paths else empty_frame(spark, schema)
+
+
+def open_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current rows of a stored table, or of a plain Parquet path.
+
+    The one way to read an input whose writer is not known: a folder with
+    published commits is read through the newest one, anything else as Parquet.
+    """
+    log = CommitLog(spark, path)
+    if path_exists(spark, f"{log.root}/_commits"):
+        n, state = log.latest()
+        if not n:
+            raise ValueError(f"{path}: the table's first write is not finished")
+        return _read_parts(spark, log.root, state)
+    return spark.read.parquet(path)
+
+
 class VersionedTable:
-    """A table whose writes are new versions; the current one is the newest committed."""
+    """A table whose every write replaces it; older versions stay readable until retired."""
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, retain: int | None = None):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-
-    def _version_path(self, n: int) -> str:
-        return f"{self.root}/v={n:06d}"
+        self.log = CommitLog(spark, root, retain)
 
     def versions(self) -> list[int]:
-        out = []
-        for name in list_dirs(self.spark, self.root):
-            if name.startswith("v=") and path_exists(self.spark, f"{self.root}/{name}/_SUCCESS"):
-                out.append(int(name[2:]))
-        return sorted(out)
+        return self.log.numbers()
 
     def current_version(self) -> int | None:
-        v = self.versions()
-        return v[-1] if v else None
+        return self.log.latest()[0] or None
 
     def read(self, version: int | None = None) -> DataFrame:
-        v = self.current_version() if version is None else version
-        if v is None:
-            return empty_frame(self.spark, self.schema)
-        return self.spark.read.schema(self.schema).parquet(self._version_path(v))
+        state = self.log.latest()[1] if version is None else self.log.state(version)
+        return _read_parts(self.spark, self.root, state) if state else empty_frame(self.spark, self.schema)
 
-    def write(self, df: DataFrame) -> int:
-        """Write ``df`` as the next version and return its number.
+    def write(self, df: DataFrame, base: int | None = None) -> int:
+        """Publish ``df`` as the next version and return its number.
 
-        ``errorifexists`` makes two concurrent writers of the same version fail
-        instead of mixing files; a failed job leaves no ``_SUCCESS`` and is ignored.
+        ``base``: the version that ``df`` was computed from (default: the
+        current one). Fails with :class:`ConcurrentWrite` if another was published since.
         """
-        n = (self.current_version() or 0) + 1
-        while path_exists(self.spark, self._version_path(n)):
-            n += 1  # skip a folder left by a failed attempt
-        conform(df, self.schema).write.mode("errorifexists").parquet(self._version_path(n))
-        return n
+        if base is None:
+            base = self.log.latest()[0]
+        folder = self.log.new_folder()
+        conform(df, self.schema).write.mode("errorifexists").parquet(f"{self.root}/{folder}")
+        return self.log.publish(base, {"schema": self.schema.jsonValue(), "parts": [{"folder": folder}]})
 
     def truncate(self) -> int:
         """``TRUNCATE TABLE``: a new, empty version (schema kept)."""
-        return self.write(empty_frame(self.spark, self.schema))
-
-
-@contextmanager
-def session_conf(spark: SparkSession, settings: dict[str, str]):
-    """Temporarily override SQL settings for the actions run inside the block.
-
-    Settings are session-wide while the block runs, so queries started on the
-    same session from other threads at that time see them too."""
-    old = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        return self.log.publish(self.log.latest()[0], {"schema": self.schema.jsonValue(), "parts": []})
 
 
 class SlicedTable:
-    """A table partitioned by one integer slice key, rewritten slice by slice.
+    """A table keyed by one integer slice, changed by "drop a slice, append a batch".
 
-    The slice folders are the table's index: the newest slice (the watermark)
-    and the slices a run needs are found from one directory listing, so no
-    data file is opened to plan an incremental run, and a pruned read lists
-    only the slices it reads.
+    Slices are stored as a column in folders of ``width`` consecutive slices,
+    so a daily table of years has tens of files, not thousands. The commit
+    lists the folders and the newest slice (the watermark), so a run plans
+    from one small file; a pruned read lists only the folders it needs.
     """
 
+    #: Folders one range of slices may have before a write merges them.
+    MAX_PARTS = 8
+
     def __init__(
         self,
         spark: SparkSession,
@@ -140,71 +240,87 @@ class SlicedTable:
         schema: T.StructType,
         slice_col: str,
         cluster_by: tuple[str, ...] = (),
+        width: int = 32,
+        retain: int | None = None,
     ):
         self.spark, self.root, self.schema, self.slice_col = spark, root.rstrip("/"), schema, slice_col
-        self.cluster_by = cluster_by
+        self.cluster_by, self.width = cluster_by, width
+        self.log = CommitLog(spark, root, retain)
 
     def exists(self) -> bool:
-        return path_exists(self.spark, self.root)
-
-    def slices(self) -> list[int]:
-        prefix = f"{self.slice_col}="
-        return sorted(
-            int(name[len(prefix):])
-            for name in list_dirs(self.spark, self.root)
-            if name.startswith(prefix) and name[len(prefix):].lstrip("-").isdigit()
-        )
+        return self.log.latest()[0] > 0
 
     def read(self, min_slice: int | None = None) -> DataFrame:
-        """The table, or only its slices ``>= min_slice`` (partition pruning by path)."""
-        if not self.exists():
+        """The table, or only its slices ``>= min_slice`` (older folders are not opened)."""
+        _, state = self.log.latest()
+        if not state:
             return empty_frame(self.spark, self.schema)
-        reader = self.spark.read.schema(self.schema)
         if min_slice is None:
-            df = reader.parquet(self.root)
-        else:
-            paths = [self.slice_path(v) for v in self.slices() if v >= min_slice]
-            if not paths:
-                return empty_frame(self.spark, self.schema)
-            df = reader.option("basePath", self.root).parquet(*paths)
-        return df.select(*self.schema.fieldNames())
+            return _read_parts(self.spark, self.root, state)
+        parts = [p for p in state["parts"] if p["bucket"] >= min_slice // self.width]
+        return _read_parts(self.spark, self.root, state, parts).where(F.col(self.slice_col) >= F.lit(min_slice))
+
+    def slices(self) -> list[int]:
+        """The distinct slices (one row a slice)."""
+        return sorted(r[0] for r in self.read().select(self.slice_col).distinct().collect())
 
     def last_slice(self) -> int | None:
-        """``SELECT MAX(slice)``: the watermark, read eagerly before any write."""
-        s = self.slices()
-        return s[-1] if s else None
-
-    def slice_path(self, value) -> str:
-        return f"{self.root}/{self.slice_col}={value}"
-
-    def delete_slice(self, value) -> None:
-        """``DELETE ... WHERE slice = value``: drops that slice's folder."""
-        if value is not None:
-            delete_path(self.spark, self.slice_path(value))
-
-    def write_slices(self, batch: DataFrame) -> None:
-        """``INSERT`` a batch: its slices replace any existing ones of the same key.
-
-        ``rebalance`` on the slice key puts each slice in one shuffle partition
-        (one file per slice) and lets AQE split an oversized slice over several
-        writers. Partition coalescing is switched off for this write so that
-        the slices are written by parallel tasks instead of being merged into
-        a few tasks that each write thousands of files. Rows are sorted by
-        ``cluster_by`` inside each slice (the writer sorts by slice anyway), so
-        Parquet min/max statistics let filters on those columns skip row groups.
+        """``SELECT MAX(slice)``: the watermark, as the newest commit states it."""
+        return self.log.latest()[1].get("last")
+
+    def replace_slice(self, dropped: int | None, batch: DataFrame | None) -> int:
+        """``DELETE WHERE slice = dropped``, then ``INSERT`` the batch: one commit.
+
+        Rows of other slices stay, also where the batch adds to their slice.
+        The folders that hold the dropped slice are written again without it,
+        together with the batch's rows of that range and with ranges that have gathered many folders; all other
+        folders are kept as they are. Nothing is removed before the new state is
+        published, and a run that dies leaves the table unchanged. NULL slices are not stored.
+
+        ``rebalance`` on the range puts each range in one shuffle partition
+        and lets AQE split an oversized one over several writers. Rows are
+        sorted by slice and ``cluster_by``, so Parquet min/max statistics let
+        filters on those columns skip row groups.
         """
-        out = conform(batch, self.schema).hint("rebalance", self.slice_col)
-        out = out.sortWithinPartitions(self.slice_col, *self.cluster_by)
-        with session_conf(self.spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
-            (
-                out.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(self.slice_col)
-                .parquet(self.root)
-            )
-
-
-def copy_table(spark: SparkSession, src: DataFrame, dst: str) -> DataFrame:
-    """``CREATE OR REPLACE TABLE dst CLONE src`` as a full copy; returns the copy."""
-    src.write.mode("overwrite").parquet(dst)
-    return spark.read.schema(src.schema).parquet(dst)
+        base, state = self.log.latest()
+        parts = state.get("parts", [])
+        held: dict[int, int] = {}
+        for p in parts:
+            held[p["bucket"]] = held.get(p["bucket"], 0) + 1
+        redone = {b for b, n in held.items() if n >= self.MAX_PARTS}
+        if dropped is not None:
+            redone.add(dropped // self.width)
+        kept = [p for p in parts if p["bucket"] not in redone]
+        old = [p for p in parts if p["bucket"] in redone]
+        rows = empty_frame(self.spark, self.schema) if batch is None else conform(batch, self.schema)
+        rows = rows.where(F.col(self.slice_col).isNotNull())
+        if old:
+            again = _read_parts(self.spark, self.root, state, old)
+            if dropped is not None:
+                again = again.where(F.col(self.slice_col) != F.lit(dropped))
+            rows = again.unionByName(rows)
+        folder = self.log.new_folder()
+        out = rows.withColumn("_range", F.floor(F.col(self.slice_col) / self.width).cast("long")).hint("rebalance", "_range")
+        out = out.sortWithinPartitions("_range", self.slice_col, *self.cluster_by)
+        out.write.mode("errorifexists").partitionBy("_range").parquet(f"{self.root}/{folder}")
+        new = [
+            {"folder": f"{folder}/{name}", "bucket": int(name.partition("=")[2])}
+            for name in sorted(list_names(self.spark, f"{self.root}/{folder}"))
+            if name.startswith("_range=")
+        ]
+        parts = kept + new
+        after = {"schema": self.schema.jsonValue(), "parts": parts, "last": None}
+        if parts:
+            newest = max(p["bucket"] for p in parts)
+            newest = [p for p in parts if p["bucket"] == newest]
+            after["last"] = _read_parts(self.spark, self.root, after, newest).agg(F.max(self.slice_col)).first()[0]
+        return self.log.publish(base, after)
+
+
+def copy_table(spark: SparkSession, src: DataFrame, dst: str, retain: int | None = None) -> DataFrame:
+    """``CREATE OR REPLACE TABLE dst CLONE src`` as a full copy; returns the copy.
+
+    A failed copy leaves the previous one."""
+    table = VersionedTable(spark, dst, src.schema, retain)
+    table.write(src)
+    return table.read()

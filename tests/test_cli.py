@@ -5,6 +5,7 @@ from __future__ import annotations
 from stockledger.plans import cli
 from stockledger.session import shared_dir
 from stockledger.sources import fixtures as fx
+from stockledger.sources.storage import open_table
 from stockledger.sources.tables import Tables
 
 
@@ -40,14 +41,25 @@ def test_cli_jobs(spark, sf_dir):
               "--target", f"{root}/dim_strict"])
     cli.main(["copy", "--source", p["item"], "--target", f"{root}/item_dim"])
     checks = cli.main(["checks", "--weekly", f"{root}/weekly", "--item-dim", f"{root}/item_dim",
-                       "--customer-dim", f"{root}/dim/v=000001", "--customer", p["cust"],
+                       "--customer-dim", f"{root}/dim", "--customer", p["cust"],
                        "--customer-demographics", p["cd"]])["checks"]
     assert len(checks) == 5 and all(c["passed"] for c in checks), checks
     drop = f"{root}/inventory_csv"
     fx.inventory_csv_lines(inputs["inv"]).write.text(drop)
     assert cli.main(["ingest", "--csv", drop, "--target", f"{root}/raw_inv", "--rejects", f"{root}/rejects"])["version"] == 1
-    good = spark.read.parquet(f"{root}/raw_inv/v=000001").count()
-    bad = spark.read.parquet(f"{root}/rejects/v=000001").count()
+    good = open_table(spark, f"{root}/raw_inv").count()
+    bad = open_table(spark, f"{root}/rejects").count()
     assert good + bad == inputs["inv"].count() + 1 and bad > 1  # + the header line
-    a = spark.read.parquet(f"{root}/dim/v=000001").count()
-    assert a == spark.read.parquet(f"{root}/dim_strict/v=000001").count() > 0
+    a = open_table(spark, f"{root}/dim").count()
+    assert a == open_table(spark, f"{root}/dim_strict").count() > 0
+    # a second ingest of the same drop, the weekly job on the stored root: nothing doubles
+    weekly = ["weekly", "--daily", f"{root}/daily", "--inventory", f"{root}/raw_inv", "--date-dim", p["cal"], "--target"]
+    cli.main([*weekly, f"{root}/weekly_1"])
+    assert cli.main(["ingest", "--csv", drop, "--target", f"{root}/raw_inv"])["version"] == 2
+    cli.main([*weekly, f"{root}/weekly_2"])
+    one, two = (sorted(map(tuple, open_table(spark, f"{root}/weekly_{i}").collect()), key=str) for i in (1, 2))
+    assert one == two and one
+    # a copy of a stored table takes its newest version, and a second copy replaces the first
+    for _ in range(2):
+        cli.main(["copy", "--source", f"{root}/raw_inv", "--target", f"{root}/inv_copy"])
+    assert open_table(spark, f"{root}/inv_copy").count() == good

@@ -117,18 +117,25 @@ def test_open_closed_layout_equals_full_rewrite(spark):
     assert split.open_versions().count() == 3
 
 
-def test_open_closed_layout_heals_a_missing_flush(spark):
+def test_open_closed_history_is_complete_at_each_moment(spark, monkeypatch):
+    """A run that dies before it publishes changes nothing; what it wrote is never read."""
     from stockledger.sources.history import OpenClosedHistory
+    from stockledger.sources.storage import CommitLog
 
     split = OpenClosedHistory(spark, shared_dir(spark, "test_history"))
     jobs.run_customer_history_strict(cust(spark, [(1, "A", 5)]), split, "2024-01-01")
-    v = jobs.run_customer_history_strict(cust(spark, [(1, "B", 5)]), split, "2024-01-02")
-    split.closed.delete_slice(v)  # as if the run died after writing the open version
-    from stockledger.sources.storage import delete_path
-
-    delete_path(spark, split._marker(v))
-    assert split.read().count() == 1
-    jobs.run_customer_history_strict(cust(spark, [(1, "B", 5)]), split, "2024-01-03")
+    before = history_rows(split.read())
+
+    def dies(self, base, state):
+        assert history_rows(split.read()) == before  # a reader between the write and the commit
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(CommitLog, "publish", dies)
+        with pytest.raises(RuntimeError, match="executor lost"):
+            jobs.run_customer_history_strict(cust(spark, [(1, "B", 5)]), split, "2024-01-02")
+    assert history_rows(split.read()) == before
+    jobs.run_customer_history_strict(cust(spark, [(1, "B", 5)]), split, "2024-01-02")
     assert history_rows(split.read()) == [(1, "A", 1, 2), (1, "B", 2, None)]
 
 

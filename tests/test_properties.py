@@ -214,10 +214,10 @@ def brute_csv(lines):
                 vals.append(None)
             else:
                 try:
-                    v = int(f)
-                except ValueError:
+                    v = int(Decimal(f).quantize(Decimal(1), ROUND_HALF_UP))
+                except (ArithmeticError, ValueError):
                     break
-                if not -2**31 <= v < 2**31:
+                if not -2**63 <= v < 2**63:
                     break
                 vals.append(v)
         else:

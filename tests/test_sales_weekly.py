@@ -141,11 +141,21 @@ def test_weekly_having_on_first_sale_day(spark):
     assert [(r.item_sk, r.sold_wk_sk) for r in rows] == [(11, SUN)]
 
 
-def test_calendar_size_guard(spark):
-    cal = cal_days(spark, "2024-01-07", "2024-01-13")
-    calendar.assert_calendar_size(cal)
-    with pytest.raises(ValueError):
-        calendar.assert_calendar_size(cal, max_days=3)
+def test_long_calendar_is_not_refused(spark):
+    """The public retail schema's date table has 73,049 days; nothing caps a calendar's span."""
+    cal = cal_days(spark, "1800-01-01", "2100-12-31")
+    assert cal.count() > 100_000
+    cs = channel(spark, "cs_", [(1, 10, SUN, 2, Decimal("5.00"), Decimal("1.0000"))])
+    (r,) = sales.daily_sales(sales.sales_union(cs, channel(spark, "ws_", [])), cal).collect()
+    assert r.daily_qty == 2 and r.sold_yr_num == 2024
+
+
+def test_double_amounts_are_rounded_per_line(spark):
+    """FLOAT amounts: each line counts with four decimals, so sums do not depend on the order of rows."""
+    schema = CH.format(p="cs_").replace("decimal(12,2)", "double").replace("decimal(18,4)", "double")
+    cs = spark.createDataFrame([(1, 10, SUN, 1, 0.1, 0.00004), (1, 10, SUN, 3, 0.1, 0.00006)], schema)
+    (r,) = sales.daily_sales(sales.sales_union(cs, channel(spark, "ws_", [])), cal_days(spark, "2024-01-07", "2024-01-13")).collect()
+    assert r.daily_sales_amt == 0.4 and r.daily_net_profit == 0.0001
 
 
 def test_calendar_schema(spark):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from stockledger.session import shared_dir
 
 
@@ -12,3 +14,20 @@ def test_shared_dir_is_under_the_checkpoint_dir(spark):
     if base:
         assert a.startswith(base)
     assert spark.sparkContext.getCheckpointDir()  # set when it was missing (local tests)
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session(), "x")
