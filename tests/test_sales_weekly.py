@@ -42,11 +42,6 @@ def test_calendar_rules(spark):
     assert 0 in {r.s for r in per_week_u.collect()}
 
 
-def test_calendar_span_guard(spark):
-    with pytest.raises(Exception):
-        cal_days(spark, "1000-01-01", "2999-01-01").count()
-
-
 def test_sales_union_filters_and_watermark(spark):
     cs = channel(spark, "cs_", [
         (1, 10, SUN, 2, Decimal("5.00"), Decimal("1.0000")),
