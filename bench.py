@@ -28,11 +28,17 @@ HEADLINE = (
     "weekly_missing_sunday",
     "daily_sales_incremental",
     "weekly_sales_incremental",
+    "weekly_incremental_iso_calendar",
+    "daily_late_rows",
+    "daily_vanished_slice",
+    "ingest_to_weekly",
     "customer_scd2",
     "customer_scd2_strict",
     "customer_dim_current",
     "csv_ingest_skip_bad",
     "csv_full_refresh",
+    "csv_rejected_lines",
+    "csv_truncate_reload",
     "dim_snapshot_copy",
     "dq_not_null",
     "dq_unique",
@@ -64,7 +70,7 @@ def main() -> None:
         shuffle_partitions=int(cpus),
         extra={"spark.driver.memory": "16g", "spark.local.dir": scratch},
     )
-    if not spark.sparkContext.getCheckpointDir():
+    if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
         spark.sparkContext.setCheckpointDir(os.path.join(scratch, "checkpoint"))
     reg = registry()
     names = [n for n in HEADLINE if n in reg] + sorted(set(reg) - set(HEADLINE))
