@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +20,23 @@ SUB_BATCH_BYTES = 1 << 20
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once a context, as Spark does with any ``--py-files``."""
+    sc = spark.sparkContext
+    if getattr(sc, "_stockledger_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="stockledger-")), "stockledger_modules.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(target)
+    sc._stockledger_shipped = True
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One input table; the path may lie in any store that Spark reads."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
@@ -30,6 +48,7 @@ class Shared:
     """
 
     def __init__(self, spark: SparkSession, purpose: str):
+        ship(spark)
         self.spark = spark
         self.root = shared_dir(spark, purpose)
 
@@ -39,6 +58,19 @@ class Shared:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers (16 bytes or so) that may be broadcast: some tens of MB an executor.
+BROADCAST_ROWS = 500_000
+
+
+def if_small(narrow: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``narrow`` marked for broadcast if a count finds at most ``rows`` rows, else left to Spark's own choice.
+
+    For stored tables of a few numeric columns, whose bytes the row count
+    bounds. The join's result is the same either way.
+    """
+    return F.broadcast(narrow) if narrow.count() <= rows else narrow
+
+
 def fold(doc_id: str | Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; the labelled folds are set by it."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
