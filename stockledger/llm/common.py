@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from stockledger.session import shared_dir
 
-SUB_BATCH_BYTES = 1 << 20
+SUB_BATCH_BYTES = 1 << 19
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -50,16 +50,16 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
-def tokeniser_path() -> str:
-    """The public vocabulary file on this machine; every executor has it at the same place."""
+def tokeniser() -> dict:
+    """The public vocabulary's files on this machine; every executor has them at the same place."""
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
+    return {"path": str(public_tokenizers.path("byte_bpe_50k.json")), "ranks": (str(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)}
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return packing.pack(packing.tokenise(docs, "doc_id", "text", tokeniser_path()), "doc_id", Shared(spark, "packing"))
+    return packing.pack(packing.tokenise(docs, "doc_id", "text", **tokeniser()), "doc_id", Shared(spark, "packing"))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,12 +4,13 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from stockledger.llm import packing as K
 from stockledger.llm.common import Shared
-from stockledger.llm.queries import tokeniser_path
+from stockledger.llm.queries import tokeniser
 
 from .edge import ROWS, empty, frame
 
@@ -18,18 +19,23 @@ from .edge import ROWS, empty, frame
 def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokeniser_path())
+    t = Tokenizer.from_file(tokeniser()["path"])
     t.encode_special_tokens = True
     return t
 
 
-def test_ids_equal_the_tokenizer_s(tokenizer):
+def test_ids_equal_the_tokenizer_s(tokenizer, monkeypatch):
     rng = random.Random(0)
     texts = ["", " ", "a  b", "\n a", "a \n b\n\nc", "it's we 'll  don't", "<|endoftext|> x <|endoftext|>", "x\t y", "  a  b \x1c c", "a" * 300 + " b" * 50]
     texts += ["".join(rng.choice(" \n\tab'1.é  ") for _ in range(rng.randint(0, 30))) for _ in range(2000)]
-    encoder = K.Encoder(tokeniser_path())
+    texts += [t.as_py() for t in pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text")]
     want = [np.array(e.ids, "<u2").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-    assert encoder.encode(texts) == want and encoder.encode(texts) == want
+    for ranks in (None, tokeniser()["ranks"]):
+        encoder = K.Encoder(tokeniser()["path"], ranks)
+        assert encoder.encode(texts) == want and encoder.encode(texts) == want
+    monkeypatch.setattr(K, "_CACHE_WORDS", 50)  # memory is renewed all the time
+    encoder = K.Encoder(**tokeniser())
+    assert [ids for t in texts for ids in encoder.encode([t])] == want
 
 
 def check(rows, pieces, tokenizer, window):
@@ -67,13 +73,13 @@ def test_pieces_hold_every_id_once(spark, tokenizer, window):
     rows = [(i, " ".join("".join(rng.choice("abcde") for _ in range(rng.randint(1, 7))) for _ in range(rng.choice([3, 20, 20, 60, 700])))) for i in range(150)]
     rows += [*ROWS, *[(500 + i, "the same short text") for i in range(120)]]  # one length is common
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    pieces = K.pack(K.tokenise(df, "doc_id", "text", tokeniser_path(), window=window), "doc_id", Shared(spark, "k"), window).collect()
+    pieces = K.pack(K.tokenise(df, "doc_id", "text", **tokeniser(), window=window), "doc_id", Shared(spark, "k"), window).collect()
     check(rows, pieces, tokenizer, window)
 
 
 def test_odd_frames(spark):
     for df, n in ((empty(spark), 0), (frame(spark).where("doc_id = 1"), 1)):
-        assert K.pack(K.tokenise(df, "doc_id", "text", tokeniser_path()), "doc_id", Shared(spark, "k")).count() == n
+        assert K.pack(K.tokenise(df, "doc_id", "text", **tokeniser()), "doc_id", Shared(spark, "k")).count() == n
     assert frame(spark).where(F.col("key") == "mine").count() == len(ROWS)
 
 
