@@ -17,8 +17,9 @@ documents link when 100 * |A and B| >= 75 * |A or B|. The steps:
    components is lost; pairs inside one component need no test.
 
 Shingles travel in blobs, one per batch and hash bucket, so the shuffle moves
-8 to 20 bytes an entry and no rows of its own; the number of buckets grows
-with the input. Sets are kept only for documents that occur in pairs.
+5 to 16 bytes an entry and no rows of its own; the number of buckets grows
+with the input. Signatures are kept for documents that share a list, and
+sets go only to the tiles that need them.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, Words, as_long, components, sub_batches
+from .common import Shared, Words, as_long, components, if_small, sub_batches
 
 SHINGLE = 5
 PERCENT = 75
@@ -64,9 +65,8 @@ def _sets(column: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.n
         yield lo, hi, values, np.searchsorted(rows, np.arange(hi - lo + 1))
 
 
-def _scan(df: DataFrame, key: str, text: str, k: int, n_buckets: int) -> DataFrame:
-    """Rows (key, n, d1, d2) of every document, and rows (bucket, hashes, counts) of its low shingles."""
-    top = np.uint64(int(COUNTED * 2**64))
+def _digests(df: DataFrame, key: str, text: str, k: int) -> DataFrame:
+    """(key, n, d1, d2): the size and two hashes of each document's set."""
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -78,40 +78,51 @@ def _scan(df: DataFrame, key: str, text: str, k: int, n_buckets: int) -> DataFra
                 d1, d2 = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
                 if len(at):
                     d1[filled], d2[filled] = np.add.reduceat(spread, at), np.add.reduceat(spread * (spread | np.uint64(1)), at)
-                none = pa.nulls(hi - lo, pa.binary())
-                yield pa.RecordBatch.from_arrays([b.column("key").slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(as_long(d1)), pa.array(as_long(d2)), pa.nulls(hi - lo, pa.int32()), none, none], names)
-                low, times = np.unique(values[values < top], return_counts=True)
-                if len(low):
-                    bucket = (low % np.uint64(n_buckets)).astype(np.int32)
-                    order = np.argsort(bucket, kind="stable")
-                    cut = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-                    found = np.flatnonzero(np.diff(cut))
-                    hashes = [low[order[cut[i] : cut[i + 1]]].tobytes() for i in found]
-                    counts = [times[order[cut[i] : cut[i + 1]]].astype(np.uint16).tobytes() for i in found]
-                    nil = [pa.nulls(len(found), b.column("key").type), *(pa.nulls(len(found), pa.int64()) for _ in range(3))]
-                    yield pa.RecordBatch.from_arrays([*nil, pa.array(found.astype(np.int32)), pa.array(hashes, pa.binary()), pa.array(counts, pa.binary())], names)
-
-    names = ["key", "n", "d1", "d2", "bucket", "hashes", "counts"]
+                yield pa.RecordBatch.from_arrays([b.column("key").slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(as_long(d1)), pa.array(as_long(d2))], ["key", "n", "d1", "d2"])
+
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key).alias("key"), F.col(text).alias("t")).mapInArrow(part, f"key {kind}, n long, d1 long, d2 long, bucket int, hashes binary, counts binary")
+    return df.select(F.col(key).alias("key"), F.col(text).alias("t")).mapInArrow(part, f"key {kind}, n long, d1 long, d2 long")
+
+
+def _split(bucket: np.ndarray, n_buckets: int, *columns: np.ndarray) -> pa.RecordBatch:
+    """Rows (bucket, one blob a column) of the entries of each bucket."""
+    order = np.argsort(bucket, kind="stable")
+    cut = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+    found = np.flatnonzero(np.diff(cut))
+    blobs = [[c[order[cut[i] : cut[i + 1]]].tobytes() for i in found] for c in columns]
+    return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), *(pa.array(x, pa.binary()) for x in blobs)], ["bucket", *(f"c{i}" for i in range(len(columns)))])
+
 
+def _blobs(t: pa.Table, *kinds: type) -> list[np.ndarray]:
+    return [np.frombuffer(b"".join(t.column(f"c{i}").to_pylist()), d) for i, d in enumerate(kinds)]
 
-def _common(scan: DataFrame) -> np.ndarray:
-    """Sorted hashes of the commonest low shingles."""
+
+def _common(df: DataFrame, text: str, k: int, n_buckets: int) -> np.ndarray:
+    """Sorted top halves of the hashes of the commonest low shingles.
+
+    Half a hash is enough: any function of a shingle may set the order.
+    """
+    top = np.uint32(int(COUNTED * 2**32))
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for _, _, values, _ in _sets(b.column("t"), k):
+                half = (values >> np.uint64(32)).astype(np.uint32)
+                low, times = np.unique(half[half < top], return_counts=True)
+                yield _split((low % np.uint32(n_buckets)).astype(np.int32), n_buckets, low, np.minimum(times, 255).astype(np.uint8))
 
     def count(t: pa.Table) -> pa.Table:
-        h = np.frombuffer(b"".join(t.column("hashes").to_pylist()), np.uint64)
-        c = np.frombuffer(b"".join(t.column("counts").to_pylist()), np.uint16)
+        h, c = _blobs(t, np.uint32, np.uint8)
         order = np.argsort(h)
         h, c = h[order], c[order].astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         total = np.add.reduceat(c, first)
         keep = total >= COMMON
-        return pa.table({"h": as_long(h[first][keep]), "n": total[keep]})
+        return pa.table({"h": h[first][keep].astype(np.int64), "n": total[keep]})
 
-    blobs = scan.where("bucket is not null").select("bucket", "hashes", "counts")
+    blobs = df.select(F.col(text).alias("t")).mapInArrow(part, "bucket int, c0 binary, c1 binary")
     rows = blobs.groupBy("bucket").applyInArrow(count, "h long, n long").orderBy(F.desc("n"), "h").limit(MOST_COMMON).collect()
-    return np.sort(np.array([r.h for r in rows], np.int64).view(np.uint64))
+    return np.sort(np.array([r.h for r in rows], np.uint32))
 
 
 def _lists(df: DataFrame, key: str, text: str, k: int, percent: int, common: np.ndarray, n_buckets: int) -> DataFrame:
@@ -126,22 +137,16 @@ def _lists(df: DataFrame, key: str, text: str, k: int, percent: int, common: np.
                 n = np.diff(off)
                 rows = np.repeat(np.arange(len(n)), n)
                 if len(common):
-                    at = np.minimum(np.searchsorted(common, values), len(common) - 1)
-                    is_common = common[at] == values
-                    order = np.lexsort((values, is_common, rows))
-                    values = values[order]
+                    half = (values >> np.uint64(32)).astype(np.uint32)
+                    at = np.minimum(np.searchsorted(common, half), len(common) - 1)
+                    values = values[np.lexsort((values, common[at] == half, rows))]
                 take = (np.arange(len(values)) - off[rows]) < prefix_length(n, percent)[rows]
                 values, rows = values[take], rows[take]
-                bucket = (values % np.uint64(n_buckets)).astype(np.int32)
-                order = np.argsort(bucket, kind="stable")
-                cut = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-                found = np.flatnonzero(np.diff(cut))
-                own, size = keys[lo + rows], n[rows].astype(np.int32)
-                blobs = [[x[order[cut[i] : cut[i + 1]]].tobytes() for i in found] for x in (values, own, size)]
-                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), *(pa.array(x, pa.binary()) for x in blobs)], ["bucket", "hashes", "keys", "sizes"])
+                # the bucket and half a hash name a shingle; the rare collision only adds a pair to test
+                yield _split((values % np.uint64(n_buckets)).astype(np.int32), n_buckets, (values >> np.uint64(32)).astype(np.uint32), keys[lo + rows], n[rows].astype(np.int32))
 
     def meet(t: pa.Table) -> pa.Table:
-        h, own, size = (np.frombuffer(b"".join(t.column(c).to_pylist()), d) for c, d in (("hashes", np.uint64), ("keys", np.int64), ("sizes", np.int32)))
+        h, own, size = _blobs(t, np.uint32, np.int64, np.int32)
         order = np.lexsort((own, h))
         h, own, size = h[order], own[order], size[order]
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
@@ -161,7 +166,7 @@ def _lists(df: DataFrame, key: str, text: str, k: int, percent: int, common: np.
         keep = np.repeat(chosen, length)
         return pa.table({"list": as_long(np.repeat(name, length)[keep]), "key": own[keep], "n": size[keep]})
 
-    blobs = df.select(F.col(key).alias("key"), F.col(text).alias("t")).mapInArrow(part, "bucket int, hashes binary, keys binary, sizes binary")
+    blobs = df.select(F.col(key).alias("key"), F.col(text).alias("t")).mapInArrow(part, "bucket int, c0 binary, c1 binary, c2 binary")
     return blobs.groupBy("bucket").applyInArrow(meet, "list long, key long, n int")
 
 
@@ -193,19 +198,20 @@ def links(overlap: int, n_a: int, n_b: int, percent: int) -> bool:
     return 100 * overlap >= percent * (n_a + n_b - overlap)
 
 
-def _sets_of(df: DataFrame, key: str, text: str, k: int, wanted: DataFrame) -> DataFrame:
-    """(key, n, bits, set) of the documents in ``wanted(key)``."""
+def _signatures(df: DataFrame, key: str, text: str, k: int, wanted: DataFrame) -> DataFrame:
+    """(key, n, bits) of the documents in ``wanted(key)``."""
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, values, off in _sets(b.column("t"), k):
-                own = [values[off[i] : off[i + 1]] for i in range(hi - lo)]
-                yield pa.RecordBatch.from_arrays([b.column("key").slice(lo, hi - lo), pa.array([len(v) for v in own], pa.int64()), pa.array([bitmap(v) for v in own], pa.binary()), pa.array([v.tobytes() for v in own], pa.binary())], ["key", "n", "bits", "set"])
+                bits = [bitmap(values[off[i] : off[i + 1]]) for i in range(hi - lo)]
+                yield pa.RecordBatch.from_arrays([b.column("key").slice(lo, hi - lo), pa.array(np.diff(off), pa.int64()), pa.array(bits, pa.binary())], ["key", "n", "bits"])
 
-    return df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("t")).join(wanted, "key", "left_semi").mapInArrow(part, "key long, n long, bits binary, set binary")
+    texts = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("t"))
+    return texts.join(if_small(wanted), "key", "left_semi").mapInArrow(part, "key long, n long, bits binary")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int, shared: Shared) -> DataFrame:
+def _verified(pairs: DataFrame, signatures: DataFrame, df: DataFrame, key: str, text: str, k: int, percent: int, shared: Shared) -> DataFrame:
     """The (a, b) of ``pairs`` that link."""
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,6 +220,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int, shared: Shared) -
             ok = [links(min(overlap_bound(x, n, y, m), n, m), n, m, percent) for x, n, y, m in zip(d["bits_a"], d["n_a"], d["bits_b"], d["n_b"], strict=True)]
             yield b.select(["a", "b", "n_a"]).filter(pa.array(ok, pa.bool_()))
 
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, hi, values, off in _sets(b.column("t"), k):
+                own = [values[off[i] : off[i + 1]].tobytes() for i in range(hi - lo)]
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(lo, hi - lo) for c in ("tile", "a", "key", "first")), pa.array(own, pa.binary())], ["tile", "a", "key", "first", "set"])
+
     def settle(t: pa.Table) -> pa.Table:
         own: dict[int, list[np.ndarray]] = {}
         asked = []
@@ -222,8 +234,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int, shared: Shared) -
         out = [(a, key) for a, key, s in asked if any(links(len(np.intersect1d(s, f, assume_unique=True)), len(s), len(f), percent) for f in own[a])]
         return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
 
-    small = sets.select("key", "n", "bits")
-    both = pairs.join(small.toDF("a", "n_a", "bits_a"), "a").join(small.toDF("b", "n_b", "bits_b"), "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    both = pairs.join(signatures.toDF("a", "n_a", "bits_a"), "a").join(signatures.toDF("b", "n_b", "bits_b"), "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
     passed = shared.save(both.mapInArrow(bound, "a long, b long, n_a long").distinct(), "passed")
     # tiles: by the size band of the pair's first set; a first set with many partners is split over tiles
     partners = passed.groupBy("a").agg(F.count("*").alias("partners"))
@@ -232,7 +243,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int, shared: Shared) -
     size_band = F.floor(F.log(F.greatest(F.col("n_a"), F.lit(1))) / F.lit(float(np.log(100 / percent)))) if percent < 100 else F.col("n_a")
     tiled = passed.join(partners, "a").withColumn("part", part_of).withColumn("tile", F.pmod(F.xxhash64(size_band, "a", "part"), F.lit(n_tiles)))
     rows = tiled.select("tile", "a", F.col("a").alias("key"), F.lit(True).alias("first")).distinct().union(tiled.select("tile", "a", F.col("b").alias("key"), F.lit(False)))
-    return shared.save(rows.join(sets.select("key", "set"), "key").groupBy("tile").applyInArrow(settle, "a long, b long").distinct(), "links")
+    asked = if_small(shared.save(rows, "tiles"))
+    texts = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("t")).join(asked, "key")
+    tiles = texts.mapInArrow(sets, "tile long, a long, key long, first boolean, set binary")
+    return shared.save(tiles.groupBy("tile").applyInArrow(settle, "a long, b long").distinct(), "links")
 
 
 def join(df: DataFrame, key: str, text: str, shared: Shared, percent: int = PERCENT, k: int = SHINGLE) -> DataFrame:
@@ -247,20 +261,19 @@ def join(df: DataFrame, key: str, text: str, shared: Shared, percent: int = PERC
     """
     n_docs = df.count()
     n_buckets = max(8, -(-n_docs * 160 // BUCKET_ENTRIES))
-    scan = shared.save(_scan(df, key, text, k, n_buckets), "scan")
-    docs = scan.where("bucket is null").select("key", "n", "d1", "d2")
-    common = _common(scan)
+    docs = shared.save(_digests(df, key, text, k), "digests")
+    common = _common(df, text, k, n_buckets)
     classes = shared.save(docs.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("key").alias("first"), F.count("*").alias("copies")).where("first is not null"), "classes")
     copies = docs.where("n > 0").join(classes.where("copies > 1"), ["n", "d1", "d2"]).where("key != first or key is null").select(F.col("key").alias(key)).distinct()
-    own = df.select(key, text).where(F.col(key).isNotNull()).join(shared.save(copies, "copies"), key, "left_anti")
+    own = df.select(key, text).where(F.col(key).isNotNull()).join(if_small(shared.save(copies, "copies")), key, "left_anti")
     lists = shared.save(_lists(own, key, text, k, percent, common, n_buckets).distinct(), "lists")
 
     least = lists.groupBy("list").agg(F.min(F.struct("key", "n")).alias("f")).select("list", F.col("f.key").alias("a"), F.col("f.n").alias("n_a"))
     fits = f"100 * least(n_a, n) >= {percent} * greatest(n_a, n)"
     near = shared.save(lists.join(least, "list").where("a != key").where(fits).select("a", F.col("key").alias("b")).distinct(), "pairs")
     wanted = shared.save(lists.select("key").distinct(), "wanted")
-    sets = shared.save(_sets_of(own, key, text, k, wanted), "sets")
-    found = _verified(near, sets, percent, shared)
+    signatures = shared.save(_signatures(own, key, text, k, wanted), "signatures")
+    found = _verified(near, signatures, own, key, text, k, percent, shared)
     groups = components(found, shared)
 
     # lists that span several components: every pair across them
@@ -273,7 +286,7 @@ def join(df: DataFrame, key: str, text: str, shared: Shared, percent: int = PERC
     across = spans.join(other, "list").where("component != c_a").where(fits).select(F.least("key", "key_a").alias("a"), F.greatest("key", "key_a").alias("b")).distinct()
     across = shared.save(across.join(near, ["a", "b"], "left_anti"), "across")
     if across.take(1):
-        found = found.union(_verified(across, sets, percent, shared))
+        found = found.union(_verified(across, signatures, own, key, text, k, percent, shared))
         groups = components(found, shared)
     placed = docs.join(classes, ["n", "d1", "d2"], "left").join(groups.toDF("first", "component"), "first", "left")
     own_id = F.when(F.col("key").isNotNull(), F.coalesce("component", "first", "key"))
