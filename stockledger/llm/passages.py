@@ -1,26 +1,27 @@
 """Substring deduplication by paragraph MinHash banding.
 
-A text's units are its lines of at least ``min_words`` words, and the pieces
-between content-defined words (a word pair whose hash is the least within
-``REACH`` words on both sides), which cut a shared passage alike wherever it
-stands. A line's signature is banded MinHash of its 5-word shingles; a piece
+A text's units are its lines of at least ``min_words`` words, and blocks of
+``BLOCK`` words that begin at content-defined words (a word pair whose hash is the least within
+``REACH`` words on both sides), which lie alike in a shared passage wherever it
+stands. A line's signature is banded MinHash of its 5-word shingles; a block
 is too short to survive an edit, so its one band is the hash of all its words.
 
 Units that collide in a band are joined with the band's least unit; colliding
 lines that differ are verified by exact Jaccard similarity, and verified
-links form components. Of each component (and of each set of equal pieces) the
-first unit in the order (key, place) stays and the others are marked. Marked
-pieces are extended word by word into their neighbours as far as the first
-occurrence reads the same, touching spans are merged, and spans of at least
-``min_words`` words are cut out. Shorter repeats, such as headings and licence
-lines, are left alone.
+links form components. Of each component (and of each set of equal blocks) the
+first unit in the order (key, place) stays and the others are marked. The words
+behind a marked block up to the next are marked if their hash agrees too; at
+the ends of a run, words are compared one by one with those around the first
+occurrence. Touching spans are merged, and spans of at least ``min_words`` words
+are cut out. Shorter repeats, such as headings and licence lines, are left alone.
 
-One band of 1 row a hash and ``BANDS`` bands find lines of similarity 0.75
-with probability 1 - 0.25 ** 6 > 0.999.
+``BANDS`` bands of one row find lines of similarity 0.75 with probability
+1 - 0.25 ** 6 > 0.999. A shared passage of 51 words holds no whole block with
+probability 0.0004 (simulated), one of 60 words practically never.
 
 The texts are scanned once for signatures (a few numbers a unit, stored), once
-more where a unit's words are needed, and once to cut. Counts of a signature
-are partial sums before the shuffle.
+more where words around a unit are needed, and once to cut. Counts of a
+signature are partial sums before the shuffle.
 """
 
 from __future__ import annotations
@@ -32,19 +33,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, Words, as_long, components, mix, sub_batches
+from .common import Shared, Words, as_long, components, if_small, mix, sub_batches
 
 MIN_WORDS = 50
 PERCENT = 75
-REACH, LONGEST_PIECE = 5, 64
+REACH, BLOCK = 6, 12
+#: Words without a content-defined one after which a block begins all the same.
+LONGEST_GAP = 32
+#: Words around a first occurrence with which the ends of a run are compared.
+AROUND = 40
 BANDS = 6
 SHINGLE = 5
 _SEED = [np.uint64(0x9E3779B97F4A7C15 * (2 * j + 1) % 2**64) for j in range(BANDS)]
 _STEP = np.uint64(0x2545F4914F6CDD1D)
 
 
-def pieces(w: Words) -> np.ndarray:
-    """First word of every piece, over all rows; a row's first word begins one."""
+def blocks(w: Words) -> np.ndarray:
+    """First word of every block, over all rows: content-defined words and a row's first word
+    (and every ``LONGEST_GAP`` words behind one, where the text repeats itself), if ``BLOCK`` words follow in the row."""
     h, row, n = w.hash, w.row, len(w.start)
     if not n:
         return np.zeros(0, np.int64)
@@ -59,11 +65,22 @@ def pieces(w: Words) -> np.ndarray:
             least[:-d] &= (~less & (pair[d:] != pair[:-d])) | ~same
     least[w.first[:-1][np.diff(w.first) > 0]] = True
     begin = np.flatnonzero(least)
-    length = np.diff(np.append(begin, n))
-    if (length > LONGEST_PIECE).any():
-        extra = [np.arange(b + LONGEST_PIECE, b + k, LONGEST_PIECE) for b, k in zip(begin[length > LONGEST_PIECE], length[length > LONGEST_PIECE], strict=True)]
+    gap = np.diff(np.append(begin, n))
+    if (gap > LONGEST_GAP).any():
+        extra = [np.arange(b + LONGEST_GAP, b + k, LONGEST_GAP) for b, k in zip(begin[gap > LONGEST_GAP], gap[gap > LONGEST_GAP], strict=True)]
         begin = np.sort(np.concatenate([begin, *extra]))
-    return begin
+    return begin[begin + BLOCK <= w.first[row[begin] + 1]]
+
+
+def gaps(w: Words, begin: np.ndarray) -> np.ndarray:
+    """Hash of the words between each block's end and the next block of its row; 0 where they touch or none follows."""
+    out = np.zeros(len(begin), np.uint64)
+    if len(begin) > 1:
+        open_ = np.flatnonzero((w.row[begin[1:]] == w.row[begin[:-1]]) & (begin[1:] > begin[:-1] + BLOCK))
+        out[open_] = _sequence_hashes(w.hash, begin[open_] + BLOCK, begin[open_ + 1])
+        near = np.flatnonzero((w.row[begin[1:]] == w.row[begin[:-1]]) & (begin[1:] <= begin[:-1] + BLOCK))
+        out[near] = (begin[near + 1] - begin[near]).astype(np.uint64)
+    return out
 
 
 def _sequence_hashes(h: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -98,17 +115,25 @@ def shingle_hashes(h: np.ndarray) -> np.ndarray:
     return mix(out)
 
 
-def _signatures(df: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
-    """(key, pieces, lines, line_bands): hashes of pieces and lines in order; ``BANDS`` band values a line."""
+#: What names a text: its row's key, and a hash of the text itself, which tells rows of one key apart.
+TEXT = ["key", "h"]
+
+
+def _texts(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, h, t) of the rows with a key; equal rows are one text."""
+    return df.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("t"))
+
+
+def _signatures(texts: DataFrame, min_words: int) -> DataFrame:
+    """(key, h, blocks, gaps, lines, line_bands): hashes of blocks, gaps and lines in order; ``BANDS`` band values a line."""
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, raw, off in sub_batches(b.column("t")):
                 w = Words(raw, off)
                 rows = np.arange(hi - lo + 1)
-                begin = pieces(w)
-                piece = _sequence_hashes(w.hash, begin, np.append(begin[1:], len(w.start))) if len(begin) else np.zeros(0, np.uint64)
-                piece_off = np.searchsorted(w.row[begin], rows)
+                begin = blocks(w)
+                block_off = pa.array(np.searchsorted(w.row[begin], rows), pa.int32())
                 first, end = lines(w, min_words)
                 line = _sequence_hashes(w.hash, first, end)
                 bands = np.zeros((len(first), BANDS), np.uint64)
@@ -119,46 +144,46 @@ def _signatures(df: DataFrame, key: str, text: str, min_words: int) -> DataFrame
                 line_off = np.searchsorted(w.row[first], rows)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        b.column("key").slice(lo, hi - lo),
-                        pa.ListArray.from_arrays(pa.array(piece_off, pa.int32()), pa.array(as_long(piece))),
+                        *(b.column(c).slice(lo, hi - lo) for c in TEXT),
+                        pa.ListArray.from_arrays(block_off, pa.array(as_long(_sequence_hashes(w.hash, begin, begin + BLOCK)))),
+                        pa.ListArray.from_arrays(block_off, pa.array(as_long(gaps(w, begin)))),
                         pa.ListArray.from_arrays(pa.array(line_off, pa.int32()), pa.array(as_long(line))),
                         pa.ListArray.from_arrays(pa.array(line_off * BANDS, pa.int32()), pa.array(as_long(bands.ravel()))),
                     ],
-                    ["key", "pieces", "lines", "line_bands"],
+                    [*TEXT, "blocks", "gaps", "lines", "line_bands"],
                 )
 
-    return df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("t")).mapInArrow(part, "key long, pieces array<long>, lines array<long>, line_bands array<long>")
+    return texts.mapInArrow(part, "key long, h long, blocks array<long>, gaps array<long>, lines array<long>, line_bands array<long>")
 
 
-def _line_sets(df: DataFrame, key: str, text: str, min_words: int, wanted: DataFrame) -> DataFrame:
-    """(line, set): sorted shingle hashes of the lines ``wanted(key, lines)``."""
+def _line_sets(texts: DataFrame, min_words: int, wanted: DataFrame) -> DataFrame:
+    """(line, set): sorted shingle hashes of the lines ``wanted(key, h, line)``."""
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            asked = b.column("lines").to_pylist()
+            asked = b.column("line").to_numpy()
             for lo, hi, raw, off in sub_batches(b.column("t")):
                 w = Words(raw, off)
                 first, end = lines(w, min_words)
                 name = as_long(_sequence_hashes(w.hash, first, end))
-                row = w.row[first]
-                out = [(int(name[i]), np.unique(shingle_hashes(w.hash[first[i] : end[i]])).tobytes()) for i in range(len(first)) if int(name[i]) in asked[lo + row[i]]]
+                chosen = np.flatnonzero(name == asked[lo:hi][w.row[first]])
+                out = [(int(name[i]), np.unique(shingle_hashes(w.hash[first[i] : end[i]])).tobytes()) for i in chosen]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], ["line", "set"])
 
-    texts = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("t")).join(wanted, "key").select("t", "lines")
-    return texts.mapInArrow(part, "line long, set binary").groupBy("line").agg(F.first("set").alias("set"))
+    return texts.join(if_small(wanted), TEXT).select("t", "line").mapInArrow(part, "line long, set binary").dropDuplicates(["line"])
 
 
-def _marked_lines(sig: DataFrame, df: DataFrame, key: str, text: str, min_words: int, percent: int, shared: Shared) -> DataFrame:
-    """(key, at): lines that repeat an earlier one."""
-    own = sig.select("key", "line_bands", F.posexplode("lines").alias("at", "line"))
-    own = shared.save(own.select("key", "at", "line", F.slice("line_bands", F.col("at") * BANDS + 1, BANDS).alias("bands")), "lines")
-    distinct = shared.save(own.groupBy("line").agg(F.min(F.struct("key", "at")).alias("first"), F.count("*").alias("n"), F.min("bands").alias("bands")), "distinct-lines")
+def _marked_lines(sig: DataFrame, texts: DataFrame, min_words: int, percent: int, shared: Shared) -> DataFrame:
+    """(key, h, at): lines that repeat an earlier one."""
+    own = sig.select(*TEXT, "line_bands", F.posexplode("lines").alias("at", "line"))
+    own = shared.save(own.select(*TEXT, "at", "line", F.slice("line_bands", F.col("at") * BANDS + 1, BANDS).alias("bands")), "lines")
+    distinct = shared.save(own.groupBy("line").agg(F.min(F.struct(*TEXT, "at")).alias("first"), F.count_distinct(*TEXT, "at").alias("n"), F.min("bands").alias("bands")), "distinct-lines")
     band = distinct.select("line", F.posexplode("bands").alias("band", "value"))
     least = band.groupBy("band", "value").agg(F.min("line").alias("least"), F.max("line").alias("most")).where("least != most").drop("most")
     pairs = shared.save(band.join(least, ["band", "value"]).where("line != least").select(F.col("least").alias("a"), F.col("line").alias("b")).distinct(), "line-pairs")
-    asked = pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct().join(distinct, "line").groupBy(F.col("first.key").alias("key")).agg(F.collect_set("line").alias("lines"))
-    sets = shared.save(_line_sets(df, key, text, min_words, shared.save(asked, "asked")), "line-sets")
+    asked = pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct().join(distinct, "line").select("first.key", "first.h", "line")
+    sets = shared.save(_line_sets(texts, min_words, shared.save(asked, "asked")), "line-sets")
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -175,62 +200,77 @@ def _marked_lines(sig: DataFrame, df: DataFrame, key: str, text: str, min_words:
     named = shared.save(named, "named-lines")
     whole = named.groupBy("component").agg(F.min("first").alias("keep"), F.sum("n").alias("total")).where("total > 1")
     dup = shared.save(named.select("line", "component").join(whole, "component").select("line", "keep"), "repeated-lines")
-    return own.select("key", "at", "line").join(dup, "line").where(F.struct("key", "at") != F.col("keep")).select("key", "at")
+    return own.select(*TEXT, "at", "line").join(dup, "line").where(F.struct(*TEXT, "at") != F.col("keep")).select(*TEXT, "at")
+
 
+def _marked_blocks(sig: DataFrame, shared: Shared) -> DataFrame:
+    """(key, h, at, on, keep_key, keep_h, keep_at): blocks that repeat an earlier one, the first one of them, and
+    whether the words up to the next block are the same (``on``)."""
+    own = sig.select(*TEXT, F.posexplode(F.arrays_zip("blocks", "gaps")).alias("at", "x")).select(*TEXT, "at", F.col("x.blocks").alias("block"), F.col("x.gaps").alias("gap"))
+    place = F.struct(*TEXT, "at", "gap")
+    dup = own.groupBy("block").agg(F.min(place).alias("keep"), F.max(place).alias("last")).where("keep != last").drop("last")
+    dup = shared.save(dup, "repeated-blocks")
+    later = own.join(dup, "block").where(place != F.col("keep"))
+    return later.select(*TEXT, "at", ((F.col("gap") != 0) & (F.col("gap") == F.col("keep.gap"))).alias("on"), *(F.col(f"keep.{c}").alias(f"keep_{c}") for c in (*TEXT, "at")))
 
-def _marked_pieces(sig: DataFrame, shared: Shared) -> DataFrame:
-    """(key, at, keep_key, keep_at): pieces that repeat an earlier one, and the first one of them."""
-    own = sig.select("key", F.posexplode("pieces").alias("at", "piece"))
-    dup = own.groupBy("piece").agg(F.min(F.struct("key", "at")).alias("keep"), F.count("*").alias("n")).where("n > 1").drop("n")
-    dup = shared.save(dup, "repeated-pieces")
-    return own.join(dup, "piece").where(F.struct("key", "at") != F.col("keep")).select("key", "at", F.col("keep.key").alias("keep_key"), F.col("keep.at").alias("keep_at"))
 
+def _half(h: np.ndarray) -> bytes:
+    return (h >> np.uint64(32)).astype(np.uint32).tobytes()
 
-def _neighbours(df: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
-    """(keep_key, keep_at, words): word hashes of the pieces ``wanted(key, at array)``."""
+
+def _around(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(keep_key, keep_h, keep_at, side, words): half hashes of the ``AROUND`` words ahead of (side -1) or behind (1)
+    the blocks ``wanted(key, h, array of (at, side))``."""
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            asked, own = b.column("ats").to_pylist(), b.column("key").to_pylist()
+            asked, key, h = b.column("asked").to_pylist(), b.column("key").to_pylist(), b.column("h").to_pylist()
             for lo, hi, raw, off in sub_batches(b.column("t")):
                 w = Words(raw, off)
-                begin = pieces(w)
-                end = np.append(begin[1:], len(w.start))
-                cut = np.searchsorted(w.row[begin], np.arange(hi - lo + 1)) if len(begin) else np.zeros(hi - lo + 1, int)
-                out = [(own[lo + r], a, w.hash[begin[cut[r] + a] : end[cut[r] + a]].tobytes()) for r in range(hi - lo) for a in asked[lo + r] if 0 <= a < cut[r + 1] - cut[r]]
+                begin = blocks(w)
+                cut = np.searchsorted(w.row[begin], np.arange(hi - lo + 1))
+                out = []
+                for r in range(hi - lo):
+                    for q in asked[lo + r]:
+                        x = int(begin[cut[r] + q["at"]])
+                        ends = (max(int(w.first[r]), x - AROUND), x) if q["side"] < 0 else (x + BLOCK, min(int(w.first[r + 1]), x + BLOCK + AROUND))
+                        out.append((key[lo + r], h[lo + r], q["at"], q["side"], _half(w.hash[ends[0] : ends[1]])))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int32()), pa.array([o[2] for o in out], pa.binary())], ["keep_key", "keep_at", "words"])
+                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)], ["keep_key", "keep_h", "keep_at", "side", "words"])
 
-    texts = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("t")).join(wanted, "key")
-    return texts.mapInArrow(part, "keep_key long, keep_at int, words binary").dropDuplicates(["keep_key", "keep_at"])
+    rows = texts.join(if_small(wanted), TEXT)
+    return rows.mapInArrow(part, "keep_key long, keep_h long, keep_at int, side int, words binary").dropDuplicates(["keep_key", "keep_h", "keep_at", "side"])
 
 
-def spans(w: Words, r: int, begin: np.ndarray, own_lines: tuple[np.ndarray, np.ndarray], marks: list[int], marked_lines: list[int], before: dict[int, bytes], after: dict[int, bytes], min_words: int) -> list[tuple[int, int]]:
+def spans(w: Words, r: int, begin: np.ndarray, own_lines: tuple[np.ndarray, np.ndarray], marks: dict[int, bool], marked_lines: list[int], grow: dict[tuple[int, int], bytes], min_words: int) -> list[tuple[int, int]]:
     """Word spans [from, to) of row ``r`` to cut, counted from the row's first word.
 
-    ``begin``: first words of the row's pieces; ``before`` / ``after``: by
-    marked piece, the word hashes ahead of / behind its first occurrence.
+    ``begin``: first words of the row's blocks; ``marks``: marked blocks, and
+    whether the words up to the next block are repeated too; ``grow``: half
+    hashes of the words around the first occurrence, by (block, side).
     """
     first, last = int(w.first[r]), int(w.first[r + 1])
-    end = np.append(begin[1:], last)
     marked = np.zeros(last - first, bool)
     for i in marked_lines:
         marked[own_lines[0][i] - first : own_lines[1][i] - first] = True
-    chosen = {m for m in marks if m < len(begin)}
-    for m in chosen:
-        marked[begin[m] - first : end[m] - first] = True
-        if m and m - 1 not in chosen and m in before:
-            own, other = w.hash[begin[m - 1] : end[m - 1]], np.frombuffer(before[m], np.uint64)
-            k = min(len(own), len(other))
-            same = own[len(own) - k :][::-1] == other[len(other) - k :][::-1]
-            run = k if same.all() else int(np.argmin(same))
-            marked[begin[m] - first - run : begin[m] - first] = True
-        if m + 1 < len(begin) and m + 1 not in chosen and m in after:
-            own, other = w.hash[begin[m + 1] : end[m + 1]], np.frombuffer(after[m], np.uint64)
-            k = min(len(own), len(other))
-            same = own[:k] == other[:k]
-            run = k if same.all() else int(np.argmin(same))
-            marked[end[m] - first : end[m] - first + run] = True
+    half = (w.hash[first:last] >> np.uint64(32)).astype(np.uint32)
+    for m, on in marks.items():
+        x = int(begin[m]) - first
+        end = x + BLOCK
+        marked[x:end] = True
+        if on and m + 1 < len(begin):
+            marked[x : begin[m + 1] - first] = True
+        if (other := grow.get((m, -1))) is not None:
+            other = np.frombuffer(other, np.uint32)
+            k = min(x, len(other))
+            differ = half[x - k : x][::-1] != other[len(other) - k :][::-1]
+            marked[x - (int(np.argmax(differ)) if differ.any() else k) : x] = True
+        if (other := grow.get((m, 1))) is not None:
+            other = np.frombuffer(other, np.uint32)
+            k = min(len(half) - end, len(other))
+            differ = half[end : end + k] != other[:k]
+            marked[end : end + (int(np.argmax(differ)) if differ.any() else k)] = True
     edge = np.diff(np.concatenate([[0], marked.astype(np.int8), [0]]))
     found = zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)
     return [(a, b) for a, b in found if b - a >= min_words]
@@ -242,33 +282,32 @@ def deduplicate(df: DataFrame, key: str, text: str, shared: Shared, min_words: i
 
     ``key`` is a whole number that names the row. A passage stays in the row of
     least key (and at its first place there). Null text stays null; a text of
-    which all is repeated becomes empty; equal rows of one key are cut alike, keeping one
-    occurrence a row. Rows of null keys are left as they are.
+    which all is repeated becomes empty. Equal rows of one key are one text and
+    are cut alike; rows of one key with different texts are ordered by a hash
+    of the text. Rows of null keys are left as they are. An empty table gives an empty table.
     """
     kept = df.drop(*[c for c in ("n_words", "n_removed", "spans") if c not in (key, text)])
-    known = df.select(key, text).where(F.col(key).isNotNull()).dropDuplicates([key])
-    sig = shared.save(_signatures(known, key, text, min_words), "signatures")
-    marked = shared.save(_marked_pieces(sig, shared), "marked-pieces")
-    in_lines = shared.save(_marked_lines(sig, known, key, text, min_words, percent, shared).groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("marked_lines")), "marked-lines")
-
-    # only texts with enough marked pieces can lose a span; the ends of runs of marks may grow
-    enough = marked.groupBy("key").agg(F.count("*").alias("n"), F.collect_set("at").alias("ats"))
-    ends = marked.join(enough.select("key", "ats"), "key").select(
-        "key", "at", "keep_key", "keep_at",
-        F.when((F.col("at") > 0) & ~F.array_contains("ats", F.col("at") - 1), F.lit(-1)).alias("ahead"),
-        F.when(~F.array_contains("ats", F.col("at") + 1), F.lit(1)).alias("behind"),
-    )
-    ends = ends.select("key", "at", "keep_key", "keep_at", F.explode(F.array("ahead", "behind")).alias("side")).where("side is not null")
-    ends = shared.save(ends.withColumn("keep_at", F.col("keep_at") + F.col("side")).where("keep_at >= 0"), "ends")
-    wanted = shared.save(ends.select("keep_key", "keep_at").distinct().groupBy(F.col("keep_key").alias("key")).agg(F.collect_list("keep_at").alias("ats")), "wanted")
-    words = shared.save(_neighbours(known, key, text, wanted), "neighbours")
-    grown = ends.join(words, ["keep_key", "keep_at"]).groupBy("key").agg(F.collect_list(F.struct("at", "side", "words")).alias("grow"))
-    info = enough.select("key", F.col("ats").alias("marks")).join(grown, "key", "left").join(in_lines, "key", "full")
-    info = shared.save(info.withColumnRenamed("key", "__k"), "cuts")
-
-    names = kept.columns
-    met = kept.withColumn("__k", F.col(key).cast("long")).join(info, "__k", "left").drop("__k")
-    return _cut(met, names, text, min_words)
+    texts = _texts(df, key, text)
+    sig = shared.save(_signatures(texts, min_words), "signatures")
+    marked = shared.save(_marked_blocks(sig, shared).distinct(), "marked-blocks")
+    in_lines = shared.save(_marked_lines(sig, texts, min_words, percent, shared).groupBy(*TEXT).agg(F.sort_array(F.collect_set("at")).alias("marked_lines")), "marked-lines")
+
+    # the ends of runs of marked blocks may grow into the words around them
+    marks = marked.groupBy(*TEXT).agg(F.collect_list(F.struct("at", "on")).alias("marks"))
+    runs = marked.join(marks, TEXT).withColumn("all", F.map_from_entries("marks"))
+    joined_before = F.coalesce(F.element_at("all", F.col("at") - 1), F.lit(False))
+    joined_after = F.col("on") & F.map_contains_key("all", F.col("at") + 1)
+    sides = F.array_compact(F.array(F.when(~joined_before, F.lit(-1)), F.when(~joined_after, F.lit(1))))
+    near = ["keep_key", "keep_h", "keep_at", "side"]
+    ends = shared.save(runs.select(*TEXT, "at", "keep_key", "keep_h", "keep_at", F.explode(sides).alias("side")), "ends")
+    wanted = ends.select(*near).distinct().groupBy(F.col("keep_key").alias("key"), F.col("keep_h").alias("h")).agg(F.collect_list(F.struct(F.col("keep_at").alias("at"), "side")).alias("asked"))
+    words = shared.save(_around(texts, shared.save(wanted, "wanted")), "around")
+    grown = ends.join(words, near).groupBy(*TEXT).agg(F.collect_list(F.struct("at", "side", "words")).alias("grow"))
+    info = marks.join(grown, TEXT, "left").join(in_lines, TEXT, "full")
+    info = shared.save(info.withColumnsRenamed({"key": "__k", "h": "__h"}), "cuts")
+
+    met = kept.withColumn("__k", F.col(key).cast("long")).withColumn("__h", F.xxhash64(F.col(text))).join(info, ["__k", "__h"], "left").drop("__k", "__h")
+    return _cut(met, kept.columns, text, min_words)
 
 
 def _cut(met: DataFrame, names: list[str], text: str, min_words: int) -> DataFrame:
@@ -280,8 +319,8 @@ def _cut(met: DataFrame, names: list[str], text: str, min_words: int) -> DataFra
             missing = b.column(text).is_null().to_numpy(zero_copy_only=False)
             for lo, hi, raw, off in sub_batches(b.column(text)):
                 w = Words(raw, off)
-                begin = pieces(w) if any(marks[lo + r] or in_lines[lo + r] for r in range(hi - lo)) else np.zeros(0, np.int64)
-                cut = np.searchsorted(w.row[begin], np.arange(hi - lo + 1)) if len(begin) else np.zeros(hi - lo + 1, int)
+                begin = blocks(w) if any(marks[lo + r] for r in range(hi - lo)) else np.zeros(0, np.int64)
+                cut = np.searchsorted(w.row[begin], np.arange(hi - lo + 1))
                 first, end = lines(w, min_words)
                 line_cut = np.searchsorted(w.row[first], np.arange(hi - lo + 1))
                 data = raw.tobytes()
@@ -290,10 +329,10 @@ def _cut(met: DataFrame, names: list[str], text: str, min_words: int) -> DataFra
                     own = data[off[r] : off[r + 1]]
                     out: list[tuple[int, int]] = []
                     if marks[lo + r] or in_lines[lo + r]:
-                        before = {g["at"]: g["words"] for g in grow[lo + r] or () if g["side"] < 0}
-                        after = {g["at"]: g["words"] for g in grow[lo + r] or () if g["side"] > 0}
+                        around = {(g["at"], g["side"]): g["words"] for g in grow[lo + r] or ()}
+                        chosen = {m["at"]: m["on"] for m in marks[lo + r] or ()}
                         mine = (first[line_cut[r] : line_cut[r + 1]], end[line_cut[r] : line_cut[r + 1]])
-                        out = spans(w, r, begin[cut[r] : cut[r + 1]], mine, marks[lo + r] or [], in_lines[lo + r] or [], before, after, min_words)
+                        out = spans(w, r, begin[cut[r] : cut[r + 1]], mine, chosen, in_lines[lo + r] or [], around, min_words)
                     if out:
                         a = int(w.first[r])
                         n = int(w.first[r + 1]) - a
