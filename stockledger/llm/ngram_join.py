@@ -8,8 +8,8 @@ documents link when 100 * |A and B| >= 75 * |A or B|. The steps:
    a shingle among each one's first ``n - ceil(0.75 n) + 1``. The order is by
    hash, with shingles that many documents share put last, so that lists stay
    short; which shingles these are changes the cost, never the result.
-3. Tiles. Sharers of a list whose sizes allow a link are paired, first with
-   the list's least document only. Pairs go to size-banded tiles, where
+3. Tiles. Sharers of a list whose sizes and positions allow a link are paired,
+   first with the list's most central document only. Pairs go to size-banded tiles, where
    hashed bitmap signatures bound the overlap from above by bit counts; what
    passes is settled by intersecting the sorted arrays.
 4. The links found give components. Where a list still spans several, the
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, Words, as_long, components, if_small, sub_batches
+from .common import Shared, Words, as_long, components, if_small, mix, sub_batches
 
 SHINGLE = 5
 PERCENT = 75
@@ -40,8 +40,8 @@ COUNTED = 0.30
 #: A shingle is common when so many documents hold it; the commonest so many are put last (a broadcast of 8 bytes each).
 COMMON, MOST_COMMON = 48, 100_000
 BUCKET_ENTRIES = 400_000
-#: Sets in a tile, about.
-TILE_SETS = 400
+#: Sets in a tile of exact tests, and members of a list in a tile of bit counts, about.
+TILE_SETS, TILE_MEMBERS = 400, 2048
 
 
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
@@ -126,7 +126,8 @@ def _common(df: DataFrame, text: str, k: int, n_buckets: int) -> np.ndarray:
 
 
 def _lists(df: DataFrame, key: str, text: str, k: int, percent: int, common: np.ndarray, n_buckets: int) -> DataFrame:
-    """(list, key, n): sharers of a prefix shingle, lists of two or more; equal lists come once a bucket."""
+    """(list, key, n, pos): sharers of a prefix shingle, lists of two or more; ``pos``: how many of the document's
+    shingles come before it. Equal lists come once a bucket, with the least positions."""
     common_ = df.sparkSession.sparkContext.broadcast(common)
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,34 +141,31 @@ def _lists(df: DataFrame, key: str, text: str, k: int, percent: int, common: np.
                     half = (values >> np.uint64(32)).astype(np.uint32)
                     at = np.minimum(np.searchsorted(common, half), len(common) - 1)
                     values = values[np.lexsort((values, common[at] == half, rows))]
-                take = (np.arange(len(values)) - off[rows]) < prefix_length(n, percent)[rows]
-                values, rows = values[take], rows[take]
+                pos = np.arange(len(values)) - off[rows]
+                take = pos < prefix_length(n, percent)[rows]
+                values, rows, pos = values[take], rows[take], pos[take].astype(np.int32)
                 # the bucket and half a hash name a shingle; the rare collision only adds a pair to test
-                yield _split((values % np.uint64(n_buckets)).astype(np.int32), n_buckets, (values >> np.uint64(32)).astype(np.uint32), keys[lo + rows], n[rows].astype(np.int32))
+                yield _split((values % np.uint64(n_buckets)).astype(np.int32), n_buckets, (values >> np.uint64(32)).astype(np.uint32), keys[lo + rows], n[rows].astype(np.int32), pos)
 
     def meet(t: pa.Table) -> pa.Table:
-        h, own, size = _blobs(t, np.uint32, np.int64, np.int32)
+        h, own, size, pos = _blobs(t, np.uint32, np.int64, np.int32, np.int32)
         order = np.lexsort((own, h))
-        h, own, size = h[order], own[order], size[order]
+        h, own, size, pos = h[order], own[order], size[order], pos[order]
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         length = np.diff(np.append(first, len(h)))
         shared = np.repeat(length > 1, length)
-        own, size, length = own[shared], size[shared], length[length > 1]
+        own, size, pos, length = own[shared], size[shared], pos[shared], length[length > 1]
         if not len(length):
-            return pa.table({"list": pa.array([], pa.int64()), "key": pa.array([], pa.int64()), "n": pa.array([], pa.int32())})
-        first = np.cumsum(length) - length
-        mixed = (own.view(np.uint64) + np.uint64(0x632BE59BD9B4E019)) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(29)
-        mixed = mixed * np.uint64(0xBF58476D1CE4E5B9)
-        name = np.add.reduceat(mixed, first) * np.uint64(31) + length.astype(np.uint64)
-        _, once = np.unique(name, return_index=True)
-        chosen = np.zeros(len(length), bool)
-        chosen[once] = True
-        keep = np.repeat(chosen, length)
-        return pa.table({"list": as_long(np.repeat(name, length)[keep]), "key": own[keep], "n": size[keep]})
-
-    blobs = df.select(F.col(key).alias("key"), F.col(text).alias("t")).mapInArrow(part, "bucket int, c0 binary, c1 binary, c2 binary")
-    return blobs.groupBy("bucket").applyInArrow(meet, "list long, key long, n int")
+            return pa.table({"list": pa.array([], pa.int64()), "key": pa.array([], pa.int64()), "n": pa.array([], pa.int32()), "pos": pa.array([], pa.int32())})
+        mixed = mix(own.view(np.uint64) + np.uint64(0x632BE59BD9B4E019) * size.astype(np.uint64))
+        name = np.repeat(mix(np.add.reduceat(mixed, np.cumsum(length) - length) + length.astype(np.uint64)), length)
+        order = np.lexsort((size, own, name))
+        name, own, size, pos = name[order], own[order], size[order], pos[order]
+        once = np.flatnonzero(np.concatenate([[True], (name[1:] != name[:-1]) | (own[1:] != own[:-1]) | (size[1:] != size[:-1])]))
+        return pa.table({"list": as_long(name[once]), "key": own[once], "n": size[once], "pos": np.minimum.reduceat(pos, once)})
+
+    blobs = df.select(F.col(key).alias("key"), F.col(text).alias("t")).mapInArrow(part, "bucket int, c0 binary, c1 binary, c2 binary, c3 binary")
+    return blobs.groupBy("bucket").applyInArrow(meet, "list long, key long, n int, pos int")
 
 
 # --------------------------------------------------------------------- verifying
@@ -211,8 +209,53 @@ def _signatures(df: DataFrame, key: str, text: str, k: int, wanted: DataFrame) -
     return texts.join(if_small(wanted), "key", "left_semi").mapInArrow(part, "key long, n long, bits binary")
 
 
-def _verified(pairs: DataFrame, signatures: DataFrame, df: DataFrame, key: str, text: str, k: int, percent: int, shared: Shared) -> DataFrame:
-    """The (a, b) of ``pairs`` that link."""
+def _compare(t: pa.Table, percent: int) -> pa.Table:
+    """Pairs of a tile's members that may link: in one list, in different components, by position, size and bit counts."""
+    lists, key, n, pos, comp, i, j, block = (t.column(c).to_numpy() for c in ("list", "key", "n", "pos", "component", "i", "j", "block"))
+    bits = t.column("bits").to_pylist()
+    order = np.lexsort((key, j, i, lists))
+    edge = np.flatnonzero(np.concatenate([[True], (lists[order][1:] != lists[order][:-1]) | (i[order][1:] != i[order][:-1]) | (j[order][1:] != j[order][:-1])]))
+    out_a, out_b, out_n = [], [], []
+    for g in np.split(order, edge[1:]):
+        if len(g) < 2:
+            continue
+        width = min(len(bits[x]) for x in g)
+        folded = np.stack([np.bitwise_or.reduce(np.frombuffer(bits[x], np.uint64).reshape(-1, width // 8), axis=0) for x in g])
+        ones = np.bitwise_count(folded).sum(1).astype(np.int64)
+        size, rest, c, own, blk = n[g].astype(np.int64), (n[g] - pos[g]).astype(np.int64), comp[g], key[g], block[g]
+        within = i[g[0]] == j[g[0]]
+        for r in range(len(g) - 1):
+            s = np.arange(r + 1, len(g))
+            ok = (c[s] != c[r]) & (np.minimum(rest[s], rest[r]) * (100 + percent) >= percent * (size[s] + size[r])) & (own[s] != own[r])
+            s = s[ok if within else ok & (blk[s] != blk[r])]
+            if len(s):
+                both = np.bitwise_count(folded[s] & folded[r]).sum(1).astype(np.int64)
+                most = np.minimum(np.minimum(size[r] - ones[r], size[s] - ones[s]) + both, np.minimum(size[r], size[s]))
+                s = s[100 * most >= percent * (size[r] + size[s] - most)]
+                out_a.append(np.full(len(s), own[r]))
+                out_b.append(own[s])
+                out_n.append(np.full(len(s), size[r]))
+    join = lambda x: np.concatenate([np.zeros(0, np.int64), *x])
+    return pa.table({"a": join(out_a), "b": join(out_b), "n_a": join(out_n)})
+
+
+def _across(spans: DataFrame, signatures: DataFrame, percent: int, shared: Shared) -> DataFrame:
+    """(a, b, n_a): pairs across components, from ``spans(list, key, n, pos, component)``.
+
+    A list's members are compared inside tiles, by vectors of bit counts, so only what passes
+    becomes a row. A long list is cut into blocks and each two blocks meet in a tile.
+    """
+    counts = spans.groupBy("list").agg(F.ceil(F.count("*") / F.lit(TILE_MEMBERS)).alias("blocks"))
+    rows = spans.join(signatures.select("key", F.col("n").cast("int").alias("n"), "bits"), ["key", "n"]).join(counts, "list")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "blocks")
+    n_tiles = max(1, -(-spans.count() // TILE_MEMBERS))
+    tiles = rows.withColumn("tile", F.pmod(F.xxhash64("list", "i", "j"), F.lit(n_tiles)))
+    return shared.save(tiles.groupBy("tile").applyInArrow(lambda t: _compare(t, percent), "a long, b long, n_a long").distinct(), "across")
+
+
+def _bounded(pairs: DataFrame, signatures: DataFrame, percent: int, shared: Shared) -> DataFrame:
+    """(a, b, n_a) of the pairs that may link by their sizes and bit counts."""
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -220,6 +263,13 @@ def _verified(pairs: DataFrame, signatures: DataFrame, df: DataFrame, key: str,
             ok = [links(min(overlap_bound(x, n, y, m), n, m), n, m, percent) for x, n, y, m in zip(d["bits_a"], d["n_a"], d["bits_b"], d["n_b"], strict=True)]
             yield b.select(["a", "b", "n_a"]).filter(pa.array(ok, pa.bool_()))
 
+    both = pairs.join(signatures.toDF("a", "n_a", "bits_a"), "a").join(signatures.toDF("b", "n_b", "bits_b"), "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    return shared.save(both.mapInArrow(bound, "a long, b long, n_a long").distinct(), "passed")
+
+
+def _settled(passed: DataFrame, df: DataFrame, key: str, text: str, k: int, percent: int, shared: Shared) -> DataFrame:
+    """The (a, b) of ``passed`` that link, by intersecting their sorted sets in tiles."""
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, values, off in _sets(b.column("t"), k):
@@ -234,8 +284,6 @@ def _verified(pairs: DataFrame, signatures: DataFrame, df: DataFrame, key: str,
         out = [(a, key) for a, key, s in asked if any(links(len(np.intersect1d(s, f, assume_unique=True)), len(s), len(f), percent) for f in own[a])]
         return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
 
-    both = pairs.join(signatures.toDF("a", "n_a", "bits_a"), "a").join(signatures.toDF("b", "n_b", "bits_b"), "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    passed = shared.save(both.mapInArrow(bound, "a long, b long, n_a long").distinct(), "passed")
     # tiles: by the size band of the pair's first set; a first set with many partners is split over tiles
     partners = passed.groupBy("a").agg(F.count("*").alias("partners"))
     n_tiles = max(1, -(-2 * passed.count() // TILE_SETS))
@@ -266,27 +314,30 @@ def join(df: DataFrame, key: str, text: str, shared: Shared, percent: int = PERC
     classes = shared.save(docs.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("key").alias("first"), F.count("*").alias("copies")).where("first is not null"), "classes")
     copies = docs.where("n > 0").join(classes.where("copies > 1"), ["n", "d1", "d2"]).where("key != first or key is null").select(F.col("key").alias(key)).distinct()
     own = df.select(key, text).where(F.col(key).isNotNull()).join(if_small(shared.save(copies, "copies")), key, "left_anti")
-    lists = shared.save(_lists(own, key, text, k, percent, common, n_buckets).distinct(), "lists")
-
-    least = lists.groupBy("list").agg(F.min(F.struct("key", "n")).alias("f")).select("list", F.col("f.key").alias("a"), F.col("f.n").alias("n_a"))
-    fits = f"100 * least(n_a, n) >= {percent} * greatest(n_a, n)"
-    near = shared.save(lists.join(least, "list").where("a != key").where(fits).select("a", F.col("key").alias("b")).distinct(), "pairs")
+    lists = shared.save(_lists(own, key, text, k, percent, common, n_buckets).groupBy("list", "key", "n").agg(F.min("pos").alias("pos")), "lists")
+
+    # in the list of the first shingle that two sets share, all they share lies at or behind its position in
+    # either: the overlap has that bound, and a pair that fails it in every list cannot link
+    enough = f"least(n_a - pos_a, n - pos) * {100 + percent} >= {percent} * (n_a + n)"
+    # a list's first partner is the one with most lists: of near copies, the one that differs least from the rest
+    degree = lists.groupBy("key").agg(F.count("*").alias("degree"))
+    best = F.struct("degree", (-F.col("key")).alias("low"), "key", "n", "pos")
+    leader = lists.join(degree, "key").groupBy("list").agg(F.max(best).alias("f")).select("list", F.col("f.key").alias("a"), F.col("f.n").alias("n_a"), F.col("f.pos").alias("pos_a"))
+    near = shared.save(lists.join(leader, "list").where("a != key").where(enough).select("a", F.col("key").alias("b")).distinct(), "pairs")
     wanted = shared.save(lists.select("key").distinct(), "wanted")
     signatures = shared.save(_signatures(own, key, text, k, wanted), "signatures")
-    found = _verified(near, signatures, own, key, text, k, percent, shared)
+    found = _settled(_bounded(near, signatures, percent, shared), own, key, text, k, percent, shared)
     groups = components(found, shared)
 
     # lists that span several components: every pair across them
     marked = lists.join(groups.toDF("key", "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     marked = shared.save(marked, "marked")
     sizes = marked.groupBy("list", "component").agg(F.count("*").alias("members"))
-    main = sizes.groupBy("list").agg(F.max_by("component", F.struct("members", "component")).alias("main"), F.count("*").alias("components")).where("components > 1")
-    spans = marked.join(main, "list")
-    other = spans.where("component != main").select("list", F.col("key").alias("key_a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    across = spans.join(other, "list").where("component != c_a").where(fits).select(F.least("key", "key_a").alias("a"), F.greatest("key", "key_a").alias("b")).distinct()
-    across = shared.save(across.join(near, ["a", "b"], "left_anti"), "across")
+    main = sizes.groupBy("list").agg(F.count("*").alias("components")).where("components > 1")
+    spans = shared.save(marked.join(main, "list", "left_semi"), "spans")
+    across = _across(spans, signatures, percent, shared)
     if across.take(1):
-        found = found.union(_verified(across, signatures, own, key, text, k, percent, shared))
+        found = found.union(_settled(across, own, key, text, k, percent, shared))
         groups = components(found, shared)
     placed = docs.join(classes, ["n", "d1", "d2"], "left").join(groups.toDF("first", "component"), "first", "left")
     own_id = F.when(F.col("key").isNotNull(), F.coalesce("component", "first", "key"))
