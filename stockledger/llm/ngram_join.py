@@ -239,19 +239,21 @@ def _compare(t: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": join(out_a), "b": join(out_b), "n_a": join(out_n)})
 
 
-def _across(spans: DataFrame, signatures: DataFrame, percent: int, shared: Shared) -> DataFrame:
+def across(spans: DataFrame, signatures: DataFrame, percent: int, shared: Shared) -> DataFrame:
     """(a, b, n_a): pairs across components, from ``spans(list, key, n, pos, component)``.
 
     A list's members are compared inside tiles, by vectors of bit counts, so only what passes
-    becomes a row. A long list is cut into blocks and each two blocks meet in a tile.
+    becomes a row. A long list is cut into blocks and each two blocks meet in a tile of their own;
+    short lists share tiles.
     """
     counts = spans.groupBy("list").agg(F.ceil(F.count("*") / F.lit(TILE_MEMBERS)).alias("blocks"))
     rows = spans.join(signatures.select("key", F.col("n").cast("int").alias("n"), "bits"), ["key", "n"]).join(counts, "list")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "blocks")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("key", "n"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
     n_tiles = max(1, -(-spans.count() // TILE_MEMBERS))
-    tiles = rows.withColumn("tile", F.pmod(F.xxhash64("list", "i", "j"), F.lit(n_tiles)))
-    return shared.save(tiles.groupBy("tile").applyInArrow(lambda t: _compare(t, percent), "a long, b long, n_a long").distinct(), "across")
+    tile = F.when(F.col("blocks") > 1, F.col("list")).otherwise(F.pmod(F.xxhash64("list"), F.lit(n_tiles)))
+    tiles = rows.withColumn("tile", tile).drop("other", "blocks")
+    return shared.save(tiles.groupBy("tile", "i", "j").applyInArrow(lambda t: _compare(t, percent), "a long, b long, n_a long").distinct(), "across")
 
 
 def _bounded(pairs: DataFrame, signatures: DataFrame, percent: int, shared: Shared) -> DataFrame:
@@ -335,9 +337,9 @@ def join(df: DataFrame, key: str, text: str, shared: Shared, percent: int = PERC
     sizes = marked.groupBy("list", "component").agg(F.count("*").alias("members"))
     main = sizes.groupBy("list").agg(F.count("*").alias("components")).where("components > 1")
     spans = shared.save(marked.join(main, "list", "left_semi"), "spans")
-    across = _across(spans, signatures, percent, shared)
-    if across.take(1):
-        found = found.union(_settled(across, own, key, text, k, percent, shared))
+    missed = across(spans, signatures, percent, shared)
+    if missed.take(1):
+        found = found.union(_settled(missed, own, key, text, k, percent, shared))
         groups = components(found, shared)
     placed = docs.join(classes, ["n", "d1", "d2"], "left").join(groups.toDF("first", "component"), "first", "left")
     own_id = F.when(F.col("key").isNotNull(), F.coalesce("component", "first", "key"))

@@ -95,3 +95,23 @@ def test_linked_sets_share_a_prefix_under_any_order():
             order = rng.permutation(200)
             first = [set(sorted(s, key=lambda x: order[x])[: int(N.prefix_length(np.array([len(s)]), 75)[0])]) for s in (a, b)]
             assert first[0] & first[1]
+
+
+def test_tiles_of_a_long_list_hold_two_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    base = np.unique(rng.integers(0, 2**63, 40, dtype=np.uint64))
+    sets = {k: np.unique(np.concatenate([base, rng.integers(0, 2**63, 4 if k % 10 < 2 else 40, dtype=np.uint64)])) for k in range(200)}
+    size = 16
+    whole = N._compare
+
+    def bounded(t, percent):
+        assert t.num_rows <= 4 * size, t.num_rows
+        return whole(t, percent)
+
+    monkeypatch.setattr(N, "TILE_MEMBERS", size)
+    monkeypatch.setattr(N, "_compare", bounded)
+    spans = spark.createDataFrame([(7, k, len(s), 0, k) for k, s in sets.items()], "list long, key long, n int, pos int, component long")
+    signatures = spark.createDataFrame([(k, len(s), bytearray(N.bitmap(s))) for k, s in sets.items()], "key long, n long, bits binary")
+    got = {(min(r.a, r.b), max(r.a, r.b)) for r in N.across(spans, signatures, 75, Shared(spark, "n")).collect()}
+    want = {(a, b) for a in sets for b in sets if a < b and N.links(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b]), 75)}
+    assert want <= got and len(want) == 40 * 39 // 2
