@@ -8,7 +8,9 @@ is too short to survive an edit, so its one band is the hash of all its words.
 
 Units that collide in a band are joined with the band's least unit; colliding
 lines that differ are verified by exact Jaccard similarity, and verified
-links form components. Of each component (and of each set of equal blocks) the
+links form components. Lines that collide and are still in different components
+are then all compared, by bit counts in tiles of bounded size first, and what
+passes exactly. Of each component (and of each set of equal blocks) the
 first unit in the order (key, place) stays and the others are marked. The words
 behind a marked block up to the next are marked if their hash agrees too; at
 the ends of a run, words are compared one by one with those around the first
@@ -34,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Shared, Words, as_long, components, if_small, mix, sub_batches
+from .ngram_join import across, bitmap
 
 MIN_WORDS = 50
 PERCENT = 75
@@ -174,6 +177,28 @@ def _line_sets(texts: DataFrame, min_words: int, wanted: DataFrame) -> DataFrame
     return texts.join(if_small(wanted), TEXT).select("t", "line").mapInArrow(part, "line long, set binary").dropDuplicates(["line"])
 
 
+def _across_components(met: DataFrame, sets: DataFrame, groups: DataFrame, percent: int, shared: Shared) -> DataFrame:
+    """(a, b): lines of one bucket in different components that may be similar, from ``met(list, line)``."""
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [np.frombuffer(x, np.uint64) for x in b.column("set").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("line"), pa.array([len(x) for x in own], pa.int64()), pa.array([bitmap(x) for x in own], pa.binary())], ["key", "n", "bits"])
+
+    marked = met.select("list", "line").join(groups.toDF("line", "component"), "line", "left").withColumn("component", F.coalesce("component", "line"))
+    marked = shared.save(marked, "placed-lines")
+    split = marked.groupBy("list").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("list")
+    spans = shared.save(marked.join(split, "list", "left_semi").withColumnRenamed("line", "key"), "split-buckets")
+    wanted = spans.select(F.col("key").alias("line")).distinct()
+    signatures = shared.save(sets.join(wanted, "line", "left_semi").select("line", "set").mapInArrow(bits, "key long, n long, bits binary"), "line-bits")
+    # similar sets have sizes of one band or of two neighbours; each line stands in its own and the next, so they meet
+    # (the bands are a little wider than the ratio, for rounding)
+    size_band = F.floor(F.log("n") / F.lit(float(np.log(100 / percent)) + 1e-6)) if percent < 100 else F.col("n")
+    sized = spans.join(signatures.select("key", F.col("n").cast("int").alias("n")), "key").withColumn("band", F.explode(F.array(size_band, size_band + 1)))
+    sized = shared.save(sized.select(F.xxhash64("list", "band").alias("list"), "key", "n", F.lit(0).alias("pos"), "component"), "sized-buckets")
+    return across(sized, signatures, percent, shared).select("a", "b")
+
+
 def _marked_lines(sig: DataFrame, texts: DataFrame, min_words: int, percent: int, shared: Shared) -> DataFrame:
     """(key, h, at): lines that repeat an earlier one."""
     own = sig.select(*TEXT, "line_bands", F.posexplode("lines").alias("at", "line"))
@@ -181,7 +206,8 @@ def _marked_lines(sig: DataFrame, texts: DataFrame, min_words: int, percent: int
     distinct = shared.save(own.groupBy("line").agg(F.min(F.struct(*TEXT, "at")).alias("first"), F.count_distinct(*TEXT, "at").alias("n"), F.min("bands").alias("bands")), "distinct-lines")
     band = distinct.select("line", F.posexplode("bands").alias("band", "value"))
     least = band.groupBy("band", "value").agg(F.min("line").alias("least"), F.max("line").alias("most")).where("least != most").drop("most")
-    pairs = shared.save(band.join(least, ["band", "value"]).where("line != least").select(F.col("least").alias("a"), F.col("line").alias("b")).distinct(), "line-pairs")
+    met = shared.save(band.join(least, ["band", "value"]).select(F.xxhash64("band", "value").alias("list"), "line", "least"), "line-buckets")
+    pairs = shared.save(met.where("line != least").select(F.col("least").alias("a"), F.col("line").alias("b")).distinct(), "line-pairs")
     asked = pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct().join(distinct, "line").select("first.key", "first.h", "line")
     sets = shared.save(_line_sets(texts, min_words, shared.save(asked, "asked")), "line-sets")
 
@@ -194,8 +220,16 @@ def _marked_lines(sig: DataFrame, texts: DataFrame, min_words: int, percent: int
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").mapInArrow(settle, "a long, b long")
-    groups = components(both, shared).toDF("line", "component")
+    def settled(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+        return shared.save(both.mapInArrow(settle, "a long, b long"), "line-links")
+
+    found = settled(pairs)
+    groups = components(found, shared)
+    missed = _across_components(met, sets, groups, percent, shared)
+    if missed.take(1):
+        groups = components(found.union(settled(missed)), shared)
+    groups = groups.toDF("line", "component")
     named = distinct.join(groups, "line", "left").select("line", "first", "n", F.coalesce("component", "line").alias("component"))
     named = shared.save(named, "named-lines")
     whole = named.groupBy("component").agg(F.min("first").alias("keep"), F.sum("n").alias("total")).where("total > 1")

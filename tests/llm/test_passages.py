@@ -71,3 +71,20 @@ def test_blocks_lie_alike_in_a_shared_passage():
     assert missed <= 2
     again = Words(*utf8(pa.array(["Of " * 200, "x Of " + "Of " * 150, "a b", "", None])))
     assert (np.diff(P.blocks(again)[:4]) > 0).all()
+
+
+def test_near_copies_among_lines_with_a_common_part(spark):
+    rng = random.Random(8)
+    opening, ending = words(rng, 35), words(rng, 35)
+    texts = []
+    for _ in range(60):  # unlike lines have a similarity of about 0.56, the copies one of about 0.9
+        own = words(rng, 20)
+        texts.append(opening + own + ending)
+        texts.append(opening + own[:10] + ["changed"] + own[11:] + ending)
+    sets = [{tuple(t[i : i + P.SHINGLE]) for i in range(len(t) - P.SHINGLE + 1)} for t in texts]
+    alike = {(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts)) if 100 * len(sets[a] & sets[b]) >= P.PERCENT * len(sets[a] | sets[b])}
+    assert alike == {(a, a + 1) for a in range(0, len(texts), 2)}
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    out = {r.doc_id: r.n_removed for r in P.deduplicate(df, "doc_id", "text", Shared(spark, "p")).collect()}
+    assert all(out[a] == 0 for a, _ in alike)
+    assert [b for _, b in alike if out[b] != len(texts[b])] == []
