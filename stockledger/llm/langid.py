@@ -4,8 +4,9 @@ Text is lower-cased, every run of characters that are no letters counts as one
 space, and n-grams of 1 to 3 characters are hashed into ``BUCKETS`` buckets. A
 text's vector is (1 + ln tf) * idf, of length one; idf comes from all documents.
 Weights are learned by follow-the-regularised-leader with elastic-net penalties,
-one example at a time, on a bounded sample; a temperature fitted on the part
-of the sample that learning did not see calibrates the probabilities.
+one example at a time, on a bounded sample that holds rows of every labelled
+language; a temperature fitted on the part of the sample that learning did not
+see calibrates the probabilities.
 
 Texts are scored whole, in two scans of the documents (idf, then scores).
 Only fixed-size state reaches the driver: the bucket counts, the sample's
@@ -19,15 +20,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import sample_key, sub_batches
 
 BUCKETS = 1 << 14
 NO_LANGUAGE = "und"
-#: Rows of the learning sample, at most; the first by a hash of the id.
-SAMPLE_ROWS = 3000
+#: Rows of the learning sample over all languages, the first by a hash of the id; and the first rows of each language, which are in it too.
+SAMPLE_ROWS, LANGUAGE_ROWS = 3000, 100
 _CODE_POINTS = 0x110000
 _FOLD: np.ndarray | None = None
 
@@ -155,17 +156,32 @@ def ftrl(examples: list[tuple[np.ndarray, np.ndarray, int]], n_langs: int, epoch
     return w[:BUCKETS], w[BUCKETS]
 
 
+def held_back(langs: list[int]) -> np.ndarray:
+    """Whether each example is for the temperature: every fifth of its language, so no language is all held back."""
+    seen: dict[int, int] = {}
+    out = np.zeros(len(langs), bool)
+    for i, y in enumerate(langs):
+        seen[y] = seen.get(y, 0) + 1
+        out[i] = seen[y] % 5 == 0
+    return out
+
+
 def fit(df: DataFrame, text: str, lang: str, key: str, learn: Column, sample_rows: int = SAMPLE_ROWS) -> Model | None:
     """Learn from the rows where ``learn`` holds and ``lang`` is not null; None if there is none with a letter.
 
-    idf covers all rows of ``df``. At most ``sample_rows`` rows are learned
-    from (a fifth of them only for the temperature).
+    idf covers all rows of ``df``. The sample is the first ``sample_rows`` rows
+    over all languages and the first ``LANGUAGE_ROWS`` of each one. A fifth of
+    each language's rows, rounded down, is only for the temperature.
     """
     freq, n_docs = document_frequencies(df, text)
     idf = np.log((1 + n_docs) / (1 + freq)) + 1
     known = df.where(learn & F.col(lang).isNotNull())
     # the ids are chosen without their texts, so the ordering moves small rows only
-    chosen = known.select(F.col(key).alias("__chosen")).orderBy(sample_key(key), key).limit(sample_rows).distinct()
+    ids = known.select(F.col(key).alias("__chosen"), F.col(lang).cast("string").alias("__lang"), sample_key(key).alias("__order"))
+    first = ids.orderBy("__order", "__chosen").limit(sample_rows).select("__chosen")
+    # Spark keeps a partition's first rows of each language before it shuffles, so a common language is not gathered
+    each = ids.withColumn("__n", F.row_number().over(Window.partitionBy("__lang").orderBy("__order", "__chosen"))).where(F.col("__n") <= LANGUAGE_ROWS).select("__chosen")
+    chosen = first.union(each).distinct()
     rows = known.join(F.broadcast(chosen), F.col(key) == F.col("__chosen")).select(F.col(text).alias("t"), F.col(lang).cast("string").alias("l"))
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,8 +199,9 @@ def fit(df: DataFrame, text: str, lang: str, key: str, learn: Column, sample_row
     found.sort(key=lambda r: (bytes(r.at), bytes(r.x), r.l))
     langs = sorted({r.l for r in found})
     examples = [(np.frombuffer(r.at, np.uint16).astype(np.int64), np.frombuffer(r.x, np.float32).astype(float), langs.index(r.l)) for r in found]
-    held = examples[::5] if len(examples) >= 50 else examples
-    weights, bias = ftrl([e for i, e in enumerate(examples) if i % 5] if len(examples) >= 50 else examples, len(langs))
+    aside = held_back([e[2] for e in examples]) if len(examples) >= 50 else np.zeros(len(examples), bool)
+    held = [e for e, out in zip(examples, aside, strict=True) if out] or examples
+    weights, bias = ftrl([e for e, out in zip(examples, aside, strict=True) if not out], len(langs))
     logits = np.array([x @ weights[at] + bias for at, x, _ in held])
     y = np.array([e[2] for e in held])
     scale = np.exp(np.linspace(-2.5, 1.5, 81))

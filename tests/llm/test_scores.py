@@ -91,6 +91,17 @@ def test_language_of_odd_rows(spark):
     assert langid.predict(empty(spark), model, "doc_id", "text").count() == 0
 
 
+def test_rare_languages_are_learned(spark):
+    rows = [(i, ("der und die das ist nicht " if i % 2 else "the and of that is not ") * 5, "de" if i % 2 else "en") for i in range(400)]
+    rows += [(1000 + i, f"que los una por para {w} " * 5, "es") for i, w in enumerate(("con", "este", "pero", "muy"))]
+    rows += [(2000, "og ikke det som på " * 6, "da")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, "text", "lang", "doc_id", F.lit(True), sample_rows=60)
+    assert model.langs == ["da", "de", "en", "es"]
+    out = {r.doc_id: r.lang_pred for r in langid.predict(docs, model, "doc_id", "text").collect()}
+    assert all(out[i] == lang for i, _, lang in rows)
+
+
 def test_ftrl_learns_sparse_weights():
     rng = np.random.default_rng(5)
     examples = []
