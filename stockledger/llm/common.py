@@ -11,7 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stockledger.session import shared_dir
@@ -256,3 +256,24 @@ def components(edges: DataFrame, shared: Shared, max_rounds: int = 60) -> DataFr
     else:
         raise RuntimeError("components did not settle")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+# ---------------------------------------------------------------- distributed order
+
+
+def number(df: DataFrame, order: list[Column], shared: Shared, name: str, rows_a_part: int = 500_000) -> DataFrame:
+    """``df`` stored with ``n``: the row's place, from 0 without gaps, in the given order.
+
+    Rows are dealt to ranges of the whole key, so however many share its first
+    columns no task gets more than its part; the ranges' sizes (a row a range)
+    are summed up to offsets. The order must be total but for rows that are alike.
+    """
+    kept = shared.save(df, f"{name}-rows")
+    parts = max(1, -(-kept.count() // rows_a_part))
+    dealt = kept.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
+    placed = shared.save(dealt, f"{name}-order").withColumn("__part", F.shiftright("__at", 33))
+    sizes = placed.groupBy("__part").agg(F.count("*").alias("__size"))
+    before = F.coalesce(F.sum("__size").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = shared.save(sizes.select("__part", before.alias("__before")), f"{name}-offsets")
+    n = F.col("__before") + F.col("__at").bitwiseAND((1 << 33) - 1)
+    return placed.join(offsets, "__part").select(*[F.col(f"`{c}`") for c in df.columns], n.alias("n"))
