@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, langid, mixing, ngram_join, packing, passages, quality, rules, sharding, toxicity
+from . import centroids, decontaminate, html, langid, mixing, ngram_join, packing, passages, quality, rules, sharding, toxicity
 from .common import Shared, fold, read
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -72,6 +72,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_rules(read(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id", "text", "source", Shared(spark, "rules"))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id", "embedding", Shared(spark, "centroids"))
+    return found.drop("n_compared")
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id", "text", "source", Shared(spark, "mixing"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -89,6 +94,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_decontamination": op9_decontamination,
         "op10_quality_rules": op10_quality_rules,
+        "op12_centroids": op12_centroids,
         "op13_mixing": op13_mixing,
     }
 
@@ -99,6 +105,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_ngram_join": ngram_join.oracle(),
         "op9_decontamination": decontaminate.oracle(),
         "op10_quality_rules": rules.oracle(),
+        "op12_centroids": centroids.oracle(),
         "op13_mixing": mixing.oracle(),
         "op4_sharding": f"""
             WITH t AS (SELECT unnest(range({sharding.DEFAULT_TABLE_SIZE})) AS slot, unnest([{table}]) AS owner),

@@ -31,7 +31,7 @@ def by_definition(rows, weights=(3, 1, 2), budget=1.5, most=2.0):
     while True:
         free = [s for s in order if s not in full]
         rest = budget * sum(size.values()) - most * sum(size[s] for s in full)
-        target = {s: most * size[s] if s in full else rest * w[s] / sum(w[x] for x in free) for s in order}
+        target = {s: most * size[s] if s in full else rest / sum(w[x] for x in free) * w[s] for s in order}
         over = [s for s in free if target[s] > most * size[s]]
         if not over:
             break
