@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, decontaminate, html, langid, mixing, ngram_join, packing, passages, quality, rules, sharding, toxicity
+from . import centroids, decontaminate, html, langid, mixing, ngram_join, packing, passages, prefix_trie, quality, rules, sharding, toxicity
 from .common import Shared, fold, read
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -72,6 +72,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_rules(read(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id", "text", "source", Shared(spark, "rules"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"), "conv_id", "turn", "role", "text", Shared(spark, "trie"))
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = centroids.cluster(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id", "embedding", Shared(spark, "centroids"))
     return found.drop("n_compared")
@@ -94,6 +98,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_decontamination": op9_decontamination,
         "op10_quality_rules": op10_quality_rules,
+        "op11_prefix_trie": op11_prefix_trie,
         "op12_centroids": op12_centroids,
         "op13_mixing": op13_mixing,
     }
@@ -105,6 +110,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_ngram_join": ngram_join.oracle(),
         "op9_decontamination": decontaminate.oracle(),
         "op10_quality_rules": rules.oracle(),
+        "op11_prefix_trie": prefix_trie.oracle(),
         "op12_centroids": centroids.oracle(),
         "op13_mixing": mixing.oracle(),
         "op4_sharding": f"""
