@@ -2,17 +2,24 @@
 
 Every write puts its files into a folder of its own (``data/<id>``) and then
 publishes them with one small commit file, ``_commits/<n>``, whose JSON names
-the folders that make up the table. A reader takes the newest commit, so it
-sees the table before a write or after it, never in between, and a job that
-dies leaves nothing but an unnamed folder. A writer states the commit it
-started from; commit ``n + 1`` can be created only once, so of two writers that
-started from the same one the second fails instead of dropping the first's rows.
+the folders that make up the table. The commit is written under a temporary
+name and renamed, so it is there whole or not at all, and a job that dies at
+any point leaves files that nothing names. A reader takes the newest commit, so
+it sees the table before a write or after it. A commit that cannot be read (a
+copy or an upload cut short) counts as not published: readers take the one
+before it and the next write goes on from there under a number above it.
+
+A writer states the commit it started from and fails if another one is there
+by the time it publishes. The rename never replaces a commit; that is atomic on
+HDFS, while on local disks and object stores, which check and then rename, a
+table needs one writer at a time, as scheduled jobs are.
 
 * :class:`VersionedTable` - each write replaces the whole table.
 * :class:`SlicedTable` - keyed by an integer slice (sold day or sold week) and
   stored in coarser folders; a write drops one slice and appends a batch.
+* :func:`sql_view` - the newest commit under a name for Spark SQL.
 
-Paths go through the Hadoop ``FileSystem`` API, so they work on HDFS, object
+Paths go through Hadoop's file system API, so they work on HDFS, object
 stores and local disks alike.
 """
 
@@ -66,18 +73,25 @@ def _read_text(spark: SparkSession, path: str) -> str:
 
 
 def _create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create a file that must not exist yet."""
+    """Create a file that must not exist yet, whole or not at all."""
     fs, p = _fs(spark, path)
-    try:
-        stream = fs.create(p, False)
-    except Py4JJavaError as e:
-        if "FileAlreadyExists" in str(e.java_exception):
-            raise ConcurrentWrite(path) from e
-        raise
+    jvm = spark.sparkContext._jvm
+    temp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}.tmp")
+    stream = fs.create(temp, True)
     try:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
+    rename = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    rename[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        files.rename(temp, p, rename)
+    except Py4JJavaError as e:
+        fs.delete(temp, False)
+        if "AlreadyExists" in str(e.java_exception):
+            raise ConcurrentWrite(path) from e
+        raise
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -125,14 +139,18 @@ class CommitLog:
         return sorted(int(x) for x in list_names(self.spark, f"{self.root}/_commits") if x.isdigit())
 
     def state(self, n: int) -> dict:
-        return json.loads(_read_text(self.spark, self._path(n)))
+        """What commit ``n`` says; empty if it cannot be read."""
+        try:
+            state = json.loads(_read_text(self.spark, self._path(n)))
+        except ValueError:
+            return {}
+        return state if isinstance(state, dict) and "parts" in state else {}
 
     def latest(self) -> tuple[int, dict]:
-        """(number, state) of the newest commit; (0, {}) before the first."""
+        """(number, state) of the newest commit that can be read; (0, {}) before the first."""
         for n in reversed(self.numbers()):
-            text = _read_text(self.spark, self._path(n))
-            if text:  # empty while its writer is about to fill it
-                return n, json.loads(text)
+            if state := self.state(n):
+                return n, state
         return 0, {}
 
     def new_folder(self) -> str:
@@ -141,16 +159,17 @@ class CommitLog:
 
     def publish(self, base: int, state: dict) -> int:
         """Make ``state`` the table's content if ``base`` is still the newest commit."""
-        numbers = self.numbers()
-        if numbers and numbers[-1] > base:
-            raise ConcurrentWrite(f"{self.root}: commit {numbers[-1]} was published after {base}")
-        _create_text(self.spark, self._path(base + 1), json.dumps(state))
+        newest = self.latest()[0]
+        if newest != base:
+            raise ConcurrentWrite(f"{self.root}: commit {newest} was published after {base}")
+        n = max([base, *self.numbers()]) + 1  # above what cannot be read
+        _create_text(self.spark, self._path(n), json.dumps(state))
         if self.retain is not None:
-            self._expire(base + 1)
-        return base + 1
+            self._expire(n)
+        return n
 
     def _expire(self, newest: int) -> None:
-        old = [n for n in self.numbers() if n <= newest - self.retain]
+        old = [n for n in self.numbers() if n < newest][: 1 - self.retain or None]
         if not old:
             return
         named = {f for n in self.numbers() if n not in old for f in folders(self.state(n))}
@@ -187,6 +206,23 @@ def open_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def sql_view(spark: SparkSession, name: str, root: str, temporary: bool = True) -> None:
+    """``CREATE OR REPLACE VIEW name`` over the folders that the newest commit names.
+
+    The view stands for that state; run it again after a write to move it on. A
+    view that is not temporary lies in the session's catalog, where others find it.
+    """
+    _, state = CommitLog(spark, root).latest()
+    if not state:
+        raise ValueError(f"{root}: no published state")
+    schema = T.StructType.fromJson(state["schema"])
+    columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
+    nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
+    parts = [f"SELECT {columns} FROM parquet.`{root.rstrip('/')}/{p}`" for p in folders(state)]
+    text = " UNION ALL ".join(parts) or f"SELECT {nulls} WHERE false"
+    spark.sql(f"CREATE OR REPLACE {'TEMPORARY ' if temporary else ''}VIEW {name} AS {text}")
+
+
 class VersionedTable:
     """A table whose every write replaces it; older versions stay readable until retired."""
 

@@ -12,7 +12,7 @@ from stockledger.operators import quality
 from stockledger.plans import jobs
 from stockledger.session import shared_dir
 from stockledger.sources import csv_ingest
-from stockledger.sources.storage import CommitLog, ConcurrentWrite, SlicedTable, VersionedTable, list_names, open_table
+from stockledger.sources.storage import CommitLog, ConcurrentWrite, SlicedTable, VersionedTable, list_names, open_table, sql_view
 
 LINES = [
     "inv_data_sk,inv_item_sk,inv_quantity_on_hand,inv_warehouse_sk",  # header: not numeric
@@ -252,3 +252,49 @@ def test_weekly_run_without_a_live_week_drops_the_last_slice(spark):
     old = calendar.calendar_between(spark.createDataFrame([("2023-12-03", "2023-12-09")], "lo string, hi string"))
     r = jobs.run_weekly_sales_inventory(daily_t, inv, old, weekly_t)
     assert "dropped" in r.note and {x.sold_wk_sk for x in weekly_t.read().collect()} == {sun}
+
+
+@pytest.mark.parametrize("torn", ["", '{"schema": {"ty', "[1]"])
+def test_a_commit_cut_short_counts_as_not_published(spark, torn):
+    schema = schemas.INVENTORY
+    table = VersionedTable(spark, shared_dir(spark, "test_torn"), schema)
+    table.write(spark.createDataFrame([(1, 1, 1, 1)], schema))
+    with open(f"{table.root.removeprefix('file:')}/_commits/00000002", "w") as f:
+        f.write(torn)
+    assert [r[0] for r in table.read().collect()] == [1] and [r[0] for r in open_table(spark, table.root).collect()] == [1]
+    assert table.write(spark.createDataFrame([(3, 3, 3, 3)], schema)) == 3
+    assert table.write(spark.createDataFrame([(4, 4, 4, 4)], schema)) == 4
+    assert [r[0] for r in open_table(spark, table.root).collect()] == [4]
+    # nothing but commits is left under their folder
+    assert [x for x in list_names(spark, f"{table.root}/_commits") if x.endswith(".tmp")] == []
+
+
+def test_the_first_commit_cut_short(spark):
+    table = sliced(spark)
+    log = table.log
+    import os
+
+    os.makedirs(f"{table.root.removeprefix('file:')}/_commits")
+    with open(f"{table.root.removeprefix('file:')}/_commits/00000001", "w") as f:
+        f.write("{")
+    assert log.latest() == (0, {}) and table.last_slice() is None
+    table.replace_slice(None, spark.createDataFrame([(1, 10)], NUMS))
+    assert content(table) == [(1, 10)]
+
+
+def test_stored_tables_by_name_in_sql(spark):
+    table = sliced(spark)
+    table.replace_slice(None, spark.createDataFrame([(1, 10), (40, 20)], NUMS))
+    sql_view(spark, "test_nums", table.root)
+    count = "SELECT count(*), max(v) FROM test_nums" if "v" in table.schema.names else f"SELECT count(*), max({table.schema.names[1]}) FROM test_nums"
+    assert tuple(spark.sql(count).first()) == (2, 20)
+    table.replace_slice(40, spark.createDataFrame([(41, 30), (42, 31)], NUMS))
+    assert tuple(spark.sql(count).first()) == (2, 20)  # the state that it was made for
+    sql_view(spark, "test_nums", table.root)
+    assert tuple(spark.sql(count).first()) == (3, 31)
+    empty = VersionedTable(spark, shared_dir(spark, "test_view"), schemas.INVENTORY)
+    with pytest.raises(ValueError):
+        sql_view(spark, "test_none", empty.root)
+    empty.truncate()
+    sql_view(spark, "test_none", empty.root)
+    assert spark.table("test_none").schema.names == schemas.INVENTORY.names and spark.table("test_none").count() == 0
