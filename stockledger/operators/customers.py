@@ -26,6 +26,8 @@ versions.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -118,9 +120,9 @@ def scd2_merge(snapshot: DataFrame, source: DataFrame, run_date: str, strict: bo
     hist = snapshot.select(*CUSTOMER_COLUMNS, "start_date", "end_date")
 
     # 1. insert versions that do not exist yet
-    new_rows = src.join(
-        _match_keys(hist, strict), _match_condition(strict), "left_anti"
-    ).select(*CUSTOMER_COLUMNS, run_ts.alias("start_date"), F.lit(None).cast("timestamp_ntz").alias("end_date"))
+    new_rows = src.join(_match_keys(hist, strict), _match_condition(strict), "left_anti").select(
+        *CUSTOMER_COLUMNS, run_ts.alias("start_date"), F.lit(None).cast("timestamp_ntz").alias("end_date")
+    )
 
     # 2. close changed versions
     src_r = src.select(*[F.col(c).alias(_SRC + c) for c in CUSTOMER_COLUMNS])
@@ -136,6 +138,47 @@ def scd2_merge(snapshot: DataFrame, source: DataFrame, run_date: str, strict: bo
     return kept.unionByName(new_rows)
 
 
+def scd2_merge_in_buckets(snapshot: DataFrame, source: DataFrame, run_date: str, strict: bool = False) -> DataFrame:
+    """:func:`scd2_merge` for two tables in buckets of the customer key, which stay where they are.
+
+    The customer key is the only join key of both merges. The insert merge
+    compares the other attributes as a count of equal ones, which Spark cannot
+    take for further join keys (it would shuffle by all of them). Identical
+    stored versions are met bucket by bucket, so they need not be collapsed first.
+    """
+    source.select(*CUSTOMER_COLUMNS).createOrReplaceTempView(load := f"load_{uuid.uuid4().hex}")
+    snapshot.select(*CUSTOMER_COLUMNS, "start_date", "end_date").createOrReplaceTempView(held := f"held_{uuid.uuid4().hex}")
+    if strict:
+        pairs = [(f"t.{c}", f"s.{c}") for c in CUSTOMER_COLUMNS if c != KEY]
+        same, seen = "CAST({} <=> {} AS INT)", "t.end_date IS NULL"
+        changed = f"t.end_date IS NULL AND ({' OR '.join(f'NOT ({t} <=> {s})' for t, s in pairs)})"
+    else:
+        pairs = [(f"t.{c}", f"s.{c}") for c in PLAIN_COLUMNS if c != KEY] + [(f"COALESCE(t.{c}, 0)", f"COALESCE(s.{c}, 0)") for c in COALESCED_COLUMNS]
+        same = "CAST(COALESCE({} = {}, false) AS INT)"
+        seen = " AND ".join(f"t.{c} IS NOT NULL" for c in PLAIN_COLUMNS)
+        changed = " OR ".join(f"{t} != {s}" for t, s in pairs)
+    every = ", ".join(f"s.{c}" for c in CUSTOMER_COLUMNS)
+    new = f"SELECT {every}, CAST(CAST(:day AS DATE) AS TIMESTAMP_NTZ) AS start_date, CAST(NULL AS TIMESTAMP_NTZ) AS end_date"
+    alike = f"{seen} AND {' + '.join(same.format(t, s) for t, s in pairs)} = {len(pairs)}"
+    if strict:  # a null key equals a null key; the load has one such row at most
+        nulls = f"UNION ALL {new} FROM (SELECT * FROM {load} WHERE {KEY} IS NULL) s LEFT ANTI JOIN (SELECT * FROM {held} WHERE {KEY} IS NULL) t ON {seen} AND {' AND '.join(f'{t} <=> {s}' for t, s in pairs)}"
+    spark = source.sparkSession
+    merged = spark.sql(
+        f"""
+        SELECT {every.replace("s.", "t.")}, t.start_date,
+               CASE WHEN s.{KEY} IS NOT NULL AND ({changed}) THEN CAST(CAST(:day AS DATE) AS TIMESTAMP_NTZ) ELSE t.end_date END AS end_date
+        FROM {held} t LEFT JOIN {load} s ON t.{KEY} = s.{KEY}
+        UNION ALL
+        {new} FROM {load + " s" if not strict else f"(SELECT * FROM {load} WHERE {KEY} IS NOT NULL) s"} LEFT ANTI JOIN {held} t ON t.{KEY} = s.{KEY} AND {alike}
+        {nulls if strict else ""}
+        """,
+        args={"day": run_date},
+    )
+    for view in (load, held):
+        spark.catalog.dropTempView(view)
+    return merged
+
+
 def assert_unique_key(source: DataFrame, key: str = KEY) -> None:
     """Refuse a load with two rows for one customer (the change merge would be ambiguous)."""
     dup = source.groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
@@ -147,6 +190,23 @@ def current_versions(snapshot: DataFrame) -> DataFrame:
     return snapshot.where(F.col("end_date").isNull())
 
 
+#: Shares among which rows without a key are dealt in a join that shuffles.
+NULL_SHARES = 1024
+
+
+def _left_join(left: DataFrame, key: str, right: DataFrame, right_key: str) -> DataFrame:
+    """``left LEFT JOIN right ON key = right_key`` with the rows that have no key dealt out.
+
+    A shuffle would send all of them to one partition. The join also compares a
+    share, which is 0 where there is a key and comes from the customer where there
+    is none, so those rows, which match nothing, spread over all partitions.
+    """
+    share = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(KEY), F.lit(NULL_SHARES))).otherwise(F.lit(0).cast("long"))
+    left = left.withColumn("_share", share)
+    right = right.withColumn("_own", F.pmod(F.xxhash64(right_key), F.lit(1)))  # 0, which Spark cannot fold away
+    return left.join(right, (left[key] == right[right_key]) & (left["_share"] == right["_own"]), "left").drop("_share", "_own")
+
+
 def customer_dimension(
     snapshot: DataFrame,
     address: DataFrame,
@@ -160,10 +220,8 @@ def customer_dimension(
     table joined just before. Spark chooses each join from its inputs' sizes.
     """
     cur = current_versions(snapshot)
-    j = (
-        cur.join(address, cur["c_current_addr_sk"] == address["ca_address_sk"], "left")
-        .join(demographics, F.col("c_current_cdemo_sk") == demographics["cd_demo_sk"], "left")
-        .join(household, F.col("c_current_hdemo_sk") == household["hd_demo_sk"], "left")
-        .join(income_band, F.col("hd_income_band_sk") == income_band["ib_income_band_sk"], "left")
-    )
+    j = _left_join(cur, "c_current_addr_sk", address, "ca_address_sk")
+    j = _left_join(j, "c_current_cdemo_sk", demographics, "cd_demo_sk")
+    j = _left_join(j, "c_current_hdemo_sk", household, "hd_demo_sk")
+    j = _left_join(j, "hd_income_band_sk", income_band, "ib_income_band_sk")
     return j.select(*CUSTOMER_DIM_COLUMNS)

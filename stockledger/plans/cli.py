@@ -31,7 +31,7 @@ from stockledger.session import get_session
 from stockledger.sources import csv_ingest
 from stockledger.operators.customers import customer_dimension
 from stockledger.operators.quality import ACCEPTED_WAREHOUSES
-from stockledger.sources.history import OpenClosedHistory
+from stockledger.sources.bucketed import BucketedHistory
 from stockledger.sources.storage import VersionedTable, copy_table, empty_frame, open_table
 
 
@@ -102,17 +102,9 @@ def main(argv: Sequence[str] | None = None) -> dict:
             r = jobs.run_weekly_sales_inventory(*inputs)
             out.update(watermark=r.watermark, note=r.note)
     elif args.cmd == "customers":
-        if args.strict:
-            history = OpenClosedHistory(spark, args.snapshot)
-            out["version"] = jobs.run_customer_history_strict(read(args.customer), history, args.run_date)
-        else:
-            snap = jobs.customer_snapshot_table(spark, args.snapshot)
-            out["version"] = jobs.run_customer_snapshot(read(args.customer), snap, args.run_date)
+        out["version"] = BucketedHistory(spark, args.snapshot, args.strict).run(read(args.customer), args.run_date)
     elif args.cmd == "customer-dim":
-        if args.strict:
-            snap = OpenClosedHistory(spark, args.snapshot)
-        else:
-            snap = jobs.customer_snapshot_table(spark, args.snapshot)
+        snap = BucketedHistory(spark, args.snapshot, args.strict)
         address, demo, house, band = (read(args.address), read(args.demographics), read(args.household),
                                       read(args.income_band))
         schema = customer_dimension(empty_frame(spark, schemas.CUSTOMER_SNAPSHOT), address, demo, house, band).schema

@@ -7,6 +7,8 @@ import pytest
 from stockledger import schemas
 from stockledger.plans import jobs
 from stockledger.session import shared_dir
+from stockledger.sources.bucketed import BucketedHistory
+from stockledger.sources.storage import list_names, session_conf
 
 
 def cust(spark, rows):
@@ -145,3 +147,57 @@ def history_rows(df):
          for r in df.collect()),
         key=lambda x: (x[0], x[2]),
     )
+
+
+# --- history in buckets of the customer key ------------------------------------
+
+
+def bucketed(spark, loads, strict=False, buckets=4):
+    table = BucketedHistory(spark, shared_dir(spark, "test_buckets"), strict, buckets)
+    for i, rows in enumerate(loads):
+        table.run(cust(spark, rows), f"2024-01-0{i + 1}")
+    return table
+
+
+LOADS = [
+    [(1, "A", 5), (2, "A", None), (3, None, 1), (4, "A", 1), (None, "N", 1)],
+    [(1, "B", 5), (2, "A", 0), (3, None, 1), (5, "A", 1), (None, "N", 1)],
+    [(1, "A", 5), (2, None, 0), (3, "C", 1), (4, "A", 1), (5, "B", 2)],
+    [(1, "A", 5), (2, "A", 0), (4, "A", 2), (6, None, None), (None, "M", 1)],
+]
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_buckets_hold_what_the_plain_history_holds(spark, strict):
+    plain = jobs.customer_snapshot_table(spark, shared_dir(spark, "test_snapshot"))
+    table = bucketed(spark, [], strict)
+    for i, rows in enumerate(LOADS):
+        jobs.run_customer_snapshot(cust(spark, rows), plain, f"2024-01-0{i + 1}", strict=strict)
+        table.run(cust(spark, rows), f"2024-01-0{i + 1}")
+        assert sorted(map(str, table.read().collect())) == sorted(map(str, plain.read().collect()))
+    open_ = plain.read().where("end_date IS NULL")
+    assert sorted(map(str, table.open_versions().collect())) == sorted(map(str, open_.collect()))
+    assert list_names(spark, f"{table.root}/loads") == []
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_a_run_moves_no_stored_row(spark, strict):
+    table = bucketed(spark, LOADS, strict)
+    with session_conf(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        staged, _, _ = table.stage(cust(spark, LOADS[0]))
+        plan = table.plan(staged, "2024-02-01")._jdf.queryExecution().executedPlan().toString()
+        groups = staged.groupBy("c_customer_sk").count()._jdf.queryExecution().executedPlan().toString()
+    moved = [x for x in plan.split("\n") if "Exchange" in x]
+    # strict: rows without a key alone, which match null-safely
+    assert len(moved) == (2 if strict else 0) and "SortMergeJoin" in plan, plan
+    assert "Exchange" not in groups
+
+
+def test_buckets_refuse_two_rows_for_a_customer_and_keep_the_table(spark):
+    table = bucketed(spark, LOADS[:1])
+    before = sorted(map(str, table.read().collect()))
+    with pytest.raises(ValueError):
+        table.run(cust(spark, [(1, "A", 5), (1, "B", 5)]), "2024-01-02")
+    assert sorted(map(str, table.read().collect())) == before
+    strict = bucketed(spark, [[(1, "A", 5), (1, "A", 5)]], strict=True)
+    assert strict.read().count() == 1
