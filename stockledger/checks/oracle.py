@@ -337,6 +337,16 @@ UNION ALL SELECT * FROM daily WHERE sold_date_sk >= (SELECT max(sold_date_sk) FR
 _Q["daily_vanished_slice"] = with_views("daily_cut", body="""
 SELECT * FROM daily_cut WHERE sold_date_sk <> (SELECT max(sold_date_sk) FROM daily_cut)""")
 _Q["ingest_to_weekly"] = with_views("weekly_csv", body="FROM weekly_csv")
+_Q["weekly_from_raw"] = _Q["weekly_sales_inventory"]
+_Q["daily_sales_sql"] = _Q["daily_sales"]
+_Q["daily_late_report"] = with_views("lines", body=f"""
+SELECT day AS sold_date_sk, count(*) FILTER (had) AS n_stored, count(*) AS n_source,
+       CAST(coalesce(sum(qty) FILTER (had), 0) AS BIGINT) AS qty_stored, CAST(sum(qty) AS BIGINT) AS qty_source
+FROM (SELECT *, ord % 7 <> 0 AS had FROM lines WHERE day < (SELECT max(day) FROM lines WHERE (day < {_CUT} OR (day = {_CUT} AND ord % 2 = 0)) AND ord % 7 <> 0))
+GROUP BY day HAVING count(*) FILTER (NOT had) > 0""")
+_Q["explore_cardinality_by_day"] = with_views("lines", "date_dim", body="""
+SELECT CAST(NULL AS INTEGER) AS year, count(DISTINCT item) AS n_distinct FROM lines
+UNION ALL SELECT d.yr_num, count(DISTINCT l.item) FROM lines l JOIN date_dim d ON d.d_date_sk = l.day GROUP BY d.yr_num""")
 _Q["weekly_missing_sunday"] = with_views("weekly_u", body="SELECT * FROM weekly_u")
 
 

@@ -10,8 +10,9 @@ partition), so the limit never pulls a table through one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -71,6 +72,50 @@ def key_probe_preview(
     return first(dim.join(F.broadcast(f), dim[dim_key] == f[fact_key]))
 
 
+def key_probes(fact: DataFrame, pairs: Sequence[tuple[str, str, DataFrame, str]], order: Sequence[str], n: int = 5) -> DataFrame:
+    """Every probe of one fact: (probe, kind, value, *order, dim_row).
+
+    ``pairs``: (name, fact key, dimension, its key). A row of kind ``count`` has
+    the number of joined rows; the rows of kind ``sample`` are the first ``n``
+    joined rows by key and ``order``, with the dimension's row as text.
+
+    The fact's keys are stacked to (pair, key) rows and counted in one scan,
+    partially before the shuffle; the counts meet the dimensions' stacked keys
+    in one join. For the samples a second scan keeps, per pair, the rows of the
+    ``n`` least matched keys: first and top rows are cut per task before they are
+    shuffled, and what is broadcast has at most ``n`` rows a pair.
+    """
+    order = list(order)
+    at = range(len(pairs))
+
+    def stacked(columns: Sequence[str]) -> DataFrame:
+        cells = [x for i in at for x in (F.lit(i), F.col(pairs[i][1]))]
+        return fact.select(*columns, F.stack(F.lit(len(pairs)), *cells).alias("_p", "_k")).where(F.col("_k").isNotNull())
+
+    def first(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        place = Window.partitionBy("_p").orderBy(*columns)
+        return df.withColumn("_n", F.row_number().over(place)).where(F.col("_n") <= n).drop("_n")
+
+    def dims(*extra) -> DataFrame:
+        return reduce(DataFrame.unionByName, [d.select(F.lit(i).alias("_p"), F.col(k).alias("_k"), *[e(d) for e in extra]) for i, (_, _, d, k) in enumerate(pairs)])
+
+    spark = fact.sparkSession
+    names = spark.createDataFrame([(i, pairs[i][0]) for i in at], "_p int, probe string")
+    f = stacked([]).groupBy("_p", "_k").agg(F.count(F.lit(1)).alias("_nf"))
+    d = dims().where(F.col("_k").isNotNull()).groupBy("_p", "_k").agg(F.count(F.lit(1)).alias("_nd"))
+    matched = f.join(d, ["_p", "_k"])
+    counts = matched.groupBy("_p").agg(F.sum(F.col("_nf") * F.col("_nd")).alias("value"))
+    none = [F.lit(None).cast(fact.schema[c].dataType).alias(c) for c in order]
+    counted = names.join(counts, "_p", "left").select(
+        "probe", F.lit("count").alias("kind"), F.coalesce("value", F.lit(0)).cast("bigint").alias("value"), *none, F.lit(None).cast("string").alias("dim_row")
+    )
+    least = first(matched.select("_p", "_k"), ["_k"])
+    rows = first(stacked(order).join(F.broadcast(least), ["_p", "_k"], "left_semi"), ["_k", *order])
+    text = dims(lambda df: F.concat_ws("|", *[F.coalesce(df[c].cast("string"), F.lit("")) for c in df.columns]).alias("dim_row"))
+    sampled = first(text.join(F.broadcast(rows), ["_p", "_k"]), ["_k", *order, "dim_row"]).join(names, "_p")
+    return counted.unionByName(sampled.select("probe", F.lit("sample").alias("kind"), F.col("_k").cast("bigint").alias("value"), *order, "dim_row"))
+
+
 def preview(df: DataFrame, order: Sequence[str], n: int = 100) -> DataFrame:
     """``SELECT * FROM t LIMIT n`` made repeatable: ordered by ``order`` and then
     by every other column (NULLs first), so ties cannot pick different rows.
@@ -123,3 +168,20 @@ def calendar_head(date_dim: DataFrame, n: int = 100) -> DataFrame:
 def calendar_day(date_dim: DataFrame, day: str) -> DataFrame:
     """``SELECT * FROM date_dim WHERE cal_dt = 'yyyy-mm-dd'`` (string literal cast to date)."""
     return date_dim.where(F.col("cal_dt") == F.lit(day).cast("date"))
+
+
+def distinct_bitmaps(df: DataFrame, slice_col: str, column: str) -> DataFrame:
+    """(slice, bucket, bits): the distinct whole numbers of ``column`` in each slice, as exact bitmaps.
+
+    A bucket covers a fixed range of values, so bitmaps of slices can be joined
+    by OR: a count over any set of slices needs no detail rows (:func:`distinct_of_bitmaps`).
+    """
+    v = F.col(column)
+    found = df.where(v.isNotNull() & F.col(slice_col).isNotNull())
+    return found.groupBy(F.col(slice_col).alias("slice"), F.bitmap_bucket_number(v).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(v)).alias("bits"))
+
+
+def distinct_of_bitmaps(bitmaps: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(``by``, n_distinct): COUNT(DISTINCT) over all slices of each group, from their bitmaps."""
+    merged = bitmaps.groupBy(*by, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return merged.groupBy(*by).agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).cast("bigint").alias("n_distinct"))

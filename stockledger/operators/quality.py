@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 # The warehouse keys the weekly fact accepts.
@@ -64,3 +64,54 @@ def verdicts(*checks: tuple[str, DataFrame]) -> DataFrame:
         v = verdict(failing, name)
         out = v if out is None else out.unionByName(v)
     return out
+
+
+class Watch:
+    """Checks whose failing rows are counted by the job that writes the table.
+
+    ``frame()`` is the table with the checks as metrics of its plan
+    (``DataFrame.observe``); once it has been written, ``verdicts()`` has their
+    counts without a second scan. Metrics are taken in the stage that writes,
+    where Spark counts each task once.
+    """
+
+    def __init__(self, df: DataFrame):
+        self._df, self._columns, self._failing = df, df.columns, {}
+        self._seen = Observation()
+
+    def _add(self, name: str, failing: Column) -> Watch:
+        flag = f"_check_{len(self._failing)}"
+        self._df = self._df.withColumn(flag, failing)
+        self._failing[name] = flag
+        return self
+
+    def not_null(self, name: str, column: str) -> Watch:
+        return self._add(name, F.col(column).isNull())
+
+    def accepted_values(self, name: str, column: str, values: Iterable) -> Watch:
+        return self._add(name, ~F.col(column).isin(list(values)))
+
+    def relationship(self, name: str, column: str, parent: DataFrame, parent_column: str) -> Watch:
+        """One left join with the parent's distinct keys; a null key has no parent."""
+        key = f"_parent_{len(self._failing)}"
+        keys = parent.select(F.col(parent_column).alias(key)).where(F.col(key).isNotNull()).distinct()
+        self._df = self._df.join(keys, F.col(column) == F.col(key), "left")
+        return self._add(name, F.col(key).isNull())
+
+    def unique(self, name: str, columns: Sequence[str]) -> Watch:
+        """Counts key values that occur more than once, by their second rows.
+
+        For tables aggregated by (nearly) these columns, whose rows lie by key
+        already; for raw tables, where one key may hold many rows, use :func:`unique`.
+        """
+        return self._add(name, F.row_number().over(Window.partitionBy(*columns).orderBy(columns[0])) == 2)
+
+    def frame(self) -> DataFrame:
+        counts = [F.count_if(F.col(flag)).alias(flag) for flag in self._failing.values()]
+        return self._df.observe(self._seen, *counts).select(*self._columns)
+
+    def verdicts(self) -> DataFrame:
+        """As :func:`verdicts`, from the metrics of the write (call it after the write)."""
+        found = self._seen.get
+        rows = [(name, found[flag], found[flag] == 0) for name, flag in self._failing.items()]
+        return self._df.sparkSession.createDataFrame(rows, "check_name string, n_failing bigint, passed boolean")

@@ -80,3 +80,54 @@ def daily_sales(lines: DataFrame, date_dim: DataFrame) -> DataFrame:
         F.sum("daily_sales_amt").cast("double").alias("daily_sales_amt"),
         F.sum("daily_net_profit").cast("double").alias("daily_net_profit"),
     )
+
+
+MARK_SCHEMA = "sold_date_sk bigint, n_lines bigint, sum_qty bigint, sum_amt decimal(38,4), sum_hash decimal(38,0)"
+
+
+def day_marks(lines: DataFrame) -> DataFrame:
+    """A fingerprint of each sold day's lines that does not depend on their order.
+
+    Count, sums and the sum of 64-bit row hashes: a line that is added, lost or
+    changed changes its day's mark (two changes whose hashes cancel out apart).
+    """
+    whole = F.xxhash64(*[F.col(c) for c in ("warehouse_sk", "item_sk", "sold_date_sk", "quantity")], F.col("sales_amt").cast(MONEY), F.col("net_profit").cast(MONEY))
+    return lines.groupBy("sold_date_sk").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum("quantity").cast("bigint").alias("sum_qty"),
+        F.sum(F.col("sales_amt").cast(MONEY)).cast("decimal(38,4)").alias("sum_amt"),
+        F.sum(whole.cast("decimal(20,0)")).cast("decimal(38,0)").alias("sum_hash"),
+    )
+
+
+def late_days(stored: DataFrame, now: DataFrame, before: int) -> DataFrame:
+    """The days older than ``before`` whose lines are no longer those that were aggregated.
+
+    ``stored`` and ``now`` are :func:`day_marks`, a row a day, of the lines that
+    the daily table was made from and of the source as it is. Returns
+    (sold_date_sk, n_stored, n_source, qty_stored, qty_source), 0 for a day that one side lacks.
+    """
+    old = stored.where(F.col("sold_date_sk") < before).select("sold_date_sk", F.struct("n_lines", "sum_qty", "sum_amt", "sum_hash").alias("_old"))
+    new = now.where(F.col("sold_date_sk") < before).select("sold_date_sk", F.struct("n_lines", "sum_qty", "sum_amt", "sum_hash").alias("_new"))
+    both = old.join(new, "sold_date_sk", "full").where(~F.col("_old").eqNullSafe(F.col("_new")))
+    value = lambda side, field: F.coalesce(F.col(f"{side}.{field}"), F.lit(0)).cast("bigint")
+    return both.select(
+        "sold_date_sk", value("_old", "n_lines").alias("n_stored"), value("_new", "n_lines").alias("n_source"), value("_old", "sum_qty").alias("qty_stored"), value("_new", "sum_qty").alias("qty_source")
+    )
+
+
+#: The daily batch as SQL; ``sold_since`` is a session variable, the tables are names of views.
+DAILY_SQL = """
+WITH sold AS (
+  SELECT cs_warehouse_sk AS warehouse_sk, cs_item_sk AS item_sk, cs_sold_date_sk AS sold_date_sk, cs_quantity AS quantity,
+         cs_sales_price * cs_quantity AS sales_amt, cs_net_profit AS net_profit FROM {catalog_sales} WHERE cs_sold_date_sk >= sold_since
+  UNION ALL
+  SELECT ws_warehouse_sk, ws_item_sk, ws_sold_date_sk, ws_quantity, ws_sales_price * ws_quantity, ws_net_profit FROM {web_sales} WHERE ws_sold_date_sk >= sold_since
+), days AS (
+  SELECT warehouse_sk, item_sk, sold_date_sk, sum(quantity) AS qty, sum(CAST(sales_amt AS DECIMAL(38,4))) AS amt, sum(CAST(net_profit AS DECIMAL(38,4))) AS profit
+  FROM sold WHERE quantity IS NOT NULL AND sales_amt IS NOT NULL GROUP BY ALL
+)
+SELECT warehouse_sk, item_sk, sold_date_sk, CAST(max(wk_num) AS BIGINT) AS sold_wk_num, CAST(max(yr_num) AS BIGINT) AS sold_yr_num,
+       CAST(sum(qty) AS BIGINT) AS daily_qty, CAST(sum(amt) AS DOUBLE) AS daily_sales_amt, CAST(sum(profit) AS DOUBLE) AS daily_net_profit
+FROM days LEFT JOIN {date_dim} ON sold_date_sk = d_date_sk GROUP BY warehouse_sk, item_sk, sold_date_sk
+"""

@@ -11,11 +11,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockledger import schemas
 from stockledger.operators import customers, sales, weekly
+from stockledger.sources.bucketed import BucketedHistory
 from stockledger.sources.history import OpenClosedHistory
-from stockledger.sources.storage import SlicedTable, VersionedTable
+from stockledger.sources.raw import RawTable
+from stockledger.sources.storage import SlicedTable, VersionedTable, empty_frame, sql_view
 
 
 @dataclass
@@ -61,6 +64,54 @@ def run_daily_sales(
     return RunInfo(wm)
 
 
+def run_daily_from_raw(catalog_sales: RawTable, web_sales: RawTable, date_dim: DataFrame, target: SlicedTable) -> RunInfo:
+    """:func:`run_daily_sales` over raw tables in day ranges: a run opens the folders from its watermark's on."""
+    wm = target.last_slice()
+    return run_daily_sales(catalog_sales.read(wm), web_sales.read(wm), date_dim, target)
+
+
+def marks_table(spark: SparkSession, root: str) -> SlicedTable:
+    return SlicedTable(spark, root, T._parse_datatype_string(sales.MARK_SCHEMA), "sold_date_sk")
+
+
+def run_daily_with_marks(catalog_sales: DataFrame, web_sales: DataFrame, date_dim: DataFrame, target: SlicedTable, marks: SlicedTable) -> RunInfo:
+    """:func:`run_daily_sales`, and a fingerprint of each day that it aggregates, stored by the same rule."""
+    wm = target.last_slice()
+    lines = sales.sales_union(catalog_sales, web_sales, wm)
+    target.replace_slice(wm, sales.daily_sales(lines, date_dim))
+    marks.replace_slice(wm, sales.day_marks(lines))
+    return RunInfo(wm)
+
+
+def late_day_report(catalog_sales: DataFrame, web_sales: DataFrame, target: SlicedTable, marks: SlicedTable) -> DataFrame:
+    """The days behind the watermark that the source has changed since they were aggregated.
+
+    Reads the source once (a row a day is shuffled) and the stored fingerprints, no
+    stored detail rows. Empty before the first run.
+    """
+    wm = target.last_slice()
+    return sales.late_days(marks.read(), sales.day_marks(sales.sales_union(catalog_sales, web_sales)), wm if wm is not None else -(1 << 62))
+
+
+def run_daily_sql(spark: SparkSession, catalog_sales: str, web_sales: str, date_dim: str, target: SlicedTable) -> RunInfo:
+    """The daily job as SQL over named tables: the watermark is a session variable.
+
+    Same result as :func:`run_daily_sales`; the stored table stands in SQL under a
+    view of its newest commit.
+    """
+    base = "daily_aggregated_sales"
+    if target.exists():
+        sql_view(spark, base, target.root)
+    else:
+        empty_frame(spark, target.schema).createOrReplaceTempView(base)
+    spark.sql("DECLARE OR REPLACE VARIABLE sold_since BIGINT DEFAULT 0")
+    spark.sql(f"SET VARIABLE sold_since = (SELECT coalesce(max(sold_date_sk), 0) FROM {base})")
+    batch = spark.sql(sales.DAILY_SQL.format(catalog_sales=catalog_sales, web_sales=web_sales, date_dim=date_dim))
+    wm = target.last_slice()
+    target.replace_slice(wm, batch)
+    return RunInfo(wm)
+
+
 def plan_weekly_sales_inventory(
     daily: SlicedTable,
     inventory: DataFrame,
@@ -92,6 +143,22 @@ def plan_weekly_sales_inventory(
     return wm, weekly.weekly_sales_inventory(days, inv, date_dim, wm)
 
 
+def run_weekly_from_raw(daily: SlicedTable, inventory: RawTable, date_dim: DataFrame, target: SlicedTable) -> RunInfo:
+    """:func:`run_weekly_sales_inventory` over an inventory in day ranges: only folders of live weeks are opened."""
+    wm = target.last_slice()
+    stock = inventory.read() if wm is None else live_stock(inventory, date_dim, wm)
+    _, batch = plan_weekly_sales_inventory(daily, stock, date_dim, target)
+    target.replace_slice(wm, batch)
+    return RunInfo(wm)
+
+
+def live_stock(inventory: RawTable, date_dim: DataFrame, since_wk_sk: int) -> DataFrame:
+    """Inventory of the weeks that can still qualify (:func:`weekly.live_weeks`), found at run time."""
+    live = weekly.live_weeks(date_dim, since_wk_sk).select(F.col("wk_num").alias("_wk"), F.col("yr_num").alias("_yr"))
+    days = date_dim.join(live, (F.col("wk_num") == F.col("_wk")) & (F.col("yr_num") == F.col("_yr")), "left_semi")
+    return inventory.read_days(days, "d_date_sk")
+
+
 def run_weekly_sales_inventory(
     daily: SlicedTable,
     inventory: DataFrame,
@@ -150,7 +217,7 @@ def run_customer_history_strict(
 
 
 def run_customer_dimension(
-    snapshot: VersionedTable | OpenClosedHistory,
+    snapshot: VersionedTable | OpenClosedHistory | BucketedHistory,
     address: DataFrame,
     demographics: DataFrame,
     household: DataFrame,
@@ -163,5 +230,5 @@ def run_customer_dimension(
     tables are broadcast while small, the address table grows with the
     customers and is sort-merge joined. With the open/closed layout only the open versions are read.
     """
-    current = snapshot.open_versions() if isinstance(snapshot, OpenClosedHistory) else snapshot.read()
+    current = snapshot.read() if isinstance(snapshot, VersionedTable) else snapshot.open_versions()
     return target.write(customers.customer_dimension(current, address, demographics, household, income_band))

@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockledger import schemas
 from stockledger.operators import customers, explore, quality, sales, weekly
@@ -20,8 +21,9 @@ from stockledger.plans import jobs
 from stockledger.session import shared_dir
 from stockledger.sources import csv_ingest
 from stockledger.sources import fixtures as fx
-from stockledger.sources.history import OpenClosedHistory
-from stockledger.sources.storage import VersionedTable, copy_table, empty_frame, open_table
+from stockledger.sources.bucketed import BucketedHistory
+from stockledger.sources.raw import RawTable
+from stockledger.sources.storage import SlicedTable, VersionedTable, copy_table, empty_frame, open_table
 from stockledger.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,22 +85,15 @@ def q_inventory_with_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly.inventory_with_week(fx.inventory(t), fx.date_dim(t))
 
 
-def weekly_from_stored(spark: SparkSession, t: Tables, week_rule: str = "sunday") -> DataFrame:
-    """The weekly fact over a stored calendar and inventory, as the mart holds them: their derivation runs once."""
-    cal = stored(spark, fx.date_dim(t, week_rule), "date_dim")
-    inv = stored(spark, fx.inventory_with_gaps(t), "inventory")
-    return weekly.weekly_sales_inventory(sales.daily_sales(lines_of(t), cal), inv, cal)
-
-
 @register("weekly_sales_inventory")
 def q_weekly_sales_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weekly_from_stored(spark, Tables(spark, sf_dir))
+    return weekly_of(Tables(spark, sf_dir))
 
 
 @register("weekly_missing_sunday")
 def q_weekly_missing_sunday(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly fact over a ``%U`` calendar: weeks without a Sunday row lose their sales."""
-    return weekly_from_stored(spark, Tables(spark, sf_dir), "calendar_u")
+    return weekly_of(Tables(spark, sf_dir), "calendar_u")
 
 
 # --- incremental runs over stored tables -----------------------------------
@@ -207,21 +202,85 @@ def q_daily_vanished_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+@register("weekly_from_raw")
+def q_weekly_from_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw sales and inventory that arrive in two drops and lie in day ranges;
+    both jobs run after each drop, the second time on the new ranges alone."""
+    t = Tables(spark, sf_dir)
+    cal = stored(spark, fx.date_dim(t), "date_dim")
+    inv = fx.inventory_with_gaps(t)
+    sources = [(fx.catalog_sales(t), "cs_sold_date_sk"), (fx.web_sales(t), "ws_sold_date_sk"), (inv, "inv_data_sk")]
+    raw = [RawTable(spark, shared_dir(spark, f"raw_{day}"), df.schema, day) for df, day in sources]
+    daily_t = jobs.daily_table(spark, shared_dir(spark, "daily_sales"))
+    weekly_t = jobs.weekly_table(spark, shared_dir(spark, "weekly_sales_inventory"))
+    for first in (True, False):
+        for table, (df, day) in zip(raw, sources):
+            early = F.coalesce(F.col(day) < F.lit(CUT_DAY), F.lit(False))
+            table.append(df.where(early if first else ~early))
+        jobs.run_daily_from_raw(raw[0], raw[1], cal, daily_t)
+        jobs.run_weekly_from_raw(daily_t, raw[2], cal, weekly_t)
+    return weekly_t.read()
+
+
+@register("daily_late_report")
+def q_daily_late_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days that :func:`q_daily_late_rows` leaves behind: after the second run the
+    report names those that the source has filled up behind the first run's watermark."""
+    t = Tables(spark, sf_dir)
+    cal = stored(spark, fx.date_dim(t), "date_dim")
+    cs, ws = fx.catalog_sales(t), fx.web_sales(t)
+    table, marks = jobs.daily_table(spark, shared_dir(spark, "daily_sales")), jobs.marks_table(spark, shared_dir(spark, "daily_marks"))
+    first = [_arrived_by_cut(x, p, True).where(F.col(f"{p}order_number") % 7 != 0) for x, p in ((cs, "cs_"), (ws, "ws_"))]
+    jobs.run_daily_with_marks(*first, cal, table, marks)
+    jobs.run_daily_with_marks(cs, ws, cal, table, marks)
+    return jobs.late_day_report(cs, ws, table, marks)
+
+
+@register("daily_sales_sql")
+def q_daily_sales_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily job as SQL text with the watermark in a session variable, run before and after a cut."""
+    t = Tables(spark, sf_dir)
+    stored(spark, fx.date_dim(t), "date_dim").createOrReplaceTempView("sql_date_dim")
+    cs, ws = fx.catalog_sales(t), fx.web_sales(t)
+    table = jobs.daily_table(spark, shared_dir(spark, "daily_sales"))
+    for early in (True, False):
+        for df, p, name in ((cs, "cs_", "sql_catalog_sales"), (ws, "ws_", "sql_web_sales")):
+            (_arrived_by_cut(df, p, True) if early else df).createOrReplaceTempView(name)
+        jobs.run_daily_sql(spark, "sql_catalog_sales", "sql_web_sales", "sql_date_dim", table)
+    return table.read()
+
+
+@register("explore_cardinality_by_day")
+def q_explore_cardinality_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct items sold, in all and by year, from bitmaps stored per day; the second
+    run adds the bitmaps of its days and reads no older line."""
+    t = Tables(spark, sf_dir)
+    cal = stored(spark, fx.date_dim(t), "date_dim")
+    bitmaps = SlicedTable(spark, shared_dir(spark, "item_bitmaps"), T._parse_datatype_string("slice bigint, bucket bigint, bits binary"), "slice")
+    for early in (True, False):
+        wm = bitmaps.last_slice()
+        cs, ws = ((_arrived_by_cut(x, p, True) if early else x) for x, p in ((fx.catalog_sales(t), "cs_"), (fx.web_sales(t), "ws_")))
+        bitmaps.replace_slice(wm, explore.distinct_bitmaps(sales.sales_union(cs, ws, wm), "sold_date_sk", "item_sk"))
+    held = bitmaps.read().join(cal.select(F.col("d_date_sk").alias("slice"), F.col("yr_num").alias("year")), "slice")
+    every = explore.distinct_of_bitmaps(held).select(F.lit(None).cast("int").alias("year"), "n_distinct")
+    return every.unionByName(explore.distinct_of_bitmaps(held, ["year"]))
+
+
 # --- customers ----------------------------------------------------------------
 
 
-def stored_history(spark: SparkSession, t: Tables, strict: bool = False):
-    """The three customer loads applied in order, each stored as a new version."""
-    snap = jobs.customer_snapshot_table(spark, shared_dir(spark, "customer_snapshot"))
+def stored_history(spark: SparkSession, t: Tables, strict: bool = False) -> BucketedHistory:
+    """The three customer loads applied in order to a history in buckets of the customer key."""
+    history = BucketedHistory(spark, shared_dir(spark, "customer_history"), strict)
     for k, day in enumerate(fx.CUSTOMER_LOAD_DATES):
-        jobs.run_customer_snapshot(fx.customer_load(t, k), snap, day, strict=strict)
-    return snap
+        history.run(fx.customer_load(t, k), day)
+    return history
 
 
 def customer_dim_of(spark: SparkSession, t: Tables) -> DataFrame:
     """The current-customer dimension over the stored history (lazy from there)."""
     return customers.customer_dimension(
-        stored_history(spark, t).read(),
+        stored_history(spark, t).open_versions(),
         fx.customer_address(t),
         fx.customer_demographics(t),
         fx.household_demographics(t),
@@ -236,12 +295,8 @@ def q_customer_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("customer_scd2_strict")
 def q_customer_scd2_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Strict history kept as open versions plus append-only closed versions."""
-    t = Tables(spark, sf_dir)
-    history = OpenClosedHistory(spark, shared_dir(spark, "customer_history"))
-    for k, day in enumerate(fx.CUSTOMER_LOAD_DATES):
-        jobs.run_customer_history_strict(fx.customer_load(t, k), history, day)
-    return history.read()
+    """Strict history kept as open versions in buckets plus append-only closed versions."""
+    return stored_history(spark, Tables(spark, sf_dir), strict=True).read()
 
 
 @register("customer_dim_current")
@@ -369,73 +424,45 @@ def q_ingest_to_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- data quality ------------------------------------------------------------
 
-_MART: dict[tuple[str, str], dict[str, str]] = {}
-
-
-def mart(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    """Stored tables that the checks read. Checks look at what the jobs have
-    stored; a session builds each table once per input and keeps its folder."""
-    t = Tables(spark, sf_dir)
-    built = _MART.setdefault((spark.sparkContext.applicationId, sf_dir), {})
-
-    def build(name: str) -> DataFrame:
-        if name == "weekly":
-            return weekly_from_stored(spark, t)
-        if name == "inventory_with_week":
-            return weekly.inventory_with_week(fx.inventory(t), fx.date_dim(t))
-        return customer_dim_of(spark, t)
-
-    for name in names:
-        if name not in built:
-            root = shared_dir(spark, f"mart-{name}")
-            df = build(name)
-            VersionedTable(spark, root, df.schema).write(df)
-            built[name] = root
-    return {name: open_table(spark, built[name]) for name in names}
-
 
+def checked_write(spark: SparkSession, watch: quality.Watch, purpose: str) -> DataFrame:
+    """Store the watched table; the verdicts come from the metrics of that write."""
+    df = watch.frame()
+    VersionedTable(spark, shared_dir(spark, purpose), df.schema).write(df)
+    return watch.verdicts()
 
 
 @register("dq_not_null")
 def q_dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    return quality.verdicts(
-        ("customer_dim.c_customer_sk", quality.not_null(mart(spark, sf_dir, "customer_dim")["customer_dim"], "c_customer_sk")),
-        ("sales_lines.warehouse_sk", quality.not_null(lines_of(t), "warehouse_sk")),
-    )
+    dim = quality.Watch(customer_dim_of(spark, t)).not_null("customer_dim.c_customer_sk", "c_customer_sk")
+    lines = quality.verdict(quality.not_null(lines_of(t), "warehouse_sk"), "sales_lines.warehouse_sk")
+    return checked_write(spark, dim, "customer_dim").unionByName(lines)
 
 
 @register("dq_unique")
 def q_dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = mart(spark, sf_dir, "weekly", "inventory_with_week")
-    return quality.verdicts(
-        ("weekly_sales_inventory(warehouse_sk,item_sk,sold_wk_sk)",
-         quality.unique(held["weekly"], ["warehouse_sk", "item_sk", "sold_wk_sk"])),
-        ("inventory(inv_item_sk,inv_warehouse_sk,inv_wk_num,inv_yr_num)",
-         quality.unique(held["inventory_with_week"], ["inv_item_sk", "inv_warehouse_sk", "inv_wk_num", "inv_yr_num"])),
-    )
+    t = Tables(spark, sf_dir)
+    fact = quality.Watch(weekly_of(t)).unique("weekly_sales_inventory(warehouse_sk,item_sk,sold_wk_sk)", ["warehouse_sk", "item_sk", "sold_wk_sk"])
+    keys = ["inv_item_sk", "inv_warehouse_sk", "inv_wk_num", "inv_yr_num"]
+    stock = quality.unique(weekly.inventory_with_week(fx.inventory(t), fx.date_dim(t)), keys)
+    return checked_write(spark, fact, "weekly").unionByName(quality.verdict(stock, "inventory(inv_item_sk,inv_warehouse_sk,inv_wk_num,inv_yr_num)"))
 
 
 @register("dq_relationship")
 def q_dq_relationship(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    return quality.verdicts(
-        ("weekly_sales_inventory.item_sk->item_dim.i_item_sk",
-         quality.relationship(mart(spark, sf_dir, "weekly")["weekly"], "item_sk", fx.item(t), "i_item_sk")),
-        ("orders.o_custkey->customer_load0.c_customer_sk",
-         quality.relationship(t.orders, "o_custkey", fx.customer_load(t, 0), "c_customer_sk")),
-    )
+    fact = quality.Watch(weekly_of(t)).relationship("weekly_sales_inventory.item_sk->item_dim.i_item_sk", "item_sk", fx.item(t), "i_item_sk")
+    orders = quality.relationship(t.orders, "o_custkey", fx.customer_load(t, 0), "c_customer_sk")
+    return checked_write(spark, fact, "weekly").unionByName(quality.verdict(orders, "orders.o_custkey->customer_load0.c_customer_sk"))
 
 
 @register("dq_accepted_values")
 def q_dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    return quality.verdicts(
-        ("weekly_sales_inventory.warehouse_sk",
-         quality.accepted_values(mart(spark, sf_dir, "weekly")["weekly"], "warehouse_sk", quality.ACCEPTED_WAREHOUSES)),
-        ("warehouse_dim.w_warehouse_sk",
-         quality.accepted_values(fx.warehouse(t), "w_warehouse_sk", quality.ACCEPTED_WAREHOUSES)),
-    )
+    fact = quality.Watch(weekly_of(t)).accepted_values("weekly_sales_inventory.warehouse_sk", "warehouse_sk", quality.ACCEPTED_WAREHOUSES)
+    houses = quality.accepted_values(fx.warehouse(t), "w_warehouse_sk", quality.ACCEPTED_WAREHOUSES)
+    return checked_write(spark, fact, "weekly").unionByName(quality.verdict(houses, "warehouse_dim.w_warehouse_sk"))
 
 
 @register("dq_orphan_key")
@@ -485,49 +512,25 @@ def q_explore_daily_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def _probes(spark: SparkSession, t: Tables):
-    """(name, prefix, fact, fact key, dimension, dimension key); the facts are stored once for all probes."""
-    cal, item, wh = fx.date_dim(t), fx.item(t), fx.warehouse(t)
-    facts = {"cs_": stored(spark, fx.catalog_sales_billed(t), "catalog_sales"), "ws_": stored(spark, fx.web_sales(t), "web_sales")}
-    for p, fact in facts.items():
-        yield f"{p}sold_date_sk->d_date_sk", p, fact, f"{p}sold_date_sk", cal, "d_date_sk"
-        yield f"{p}item_sk->i_item_sk", p, fact, f"{p}item_sk", item, "i_item_sk"
-        yield f"{p}warehouse_sk->w_warehouse_sk", p, fact, f"{p}warehouse_sk", wh, "w_warehouse_sk"
-    billed = [
-        ("cs_bill_customer_sk", fx.customer_load(t, 2), "c_customer_sk"),
-        ("cs_bill_cdemo_sk", fx.customer_demographics(t), "cd_demo_sk"),
-        ("cs_bill_hdemo_sk", fx.household_demographics(t), "hd_demo_sk"),
-        ("cs_bill_addr_sk", fx.customer_address(t), "ca_address_sk"),
-    ]
-    for key, dim, dim_key in billed:
-        yield f"{key}->{dim_key}", "cs_", facts["cs_"], key, dim, dim_key
-
-
 @register("explore_fk_probe")
 def q_explore_fk_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per fact -> dimension key pair: matched row count, and the first five
     matches in (key, order, line) order with their dimension row (``dim.*`` as text)."""
     t = Tables(spark, sf_dir)
+    cal, item, wh = fx.date_dim(t), fx.item(t), fx.warehouse(t)
     out = None
-    for name, p, fact, key, dim, dim_key in _probes(spark, t):
-        cnt = explore.key_probe_count(fact, key, dim, dim_key).select(
-            F.lit(name).alias("probe"),
-            F.lit("count").alias("kind"),
-            F.col("n_matched").alias("value"),
-            F.lit(None).cast("bigint").alias("order_number"),
-            F.lit(None).cast("bigint").alias("line_number"),
-            F.lit(None).cast("string").alias("dim_row"),
-        )
-        order = [f"{p}order_number", f"{p}line_number"]
-        prev = explore.key_probe_preview(fact, key, dim, dim_key, order, 5).select(
-            F.lit(name).alias("probe"),
-            F.lit("sample").alias("kind"),
-            F.col(key).alias("value"),
-            F.col(f"{p}order_number").alias("order_number"),
-            F.col(f"{p}line_number").alias("line_number"),
-            F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in dim.columns]).alias("dim_row"),
-        )
-        part = cnt.unionByName(prev)
+    for p, fact in (("cs_", fx.catalog_sales_billed(t)), ("ws_", fx.web_sales(t))):
+        keys = [("sold_date_sk", cal, "d_date_sk"), ("item_sk", item, "i_item_sk"), ("warehouse_sk", wh, "w_warehouse_sk")]
+        if p == "cs_":
+            keys += [
+                ("bill_customer_sk", fx.customer_load(t, 2), "c_customer_sk"),
+                ("bill_cdemo_sk", fx.customer_demographics(t), "cd_demo_sk"),
+                ("bill_hdemo_sk", fx.household_demographics(t), "hd_demo_sk"),
+                ("bill_addr_sk", fx.customer_address(t), "ca_address_sk"),
+            ]
+        pairs = [(f"{p}{key}->{dim_key}", f"{p}{key}", dim, dim_key) for key, dim, dim_key in keys]
+        part = explore.key_probes(fact, pairs, [f"{p}order_number", f"{p}line_number"])
+        part = part.withColumnsRenamed({f"{p}order_number": "order_number", f"{p}line_number": "line_number"})
         out = part if out is None else out.unionByName(part)
     return out
 
