@@ -49,7 +49,8 @@ class Encoder:
     Byte-level pre-tokenisation never joins what stands on both sides of a
     single space between two visible characters, nor of a single line end
     between two; a text may be encoded word by word there. Texts with any
-    other white space are encoded whole. New words are encoded many at a time, joined by line
+    other white space, and those that hold an added token of the vocabulary
+    (which has an id of its own wherever it stands), are encoded whole. New words are encoded many at a time, joined by line
     ends, whose id no word's ids contain. The memory is two generations of
     words, so that common ones stay when it is renewed.
 
@@ -63,7 +64,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids over 65,535 are not supported")
         line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
@@ -118,6 +119,10 @@ class Encoder:
         plain: list[tuple[list[str], list[bytes | None], list[int]] | None] = []
         heads, odd, missing = [], [], set()
         for t in texts:
+            if any(a in t for a in self.added):
+                odd.append(t)
+                plain.append(None)
+                continue
             parts = t.replace("\n", " \n").split(" ")
             head = parts.pop(0)
             got = list(map(get, parts))

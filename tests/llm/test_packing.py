@@ -19,16 +19,15 @@ from .edge import ROWS, empty, frame
 def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokeniser()["path"])
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokeniser()["path"])
 
 
 def test_ids_equal_the_tokenizer_s(tokenizer, monkeypatch):
     rng = random.Random(0)
-    texts = ["", " ", "a  b", "\n a", "a \n b\n\nc", "it's we 'll  don't", "<|endoftext|> x <|endoftext|>", "x\t y", "  a  b \x1c c", "a" * 300 + " b" * 50]
+    texts = ["", " ", "a  b", "\n a", "a \n b\n\nc", "it's we 'll  don't", "<|endoftext|> x <|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b c\n<|endoftext|>", "<|endof text|>", "x\t y", "  a  b \x1c c", "a" * 300 + " b" * 50]
     texts += ["".join(rng.choice(" \n\tab'1.é  ") for _ in range(rng.randint(0, 30))) for _ in range(2000)]
     texts += [t.as_py() for t in pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text")]
+    assert tokenizer.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
     want = [np.array(e.ids, "<u2").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
     for ranks in (None, tokeniser()["ranks"]):
         encoder = K.Encoder(tokeniser()["path"], ranks)

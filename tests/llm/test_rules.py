@@ -43,10 +43,17 @@ def test_frequent_lines_deplete_documents(spark):
     rows += [(100 + i, f"{menu.upper()} \n{own(4)}", "a") for i in range(5)]  # little beside the menu
     rows += [(200 + i, f"{menu}\n{own(4)}", "b") for i in range(5)]  # another host: not common there
     copies = own(30)
-    rows += [(300 + i, copies, "a") for i in range(40)]  # copies are one text
+    rows += [(300 + i, copies, "a") for i in range(40)]  # a page copied under many ids is boilerplate
+    rows += [(400, own(30), "a")] * 40  # rows of one document are one document
+    spam = own(3)
+    rows += [(500 + i, f"{spam}\n{own(4)}", "a") for i in range(25)]
+    rows += [(600, "\n".join(f"{spam}\n{own(1)}" for _ in range(30)), "a")]  # 120 words, 90 of them one line over and over
+    rows += [(700 + i, f"{menu}\n{own(4)}", None) for i in range(15)] + [(800 + i, f"{menu}\n{own(4)}", "") for i in range(15)]  # 15 documents each, not 30 of one host
     out = {r.doc_id: r for r in R.apply_rules(spark.createDataFrame(rows, "doc_id long, text string, source string"), "doc_id", "text", "source", Shared(spark, "r")).collect()}
-    assert all(out[i].kept for i in [*range(30), *range(200, 205), *range(300, 340)])
+    assert all(out[i].kept for i in [*range(30), *range(200, 205), 400, *range(700, 715), *range(800, 815)])
     assert not any(out[i].kept for i in range(100, 105)) and out[100].n_boilerplate_words == 25 and not out[100].base_failed
+    assert not any(out[i].kept for i in range(300, 340)) and out[300].n_boilerplate_words == 30
+    assert not out[600].kept and out[600].n_boilerplate_words == 90 and not out[600].base_failed
 
 
 def test_odd_frames(spark):
