@@ -62,13 +62,15 @@ class Shared:
 BROADCAST_ROWS = 500_000
 
 
-def if_small(narrow: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def if_small(narrow: DataFrame, rows: int = BROADCAST_ROWS, held: str | None = None) -> DataFrame:
     """``narrow`` marked for broadcast if a count finds at most ``rows`` rows, else left to Spark's own choice.
 
     For stored tables of a few numeric columns, whose bytes the row count
-    bounds. The join's result is the same either way.
+    bounds; where a row holds an array, ``held`` names it and its entries are
+    counted too. The join's result is the same either way.
     """
-    return F.broadcast(narrow) if narrow.count() <= rows else narrow
+    n = F.count("*") + (F.coalesce(F.sum(F.size(held)), F.lit(0)) if held else F.lit(0))
+    return F.broadcast(narrow) if narrow.agg(n).first()[0] <= rows else narrow
 
 
 def fold(doc_id: str | Column, n: int) -> Column:

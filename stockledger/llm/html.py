@@ -29,7 +29,7 @@ from .common import sub_batches
 # Element names of HTML.
 BLOCK_TAGS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split())
 VOID_TAGS = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
-RAW_TAGS = "script|style|template|noscript|textarea|title|iframe|object|svg|math|canvas|audio|video|noframes|xmp"
+RAW_TAGS = "script|style|template|noscript|textarea|title|iframe|object|svg|canvas|audio|video|noframes|xmp"
 BOILERPLATE_TAGS = frozenset("nav footer aside form menu select button dialog fieldset search optgroup option legend".split())
 CONTENT_TAGS = frozenset("article main".split())
 # Words in class, id, role and aria-label that name a region.
@@ -37,14 +37,18 @@ BOILERPLATE_WORDS = frozenset("ad ads adbox adslot advert adverts advertisement
 CONTENT_WORDS = frozenset("article articlebody body content entry main maintext post story text".split())
 COMMENT_WORDS = frozenset("comment comments commentlist discussion disqus replies reply respond responses".split())
 
-_TAG = re.compile(
-    r"<!--.*?(?:--!?>|\Z)"
-    rf"|<(?P<raw>{RAW_TAGS})(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(?P<close2>/?)(?P<name2>[a-z][^\s/>]*+)(?P<attrs2>[^>]*+)>"
-    r"|<[!?/][^>]*+>",
-    re.S | re.I,
-)
+#: Elements that hold running text themselves; a boilerplate word counts there only if it stands alone.
+TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre figcaption".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
+_RAW = r"<!--.*?(?:--!?>|\Z)" rf"|<(?P<raw>{RAW_TAGS})(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
+_QUOTED = r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+_PLAIN = r"|<(?P<close2>/?)(?P<name2>[a-z][^\s/>]*+)(?P<attrs2>[^>]*+)>" r"|<[!?/][^>]*+>"
+_TAG = re.compile(_RAW + _QUOTED + _PLAIN, re.S | re.I)
+#: The same without quoted attribute values, for pages whose quotes are left open.
+_PLAIN_TAG = re.compile(_RAW + _PLAIN, re.S | re.I)
+#: Tags with an open quote after which quotes are not followed any more.
+OPEN_QUOTES = 64
 _HINT = re.compile(r"(?:^|\s)(class|id|role|aria-label|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _PARTS = re.compile(r"[a-z]+", re.I)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -74,8 +78,13 @@ class Node:
                         parts = [p.lower() for p in _PARTS.findall(_CAMEL.sub("-", token))]
                         if not parts or parts[0] in ("has", "with", "no", "is"):
                             continue
+                        other = not all(p in BOILERPLATE_WORDS for p in parts)
+                        if other and name in TEXT_TAGS:
+                            continue  # "related-work" on a heading, "share-price" on a paragraph
                         if any(p in COMMENT_WORDS for p in parts):
                             bad = comments = True
+                        elif other and {p for p in parts if p in BOILERPLATE_WORDS} == {"header"} and any(p in CONTENT_WORDS for p in parts):
+                            continue  # the head of the article
                         elif any(p in BOILERPLATE_WORDS for p in parts):
                             bad = True
                         elif any(p in CONTENT_WORDS for p in parts):
@@ -90,6 +99,22 @@ class Block:
         self.text, self.link, self.node = text, link, node
 
 
+def _tags(page: str) -> Iterator[re.Match]:
+    """The page's tags in order, in time that grows with its length: nothing is looked for behind the last ``>``,
+    and after some tags with an open quote, whose search ran to the end, quotes are no longer followed."""
+    end, at, open_quotes = page.rfind(">") + 1, 0, 0
+    while at < end:
+        pattern = _TAG if open_quotes < OPEN_QUOTES else _PLAIN_TAG
+        m = pattern.search(page, at, end)
+        if m is None:
+            return
+        if m.end() == end:  # what is not closed goes on to the end of the page
+            m = pattern.match(page, m.start())
+        open_quotes += bool(m["name2"])
+        yield m
+        at = m.end()
+
+
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order: white space folded, character references decoded, empty ones left out."""
     out: list[Block] = []
@@ -110,7 +135,7 @@ def blocks(page: str) -> list[Block]:
                 out.append(Block(text, min(link, len(text)), node))
         link = 0
 
-    for m in _TAG.finditer(page):
+    for m in _tags(page):
         begin = m.start()
         if begin > at:
             piece = page[at:begin]
@@ -118,12 +143,14 @@ def blocks(page: str) -> list[Block]:
             if in_link:
                 link += len(piece.strip())
         at = m.end()
-        name = m["name"] or m["name2"]
+        found = m.groupdict()
+        name = found.get("name") or found["name2"]
+        close = found.get("close") or found["close2"]
         if not name:
             continue  # comments, declarations and raw elements leave nothing
         name = name.lower()
         if name == "a":
-            in_link = 0 if m["close"] or m["close2"] else 1
+            in_link = 0 if close else 1
             continue
         if name == "br":
             pieces.append(" ")
@@ -132,7 +159,7 @@ def blocks(page: str) -> list[Block]:
             continue
         flush()
         in_link = 0
-        if m["close"] or m["close2"]:
+        if close:
             up = node
             while up is not None and up.name != name:
                 up = up.parent
@@ -148,7 +175,7 @@ def blocks(page: str) -> list[Block]:
             if up is not None and up.name == closes and up.parent is not None:
                 node = up.parent
         order += 1
-        node = Node(name, node, order, m["attrs"] or m["attrs2"] or "")
+        node = Node(name, node, order, found.get("attrs") or found["attrs2"] or "")
         if node.name in CONTENT_TAGS and not node.comments:
             # what holds the article is no boilerplate, whatever its class says
             up = node.parent
@@ -183,7 +210,7 @@ def log_odds(b: Block) -> float:
     while inside is not None:
         if inside.comments:
             return z - 12.0
-        if inside.bad and not (inside.name in ("header", "hgroup") and _in_content(inside)):
+        if inside.bad and not (inside.name in ("header", "hgroup") and _in_content(inside, b.node.name in HEADINGS)):
             bad = True
         good = good or inside.good or inside.name in CONTENT_TAGS
         inside = inside.parent
@@ -198,15 +225,16 @@ def log_odds(b: Block) -> float:
         z += 0.6
     elif name in ("td", "th", "option", "label"):
         z -= 0.6
-    if b.text[0] == "©" or "all rights reserved" in b.text[:400].lower():
+    if b.text[0] == "©" or (words <= 25 and "all rights reserved" in b.text.lower()):
         z -= 4.0
     return z
 
 
-def _in_content(node: Node) -> bool:
+def _in_content(node: Node, heading: bool = False) -> bool:
+    """Whether the node stands in an article; for a heading, an element that is only named so counts too."""
     up = node.parent
     while up is not None:
-        if up.name in CONTENT_TAGS and not up.comments:
+        if (up.name in CONTENT_TAGS or (heading and up.good)) and not up.comments:
             return True
         up = up.parent
     return False
@@ -315,7 +343,8 @@ def extract(df: DataFrame, html: str, text: str = "text", n_chars: str = "n_char
     Null or empty html gives empty text. Repeated rows stay. Malformed markup
     never fails: what no tag pattern matches is text.
     """
-    rest = [c for c in df.columns if c not in (html, text, n_chars)]
+    own = {html, text.lower(), n_chars.lower()}  # names are compared as Spark does
+    rest = [c for c in df.columns if c not in own and c.lower() not in own]
     schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in rest), f"`{text}` string", f"`{n_chars}` long"])
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

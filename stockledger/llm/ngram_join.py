@@ -41,7 +41,7 @@ COUNTED = 0.30
 COMMON, MOST_COMMON = 48, 100_000
 BUCKET_ENTRIES = 400_000
 #: Sets in a tile of exact tests, and members of a list in a tile of bit counts, about.
-TILE_SETS, TILE_MEMBERS = 400, 2048
+TILE_SETS, TILE_MEMBERS = 400, 1024
 
 
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
@@ -172,9 +172,9 @@ def _lists(df: DataFrame, key: str, text: str, k: int, percent: int, common: np.
 
 
 def bitmap(values: np.ndarray) -> bytes:
-    """Hashed bits of a set: two to four bits an element, 64 to 65,536 of them."""
+    """Hashed bits of a set: eight to sixteen bits an element, 64 to 65,536 of them."""
     bits = 64
-    while bits < 2 * len(values) and bits < 65_536:
+    while bits < 8 * len(values) and bits < 65_536:
         bits *= 2
     on = np.zeros(bits, np.uint8)
     on[((values >> np.uint64(20)) & np.uint64(bits - 1)).astype(np.int64)] = 1
@@ -210,33 +210,45 @@ def _signatures(df: DataFrame, key: str, text: str, k: int, wanted: DataFrame) -
 
 
 def _compare(t: pa.Table, percent: int) -> pa.Table:
-    """Pairs of a tile's members that may link: in one list, in different components, by position, size and bit counts."""
+    """Pairs of a tile's members that may link, each once: in one list, in different components, by position, size and bit counts.
+
+    Members are compared by the width of their bitmaps: the ones of a width with
+    each other and with those of the next widths that a similar size can have,
+    folded to it. A small set in the list does not blunt the bits of large ones.
+    """
     lists, key, n, pos, comp, i, j, block = (t.column(c).to_numpy() for c in ("list", "key", "n", "pos", "component", "i", "j", "block"))
     bits = t.column("bits").to_pylist()
-    order = np.lexsort((key, j, i, lists))
+    bytes_ = np.array([len(x) for x in bits])
+    order = np.lexsort((key, bytes_, j, i, lists))
     edge = np.flatnonzero(np.concatenate([[True], (lists[order][1:] != lists[order][:-1]) | (i[order][1:] != i[order][:-1]) | (j[order][1:] != j[order][:-1])]))
-    out_a, out_b, out_n = [], [], []
+    wider = 2 ** int(np.ceil(np.log2(100 / percent)))
+    out_a, out_b, out_n, out_m = [], [], [], []
     for g in np.split(order, edge[1:]):
-        if len(g) < 2:
-            continue
-        width = min(len(bits[x]) for x in g)
-        folded = np.stack([np.bitwise_or.reduce(np.frombuffer(bits[x], np.uint64).reshape(-1, width // 8), axis=0) for x in g])
-        ones = np.bitwise_count(folded).sum(1).astype(np.int64)
-        size, rest, c, own, blk = n[g].astype(np.int64), (n[g] - pos[g]).astype(np.int64), comp[g], key[g], block[g]
         within = i[g[0]] == j[g[0]]
-        for r in range(len(g) - 1):
-            s = np.arange(r + 1, len(g))
-            ok = (c[s] != c[r]) & (np.minimum(rest[s], rest[r]) * (100 + percent) >= percent * (size[s] + size[r])) & (own[s] != own[r])
-            s = s[ok if within else ok & (blk[s] != blk[r])]
-            if len(s):
-                both = np.bitwise_count(folded[s] & folded[r]).sum(1).astype(np.int64)
-                most = np.minimum(np.minimum(size[r] - ones[r], size[s] - ones[s]) + both, np.minimum(size[r], size[s]))
-                s = s[100 * most >= percent * (size[r] + size[s] - most)]
-                out_a.append(np.full(len(s), own[r]))
-                out_b.append(own[s])
-                out_n.append(np.full(len(s), size[r]))
+        for width in np.unique(bytes_[g]):
+            members = g[(bytes_[g] >= width) & (bytes_[g] <= width * wider)]  # by width: the ones of this width come first
+            own_width = int((bytes_[members] == width).sum())
+            if len(members) < 2:
+                continue
+            folded = np.stack([np.bitwise_or.reduce(np.frombuffer(bits[x], np.uint64).reshape(-1, width // 8), axis=0) for x in members])
+            ones = np.bitwise_count(folded).sum(1).astype(np.int64)
+            size, rest, c, own, blk = n[members].astype(np.int64), (n[members] - pos[members]).astype(np.int64), comp[members], key[members], block[members]
+            for r in range(min(own_width, len(members) - 1)):
+                s = np.arange(r + 1, len(members))
+                ok = (c[s] != c[r]) & (np.minimum(rest[s], rest[r]) * (100 + percent) >= percent * (size[s] + size[r])) & (own[s] != own[r])
+                s = s[ok if within else ok & (blk[s] != blk[r])]
+                if len(s):
+                    both = np.bitwise_count(folded[s] & folded[r]).sum(1).astype(np.int64)
+                    most = np.minimum(np.minimum(size[r] - ones[r], size[s] - ones[s]) + both, np.minimum(size[r], size[s]))
+                    s = s[100 * most >= percent * (size[r] + size[s] - most)]
+                    first = own[r] < own[s]
+                    out_a.append(np.where(first, own[r], own[s]))
+                    out_b.append(np.where(first, own[s], own[r]))
+                    out_n.append(np.where(first, size[r], size[s]))
+                    out_m.append(np.where(first, size[s], size[r]))
     join = lambda x: np.concatenate([np.zeros(0, np.int64), *x])
-    return pa.table({"a": join(out_a), "b": join(out_b), "n_a": join(out_n)})
+    pairs = np.unique(np.stack([join(out_a), join(out_b), join(out_n), join(out_m)]), axis=1)
+    return pa.table({"a": pairs[0], "b": pairs[1], "n_a": pairs[2]})
 
 
 def across(spans: DataFrame, signatures: DataFrame, percent: int, shared: Shared) -> DataFrame:

@@ -17,8 +17,9 @@ the ends of a run, words are compared one by one with those around the first
 occurrence. Touching spans are merged, and spans of at least ``min_words`` words
 are cut out. Shorter repeats, such as headings and licence lines, are left alone.
 
-``BANDS`` bands of one row find lines of similarity 0.75 with probability
-1 - 0.25 ** 6 > 0.999. A shared passage of 51 words holds no whole block with
+``BANDS`` bands of ``ROWS`` rows find lines of similarity 0.75 with probability
+1 - (1 - 0.75 ** 3) ** 16 = 0.9998, and let lines of 0.25 collide with 0.22, of
+0.1 with 0.016. A shared passage of 51 words holds no whole block with
 probability 0.0004 (simulated), one of 60 words practically never.
 
 The texts are scanned once for signatures (a few numbers a unit, stored), once
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Shared, Words, as_long, components, if_small, mix, sub_batches
@@ -45,9 +46,9 @@ REACH, BLOCK = 6, 12
 LONGEST_GAP = 32
 #: Words around a first occurrence with which the ends of a run are compared.
 AROUND = 40
-BANDS = 6
+BANDS, ROWS = 16, 3
 SHINGLE = 5
-_SEED = [np.uint64(0x9E3779B97F4A7C15 * (2 * j + 1) % 2**64) for j in range(BANDS)]
+_SEED = np.array([0x9E3779B97F4A7C15 * (2 * j + 1) % 2**64 for j in range(BANDS * ROWS)], np.uint64)
 _STEP = np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -118,6 +119,16 @@ def shingle_hashes(h: np.ndarray) -> np.ndarray:
     return mix(out)
 
 
+def band_values(shingles: np.ndarray) -> np.ndarray:
+    """Hash of the ``ROWS`` minima of each of the ``BANDS`` bands."""
+    least = np.full(BANDS * ROWS, np.uint64(2**64 - 1))
+    for lo in range(0, len(shingles), 4096):
+        part = mix(shingles[lo : lo + 4096, None] ^ _SEED)
+        least = np.minimum(least, part.min(axis=0))
+    factor = np.cumprod(np.full(ROWS, _STEP), dtype=np.uint64)
+    return mix((least.reshape(BANDS, ROWS) * factor).sum(axis=1, dtype=np.uint64))
+
+
 #: What names a text: its row's key, and a hash of the text itself, which tells rows of one key apart.
 TEXT = ["key", "h"]
 
@@ -141,9 +152,7 @@ def _signatures(texts: DataFrame, min_words: int) -> DataFrame:
                 line = _sequence_hashes(w.hash, first, end)
                 bands = np.zeros((len(first), BANDS), np.uint64)
                 for i, (x, y) in enumerate(zip(first, end, strict=True)):
-                    s = shingle_hashes(w.hash[x:y])
-                    for j in range(BANDS):
-                        bands[i, j] = ((s ^ _SEED[j]) * _STEP).min()
+                    bands[i] = band_values(shingle_hashes(w.hash[x:y]))
                 line_off = np.searchsorted(w.row[first], rows)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -273,7 +282,7 @@ def _around(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)], ["keep_key", "keep_h", "keep_at", "side", "words"])
 
-    rows = texts.join(if_small(wanted), TEXT)
+    rows = texts.join(if_small(wanted, held="asked"), TEXT)
     return rows.mapInArrow(part, "keep_key long, keep_h long, keep_at int, side int, words binary").dropDuplicates(["keep_key", "keep_h", "keep_at", "side"])
 
 
@@ -328,9 +337,10 @@ def deduplicate(df: DataFrame, key: str, text: str, shared: Shared, min_words: i
 
     # the ends of runs of marked blocks may grow into the words around them
     marks = marked.groupBy(*TEXT).agg(F.collect_list(F.struct("at", "on")).alias("marks"))
-    runs = marked.join(marks, TEXT).withColumn("all", F.map_from_entries("marks"))
-    joined_before = F.coalesce(F.element_at("all", F.col("at") - 1), F.lit(False))
-    joined_after = F.col("on") & F.map_contains_key("all", F.col("at") + 1)
+    along = Window.partitionBy(*TEXT).orderBy("at")
+    runs = marked.withColumn("prev", F.lag(F.struct("at", "on")).over(along)).withColumn("next", F.lead("at").over(along))
+    joined_before = F.coalesce((F.col("prev.at") == F.col("at") - 1) & F.col("prev.on"), F.lit(False))
+    joined_after = F.col("on") & F.coalesce(F.col("next") == F.col("at") + 1, F.lit(False))
     sides = F.array_compact(F.array(F.when(~joined_before, F.lit(-1)), F.when(~joined_after, F.lit(1))))
     near = ["keep_key", "keep_h", "keep_at", "side"]
     ends = shared.save(runs.select(*TEXT, "at", "keep_key", "keep_h", "keep_at", F.explode(sides).alias("side")), "ends")
@@ -338,7 +348,7 @@ def deduplicate(df: DataFrame, key: str, text: str, shared: Shared, min_words: i
     words = shared.save(_around(texts, shared.save(wanted, "wanted")), "around")
     grown = ends.join(words, near).groupBy(*TEXT).agg(F.collect_list(F.struct("at", "side", "words")).alias("grow"))
     info = marks.join(grown, TEXT, "left").join(in_lines, TEXT, "full")
-    info = shared.save(info.withColumnsRenamed({"key": "__k", "h": "__h"}), "cuts")
+    info = shared.save(info.withColumnsRenamed({"key": "__k", "h": "__h", "marks": "__marks", "grow": "__grow", "marked_lines": "__lines"}), "cuts")
 
     met = kept.withColumn("__k", F.col(key).cast("long")).withColumn("__h", F.xxhash64(F.col(text))).join(info, ["__k", "__h"], "left").drop("__k", "__h")
     return _cut(met, kept.columns, text, min_words)
@@ -349,7 +359,7 @@ def _cut(met: DataFrame, names: list[str], text: str, min_words: int) -> DataFra
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            marks, grow, in_lines = (b.column(c).to_pylist() for c in ("marks", "grow", "marked_lines"))
+            marks, grow, in_lines = (b.column(c).to_pylist() for c in ("__marks", "__grow", "__lines"))
             missing = b.column(text).is_null().to_numpy(zero_copy_only=False)
             for lo, hi, raw, off in sub_batches(b.column(text)):
                 w = Words(raw, off)
@@ -383,4 +393,4 @@ def _cut(met: DataFrame, names: list[str], text: str, min_words: int) -> DataFra
                 kind = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
                 yield pa.RecordBatch.from_arrays([*own, pa.array(np.diff(w.first).astype(np.int64)), pa.array(removed, pa.int64()), pa.array(found, kind)], [*names, "n_words", "n_removed", "spans"])
 
-    return met.select(*[F.col(f"`{c}`") for c in names], "marks", "grow", "marked_lines").mapInArrow(part, schema)
+    return met.select(*[F.col(f"`{c}`") for c in names], "__marks", "__grow", "__lines").mapInArrow(part, schema)

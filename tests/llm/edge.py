@@ -27,7 +27,7 @@ def frame(spark, rows=ROWS, extra=True):
     """The rows with columns whose names clash with what operators add."""
     df = spark.createDataFrame(rows, "doc_id long, text string")
     if extra:
-        df = df.withColumns({c: F.lit("mine") for c in ("n", "key", "score", "slot", "shard", "n_words", "spans", "t", "h", "lang")})
+        df = df.withColumns({c: F.lit("mine") for c in ("n", "key", "score", "slot", "shard", "n_words", "spans", "t", "h", "lang", "marks", "grow", "marked_lines")})
     return df.withColumn("source", F.lit(None).cast("string"))
 
 

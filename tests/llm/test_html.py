@@ -3,6 +3,7 @@ from __future__ import annotations
 import itertools
 import random
 import re
+import time
 from html import unescape
 
 import pyarrow.parquet as pq
@@ -71,3 +72,34 @@ def test_frame(spark):
     assert len(out) == 5 and out[0].text == "" and out[1].n_chars == 0 and out[2].text == out[3].text == H.main_text(PAGE)
     assert all(r.n_chars == len(r.text) and r.key == 2 for r in out) and out[4].n_chars > 200_000
     assert H.extract(df.where("page_id > 10"), "html").count() == 0
+
+
+BODY = "This is a long paragraph of the article with enough words to count as content for sure, and then a few more words."
+
+
+@pytest.mark.parametrize(
+    "page, kept",
+    [
+        (f'<article><h2 id="related-work">Related work</h2><p>{BODY}</p></article>', "Related work"),
+        (f'<article><div class="entry-header"><h1>Title one</h1></div><p>{BODY}</p></article>', "Title one"),
+        (f'<article><div class="article-header"><h1>Title one</h1></div><p>{BODY}</p></article>', "Title one"),
+        (f'<div id="content"><header><h1>Title one</h1></header><p>{BODY}</p></div>', "Title one"),
+        (f'<main><p class="share-price">{BODY}</p></main>', "This is a long"),
+        (f"<article><p>{BODY}</p><p>where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds for all of these things</p></article>", "x=2"),
+        (f"<article><p>{BODY} The phrase all rights reserved is used in contracts of many kinds, and it has been for a long time.</p></article>", "reserved is used"),
+    ],
+)
+def test_words_on_headings_and_paragraphs_do_not_remove_them(page, kept):
+    assert kept in H.main_text(page) and "enough words" in H.main_text(page)
+
+
+@pytest.mark.parametrize("page", ['<a "' * 250_000, "<a \"x'>" * 150_000, "<script " * 120_000, '<a "' * 200_000 + ">", "<p>x" + "<!--" * 200_000])
+def test_time_grows_with_the_page_s_length(page):
+    began = time.process_time()
+    H.blocks(page)
+    assert time.process_time() - began < 2
+
+
+def test_what_is_not_closed_goes_on_to_the_end():
+    assert H.main_text(f"<article><p>{BODY}</p></article><script>var a = 1 > 0; text()") == BODY
+    assert H.main_text(f"<article><p>{BODY}</p></article><!-- > open comment") == BODY
