@@ -1,7 +1,7 @@
 """Substring deduplication by paragraph MinHash banding.
 
-A text's units are its lines of at least ``min_words`` words, and blocks of
-``BLOCK`` words that begin at content-defined words (a word pair whose hash is the least within
+A text's units are its lines of at least ``min_words`` words, runs of shorter
+lines merged to as many (:func:`lines`), and blocks of ``BLOCK`` words that begin at content-defined words (a word pair whose hash is the least within
 ``REACH`` words on both sides), which lie alike in a shared passage wherever it
 stands. A line's signature is banded MinHash of its 5-word shingles; a block
 is too short to survive an edit, so its one band is the hash of all its words.
@@ -97,16 +97,42 @@ def _sequence_hashes(h: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.nd
 
 
 def lines(w: Words, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first word, end word) of the lines of at least ``min_words`` words, in order."""
+    """(first word, end word) of the paragraphs, in order.
+
+    A line of at least ``min_words`` words is one. Shorter lines that follow each
+    other without a blank line are merged: a paragraph ends where it has
+    ``min_words`` words and the next line begins with a content-defined word, or at
+    twice as many, if ``min_words`` words are left behind it. Runs of short lines
+    that have fewer words in all make none.
+    """
     n = len(w.start)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    breaks = np.searchsorted(w.start, np.flatnonzero(w.raw == 10))
-    begin = np.unique(np.concatenate([w.first[:-1], breaks]))
+    at, times = np.unique(np.searchsorted(w.start, np.flatnonzero(w.raw == 10)), return_counts=True)
+    begin = np.unique(np.concatenate([w.first[:-1], at]))
     begin = begin[begin < n]
     end = np.append(begin[1:], n)
     long = end - begin >= min_words
-    return begin[long], end[long]
+    first, last = [begin[long]], [end[long]]
+    short = np.flatnonzero(~long)
+    if len(short):
+        apart = np.isin(begin[short], np.concatenate([w.first[:-1], at[times > 1]]))
+        apart[0] = True
+        apart[1:] |= short[1:] != short[:-1] + 1
+        run = np.flatnonzero(apart)
+        stop = np.append(run[1:], len(short))
+        close = end[short[stop - 1]]
+        for i in np.flatnonzero(close - begin[short[run]] >= min_words).tolist():
+            ends = end[short[run[i] : stop[i]]]
+            x, y = int(begin[short[run[i]]]), int(close[i])
+            for e, odd in zip(ends.tolist(), (w.hash[np.minimum(ends, n - 1)] & np.uint64(1)).tolist()):
+                if e == y or (e - x >= min_words and y - e >= min_words and (odd or e - x >= 2 * min_words)):
+                    first.append(np.array([x]))
+                    last.append(np.array([e]))
+                    x = e
+    first, last = np.concatenate(first), np.concatenate(last)
+    order = np.argsort(first, kind="stable")
+    return first[order].astype(np.int64), last[order].astype(np.int64)
 
 
 def shingle_hashes(h: np.ndarray) -> np.ndarray:

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from stockledger.llm import passages as P
 from stockledger.llm.common import Shared
 
@@ -88,3 +90,62 @@ def test_near_copies_among_lines_with_a_common_part(spark):
     out = {r.doc_id: r.n_removed for r in P.deduplicate(df, "doc_id", "text", Shared(spark, "p")).collect()}
     assert all(out[a] == 0 for a, _ in alike)
     assert [b for _, b in alike if out[b] != len(texts[b])] == []
+
+
+def near_copies(rng, n, words, change):
+    """``n`` texts of ``words`` words that differ from the first in ``change`` words each."""
+    base = [f"w{rng.randint(0, 10**9)}" for _ in range(words)]
+    out = [base]
+    for _ in range(n - 1):
+        own = list(base)
+        for _ in range(change):
+            own[rng.randrange(words)] = f"x{rng.randint(0, 10**9)}"
+        out.append(own)
+    return out
+
+
+def wrapped(words, width):
+    return "\n".join(" ".join(words[i : i + width]) for i in range(0, len(words), width))
+
+
+@pytest.mark.parametrize("width", [15, 7, 1000])
+def test_near_copies_over_several_lines_are_cut(spark, width):
+    rng = random.Random(3)
+    copies = near_copies(rng, 40, 60, 1)
+    other = lambda: " ".join(f"o{rng.randint(0, 10**9)}" for _ in range(20))
+    rows = [(i, f"{other()}\n\n{wrapped(c, width)}\n\n{other()}") for i, c in enumerate(copies)]
+    rows += [(100 + i, wrapped([f"c{rng.randint(0, 10**9)}" for _ in range(90)], width)) for i in range(20)]
+    out = {r.doc_id: r for r in P.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", Shared(spark, "p")).collect()}
+    assert out[0].n_removed == 0 and all(out[i].n_removed == 60 for i in range(1, 40))
+    assert all(out[100 + i].n_removed == 0 and out[100 + i].text == rows[40 + i][1] for i in range(20))
+
+
+def test_recall_over_paragraphs_against_all_pairs(spark):
+    """Templated paragraphs whose similarities lie all about the limit: each that all-pairs Jaccard removes, or nearly."""
+    rng = random.Random(8)
+    base = [f"t{i}" for i in range(80)]
+    texts = []
+    for _ in range(120):
+        own = list(base) if rng.random() < 0.7 else [f"u{rng.randint(0, 10**9)}" for _ in range(80)]
+        for _ in range(rng.randint(0, 8)):
+            own[rng.randrange(80)] = f"x{rng.randint(0, 10**9)}"
+        texts.append(own)
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    want = {i for i in range(len(texts)) if find(i) != i}
+    rows = [(i, wrapped(t, 1000 if i % 2 else 16)) for i, t in enumerate(texts)]
+    out = P.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", Shared(spark, "p"), min_words=80).collect()
+    got = {r.doc_id for r in out if r.n_removed == 80}
+    assert len(want) > 20 and not got - want and len(got) >= 0.9 * len(want)
