@@ -12,9 +12,10 @@ documents link when 100 * |A and B| >= 75 * |A or B|. The steps:
    first with the list's most central document only. Pairs go to size-banded tiles, where
    hashed bitmap signatures bound the overlap from above by bit counts; what
    passes is settled by intersecting the sorted arrays.
-4. The links found give components. Where a list still spans several, the
-   pairs across them are settled in the same way, so no link between
-   components is lost; pairs inside one component need no test.
+4. The links found give components. Where a list still spans several, it tries
+   further leaders, and then all pairs across its components are settled in the
+   same way, so no link between components is lost; pairs inside one component
+   need no test.
 
 Shingles travel in blobs, one per batch and hash bucket, so the shuffle moves
 5 to 16 bytes an entry and no rows of its own; the number of buckets grows
@@ -24,7 +25,7 @@ sets go only to the tiles that need them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,10 @@ COUNTED = 0.30
 #: A shingle is common when so many documents hold it; the commonest so many are put last (a broadcast of 8 bytes each).
 COMMON, MOST_COMMON = 48, 100_000
 BUCKET_ENTRIES = 400_000
+#: Further leaders that a list may try before its pairs across components are compared.
+LEADER_ROUNDS = 1
 #: Sets in a tile of exact tests, and members of a list in a tile of bit counts, about.
-TILE_SETS, TILE_MEMBERS = 400, 1024
+TILE_SETS, TILE_MEMBERS = 400, 2048
 
 
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
@@ -171,10 +174,10 @@ def _lists(df: DataFrame, key: str, text: str, k: int, percent: int, common: np.
 # --------------------------------------------------------------------- verifying
 
 
-def bitmap(values: np.ndarray) -> bytes:
-    """Hashed bits of a set: eight to sixteen bits an element, 64 to 65,536 of them."""
+def bitmap(values: np.ndarray, per: int = 2) -> bytes:
+    """Hashed bits of a set: ``per`` bits an element or up to twice as many, 64 to 65,536 of them."""
     bits = 64
-    while bits < 8 * len(values) and bits < 65_536:
+    while bits < per * len(values) and bits < 65_536:
         bits *= 2
     on = np.zeros(bits, np.uint8)
     on[((values >> np.uint64(20)) & np.uint64(bits - 1)).astype(np.int64)] = 1
@@ -251,6 +254,37 @@ def _compare(t: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pairs[0], "b": pairs[1], "n_a": pairs[2]})
 
 
+def split_lists(lists: DataFrame, groups: DataFrame, shared: Shared) -> DataFrame:
+    """The rows of ``lists(list, key, n, pos)`` whose list spans several components, with their ``component``."""
+    marked = lists.select("list", "key", "n", "pos").join(groups.toDF("key", "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    marked = shared.save(marked, "marked")
+    several = marked.groupBy("list").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("list")
+    return shared.save(marked.join(several, "list", "left_semi"), "spans")
+
+
+def leader_rounds(lists: DataFrame, found: DataFrame, groups: DataFrame, settle: Callable[[DataFrame], DataFrame], enough: str, shared: Shared) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(links, components, rows of the lists that still span several components).
+
+    In each round every such list takes another leader and only the members
+    outside the leader's component are tested with it, so the members of a large
+    group of near copies that the first leader missed are joined by a row a
+    member, before all pairs across components are looked at. Which links are
+    found here changes the cost, never the components.
+    """
+    spans = split_lists(lists, groups, shared)
+    for r in range(LEADER_ROUNDS):
+        place = F.struct(F.xxhash64("key", F.lit(r)).alias("at"), "key", "n", "pos", "component")
+        leader = spans.groupBy("list").agg(F.min(place).alias("f")).select("list", F.col("f.key").alias("a"), F.col("f.n").alias("n_a"), F.col("f.pos").alias("pos_a"), F.col("f.component").alias("own"))
+        pairs = shared.save(spans.join(leader, "list").where("component != own").where(enough).select("a", F.col("key").alias("b")).distinct(), "leader-pairs")
+        new = settle(pairs)
+        if new.isEmpty():
+            break
+        found = found.union(new)
+        groups = components(found, shared)
+        spans = split_lists(spans, groups, shared)
+    return found, groups, spans
+
+
 def across(spans: DataFrame, signatures: DataFrame, percent: int, shared: Shared) -> DataFrame:
     """(a, b, n_a): pairs across components, from ``spans(list, key, n, pos, component)``.
 
@@ -343,12 +377,11 @@ def join(df: DataFrame, key: str, text: str, shared: Shared, percent: int = PERC
     found = _settled(_bounded(near, signatures, percent, shared), own, key, text, k, percent, shared)
     groups = components(found, shared)
 
-    # lists that span several components: every pair across them
-    marked = lists.join(groups.toDF("key", "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    marked = shared.save(marked, "marked")
-    sizes = marked.groupBy("list", "component").agg(F.count("*").alias("members"))
-    main = sizes.groupBy("list").agg(F.count("*").alias("components")).where("components > 1")
-    spans = shared.save(marked.join(main, "list", "left_semi"), "spans")
+    # lists that span several components: further leaders, then every pair across them
+    def settle(pairs: DataFrame) -> DataFrame:
+        return _settled(_bounded(pairs, signatures, percent, shared), own, key, text, k, percent, shared)
+
+    found, groups, spans = leader_rounds(lists, found, groups, settle, enough, shared)
     missed = across(spans, signatures, percent, shared)
     if missed.take(1):
         found = found.union(_settled(missed, own, key, text, k, percent, shared))

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Shared, Words, as_long, components, if_small, mix, sub_batches
-from .ngram_join import across, bitmap
+from .ngram_join import across, bitmap, leader_rounds
 
 MIN_WORDS = 50
 PERCENT = 75
@@ -149,7 +149,7 @@ def band_values(shingles: np.ndarray) -> np.ndarray:
     """Hash of the ``ROWS`` minima of each of the ``BANDS`` bands."""
     least = np.full(BANDS * ROWS, np.uint64(2**64 - 1))
     for lo in range(0, len(shingles), 4096):
-        part = mix(shingles[lo : lo + 4096, None] ^ _SEED)
+        part = (shingles[lo : lo + 4096, None] ^ _SEED) * _STEP
         least = np.minimum(least, part.min(axis=0))
     factor = np.cumprod(np.full(ROWS, _STEP), dtype=np.uint64)
     return mix((least.reshape(BANDS, ROWS) * factor).sum(axis=1, dtype=np.uint64))
@@ -212,24 +212,20 @@ def _line_sets(texts: DataFrame, min_words: int, wanted: DataFrame) -> DataFrame
     return texts.join(if_small(wanted), TEXT).select("t", "line").mapInArrow(part, "line long, set binary").dropDuplicates(["line"])
 
 
-def _across_components(met: DataFrame, sets: DataFrame, groups: DataFrame, percent: int, shared: Shared) -> DataFrame:
-    """(a, b): lines of one bucket in different components that may be similar, from ``met(list, line)``."""
+def _across_components(spans: DataFrame, sets: DataFrame, percent: int, shared: Shared) -> DataFrame:
+    """(a, b): lines of one bucket in different components that may be similar, from ``spans(list, key, component)``."""
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             own = [np.frombuffer(x, np.uint64) for x in b.column("set").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("line"), pa.array([len(x) for x in own], pa.int64()), pa.array([bitmap(x) for x in own], pa.binary())], ["key", "n", "bits"])
+            yield pa.RecordBatch.from_arrays([b.column("line"), pa.array([len(x) for x in own], pa.int64()), pa.array([bitmap(x, 8) for x in own], pa.binary())], ["key", "n", "bits"])
 
-    marked = met.select("list", "line").join(groups.toDF("line", "component"), "line", "left").withColumn("component", F.coalesce("component", "line"))
-    marked = shared.save(marked, "placed-lines")
-    split = marked.groupBy("list").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("list")
-    spans = shared.save(marked.join(split, "list", "left_semi").withColumnRenamed("line", "key"), "split-buckets")
     wanted = spans.select(F.col("key").alias("line")).distinct()
     signatures = shared.save(sets.join(wanted, "line", "left_semi").select("line", "set").mapInArrow(bits, "key long, n long, bits binary"), "line-bits")
     # similar sets have sizes of one band or of two neighbours; each line stands in its own and the next, so they meet
     # (the bands are a little wider than the ratio, for rounding)
     size_band = F.floor(F.log("n") / F.lit(float(np.log(100 / percent)) + 1e-6)) if percent < 100 else F.col("n")
-    sized = spans.join(signatures.select("key", F.col("n").cast("int").alias("n")), "key").withColumn("band", F.explode(F.array(size_band, size_band + 1)))
+    sized = spans.drop("n", "pos").join(signatures.select("key", F.col("n").cast("int").alias("n")), "key").withColumn("band", F.explode(F.array(size_band, size_band + 1)))
     sized = shared.save(sized.select(F.xxhash64("list", "band").alias("list"), "key", "n", F.lit(0).alias("pos"), "component"), "sized-buckets")
     return across(sized, signatures, percent, shared).select("a", "b")
 
@@ -261,7 +257,9 @@ def _marked_lines(sig: DataFrame, texts: DataFrame, min_words: int, percent: int
 
     found = settled(pairs)
     groups = components(found, shared)
-    missed = _across_components(met, sets, groups, percent, shared)
+    lists = met.select("list", F.col("line").alias("key"), F.lit(0).alias("n"), F.lit(0).alias("pos"))
+    found, groups, spans_ = leader_rounds(lists, found, groups, settled, "true", shared)
+    missed = _across_components(spans_, sets, percent, shared)
     if missed.take(1):
         groups = components(found.union(settled(missed)), shared)
     groups = groups.toDF("line", "component")
