@@ -39,10 +39,10 @@ def test_block_max_search_is_exact(seed, n):
             got_at, got = index.nearest(at, x, k)
             want = np.sort(cosine[cosine > 0])[::-1][:k]
             assert len(got) == len(want) and np.allclose(got, want, atol=1e-5)
-            ids = index.ids[got_at]
+            ids = np.array(index.ids)[got_at]
             assert np.allclose(cosine[ids - 100], got, atol=1e-5) and len(set(ids.tolist())) == len(ids)
-    one = index.nearest(*vectors[0], 3, without=int(np.flatnonzero(index.ids == 100)[0]))[0]
-    assert 100 not in index.ids[one]
+    one = index.nearest(*vectors[0], 3, without=index.ids.index(100))[0]
+    assert 100 not in np.array(index.ids)[one]
     assert len(index.nearest(np.zeros(0, int), np.zeros(0), 5)[0]) == 0
 
 
@@ -51,12 +51,41 @@ def test_toxicity_of_odd_rows(spark):
     model, stored = toxicity.fit(frame(spark), labels, "doc_id", "text", "toxic", F.lit(True), Shared(spark, "t"))
     out = toxicity.predict(stored, model, "doc_id").collect()
     assert len(out) == len(ROWS) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in out)
-    assert all(r.predicted == 0 for r in out if not r.neighbours)  # no evidence is no verdict
+    assert all(r.score == model.alone for r in out if not r.neighbours)  # the rate of labelled examples like it
     for docs, lab in ((empty(spark), labels), (frame(spark), labels.where("toxic > 5"))):
         model, stored = toxicity.fit(docs, lab, "doc_id", "text", "toxic", F.lit(True), Shared(spark, "t"))
         assert toxicity.predict(stored, model, "doc_id").count() == docs.count()
 
 
+def test_copies_of_rare_word_toxic_examples_are_found(spark):
+    toxic_ = [" ".join(f"rare{i}x{j}" for j in range(30)) for i in range(3)]
+    clean = [" ".join(f"plain{(i * 7 + j) % 50}" for j in range(30)) for i in range(40)]
+    rows = [(f"d{i}", t) for i, t in enumerate(toxic_ + clean)] + [("copy", toxic_[1]), ("near", toxic_[2] + " and a few other words"), ("other", clean[3] + " new"), ("d0", None)]
+    labels = spark.createDataFrame([(f"d{i}", int(i < 3)) for i in range(43)], "doc_id string, toxic int")
+    model, stored = toxicity.fit(spark.createDataFrame(rows, "doc_id string, text string"), labels, "doc_id", "text", "toxic", F.lit(True), Shared(spark, "t"))
+    out = {r.doc_id: r for r in toxicity.predict(stored, model, "doc_id").collect()}  # text ids are kept
+    assert out["copy"].predicted == out["near"].predicted == 1 and out["copy"].neighbours[0] == "d1" and out["copy"].cosines[0] > 0.9999
+    assert out["other"].predicted == 0 and not any(out[f"d{i}"].predicted for i in range(3, 43))
+
+
+def test_scores_of_a_given_model_equal_brute_force(spark, sf_dir):
+    """The query's neighbours, votes and scores from all dense cosines."""
+    docs, labels = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels")
+    model, stored = toxicity.fit(docs, labels, "doc_id", "text", "toxic", F.col("doc_id") % 4 != 2, Shared(spark, "t"))
+    dense = np.zeros((model.index.n, len(model.vocabulary)))
+    for b, (terms, slots, weights) in enumerate(model.index.postings):
+        dense[b * model.index.block + slots, terms] = weights
+    vectors = {r.doc_id: toxicity.unit_vector(bytes(r.terms), bytes(r.tfs), model.idf) for r in stored.collect()}
+    for r in toxicity.predict(stored, model, "doc_id").collect():
+        at, x = vectors[r.doc_id]
+        cosine = np.round(dense[:, at] @ x, 6) if len(at) else np.zeros(model.index.n)
+        best = np.lexsort((model.index.rank, -cosine))[: model.k]
+        best = best[cosine[best] > 0]
+        assert np.allclose(r.cosines, cosine[best], atol=2e-6)
+        want = model.alone if not len(best) else 1 / (1 + np.exp(-(model.curve[0] * toxicity.vote(cosine[best], model.index.labels[best], model.weight) + model.curve[1])))
+        assert abs(r.score - want) < 1e-3
+
+
 def test_quality_of_odd_rows(spark):
     rows = quality.with_features(frame(spark), "doc_id", "text")
     labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
