@@ -117,6 +117,13 @@ def sub_batches(column: pa.Array, limit: int = SUB_BATCH_BYTES) -> Iterator[tupl
         lo = hi
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of a few rows, for work that makes Python objects of them."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)

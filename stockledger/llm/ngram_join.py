@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, Words, as_long, components, if_small, mix, sub_batches
+from .common import Shared, Words, as_long, components, if_small, mix, slices, sub_batches
 
 SHINGLE = 5
 PERCENT = 75
@@ -306,7 +306,7 @@ def _bounded(pairs: DataFrame, signatures: DataFrame, percent: int, shared: Shar
     """(a, b, n_a) of the pairs that may link by their sizes and bit counts."""
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             d = b.to_pydict()
             ok = [links(min(overlap_bound(x, n, y, m), n, m), n, m, percent) for x, n, y, m in zip(d["bits_a"], d["n_a"], d["bits_b"], d["n_b"], strict=True)]
             yield b.select(["a", "b", "n_a"]).filter(pa.array(ok, pa.bool_()))

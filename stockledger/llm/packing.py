@@ -151,16 +151,6 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
-
-
-def encoder_of(path: str, ranks: tuple[str, str] | None) -> Encoder:
-    """The encoder of this Python worker, which keeps its words from task to task."""
-    if (path, ranks) not in _ENCODERS:
-        _ENCODERS[path, ranks] = Encoder(path, ranks)
-    return _ENCODERS[path, ranks]
-
-
 def tokenise(df: DataFrame, key: str, text: str, path: str, ranks: tuple[str, str] | None = None, end_id: int = 1, window: int = WINDOW) -> DataFrame:
     """(``key``, n, crcs, tail, tail_crc) of every row: token count with the closing ``end_id``, the crc32 of each
     full window's ids (as little-endian uint32), the ids behind the last full window (uint16) and their crc32.
@@ -170,7 +160,7 @@ def tokenise(df: DataFrame, key: str, text: str, path: str, ranks: tuple[str, st
     kind = df.schema[key].dataType.simpleString()
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(path, ranks)
+        encoder = Encoder(path, ranks)  # a task's own: a worker that goes on to other work keeps nothing of it
         close = np.array([end_id], "<u2").tobytes()
         for b in batches:
             for lo, hi, raw, off in sub_batches(b.column("t")):

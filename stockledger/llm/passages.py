@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Shared, Words, as_long, components, if_small, mix, sub_batches
+from .common import Shared, Words, as_long, components, if_small, mix, slices, sub_batches
 from .ngram_join import across, bitmap, leader_rounds
 
 MIN_WORDS = 50
@@ -216,7 +216,7 @@ def _across_components(spans: DataFrame, sets: DataFrame, percent: int, shared:
     """(a, b): lines of one bucket in different components that may be similar, from ``spans(list, key, component)``."""
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             own = [np.frombuffer(x, np.uint64) for x in b.column("set").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("line"), pa.array([len(x) for x in own], pa.int64()), pa.array([bitmap(x, 8) for x in own], pa.binary())], ["key", "n", "bits"])
 
@@ -243,7 +243,7 @@ def _marked_lines(sig: DataFrame, texts: DataFrame, min_words: int, percent: int
     sets = shared.save(_line_sets(texts, min_words, shared.save(asked, "asked")), "line-sets")
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             ok = []
             for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
