@@ -31,6 +31,10 @@ HEADLINE = (
     "weekly_incremental_iso_calendar",
     "daily_late_rows",
     "daily_vanished_slice",
+    "daily_late_report",
+    "daily_sales_sql",
+    "weekly_from_raw",
+    "explore_cardinality_by_day",
     "ingest_to_weekly",
     "customer_scd2",
     "customer_scd2_strict",
