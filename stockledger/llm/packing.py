@@ -38,9 +38,11 @@ GROUP_ROWS = 20_000
 #: Second lengths tried for each first length of a triple.
 TRIPLE_SPREAD = 24
 #: Words remembered in a generation.
-_CACHE_WORDS = 150_000
+_CACHE_WORDS = 250_000
 #: A word without white space, perhaps behind one line end.
 _VISIBLE = re.compile(r"\n?[^\s\x1c-\x1f\x85]+").fullmatch
+#: White space that a word between single spaces may not hold (a line end can only be its first character).
+_ODD_SPACE = re.compile(r"[^\S\n]|[\x1c-\x1f\x85]").search
 
 
 class Encoder:
@@ -126,16 +128,17 @@ class Encoder:
             parts = t.replace("\n", " \n").split(" ")
             head = parts.pop(0)
             got = list(map(get, parts))
-            at = list(compress(range(len(got)), map(not_, got)))
-            new = {parts[i] for i in at}
+            unknown = list(map(not_, got))
+            at, lost = list(compress(range(len(got)), unknown)), list(compress(parts, unknown))
+            new = set(lost)
             # a first word with white space about it or none before a space, or any other odd white space
-            if (parts and not _VISIBLE(head)) or not all(map(_VISIBLE, new)):
+            if (parts and not _VISIBLE(head)) or "" in new or "\n" in new or _ODD_SPACE("".join(new)):
                 odd.append(t)
                 plain.append(None)
             else:
                 missing |= new
                 heads.append(head)
-                plain.append((parts, got, at))
+                plain.append((lost, got, at))
         self._learn(missing)
         get = self.known.get
         whole, first = iter(self._whole(odd)), iter(self._whole(heads))
@@ -144,9 +147,9 @@ class Encoder:
             if found is None:
                 out.append(next(whole))
                 continue
-            parts, got, at = found
-            for i in at:
-                got[i] = get(parts[i])
+            lost, got, at = found
+            for i, ids in zip(at, map(get, lost), strict=True):
+                got[i] = ids
             out.append(next(first) + b"".join(got))
         return out
 
