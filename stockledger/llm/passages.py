@@ -145,14 +145,28 @@ def shingle_hashes(h: np.ndarray) -> np.ndarray:
     return mix(out)
 
 
-def band_values(shingles: np.ndarray) -> np.ndarray:
-    """Hash of the ``ROWS`` minima of each of the ``BANDS`` bands."""
-    least = np.full(BANDS * ROWS, np.uint64(2**64 - 1))
-    for lo in range(0, len(shingles), 4096):
-        part = (shingles[lo : lo + 4096, None] ^ _SEED) * _STEP
-        least = np.minimum(least, part.min(axis=0))
-    factor = np.cumprod(np.full(ROWS, _STEP), dtype=np.uint64)
-    return mix((least.reshape(BANDS, ROWS) * factor).sum(axis=1, dtype=np.uint64))
+def band_values(h: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the ``ROWS`` minima of each of the ``BANDS`` bands, a row for each span [first, end) of the word hashes ``h``.
+
+    The shingles of all spans lie end to end in one array, so each of the minima
+    is taken for all spans at once.
+    """
+    if not len(first):
+        return np.zeros((0, BANDS), np.uint64)
+    factor = np.cumprod(np.full(max(SHINGLE, ROWS), _STEP), dtype=np.uint64)
+    whole = np.zeros(len(h), np.uint64)
+    for i in range(min(SHINGLE, len(h))):
+        whole[: len(h) - i] += h[i:] * factor[i]
+    length = end - first
+    count = np.maximum(length - SHINGLE + 1, 1)
+    lead = np.cumsum(count) - count
+    shingles = mix(whole[np.arange(int(count.sum())) + np.repeat(first - lead, count)])
+    for i in np.flatnonzero(length < SHINGLE).tolist():
+        shingles[lead[i]] = shingle_hashes(h[first[i] : end[i]])[0]
+    out = np.zeros((BANDS, len(first)), np.uint64)
+    for j, seed in enumerate(_SEED):
+        out[j // ROWS] += np.minimum.reduceat((shingles ^ seed) * _STEP, lead) * factor[j % ROWS]
+    return mix(out).T
 
 
 #: What names a text: its row's key, and a hash of the text itself, which tells rows of one key apart.
@@ -176,9 +190,7 @@ def _signatures(texts: DataFrame, min_words: int) -> DataFrame:
                 block_off = pa.array(np.searchsorted(w.row[begin], rows), pa.int32())
                 first, end = lines(w, min_words)
                 line = _sequence_hashes(w.hash, first, end)
-                bands = np.zeros((len(first), BANDS), np.uint64)
-                for i, (x, y) in enumerate(zip(first, end, strict=True)):
-                    bands[i] = band_values(shingle_hashes(w.hash[x:y]))
+                bands = band_values(w.hash, first, end)
                 line_off = np.searchsorted(w.row[first], rows)
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -55,6 +55,20 @@ def test_odd_rows(spark):
     assert sorted(r.n_removed > 0 for r in out if r.doc_id == 3) == [False, True]
 
 
+def test_band_values_are_the_minima_of_each_span():
+    import numpy as np
+
+    h = np.random.default_rng(4).integers(0, 2**63, 400).astype(np.uint64)
+    first, end = np.array([0, 60, 60, 200, 390, 399]), np.array([60, 200, 63, 390, 400, 400])
+    out = P.band_values(h, first, end)
+    assert out.shape == (6, P.BANDS) and P.band_values(h, first[:0], end[:0]).shape == (0, P.BANDS)
+    factor = [int(P._STEP) ** (r + 1) % 2**64 for r in range(P.ROWS)]
+    for i, (a, b) in enumerate(zip(first, end, strict=True)):
+        least = ((P.shingle_hashes(h[a:b])[:, None] ^ P._SEED) * P._STEP).min(axis=0).tolist()
+        sums = [sum(x * f for x, f in zip(least[j : j + P.ROWS], factor, strict=True)) % 2**64 for j in range(0, len(least), P.ROWS)]
+        assert (out[i] == P.mix(np.array(sums, np.uint64))).all()
+
+
 def test_blocks_lie_alike_in_a_shared_passage():
     import numpy as np
     import pyarrow as pa
