@@ -42,7 +42,7 @@ COUNTED = 0.30
 COMMON, MOST_COMMON = 48, 100_000
 BUCKET_ENTRIES = 400_000
 #: Further leaders that a list may try before its pairs across components are compared.
-LEADER_ROUNDS = 1
+LEADERS = 4
 #: Sets in a tile of exact tests, and members of a list in a tile of bit counts, about.
 TILE_SETS, TILE_MEMBERS = 400, 2048
 
@@ -262,23 +262,23 @@ def split_lists(lists: DataFrame, groups: DataFrame, shared: Shared) -> DataFram
     return shared.save(marked.join(several, "list", "left_semi"), "spans")
 
 
-def leader_rounds(lists: DataFrame, found: DataFrame, groups: DataFrame, settle: Callable[[DataFrame], DataFrame], enough: str, shared: Shared) -> tuple[DataFrame, DataFrame, DataFrame]:
+def further_leaders(lists: DataFrame, found: DataFrame, groups: DataFrame, settle: Callable[[DataFrame], DataFrame], enough: str, shared: Shared) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(links, components, rows of the lists that still span several components).
 
-    In each round every such list takes another leader and only the members
-    outside the leader's component are tested with it, so the members of a large
-    group of near copies that the first leader missed are joined by a row a
-    member, before all pairs across components are looked at. Which links are
-    found here changes the cost, never the components.
+    Every such list takes ``LEADERS`` further leaders at once (the members of least
+    hash, under as many hashes), and only the members outside a leader's component
+    are tested with it, so the members of a large group of near copies that the first
+    leader missed are joined by a few rows a member, before all pairs across
+    components are looked at. Which links are found here changes the cost, never
+    the components.
     """
     spans = split_lists(lists, groups, shared)
-    for r in range(LEADER_ROUNDS):
-        place = F.struct(F.xxhash64("key", F.lit(r)).alias("at"), "key", "n", "pos", "component")
-        leader = spans.groupBy("list").agg(F.min(place).alias("f")).select("list", F.col("f.key").alias("a"), F.col("f.n").alias("n_a"), F.col("f.pos").alias("pos_a"), F.col("f.component").alias("own"))
-        pairs = shared.save(spans.join(leader, "list").where("component != own").where(enough).select("a", F.col("key").alias("b")).distinct(), "leader-pairs")
-        new = settle(pairs)
-        if new.isEmpty():
-            break
+    places = [F.struct(F.xxhash64("key", F.lit(r)).alias("at"), "key", "n", "pos", "component") for r in range(LEADERS)]
+    leaders = spans.groupBy("list").agg(F.array(*(F.min(p) for p in places)).alias("fs")).select("list", F.explode("fs").alias("f"))
+    leaders = leaders.select("list", F.col("f.key").alias("a"), F.col("f.n").alias("n_a"), F.col("f.pos").alias("pos_a"), F.col("f.component").alias("own"))
+    pairs = shared.save(spans.join(leaders, "list").where("component != own").where(enough).select("a", F.col("key").alias("b")).distinct(), "leader-pairs")
+    new = settle(pairs)
+    if not new.isEmpty():
         found = found.union(new)
         groups = components(found, shared)
         spans = split_lists(spans, groups, shared)
@@ -381,7 +381,7 @@ def join(df: DataFrame, key: str, text: str, shared: Shared, percent: int = PERC
     def settle(pairs: DataFrame) -> DataFrame:
         return _settled(_bounded(pairs, signatures, percent, shared), own, key, text, k, percent, shared)
 
-    found, groups, spans = leader_rounds(lists, found, groups, settle, enough, shared)
+    found, groups, spans = further_leaders(lists, found, groups, settle, enough, shared)
     missed = across(spans, signatures, percent, shared)
     if missed.take(1):
         found = found.union(_settled(missed, own, key, text, k, percent, shared))

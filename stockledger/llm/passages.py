@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Shared, Words, as_long, components, if_small, mix, slices, sub_batches
-from .ngram_join import across, bitmap, leader_rounds
+from .ngram_join import across, bitmap, further_leaders
 
 MIN_WORDS = 50
 PERCENT = 75
@@ -270,7 +270,7 @@ def _marked_lines(sig: DataFrame, texts: DataFrame, min_words: int, percent: int
     found = settled(pairs)
     groups = components(found, shared)
     lists = met.select("list", F.col("line").alias("key"), F.lit(0).alias("n"), F.lit(0).alias("pos"))
-    found, groups, spans_ = leader_rounds(lists, found, groups, settled, "true", shared)
+    found, groups, spans_ = further_leaders(lists, found, groups, settled, "true", shared)
     missed = _across_components(spans_, sets, percent, shared)
     if missed.take(1):
         groups = components(found.union(settled(missed)), shared)
