@@ -174,7 +174,7 @@ def _lists(df: DataFrame, key: str, text: str, k: int, percent: int, common: np.
 # --------------------------------------------------------------------- verifying
 
 
-def bitmap(values: np.ndarray, per: int = 2) -> bytes:
+def bitmap(values: np.ndarray, per: int = 4) -> bytes:
     """Hashed bits of a set: ``per`` bits an element or up to twice as many, 64 to 65,536 of them."""
     bits = 64
     while bits < per * len(values) and bits < 65_536:
