@@ -12,28 +12,29 @@ scores that leaves as many of them as are labelled good; the published score
 puts that quantile at 0.3.
 
 One scan of the documents computes the features of whole texts, which are
-stored (a few numbers a document); a bounded sample of labelled feature rows
-is fitted on the driver, and a linear expression scores every row.
+stored (a few numbers a document). The fit uses all labelled rows and all their
+pairs: by bins of the score, a Newton step needs only the sums of the rows of each
+bin, which Spark aggregates. The quantile is exact, and a linear expression scores every row.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, sample_key, sub_batches
+from .common import Shared, Words, sub_batches
 
 FEATURES = ("log_words", "few_words", "word_len", "long_word", "upper", "digit", "symbol", "other_mark", "bang", "marked_end", "repeated_words", "run_words", "top_word", "repeated_lines", "repeated_pairs", "short_lines", "no_letter")
-#: Labelled rows that the fit may use, at most (the first by a hash of the id), and pairs drawn from them.
-SAMPLE_ROWS = 20_000
-PAIRS = 60_000
 CUT = 0.3
+#: The penalty of the fit, the width of the score's bins over which it sums pairs, and bins a class at most (FAR: the last bin's number).
+L2, BIN, MAX_BINS, FAR = 1e-3, 1 / 64, 4096, 1 << 15
 
 _KIND = np.zeros(256, np.uint8)  # 1 upper, 2 lower or not ASCII, 3 digit, 4 symbol, 5 '!' or '?', 6 other mark, 0 space or control
 _KIND[[*range(65, 91)]] = 1
@@ -114,35 +115,121 @@ class Model:
         return ((x - self.mean) / self.scale) @ self.weights
 
 
-def bradley_terry(x: np.ndarray, good: np.ndarray, n_pairs: int = PAIRS, l2: float = 1e-3, seed: int = 11) -> np.ndarray:
-    """Weights from ``n_pairs`` drawn (good, bad) pairs, by Newton steps on the logistic loss of differences."""
-    rng = np.random.default_rng(seed)
-    d = x[rng.choice(np.flatnonzero(good), n_pairs)] - x[rng.choice(np.flatnonzero(~good), n_pairs)]
-    w = np.zeros(x.shape[1])
+def pair_weights(good: np.ndarray, bad: np.ndarray, n_good: np.ndarray, n_bad: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of all pairs of a good and a bad row, whose scores and counts are given by bins: the sums of
+    P(other order) and of its variance over each good bin's and each bad bin's pairs, and the variances by pair of bins."""
+    other = 1 / (1 + np.exp(np.clip(good[:, None] - bad[None, :], -40, 40)))
+    spread = other * (1 - other)
+    return other @ n_bad, n_good @ other, spread @ n_bad, n_good @ spread, spread
+
+
+def newton(n: int, binned: Callable, curved: Callable, l2: float) -> np.ndarray:
+    """The weights of ``n`` features for which the preferences of all pairs are likeliest.
+
+    ``binned(w)``: for good and for bad rows, by bins of the score, (score, count, sums of
+    features); ``curved(w, good, of good, bad, of bad)``: the rows' sum of weight x x^T, the weight
+    being interpolated between scores. Both read every row; the pairs are summed by bins of BIN, whose
+    rows count with their mean score.
+    """
+    w = np.zeros(n)
     for _ in range(30):
-        p = 1 / (1 + np.exp(np.clip(d @ w, -40, 40)))  # of the other order
-        gradient = -(d * p[:, None]).mean(0) + l2 * w
-        curve = (d * (p * (1 - p))[:, None]).T @ d / len(d) + l2 * np.eye(len(w))
+        (g, n_g, x_g), (b, n_b, x_b) = binned(w)
+        pairs = n_g.sum() * n_b.sum()
+        of_good, of_bad, curve_good, curve_bad, spread = pair_weights(g, b, n_g, n_b)
+        gradient = (of_bad @ x_b - of_good @ x_g) / pairs + l2 * w
+        cross = x_g.T @ spread @ x_b
+        curve = (curved(w, g, curve_good, b, curve_bad) - cross - cross.T) / pairs + l2 * np.eye(n)
         step = np.linalg.solve(curve, gradient)
         w = w - step
-        if np.abs(step).max() < 1e-8:
+        if np.abs(step).max() < 1e-6:
             break
     return w
 
 
-def fit(rows: DataFrame, label: str, key: str, sample_rows: int = SAMPLE_ROWS) -> Model | None:
-    """Fit on feature rows whose ``label`` is 0 or 1 (others are left out); None unless both occur."""
-    found = rows.where(F.col(label).isin(0, 1)).orderBy(sample_key(key), key).limit(sample_rows).select(F.col(label).alias("y"), *FEATURES).collect()
-    y = np.array([r[0] == 1 for r in found], bool)
-    if not len(y) or y.all() or not y.any():
+def _merged(at: np.ndarray, count: np.ndarray, scores: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(mean score, count, sums) by bin in order; neighbouring bins are joined until there are at most MAX_BINS."""
+    while len(np.unique(at)) > MAX_BINS:
+        at = at // 2
+    _, place = np.unique(at, return_inverse=True)
+    n = np.bincount(place, count)
+    x = np.zeros((len(n), sums.shape[1]))
+    np.add.at(x, place, sums)
+    return np.bincount(place, scores) / n, n, x
+
+
+def _curve(x: np.ndarray, good: np.ndarray, w: np.ndarray, g: np.ndarray, of_g: np.ndarray, b: np.ndarray, of_b: np.ndarray) -> np.ndarray:
+    s = x @ w
+    return (x * np.where(good, np.interp(s, g, of_g), np.interp(s, b, of_b))[:, None]).T @ x
+
+
+def bradley_terry(x: np.ndarray, good: np.ndarray, l2: float = L2) -> np.ndarray:
+    """Weights from all pairs of a good and a bad row of a matrix (:func:`fit` does the same over a table)."""
+
+    def binned(w: np.ndarray) -> list:
+        s = x @ w
+        return [_merged(np.floor(s[k] / BIN).astype(np.int64), np.ones(k.sum()), s[k], x[k]) for k in (good, ~good)]
+
+    return newton(x.shape[1], binned, lambda w, *of: _curve(x, good, w, *of), l2)
+
+
+def order_statistics(values: DataFrame, column: str, ranks: list[int]) -> list[float]:
+    """The values of the given ranks (from 0) of a column without nulls, exactly.
+
+    Each pass counts the values of a range by 1,024 bins and goes on in the bin that holds
+    the rank, until that bin's values are all alike.
+    """
+    out = []
+    for rank in ranks:
+        lo, hi = values.agg(F.min(column), F.max(column)).first()
+        while lo < hi:
+            inside = values.where(F.col(column).between(lo, hi))
+            at = F.least(F.lit(1023), F.floor((F.col(column) - F.lit(lo)) / F.lit(hi - lo) * 1024))
+            for n, lo, hi in sorted((r[1:] for r in inside.groupBy(at.alias("at")).agg(F.count("*"), F.min(column), F.max(column)).collect()), key=lambda r: r[1]):
+                if rank < n:
+                    break
+                rank -= n
+        out.append(float(lo))
+    return out
+
+
+def fit(rows: DataFrame, label: str, key: str) -> Model | None:
+    """Fit on all feature rows whose ``label`` is 0 or 1 (others are left out); None unless both occur.
+
+    The labelled rows are stored once. Means, the sums of each Newton step (a row a
+    class and bin of the score) and the quantiles are aggregates over all of them.
+    """
+    spark = rows.sparkSession
+    found = Shared(spark, "quality-fit").save(rows.where(F.col(label).isin(0, 1)).select((F.col(label) == 1).alias("y"), *FEATURES), "labelled")
+    of = found.agg(F.count("*"), F.count_if("y"), *[F.avg(f) for f in FEATURES], *[F.stddev_pop(f) for f in FEATURES]).first()
+    n, n_good = of[:2]
+    if not n or n_good in (0, n):
         return None
-    x = np.array([tuple(r)[1:] for r in found], float)
-    mean, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
-    weights = bradley_terry((x - mean) / scale, y)
-    s = ((x - mean) / scale) @ weights
-    ordered, bad = np.sort(s), int((~y).sum())
-    cut = float((ordered[bad - 1] + ordered[bad]) / 2)
-    spread = float(np.median(np.abs(s - cut))) or 1.0
+    k = len(FEATURES)
+    mean, scale = np.array(of[2 : 2 + k]), np.maximum(np.array(of[2 + k :]), 1e-6)
+    x = found.select("y", *[((F.col(f) - F.lit(float(m))) / F.lit(float(s))).alias(f) for f, m, s in zip(FEATURES, mean, scale, strict=True)])
+
+    def scored(w: np.ndarray) -> DataFrame:
+        return x.withColumn("s", reduce(Column.__add__, [F.col(f) * F.lit(float(v)) for f, v in zip(FEATURES, w, strict=True)]))
+
+    def binned(w: np.ndarray) -> list:
+        at = F.greatest(F.lit(-FAR), F.least(F.lit(FAR), F.floor(F.col("s") / BIN)))
+        got = np.array([tuple(map(float, r)) for r in scored(w).groupBy("y", at.alias("at")).agg(F.count("*"), F.sum("s"), *[F.sum(f) for f in FEATURES]).collect()])
+        return [_merged(c[:, 1].astype(np.int64), c[:, 2], c[:, 3], c[:, 4:]) for c in (got[got[:, 0] == 1], got[got[:, 0] == 0])]
+
+    def curved(w: np.ndarray, *of: np.ndarray) -> np.ndarray:
+        def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((k, k))
+            for b in batches:
+                total += _curve(np.column_stack([b.column(f).to_numpy() for f in FEATURES]), b.column("y").to_numpy(zero_copy_only=False), w, *of)
+            yield pa.RecordBatch.from_arrays([pa.array(range(k * k), pa.int32()), pa.array(total.ravel())], ["at", "v"])
+
+        got = x.mapInArrow(part, "at int, v double").groupBy("at").agg(F.sum("v")).collect()
+        return np.array([v for _, v in sorted(map(tuple, got))]).reshape(k, k)
+
+    weights = newton(k, binned, curved, L2)
+    s = scored(weights).select("s")
+    cut = float(np.mean(order_statistics(s, "s", [n - n_good - 1, n - n_good])))
+    spread = float(np.mean(order_statistics(s.select(F.abs(F.col("s") - F.lit(cut)).alias("d")), "d", [(n - 1) // 2, n // 2]))) or 1.0
     return Model(weights, mean, scale, cut, 2.0 / spread)
 
 

@@ -106,6 +106,25 @@ def test_bradley_terry_recovers_an_order():
     assert np.corrcoef(w, truth)[0, 1] > 0.98
 
 
+def test_quality_fit_uses_every_labelled_row_and_pair(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 3)) * [1, 3, 0.2]
+    good = rng.random(400) < 1 / (1 + np.exp(-(x @ [1.0, -0.5, 2.0])))
+    w = quality.bradley_terry(x, good)
+    d = x[good][:, None] - x[~good][None]
+    p = 1 / (1 + np.exp(d @ w))
+    assert np.abs(quality.L2 * w - (d * p[..., None]).mean((0, 1))).max() < 1e-4  # the gradient over all pairs
+    some = [F.col("a"), F.col("b"), *[F.lit(0.0)] * (len(quality.FEATURES) - 2)]
+    rows = spark.range(24_000).select("id", (F.rand(3) + F.col("id") % 2).alias("a"), F.randn(4).alias("b"), (F.col("id") % 2).alias("y"))
+    rows = rows.select("id", "y", *[c.alias(f) for c, f in zip(some, quality.FEATURES)]).localCheckpoint()
+    model = quality.fit(rows, "y", "id")
+    table = rows.toPandas()
+    every = table[list(quality.FEATURES)].to_numpy(float)
+    assert np.allclose(model.mean, every.mean(0)) and np.allclose(model.scale[:2], every.std(0)[:2])
+    assert np.allclose(model.weights, quality.bradley_terry((every - model.mean) / model.scale, table.y.to_numpy() == 1), atol=1e-6)
+    assert (model.score(every) > model.cut).sum() == 12_000  # as many pass as are labelled good
+
+
 def test_language_of_odd_rows(spark):
     rows = [(i, ("der und die das ist nicht " if i % 2 else "the and of that is not ") * 5, "de" if i % 2 else "en") for i in range(100, 160)]
     docs = frame(spark, extra=False).withColumn("lang", F.lit(None).cast("string")).select("doc_id", "text", "lang")
