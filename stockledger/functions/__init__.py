@@ -7,6 +7,7 @@ from stockledger.functions.scalar import (
     iff,
     nvl,
     ratio6,
+    repeated,
     week_start_sk,
     zero_if_null,
 )
@@ -18,6 +19,7 @@ __all__ = [
     "iff",
     "nvl",
     "ratio6",
+    "repeated",
     "week_start_sk",
     "zero_if_null",
 ]

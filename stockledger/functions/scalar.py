@@ -29,6 +29,12 @@ def zero_if_null(c: Column | str) -> Column:
     return F.coalesce(c, F.lit(0))
 
 
+def repeated(c: Column | str, times: Column | str) -> Column:
+    """The sum of ``times`` rows that hold the same value ``c``; a NULL count is one row."""
+    c, n = (F.col(x) if isinstance(x, str) else x for x in (c, times))
+    return F.when(F.coalesce(n, F.lit(1)) == 1, c).otherwise(c * n)
+
+
 def all_of(conds: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds)
 

@@ -4,9 +4,8 @@ Plan shape (what ``explain`` shows): two Parquet scans with the watermark
 filter pushed into each -> projection -> ``Union`` -> partial
 ``HashAggregate`` (map-side combine, so a hot warehouse/item/day is reduced
 before the shuffle) -> one ``Exchange hashpartitioning(warehouse_sk, item_sk,
-sold_date_sk)`` -> final aggregate -> join of the calendar (broadcast by size)
--> second aggregate at the same grain, which reuses the first one's
-partitioning (no second Exchange).
+sold_date_sk)`` -> final aggregate -> join of the calendar (brought to a row a day,
+broadcast by size).
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockledger.functions.scalar import MONEY, nvl
+from stockledger.functions.scalar import MONEY, nvl, repeated
 
 # The two channels and the column prefix each uses.
 CHANNEL_PREFIXES = {"catalog": "cs_", "web": "ws_"}
@@ -57,9 +56,10 @@ def daily_sales(lines: DataFrame, date_dim: DataFrame) -> DataFrame:
 
     ``date_dim`` is a calendar, a few MB at most in practice, which Spark
     broadcasts by its size. Amounts given as double are rounded to four
-    decimals a line before the sum, which makes sums exact and repeatable. The second aggregation is kept because a calendar with repeated
-    ``d_date_sk`` would multiply the day's sums, as the source query does; with
-    a proper calendar it is a no-op that adds no shuffle. A NULL warehouse forms
+    decimals a line before the sum, which makes sums exact and repeatable. A calendar
+    with repeated ``d_date_sk`` multiplies the day's sums, as in the source query, which
+    aggregates again after the join; here the calendar is brought to a row a day
+    with its number of rows first, so the lines' groups are hashed once. A NULL warehouse forms
     its own group. Amounts are summed as exact decimals and stored as double.
     """
     per_day = lines.groupBy(*DAILY_KEYS).agg(
@@ -67,18 +67,19 @@ def daily_sales(lines: DataFrame, date_dim: DataFrame) -> DataFrame:
         F.sum(F.col("sales_amt").cast(MONEY)).alias("daily_sales_amt"),
         F.sum(F.col("net_profit").cast(MONEY)).alias("daily_net_profit"),
     )
-    weeks = date_dim.select(
-        F.col("d_date_sk"),
-        F.col("wk_num").alias("sold_wk_num"),
-        F.col("yr_num").alias("sold_yr_num"),
+    weeks = date_dim.repartitionByRange("d_date_sk").groupBy("d_date_sk").agg(
+        F.max("wk_num").alias("sold_wk_num"),
+        F.max("yr_num").alias("sold_yr_num"),
+        F.count(F.lit(1)).alias("_times"),
     )
     with_week = per_day.join(weeks, per_day["sold_date_sk"] == weeks["d_date_sk"], "left")
-    return with_week.groupBy(*DAILY_KEYS).agg(
-        F.max("sold_wk_num").cast("bigint").alias("sold_wk_num"),
-        F.max("sold_yr_num").cast("bigint").alias("sold_yr_num"),
-        F.sum("daily_qty").cast("bigint").alias("daily_qty"),
-        F.sum("daily_sales_amt").cast("double").alias("daily_sales_amt"),
-        F.sum("daily_net_profit").cast("double").alias("daily_net_profit"),
+    return with_week.select(
+        *DAILY_KEYS,
+        F.col("sold_wk_num").cast("bigint").alias("sold_wk_num"),
+        F.col("sold_yr_num").cast("bigint").alias("sold_yr_num"),
+        repeated("daily_qty", "_times").cast("bigint").alias("daily_qty"),
+        repeated("daily_sales_amt", "_times").cast("double").alias("daily_sales_amt"),
+        repeated("daily_net_profit", "_times").cast("double").alias("daily_net_profit"),
     )
 
 
@@ -90,13 +91,15 @@ def day_marks(lines: DataFrame) -> DataFrame:
 
     Count, sums and the sum of 64-bit row hashes: a line that is added, lost or
     changed changes its day's mark (two changes whose hashes cancel out apart).
+    The hashes' upper and lower halves are summed as whole numbers (room for 2^31
+    lines a day) and put together a row a day, without a decimal a line.
     """
     whole = F.xxhash64(*[F.col(c) for c in ("warehouse_sk", "item_sk", "sold_date_sk", "quantity")], F.col("sales_amt").cast(MONEY), F.col("net_profit").cast(MONEY))
     return lines.groupBy("sold_date_sk").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum("quantity").cast("bigint").alias("sum_qty"),
         F.sum(F.col("sales_amt").cast(MONEY)).cast("decimal(38,4)").alias("sum_amt"),
-        F.sum(whole.cast("decimal(20,0)")).cast("decimal(38,0)").alias("sum_hash"),
+        (F.sum(F.shiftright(whole, 32)).cast("decimal(26,0)") * F.lit(1 << 32).cast("decimal(11,0)") + F.sum(whole.bitwiseAND((1 << 32) - 1))).cast("decimal(38,0)").alias("sum_hash"),
     )
 
 
