@@ -1,14 +1,12 @@
 """Weekly sales x inventory fact with stock cover and low-stock flag.
 
 Plan shape: daily rows -> partial/final aggregate by ``(warehouse, item, week,
-year)`` (one Exchange) -> join to the week's Sunday (broadcast by size) -> sort-merge left join with the inventory rows (row by row, as the
-source does: several snapshots in one week multiply the sales sums; kept
-literally, and the ``dq_unique`` check on the inventory key reports it) ->
-final aggregate at the same grain, which reuses the join's partitioning ->
+year)`` (one Exchange by ``(item, warehouse, week, year)``) -> join to the week's Sunday (broadcast by size) -> sort-merge left join with the inventory, aggregated to a
+row per item/warehouse/week with its number of rows (several snapshots in one week multiply the sales sums, as in the
+source, and the ``dq_unique`` check on the inventory key reports it) ->
 ``HAVING sum_qty_wk > 0`` before any division.
 
-At scale both sides of the left join are one row per item/warehouse/week (the
-sales side after pre-aggregation, the inventory side by nature), so the join
+At scale both sides of the left join are one row per item/warehouse/week, so the join
 is balanced even when one item or warehouse dominates the raw sales; AQE's
 skew-join splitting covers what remains.
 """
@@ -18,10 +16,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockledger.functions.scalar import MONEY, iff, nvl, ratio6, zero_if_null
+from stockledger.functions.scalar import MONEY, iff, nvl, ratio6, repeated, zero_if_null
 from stockledger.operators.calendar import sundays
 
-WEEK_KEYS = ("warehouse_sk", "item_sk", "sold_wk_num", "sold_yr_num")
+# The item first: sorts for the join compare rows by it, and it has the most values.
+WEEK_KEYS = ("item_sk", "warehouse_sk", "sold_wk_num", "sold_yr_num")
 
 
 def week_rollup(daily: DataFrame, since_wk_sk: int | None = None) -> DataFrame:
@@ -38,15 +37,14 @@ def week_rollup(daily: DataFrame, since_wk_sk: int | None = None) -> DataFrame:
 
 
 def with_sunday_key(weeks: DataFrame, date_dim: DataFrame) -> DataFrame:
-    """Replace ``sold_wk_sk`` by the day key of the week's Sunday.
+    """Replace ``sold_wk_sk`` by the day key of the week's first Sunday, and add the number of its Sunday rows (``_sundays``).
 
     Inner join on ``(wk_num, yr_num)`` with the Sunday rows: a week without a
-    Sunday row is dropped, a week with two Sundays is doubled (as the source).
+    Sunday row is dropped, a week with two Sundays counts twice (as the source).
     """
-    sun = sundays(date_dim).select(
-        F.col("d_date_sk").alias("_sunday_sk"),
-        F.col("wk_num").alias("_wk"),
-        F.col("yr_num").alias("_yr"),
+    sun = sundays(date_dim).groupBy(F.col("wk_num").alias("_wk"), F.col("yr_num").alias("_yr")).agg(
+        F.min("d_date_sk").alias("_sunday_sk"),
+        F.count(F.lit(1)).alias("_sundays"),
     )
     joined = weeks.join(sun, (weeks["sold_wk_num"] == sun["_wk"]) & (weeks["sold_yr_num"] == sun["_yr"]), "inner")
     return joined.select(
@@ -58,6 +56,7 @@ def with_sunday_key(weeks: DataFrame, date_dim: DataFrame) -> DataFrame:
         "sum_qty_wk",
         "sum_amt_wk",
         "sum_profit_wk",
+        "_sundays",
     )
 
 
@@ -79,23 +78,34 @@ def weekly_sales_inventory(
     date_dim: DataFrame,
     since_wk_sk: int | None = None,
 ) -> DataFrame:
-    """The weekly fact: sales per item/warehouse/week joined to on-hand stock."""
+    """The weekly fact: sales per item/warehouse/week joined to on-hand stock.
+
+    The source joins sales, Sundays and inventory row by row and sums afterwards.
+    Here each side is one row a key with its number of rows, and the sums are
+    multiplied by the other sides' rows, so the joined rows are not hashed again.
+    """
     weeks = with_sunday_key(week_rollup(daily, since_wk_sk), date_dim)
-    inv = inventory_with_week(inventory, date_dim)
+    week = [F.col(c).cast(weeks.schema[s].dataType).alias(c) for c, s in zip(("inv_item_sk", "inv_warehouse_sk", "inv_wk_num", "inv_yr_num"), WEEK_KEYS)]
+    inv = inventory_with_week(inventory, date_dim).groupBy(*week).agg(  # keys of the sales' types: the join needs no second shuffle
+        F.sum(zero_if_null("inv_quantity_on_hand")).alias("_on_hand"),
+        F.count(F.lit(1)).alias("_rows"),
+    )
     joined = weeks.join(
         inv,
-        (inv["inv_wk_num"] == weeks["sold_wk_num"])
-        & (inv["inv_yr_num"] == weeks["sold_yr_num"])
-        & (weeks["item_sk"] == inv["inv_item_sk"])
-        & (inv["inv_warehouse_sk"] == weeks["warehouse_sk"]),
+        (weeks["item_sk"] == inv["inv_item_sk"])
+        & (weeks["warehouse_sk"] == inv["inv_warehouse_sk"])
+        & (weeks["sold_wk_num"] == inv["inv_wk_num"])
+        & (weeks["sold_yr_num"] == inv["inv_yr_num"]),
         "left",
     )
-    agg = joined.groupBy(*WEEK_KEYS).agg(
-        F.min("sold_wk_sk").alias("sold_wk_sk"),
-        F.sum("sum_qty_wk").alias("sum_qty_wk"),
-        F.sum("sum_amt_wk").alias("sum_amt_wk"),
-        F.sum("sum_profit_wk").alias("sum_profit_wk"),
-        F.sum(zero_if_null("inv_quantity_on_hand")).alias("inv_qty_wk"),
+    times = joined.withColumn("_times", F.col("_sundays") * F.coalesce("_rows", F.lit(1)))
+    agg = times.select(
+        *WEEK_KEYS,
+        "sold_wk_sk",
+        repeated("sum_qty_wk", "_times").alias("sum_qty_wk"),
+        repeated("sum_amt_wk", "_times").alias("sum_amt_wk"),
+        repeated("sum_profit_wk", "_times").alias("sum_profit_wk"),
+        repeated(zero_if_null("_on_hand"), "_sundays").alias("inv_qty_wk"),
     )
     # HAVING first: the ratios below never see a zero or negative quantity.
     agg = agg.where(F.col("sum_qty_wk") > 0)

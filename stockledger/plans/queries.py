@@ -443,7 +443,7 @@ def q_dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("dq_unique")
 def q_dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    fact = quality.Watch(weekly_of(t)).unique("weekly_sales_inventory(warehouse_sk,item_sk,sold_wk_sk)", ["warehouse_sk", "item_sk", "sold_wk_sk"])
+    fact = quality.Watch(weekly_of(t)).unique("weekly_sales_inventory(warehouse_sk,item_sk,sold_wk_sk)", ["item_sk", "warehouse_sk", "sold_wk_sk"])
     keys = ["inv_item_sk", "inv_warehouse_sk", "inv_wk_num", "inv_yr_num"]
     stock = quality.unique(weekly.inventory_with_week(fx.inventory(t), fx.date_dim(t)), keys)
     return checked_write(spark, fact, "weekly").unionByName(quality.verdict(stock, "inventory(inv_item_sk,inv_warehouse_sk,inv_wk_num,inv_yr_num)"))
