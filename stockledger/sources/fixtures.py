@@ -79,14 +79,12 @@ def catalog_sales_billed(t: Tables) -> DataFrame:
 def inventory(t: Tables) -> DataFrame:
     """Weekly inventory snapshots derived from the keys of both channels."""
 
-    def keys(df: DataFrame, p: str) -> DataFrame:
-        return df.select(
-            F.col(f"{p}item_sk").alias("item"),
-            F.col(f"{p}warehouse_sk").alias("wh"),
-            week_start_sk(F.col(f"{p}sold_date_sk")).alias("sunday"),
-        ).where(F.col("wh").isNotNull() & F.col("sunday").isNotNull())
-
-    k = keys(catalog_sales(t), "cs_").unionByName(keys(web_sales(t), "ws_"))
+    both = _sales_channel(t.lineitem.where(F.col("l_linenumber").isNotNull()), "")  # both channels in one scan
+    k = both.select(
+        F.col("item_sk").alias("item"),
+        F.col("warehouse_sk").alias("wh"),
+        week_start_sk(F.col("sold_date_sk")).alias("sunday"),
+    ).where(F.col("wh").isNotNull() & F.col("sunday").isNotNull())
     offsets = F.when(
         F.col("item") % 10 == 0, F.array(F.lit(2), F.lit(4), F.lit(9))
     ).otherwise(F.array(F.lit(2), F.lit(9)))
