@@ -5,6 +5,7 @@ import zlib
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from stockledger.llm.common import Shared, Words, components, fold, sub_batches, utf8
 
@@ -67,3 +68,16 @@ def test_components_match_union_find(spark, seed):
     assert got == {v: root(v) for v in linked}
     if seed == 1:
         assert components(df.where("a < 0"), Shared(spark, "test")).count() == 0
+
+
+def test_batches_of_wide_rows_are_bounded_by_bytes(spark):
+    Shared(spark, "test_batches")
+    wide = spark.range(400, numPartitions=1).select(F.repeat(F.lit("x"), 50_000).alias("t"))
+
+    def size(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]})
+
+    seen = wide.mapInArrow(size, "rows long, bytes long").collect()
+    assert sum(r["rows"] for r in seen) == 400
+    assert max(r["bytes"] for r in seen) < 5_000_000
