@@ -134,3 +134,8 @@ SELECT warehouse_sk, item_sk, sold_date_sk, CAST(max(wk_num) AS BIGINT) AS sold_
        CAST(sum(qty) AS BIGINT) AS daily_qty, CAST(sum(amt) AS DOUBLE) AS daily_sales_amt, CAST(sum(profit) AS DOUBLE) AS daily_net_profit
 FROM days LEFT JOIN {date_dim} ON sold_date_sk = d_date_sk GROUP BY warehouse_sk, item_sk, sold_date_sk
 """
+
+#: The number of lines that ``DAILY_SQL`` is to group, at most.
+DAILY_LINES_SQL = """
+SELECT (SELECT count(*) FROM {catalog_sales} WHERE cs_sold_date_sk >= sold_since) + (SELECT count(*) FROM {web_sales} WHERE ws_sold_date_sk >= sold_since)
+"""

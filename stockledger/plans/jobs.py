@@ -18,7 +18,11 @@ from stockledger.operators import customers, sales, weekly
 from stockledger.sources.bucketed import BucketedHistory
 from stockledger.sources.history import OpenClosedHistory
 from stockledger.sources.raw import RawTable
-from stockledger.sources.storage import SlicedTable, VersionedTable, empty_frame, sql_view
+from stockledger.sources.storage import SlicedTable, VersionedTable, empty_frame, session_conf, sql_view
+
+#: Lines of an SQL daily batch that one task groups, about, and the shuffled bytes that Spark may put together
+#: for a task again: ``DAILY_SQL`` holds a task's groups in three hash tables.
+LINES_A_TASK, TASK_BYTES = 500_000, "16m"
 
 
 @dataclass
@@ -97,7 +101,9 @@ def run_daily_sql(spark: SparkSession, catalog_sales: str, web_sales: str, date_
     """The daily job as SQL over named tables: the watermark is a session variable.
 
     Same result as :func:`run_daily_sales`; the stored table stands in SQL under a
-    view of its newest commit.
+    view of its newest commit. The batch's lines are counted first, and the write has a
+    shuffle partition for every ``LINES_A_TASK`` of them, at least, so that the memory of a
+    task does not grow with the batch; the session's settings are as before afterwards.
     """
     base = "daily_aggregated_sales"
     if target.exists():
@@ -107,8 +113,14 @@ def run_daily_sql(spark: SparkSession, catalog_sales: str, web_sales: str, date_
     spark.sql("DECLARE OR REPLACE VARIABLE sold_since BIGINT DEFAULT 0")
     spark.sql(f"SET VARIABLE sold_since = (SELECT coalesce(max(sold_date_sk), 0) FROM {base})")
     batch = spark.sql(sales.DAILY_SQL.format(catalog_sales=catalog_sales, web_sales=web_sales, date_dim=date_dim))
+    lines = spark.sql(sales.DAILY_LINES_SQL.format(catalog_sales=catalog_sales, web_sales=web_sales)).first()[0]
+    partitions, advisory = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    settings = {partitions: str(max(int(spark.conf.get(partitions)), -(-lines // LINES_A_TASK)))}
+    if spark.conf.get(advisory, None) is None:
+        settings[advisory] = TASK_BYTES
     wm = target.last_slice()
-    target.replace_slice(wm, batch)
+    with session_conf(spark, settings):
+        target.replace_slice(wm, batch)
     return RunInfo(wm)
 
 

@@ -105,7 +105,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
-    """Temporarily override SQL settings (for looking at plans; jobs do not use it)."""
+    """Temporarily override SQL settings (for looking at plans, and for the write of the daily job as SQL)."""
     old = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)

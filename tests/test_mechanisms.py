@@ -150,6 +150,25 @@ def test_the_sql_job_equals_the_job(spark, cal):
         assert sorted(map(str, a.read().collect())) == sorted(map(str, b.read().collect()))
 
 
+def test_the_sql_job_deals_a_larger_batch_to_more_tasks(spark, cal, monkeypatch):
+    cal.createOrReplaceTempView("t_cal")
+    rows = [(i, SUN + i % 5, 1) for i in range(100)]
+    channel(spark, "cs_", rows).createOrReplaceTempView("t_cs")
+    channel(spark, "ws_", rows[:20]).createOrReplaceTempView("t_ws")
+    table, seen, names = jobs.daily_table(spark, shared_dir(spark, "sql_daily")), [], ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    write = table.replace_slice
+    table.replace_slice = lambda *a: (seen.append([spark.conf.get(n, None) for n in names]), write(*a))
+    before = [spark.conf.get(n, None) for n in names]
+    jobs.run_daily_sql(spark, "t_cs", "t_ws", "t_cal", table)
+    monkeypatch.setattr(jobs, "LINES_A_TASK", 3)
+    jobs.run_daily_sql(spark, "t_cs", "t_ws", "t_cal", table)
+    assert seen == [[before[0], "16m"], ["8", "16m"]]  # 120 lines, then the 24 of the watermark's day
+    monkeypatch.setattr(jobs, "LINES_A_TASK", 2)
+    jobs.run_daily_sql(spark, "t_cs", "t_ws", "t_cal", table)
+    assert seen[2] == ["12", "16m"] and [spark.conf.get(n, None) for n in names] == before
+    assert table.read().count() == 100
+
+
 # --- bitmaps
 
 
