@@ -245,7 +245,7 @@ def _across_components(spans: DataFrame, sets: DataFrame, percent: int, shared:
 def _marked_lines(sig: DataFrame, texts: DataFrame, min_words: int, percent: int, shared: Shared) -> DataFrame:
     """(key, h, at): lines that repeat an earlier one."""
     own = sig.select(*TEXT, "line_bands", F.posexplode("lines").alias("at", "line"))
-    own = shared.save(own.select(*TEXT, "at", "line", F.slice("line_bands", F.col("at") * BANDS + 1, BANDS).alias("bands")), "lines")
+    own = own.select(*TEXT, "at", "line", F.slice("line_bands", F.col("at") * BANDS + 1, BANDS).alias("bands"))
     distinct = shared.save(own.groupBy("line").agg(F.min(F.struct(*TEXT, "at")).alias("first"), F.count_distinct(*TEXT, "at").alias("n"), F.min("bands").alias("bands")), "distinct-lines")
     band = distinct.select("line", F.posexplode("bands").alias("band", "value"))
     least = band.groupBy("band", "value").agg(F.min("line").alias("least"), F.max("line").alias("most")).where("least != most").drop("most")

@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from stockledger.llm import common
 from stockledger.llm.common import Shared, Words, components, fold, sub_batches, utf8
 
 from .edge import ROWS
@@ -70,6 +71,34 @@ def test_components_match_union_find(spark, seed):
         assert components(df.where("a < 0"), Shared(spark, "test")).count() == 0
 
 
+def _tasks(spark, run):
+    """What ``run`` returns, and how many tasks its jobs had."""
+    tracker, group = spark.sparkContext.statusTracker(), f"test-{random.random()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    return out, sum(i.numTasks for s in stages if (i := tracker.getStageInfo(s)))
+
+
+@pytest.mark.parametrize("edges_a_task", [200_000, 16])
+def test_rounds_of_components_take_tasks_by_their_edges(spark, monkeypatch, edges_a_task):
+    monkeypatch.setattr(common, "EDGES_A_TASK", edges_a_task)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(0, 99) if i % 20 != 19] + [(3, 2)] * 5, "a long, b long").repartition(4)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got, n = _tasks(spark, lambda: components(edges, Shared(spark, "test")).collect())
+    finally:
+        for k, x in before.items():
+            spark.conf.set(k, x)
+    assert sorted(map(tuple, got)) == [(i, i // 20 * 20) for i in range(100)]
+    assert n < 120 or edges_a_task == 16, n
+
+
 def test_batches_of_wide_rows_are_bounded_by_bytes(spark):
     Shared(spark, "test_batches")
     wide = spark.range(400, numPartitions=1).select(F.repeat(F.lit("x"), 50_000).alias("t"))
